@@ -7,8 +7,10 @@ their places.  A window is then compressed twice, with the ordinary dictionary a
 the toxic text behind it.  Ordinary windows gain nothing from the toxic text; a window that
 repeats something of it gets shorter.
 
-The gains of a document's windows are compared with thresholds, and the numbers of windows beyond each
-are turned into a probability by a logistic model, both fitted on labelled rows only.
+The gains of a document's windows are compared with thresholds.  The numbers of windows beyond each, the
+shares of all windows that these are, and the number of windows are turned into a probability by
+a logistic model, which is fitted on labelled rows only.  The shares keep long texts, where chance
+alone makes some windows gain, apart from short ones.
 
 Fitting uses at most ``SAMPLE`` labelled rows of each class, smallest hashes of the id first, and
 of those the texts of at most ``LONGEST`` characters; scoring reads every whole text.
@@ -37,7 +39,10 @@ WINDOW_BYTES = 24
 DICTIONARY_BYTES = 16 << 10
 TOXIC_BYTES = 2 << 10
 LEVEL = 10
-THRESHOLDS = (3, 4, 5, 6)
+THRESHOLDS = (2, 3, 4, 5, 6, 7)
+#: Windows beyond a threshold that count, and the share of all windows that counts, at most.
+MOST_WINDOWS, MOST_SHARE = 6, 0.1
+N_FEATURES = 2 * len(THRESHOLDS) + 2
 #: Lengths of the word beginnings that are looked at, for languages that add endings.
 STEMS = (4, 5, 6)
 #: Bytes before every window that both dictionaries end with, so that a window is never stored uncompressed,
@@ -86,13 +91,16 @@ class Model:
 
     def features(self, texts: list[bytes]) -> np.ndarray:
         gains, first = self.gains(texts)
-        out = np.zeros((len(texts), len(THRESHOLDS) + 2))
+        count = np.maximum(np.diff(first), 1)
+        out = np.zeros((len(texts), N_FEATURES))
         out[:, 0] = 1
+        out[:, -1] = np.log(count)
         some = np.flatnonzero(first[1:] > first[:-1])
         if len(some):
             for k, least in enumerate(THRESHOLDS):
-                out[some, k + 1] = np.minimum(np.add.reduceat((gains >= least).astype(np.int64), first[some]), 4)
-            out[some, -1] = np.clip(np.maximum.reduceat(gains, first[some]), 0, 12)
+                beyond = np.add.reduceat((gains >= least).astype(np.int64), first[some])
+                out[some, 2 * k + 1] = np.minimum(beyond, MOST_WINDOWS)
+                out[some, 2 * k + 2] = np.minimum(beyond / count[some], MOST_SHARE) * 30
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
@@ -124,7 +132,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
     ordinary = list(dict.fromkeys(t for t, y in rows if not y))
     if not toxic or not ordinary:
         prior = (len(toxic) + 0.5) / (len(rows) + 1)
-        return Model(b"ordinary text", b"toxic text", np.array([np.log(prior / (1 - prior)), *[0.0] * (len(THRESHOLDS) + 1)]))
+        return Model(b"ordinary text", b"toxic text", np.array([np.log(prior / (1 - prior)), *[0.0] * (N_FEATURES - 1)]))
     telling = _telling(toxic, ordinary)
     places: list[bytes] = []
     for t in toxic:
@@ -132,7 +140,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
             word = b"".join(_WORD.findall(found[0])[:1])
             if word in telling or any(word[:k] + b"*" in telling for k in STEMS if len(word) > k):
                 places.append(b" " + found[0] + b" ")
-    model = Model(_dictionary([w for t in ordinary for w in windows(t)], DICTIONARY_BYTES), _dictionary(places, TOXIC_BYTES) if places else b"", np.zeros(len(THRESHOLDS) + 2))
+    model = Model(_dictionary([w for t in ordinary for w in windows(t)], DICTIONARY_BYTES), _dictionary(places, TOXIC_BYTES) if places else b"", np.zeros(N_FEATURES))
     x, y = model.features([t for t, _ in rows]), np.array([l for _, l in rows], dtype=float)
     model.weights = _logistic(x, y)
     return model
@@ -148,7 +156,7 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
-    """Weights of a logistic model by Newton's method, none of them below zero but the first."""
+    """Weights of a logistic model by Newton's method."""
     scale = np.maximum(x.max(axis=0), 1)
     x, w = x / scale, np.zeros(x.shape[1])
     keep = np.full(len(w), ridge)
