@@ -16,9 +16,11 @@ the same name, so lost executors do no harm.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +39,30 @@ SKIPPABLE_SEEK = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
 #: A task begins another file when one has this many bytes.
 ROLL_BYTES = 64 << 20
+#: Tasks that read files at the same time, at most.
+MOST_TASKS = 10_000
 #: Encodings of single words that a worker keeps; when they are more, it starts anew.
 KEPT_WORDS = 400_000
+#: The array module's letter for unsigned 32-bit integers here.
+IDS = next(c for c in "IL" if array(c).itemsize == 4)
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that byte-level BPE writes for each byte: itself if it can be seen, else the next free one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
 
 
 class WordEncoder(dict):
     """Token ids of space-separated words as bytes, each encoded once by the tokenizers library.
 
-    Right for tokenizers that drop white space, as no token of theirs spans a space.
+    Right for tokenizers that drop white space, as no token of theirs spans a space, and that part
+    letters from marks: letters with closing ASCII marks are looked up as two words.  Words of Latin-1
+    letters go straight to the tokenizer's model where that is seen to give the same ids.
     """
 
     def __init__(self, model: str):
@@ -53,9 +71,22 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.model = self.tokenizer.model
+        self.plain = all(self._letters(w) == self._whole(w) for w in ("a", "Word", "STRASSE", "Straße", "été", "ÑANDÚ", "qzxjqk"))
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _letters(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.lower().encode().decode("latin-1").translate(_BYTES))]
 
     def __missing__(self, word: str) -> bytes:
-        out = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        head = word.rstrip(string.punctuation)
+        if head != word and head.isalpha():
+            out = self[head] + self[word[len(head) :]]
+        else:
+            known = self.plain and word.isalpha() and max(word) <= "\xff"
+            out = array(IDS, self._letters(word) if known else self._whole(word)).tobytes()
         if len(self) >= KEPT_WORDS:
             self.clear()
         self[word] = out
@@ -190,7 +221,8 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 starts = start + np.concatenate([[0], np.cumsum(file.plain // 4)[:-1]])
                 yield pa.RecordBatch.from_arrays([pa.array(file.ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(file.plain // 4), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.repartition("uri").mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # by a stated number: the list is small in bytes, so Spark would otherwise put all files in one task
+    return placed.repartition(max(1, min(files.count(), MOST_TASKS)), "uri").mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
