@@ -50,8 +50,7 @@ def best_fit(sizes: list[int], sources: list[object], clusters: list[object], ca
         out.append((chosen, used[chosen]))
         held[chosen] |= own
         used[chosen] += size
-        if room > size:
-            insort(rooms, (room - size, chosen))
+        insort(rooms, (room - size, chosen))
     return out
 
 
@@ -59,10 +58,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """``(doc_id, piece, n_words, bin, bin_at)``: the place of every piece of every document.
 
     Lengths are words (runs of other characters than ASCII white space).  A document longer than a bin is cut
-    into full pieces and a rest; full pieces fill bins of their own.  The cluster is the text's hash:
+    into full pieces and a rest; full pieces fill bins up.  The cluster is the text's hash:
     copies never share a bin, nor do documents of one source.  A null source conflicts with
-    none.  Null and empty texts have no words and one piece of size 0, which takes room in no
-    bin but still keeps its conflicts.  Repeated rows are separate pieces with one cluster.
+    none.  Null and empty texts have no words and one piece of size 0, which may join a full bin
+    but still keeps its conflicts.  Repeated rows are separate pieces with one cluster.
     Ties go by id, then piece.  An empty table gives an empty result.
     """
     n_words = F.size(F.filter(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
