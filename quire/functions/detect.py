@@ -21,6 +21,8 @@ SIGNATURES = (
     ("504B0506", "application/zip"),
 )
 UNKNOWN = "application/octet-stream"
+#: What the first entry of an office file is called, or begins with (fixed values).
+OFFICE_ENTRIES = ("[Content_Types].xml", "_rels/", "docProps/", "customXml/", "word/", "xl/")
 #: Suffix of each media type that decides it alone (fixed values).
 SUFFIXES = {
     "application/pdf": "pdf",
@@ -55,7 +57,9 @@ def media_type(content: Column) -> Column:
         "word/document.xml": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
         "xl/workbook.xml": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
     }
-    holds = lambda name: F.position(F.lit(name.encode()), content) > 0
+    first = F.substring(content, 31, 32).cast("string")  # the first entry's name, so that an archive of office files is not taken for one
+    begins = reduce(lambda x, y: x | y, [F.coalesce(first.startswith(n), F.lit(False)) for n in OFFICE_ENTRIES])
+    holds = lambda name: begins & (F.position(F.lit(name.encode()), content) > 0)
     out = F.when(content.isNull() | (F.octet_length(content) == 0), UNKNOWN)
     for name, kind in office.items():
         out = out.when(head.startswith("504B0304") & holds(name), kind)
