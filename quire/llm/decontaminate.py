@@ -13,9 +13,13 @@ document with every item.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import stored
+
 MASKS = ((0, 1, 3, 6, 7),)
 WINDOW = 13
 ERRORS = 2
@@ -29,21 +33,20 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _seeds(codes: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
-    """For each mask, an array with the hash at each of its placements on ``codes`` (hashes of tokens)."""
+def _seeds(codes: Column, mask: tuple[int, ...], k: int) -> Column:
+    """The hash at each placement of a mask on ``codes`` (hashes of tokens); null for fewer tokens than it spans."""
+    last = F.size(codes) - mask[-1] - 1
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(k), *[F.get(codes, i + m) for m in mask])))
 
-    def placed(k: int, mask: tuple[int, ...]) -> Column:
-        last = F.size(codes) - mask[-1] - 1
-        at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.xxhash64(F.lit(k), *[F.get(codes, i + m) for m in mask]))
 
-    return F.array(*[placed(k, mask) for k, mask in enumerate(masks)])
+def _placed(rows: DataFrame, keys: list[str], at: str, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
+    """``(keys, at, seed)`` for every placement of every mask on ``rows (keys, codes)``.
 
-
-def _exploded(rows: DataFrame, key: str, at: str, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
-    """``(key, at, seed)`` for every placement of every mask on ``rows (key, codes)``."""
-    by_mask = rows.select(key, F.explode(_seeds(F.col("codes"), masks)).alias("seeds")) if len(masks) > 1 else rows.select(key, _seeds(F.col("codes"), masks)[0].alias("seeds"))
-    return by_mask.select(key, F.posexplode("seeds").alias(at, "seed"))
+    The outer form of explode keeps the optimizer from testing the array's size beforehand, which would
+    compute the tokens anew for every placement.
+    """
+    each = [rows.select(*keys, F.posexplode_outer(_seeds(F.col("codes"), mask, k)).alias(at, "seed")) for k, mask in enumerate(masks)]
+    return reduce(DataFrame.unionAll, each).where("seed is not null")
 
 
 def overlaps(
@@ -61,30 +64,34 @@ def overlaps(
     ``matched`` is the largest number of equal tokens in a window.  Items shorter than
     ``window`` but not than ``LEAST`` must appear whole and unchanged.
     """
-    tests = items.select(F.col(item_id).alias("item"), tokens(F.col(item_text)).alias("words")).where(F.size("words") >= LEAST)
-    tests = tests.groupBy("words").agg(F.min("item").alias("item")).withColumn("item_key", F.xxhash64("words"))
-    codes = lambda words: F.transform(words, lambda w: F.xxhash64(w))
-    theirs = _exploded(tests.select("item_key", codes(F.col("words")).alias("codes")), "item_key", "item_at", masks)
+    tests = items.select(F.col(item_id).alias("item"), tokens(F.col(item_text)).alias("words"))
+    tests = stored(tests.groupBy("words").agg(F.min("item").alias("item")).where(F.size("words") >= LEAST).withColumn("item_key", F.xxhash64("words")).withColumn("n", F.size("words")))
+    codes = lambda words: F.transform(words, lambda w: F.xxhash64(w)).alias("codes")
+    theirs = stored(_placed(tests.select("item_key", "n", codes(F.col("words"))), ["item_key", "n"], "item_at", masks))
     keys = theirs.select("seed").distinct()
     if theirs.count() <= BROADCAST_SEEDS:
-        keys = F.broadcast(keys)
-    ours = _exploded(docs.select("rid", codes(tokens(F.col(text_col))).alias("codes")), "rid", "at", masks)
-    hits = ours.join(keys, "seed", "left_semi")
-    lines = hits.join(theirs, "seed").select("rid", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    by_row = lines.groupBy("rid").agg(F.collect_set(F.struct("item_key", "shift")).alias("lines"))
-    near = docs.join(by_row, "rid").select("rid", tokens(F.col(text_col)).alias("own"), F.explode("lines").alias("line"))
-    aside = near.select("rid", "own", "line.item_key", "line.shift").join(tests, "item_key")
-    begin = F.greatest(F.lit(0), -F.col("shift"))
-    end = F.least(F.size("words"), F.size("own") - F.col("shift"))
-    pairs = aside.where(end > begin).select(
-        "rid", "item", F.size("words").alias("n"), F.transform(F.slice("words", begin + 1, end - begin), lambda w, i: (w == F.get("own", i + begin + F.col("shift"))).cast("int")).alias("same")
+        keys, theirs = F.broadcast(keys), F.broadcast(theirs)
+    ours = _placed(docs.select("rid", codes(tokens(F.col(text_col)))), ["rid"], "at", masks)
+    hits = ours.join(keys, "seed", "left_semi").join(theirs, "seed")
+    lines = hits.select("rid", "item_key", "n", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    by_row = stored(lines.groupBy("rid").agg(F.collect_list(F.struct("item_key", "shift", "n")).alias("lines")))
+    near = docs.join(by_row, "rid").select("rid", "lines", tokens(F.col(text_col)).alias("own"))
+
+    # only the tokens beside an item leave their document
+    def beside(line: Column) -> Column:
+        return F.struct(line["item_key"].alias("item_key"), line["shift"].alias("shift"), F.slice("own", F.greatest(line["shift"], F.lit(0)) + 1, line["n"] + F.least(line["shift"], F.lit(0))).alias("part"))
+
+    parts = near.select("rid", F.explode_outer(F.transform("lines", beside)).alias("line")).select("rid", "line.*")
+    skip = F.greatest(F.lit(0), -F.col("shift"))
+    pairs = stored(
+        parts.join(tests, "item_key").select("rid", "item", "n", F.zip_with("part", F.slice("words", skip + 1, F.size("part")), lambda x, y: (x == y).cast("int")).alias("same"))
     )
     need = F.least(F.lit(window), F.col("n"))
     least = F.when(F.col("n") >= window, F.lit(window - errors)).otherwise(F.col("n"))
-    # no window fits if the item runs over the document's edge; runs of equal tokens across the edge do not count
-    at = F.when(F.size("same") >= need, F.sequence(F.lit(1), F.size("same") - need + 1)).otherwise(F.array().cast("array<int>"))
+    # no window fits if the item runs over the document's edge
+    at = F.when(F.size("same") >= need, F.sequence(F.lit(1), F.size("same") - need + 1))
     most = F.array_max(F.transform(at, lambda i: F.aggregate(F.slice("same", i, need), F.lit(0), lambda x, y: x + y)))
-    return pairs.select("rid", "item", most.alias("matched"), least.alias("least")).where("matched >= least").groupBy("rid", "item").agg(F.max("matched").alias("matched"))
+    return stored(pairs.select("rid", "item", most.alias("matched"), least.alias("least")).groupBy("rid", "item", "least").agg(F.max("matched").alias("matched")).where("matched >= least").drop("least"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> Column:
@@ -108,7 +115,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """The rows of ``docs`` that no item contaminates, columns unchanged."""
     rows = docs.select(_keyed(docs, id_col, text_col).alias("rid"), F.col(text_col).alias("text"))
     leaks = overlaps(rows, items, "text", item_id, item_text).select(F.col("rid").alias("leak")).distinct()
-    return docs.join(leaks, _keyed(docs, id_col, text_col) == F.col("leak"), "left_anti")
+    return docs.join(leaks, _keyed(docs, id_col, text_col) == leaks["leak"], "left_anti")
 
 
 #: The same result without seeds: thirteen tokens with two replaced leave four successive ones unchanged, so
