@@ -83,9 +83,8 @@ def suffix(kind: Column, name: Column) -> Column:
 
 def parser(ext: Column, name: Column) -> Column:
     """First parser that takes the suffix, else the first that takes the file name, else null."""
-    by_name = name_suffix(name)
-    taken = [F.when(x.isin(*suffixes), kind) for x in (ext, by_name) for kind, suffixes in PARSERS]
-    return F.coalesce(*taken)
+    taken = F.create_map(*[F.lit(x) for kind, suffixes in PARSERS for s in suffixes for x in (s, kind)])
+    return F.coalesce(F.try_element_at(taken, ext), F.try_element_at(taken, name_suffix(name)))
 
 
 def image_format(name: Column, kind: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Packages that hold files: archives, word-processor files, workbooks and embedded objects.
+"""Packages that hold files: archives, word-processor files, workbooks, portable documents and embedded objects.
 
 Bytes are opened by small Python functions, one file at a time; everything after that is tables.  Each
 function turns one file's bytes into a row of ``PARSED``: elements, sheet rows, embedded files and pictures.
@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -70,6 +72,15 @@ def markdown(grid: list[list[str]]) -> str:
     return "\n".join([*lines[:1], *(["| " + " | ".join("---" for _ in grid[0]) + " |"] if grid else []), *lines[1:]]).strip()
 
 
+def unboxed(name: str, data: bytes) -> tuple[str, bytes]:
+    """The file that an embedded object in the simple layout holds; other parts stay as they are."""
+    at = data[:260].find(b"\0")
+    rest = data[at + 1 :]
+    size = int.from_bytes(rest[:4], "little", signed=True)
+    rest = rest[4 : 4 + size] if 0 < size <= len(rest) - 4 else rest
+    return (data[:at].decode("latin-1").strip(), rest) if name.lower().endswith(".bin") and at > 0 and len(data) >= 4 and rest else (name, data)
+
+
 def parse_docx(data: bytes) -> dict:
     """Headers, footers, then the body's paragraphs, tables and pictures in order, then embedded parts.
 
@@ -104,9 +115,9 @@ def parse_docx(data: bytes) -> dict:
             at += len(shown) + bool(text.strip())
     embedded = []
     for part in (n for n in names if "embeddings" in n and not n.endswith((".rels", "/"))):
-        name, place = posixpath.basename(part), len(elements)
+        (name, content), place = unboxed(posixpath.basename(part), archive.read(part)), len(elements)
         add(place, "embed", None, f"file: {name}")
-        embedded.append({"file_name": name, "position": place, "data": archive.read(part)})
+        embedded.append({"file_name": name, "position": place, "data": content})
     return {"elements": elements, "images": images, "embedded": embedded}
 
 
@@ -175,7 +186,51 @@ def parse_xlsx(data: bytes) -> dict:
     return {"elements": elements, "sheets": sheets, "images": images}
 
 
-PARSERS = {"zip": parse_zip, "docx": parse_docx, "xlsx": parse_xlsx}
+_STREAM = re.compile(rb"<<((?:[^<>]|<[^<]|>[^>]|<<(?:[^<>]|<[^<]|>[^>])*>>)*)>>\s*stream\r?\n(.*?)\r?\n?endstream", re.DOTALL)
+_SHOWN = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|\[|\]|-?\d*\.?\d+|[A-Za-z*'\"]+", re.DOTALL)
+_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+
+
+def _string(token: bytes) -> str:
+    """A literal or hexadecimal string of a page, read as Latin-1."""
+    if token.startswith(b"<"):
+        digits = b"".join(token[1:-1].split())
+        return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode()).decode("latin-1")
+    plain = re.sub(rb"\\([0-7]{1,3}|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1].isdigit() else _ESCAPES.get(m[1], m[1]), token[1:-1], flags=re.DOTALL)
+    return plain.decode("latin-1")
+
+
+def _page_lines(content: bytes) -> list[str]:
+    """Lines of a page's text: operators that move to another line end one."""
+    lines, held = [""], []
+    for token in _SHOWN.findall(content):
+        if token[:1] in b"(<":
+            held.append(_string(token))
+        elif token[:1].isalpha() or token in (b"'", b'"', b"T*"):
+            if token in (b"'", b'"', b"T*", b"Td", b"TD", b"Tm", b"BT") and lines[-1]:
+                lines.append("")
+            if token in (b"Tj", b"TJ", b"'", b'"'):
+                lines[-1] += "".join(held)
+            held = []
+    return lines
+
+
+def parse_pdf(data: bytes) -> dict:
+    """Non-blank lines of all pages, then page images with their stored bytes; streams in the order of the file."""
+    lines, pictures = [], []
+    for head, body in _STREAM.findall(data):
+        if re.search(rb"/Subtype\s*/Image", head):
+            pictures.append(("jpg" if b"/DCTDecode" in head else "png", body))
+        elif not re.search(rb"/Type\s*/(?:XRef|ObjStm|Metadata)|/FontFile|/Length1", head):
+            plain = zlib.decompressobj().decompress(body, MOST_UNPACKED) if b"/FlateDecode" in head else body
+            if b"BT" in plain:
+                lines += [x.strip() for x in _page_lines(plain) if x.strip()]
+    elements = [{"position": k, "type": "paragraph", "content": x, "metadata": None} for k, x in enumerate(lines)]
+    at = len(lines)
+    return {"elements": elements, "images": [{"file_name": f"pdf_image_{at + k}.{kind}", "position": at + k, "format": kind, "data": body} for k, (kind, body) in enumerate(pictures)]}
+
+
+PARSERS = {"pdf": parse_pdf, "zip": parse_zip, "docx": parse_docx, "xlsx": parse_xlsx}
 _LISTS = ("elements", "sheets", "embedded", "images")
 
 

@@ -142,3 +142,42 @@ def test_stream(spark, tmp_path):
     (tmp_path / "in/b.docx").write_bytes(docx(par("two")))
     extract_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination(120)
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).select("dir").collect()) == ["a", "b"]
+
+
+def pdf(lines, picture=None, packed=False):
+    import zlib
+
+    page = b"BT /F1 12 Tf 50 700 Td " + b" ".join(b"(%s) Tj 0 -15 Td" % x.encode("latin-1").replace(b"(", b"\\(").replace(b")", b"\\)") for x in lines) + b" ET"
+    body = zlib.compress(page) if packed else page
+    out = b"%PDF-1.4\n4 0 obj\n<< /Length " + str(len(body)).encode() + (b" /Filter /FlateDecode" if packed else b"") + b" >>\nstream\n" + body + b"\nendstream\nendobj\n"
+    if picture:
+        out += b"5 0 obj\n<< /Type /XObject /Subtype /Image /Filter /DCTDecode /Width 1 >>\nstream\n" + picture + b"\nendstream\nendobj\n"
+    return out + b"%%EOF"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_pdf(packed):
+    got = packages.parse_pdf(pdf(["First line", " ", "(second) é"], b"\xff\xd8\xffraw", packed))
+    assert [(e["position"], e["content"]) for e in got["elements"]] == [(0, "First line"), (1, "(second) é")]
+    assert [(i["file_name"], i["position"], i["format"], i["data"]) for i in got["images"]] == [("pdf_image_2.jpg", 2, "jpg", b"\xff\xd8\xffraw")]
+    assert packages.parse_pdf(pdf([])) == {"elements": [], "images": []}
+
+
+def test_boxed_object(spark):
+    box = b"inside.docx\x00" + docx(par("in a box"))
+    docs, skipped = tables(spark, "o.docx", docx(par("x"), {"word/embeddings/oleObject1.bin": box, "word/embeddings/raw.bin": b"\x00\x01"}))
+    assert [d[:3] for d in docs] == [(0, "o", "docx"), (1, "inside", "docx")]
+    assert skipped == [("raw.bin", "bin")]
+
+
+def test_rescan(spark, tmp_path):
+    from quire.plans.corpus import index_json
+    from quire.sources import rescan
+
+    tables_ = F.expr("array(named_struct('position', 3, 'sheet', 'S 1', 'row_count', 60L))")
+    text = spark.range(1).select(index_json(F.lit("d/d.md"), F.lit(60), F.lit(0), tables_).alias("j")).first()[0]
+    (tmp_path / "d/chunks").mkdir(parents=True)
+    (tmp_path / "d/chunks/index.json").write_text(text)
+    got = rescan.units(rescan.indexes(spark, f"{tmp_path}/*/chunks/index.json")).orderBy("task_type", "file").collect()
+    assert [tuple(r) for r in got] == [("d", "chunk", "chunks/chunk_0001.md"), ("d", "chunk", "chunks/chunk_0002.md"), ("d", "csv", "data/S_1.csv")]
+    assert rescan.texts(spark, f"{tmp_path}/*/chunks/index.json").first().value == text
