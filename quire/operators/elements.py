@@ -22,9 +22,12 @@ def text_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def exploded(parsed: DataFrame) -> DataFrame:
-    """One row per element with its list index ``idx``; position and index may differ."""
+    """One row per element with its list index ``idx``; position and index may differ.
+
+    The outer form keeps the optimizer from testing the list's size beforehand, which would parse the text twice.
+    """
     keys = [c for c in parsed.columns if c != "elements"]
-    rows = parsed.select(*keys, F.posexplode("elements").alias("idx", "e"))
+    rows = parsed.select(*keys, F.posexplode_outer("elements").alias("idx", "e")).where("idx is not null")
     return rows.select(*keys, "idx", "e.position", "e.type", "e.content", "e.metadata")
 
 

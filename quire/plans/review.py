@@ -84,7 +84,7 @@ def personal_findings(elements: DataFrame, keys: list[str]) -> DataFrame:
         return F.transform(F.regexp_extract_all("content", F.lit(pattern), F.lit(0)), lambda v: F.struct(F.lit(category).alias("category"), F.lit(field).alias("field"), v.alias("value_example")))
 
     kinds = [values(category, field, pattern) for category, (field, pattern) in PERSONAL.items()]
-    found = elements.select(*keys, "position", evidence(F.col("content"), 100).alias("evidence"), F.explode(F.concat(*kinds)).alias("f"))
+    found = elements.select(*keys, "position", evidence(F.col("content"), 100).alias("evidence"), F.explode_outer(F.concat(*kinds)).alias("f")).where("f is not null")
     return found.select(*keys, "position", "f.category", "f.field", "f.value_example", F.col("f.value_example").rlike(MASKED).alias("has_masking"), "evidence")
 
 
@@ -159,7 +159,7 @@ def knowledge_findings(elements: DataFrame, keys: list[str], patterns: dict[str,
         return F.transform(F.regexp_extract_all(F.lower("content"), F.lit(pattern), F.lit(0)), lambda v: F.struct(F.lit(category).alias("category"), v.alias("name")))
 
     kinds = [names(category, pattern) for category, pattern in patterns.items()]
-    found = elements.select(*keys, "position", evidence(F.col("content"), 200).alias("evidence"), F.explode(F.concat(*kinds)).alias("f"))
+    found = elements.select(*keys, "position", evidence(F.col("content"), 200).alias("evidence"), F.explode_outer(F.concat(*kinds)).alias("f")).where("f is not null")
     return found.select(*keys, "position", "f.category", "f.name", "evidence")
 
 

@@ -487,7 +487,7 @@ inp AS (SELECT field_name, field_location, coalesce(array_to_string({_listed(PRO
 def page_input_reduce(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     parsed = docs.select("doc_id", "source", text.lines(F.col("text")).alias("lines"))
-    rows = parsed.select("doc_id", "source", F.posexplode("lines").alias("position", "content"))
+    rows = parsed.select("doc_id", "source", F.posexplode_outer("lines").alias("position", "content")).where("position is not null")
     return review.input_overall(review.input_findings(rows, ["doc_id"], F.col("source"), PROSE_RULES), PROSE_RULES)
 
 
