@@ -48,7 +48,14 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Removes the files of a ``stored`` table that nothing will read any more."""
+    _remove(df.sparkSession, df.stored_at)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import Words, byte_texts, grams, mixed, packs, stored
+from quire.llm.common import Words, byte_texts, grams, mixed, packs, release, stored
 
 WINDOW = 35
 _HITS = "rid long, hash long, at int, len int"
@@ -99,10 +99,16 @@ def _finder(length: int, window: int) -> Callable:
 
 
 def _repeated(hits: DataFrame) -> DataFrame:
-    """By document, the windows whose representative is found twice or more: ``(rid, runs)``."""
-    often = hits.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hash").alias("often"))
+    """By document, the windows whose representative is found twice or more: ``(of, runs)``.
+
+    The repeated hashes are stored before they meet the hits again: the join then has two plain shuffles, so
+    Spark can split the partition of a hash that holds a large share of the hits.
+    """
+    often = stored(hits.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hash").alias("often")))
     back = hits.join(often, hits.hash == often.often, "left_semi")
-    return back.groupBy("rid").agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")).withColumnRenamed("rid", "of")
+    marks = stored(back.groupBy("rid").agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")).withColumnRenamed("rid", "of"))
+    release(often)
+    return marks
 
 
 def _covered(runs: np.ndarray, window: int, n_words: int) -> np.ndarray:
@@ -149,10 +155,11 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     marks = None
     for length in [*_levels(window), window]:
         texts = rows if marks is None else rows.join(marks, rows.rid == marks.of)
-        hits = texts.select("rid", "text", *([] if marks is None else ["runs"])).mapInArrow(_finder(length, window), _HITS)
-        marks = _repeated(stored(hits))
-        if length != window:
-            marks = stored(marks)
+        hits = stored(texts.select("rid", "text", *([] if marks is None else ["runs"])).mapInArrow(_finder(length, window), _HITS))
+        if marks is not None:
+            release(marks)
+        marks = _repeated(hits)
+        release(hits)
     return marks
 
 
