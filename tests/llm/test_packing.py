@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from quire.llm import packing
 
 
@@ -39,12 +41,17 @@ def test_whole_table(docs, texts):
         want[i] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     assert {i: sum(n) for i, n in words.items()} == want
     full = {(i, s) for i, _, s in ((r[0], r[1], r[3]) for r in docs.select("doc_id", "text", "lang", "source").collect())}
+    hashes_of = defaultdict(set)
+    for i, t in texts:
+        hashes_of[i].add(t or "")
     for held in bins.values():
         assert sum(r.n_words for r in held) <= 64
         at = 0
         for r in sorted(held, key=lambda r: r.bin_at):
             assert r.bin_at >= at or r.n_words == 0
             at = max(at, r.bin_at + r.n_words)
+        hashes = [hashes_of[r.doc_id] for r in held if len(hashes_of[r.doc_id]) == 1]
+        assert len(hashes) == len({min(h) for h in hashes})
         if len(held) > 1:
             sources = [s for r in held for i, s in full if i == r.doc_id is not None and s is not None]
             assert len(sources) == len(set(sources))
@@ -52,3 +59,27 @@ def test_whole_table(docs, texts):
 
 def test_empty_table(none):
     assert packing.pack(none).count() == 0
+
+
+def test_ids_come_back(spark):
+    """Ids beyond 2**53 beside a null, and ids that are text."""
+    ids = [1152921504606846977, None, 1152921504606846979, None, -5]
+    df = spark.createDataFrame([(i, "some words here", "s") for i in ids], "doc_id long, text string, source string")
+    assert sorted(str(r.doc_id) for r in packing.pack(df).collect()) == sorted(map(str, ids))
+    named = df.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert sorted(str(r.doc_id) for r in packing.pack(named).collect()) == sorted("None" if i is None else f"d{i}" for i in ids)
+
+
+def test_given_clusters(spark):
+    """Near copies share a cluster, so none of them share a bin; a null cluster conflicts with nothing."""
+    df = spark.createDataFrame([(k, "word " * (k + 1), None, "c" if k < 4 else None, k) for k in range(8)], "doc_id long, text string, source string, near string, bin int")
+    got = packing.pack(df, cluster_col="near").collect()
+    assert len({r.bin for r in got if r.doc_id < 4}) == 4
+    assert len({r.bin for r in got}) == 4
+
+
+def test_very_long_text(spark):
+    df = spark.createDataFrame([(1, "w " * 300_001, "s"), (2, "x", "s")], "doc_id long, text string, source string")
+    got = packing.pack(df, capacity=1000).collect()
+    assert sum(r.n_words for r in got if r.doc_id == 1) == 300_001
+    assert len({(r.bin, r.bin_at) for r in got}) == len(got) == 302
