@@ -2,14 +2,17 @@
 
 Fingerprints come from word shingles.  Equal fingerprints are merged first, so that groups of
 exact copies of any size are one row from there on.  Each distinct fingerprint then gets a row
-of a pivot table: its Hamming distances to ``PIVOTS`` fixed reference fingerprints.
+of the pivot table: its Hamming distances to ``GROUPS * PER_GROUP + 1`` fixed reference fingerprints.
 
-Two fingerprints at most two bits apart agree on three of five bit blocks, so rows meet on
-the ten choices of three blocks.  Of the pairs that meet, those whose pivot coordinates
-differ by more than two anywhere are discarded (triangle inequality) and the rest are verified
-by their own Hamming distance.
+One reference is the origin.  The others form five groups; those of a group differ from the origin only
+within the group's own block of bits.  A distance less that to the origin therefore depends on that
+block alone, and a group's differences together name a *cell*.  Two fingerprints at most two bits
+apart differ in two blocks at most, so they share the cells of three groups: candidates are the
+fingerprints that meet on one of the ten choices of three cells.  A pair of candidates is discarded
+if any coordinate of the table differs by more than two (by the triangle inequality no true pair is),
+and the survivors are verified by their own Hamming distance.
 
-A dense group of near copies would put many fingerprints under one block key.  Keys with more
+A dense group of near copies would put many fingerprints into one cell.  Cells with more
 than ``CROWD`` fingerprints therefore form no pairs; their fingerprints are linked exactly in
 another way: two fingerprints are within two bits if and only if some 64-bit point is
 within one bit of both, and no point is within one bit of more than 65 fingerprints.  Joining
@@ -31,13 +34,15 @@ from pyspark.sql import types as T
 
 from quire.llm.common import byte_texts, checkpointed, connected_components, stored
 
-PIVOTS = 16
+GROUPS, PER_GROUP = 5, 9
 CROWD = 16
 LIMIT = 2
 SHINGLE = 3
 SEED = 42
-#: (first bit, bits) of the five blocks.
+#: (first bit, bits) of the block of each group.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
+#: Bits that a distance takes in a packed row of the table.
+FIELD = 7
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -58,51 +63,68 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(bits)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` for each row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
+    """``(id, fp, *keep)`` for each row; a null text counts as empty."""
+    keep = keep or []
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t) for t in byte_texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["id", "fp"])
+            prints = [fingerprint(t, shingle) for t in byte_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]], names=["id", "fp", *keep])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(work, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("fp", T.LongType())]))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
+    return rows.mapInArrow(work, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("fp", T.LongType()), *(rows.schema[k] for k in keep)]))
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _references() -> tuple[int, list[list[int]]]:
+    """The origin, and each group's references; fixed by a hash, so every table has the same."""
+    draw = lambda name: xxhash.xxh64_intdigest(name.encode(), SEED)
+    origin = draw("origin")
+    return origin, [[origin ^ (draw(f"reference {g} {k}") % ((1 << n) - 1) + 1) << at for k in range(PER_GROUP)] for g, (at, n) in enumerate(BLOCKS)]
+
+
 def pivot_table(fp: Column) -> list[Column]:
-    """Hamming distances of ``fp`` to the reference fingerprints, eight packed in a long."""
-    refs = [_signed(xxhash.xxh64_intdigest(f"pivot {k}".encode(), SEED)) for k in range(PIVOTS)]
-    away = [F.bit_count(fp.bitwiseXOR(F.lit(r))).cast("long") for r in refs]
-    return [reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(d, 8 * j) for j, d in enumerate(away[i : i + 8])]).alias(f"p{i // 8}") for i in range(0, PIVOTS, 8)]
+    """Hamming distances of ``fp`` to the references: ``p0`` ... a group each, packed in a long, and ``origin``."""
+    origin, groups = _references()
+    away = lambda r: F.bit_count(fp.bitwiseXOR(F.lit(_signed(r)))).cast("long")
+    packed = lambda refs: reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(away(r), FIELD * k) for k, r in enumerate(refs)])
+    return [*(packed(refs).alias(f"p{g}") for g, refs in enumerate(groups)), away(origin).alias("origin")]
+
 
+def _cell(g: int) -> Column:
+    """A group's cell: its distances less that to the origin, each of them in its own field."""
+    return F.col(f"p{g}") - F.col("origin") * sum(1 << FIELD * k for k in range(PER_GROUP))
 
-def _apart(a: str, b: str) -> Column:
+
+def apart(a: str, b: str) -> Column:
     """Largest difference of two rows' pivot coordinates."""
-    one = lambda side, k: F.shiftrightunsigned(F.col(f"{side}.p{k // 8}"), 8 * (k % 8)).bitwiseAND(F.lit(255))
-    return F.greatest(*[F.abs(one(a, k) - one(b, k)) for k in range(PIVOTS)])
+    one = lambda side, g, k: F.shiftrightunsigned(F.col(f"{side}.p{g}"), FIELD * k).bitwiseAND(F.lit((1 << FIELD) - 1))
+    return F.greatest(F.abs(F.col(f"{a}.origin") - F.col(f"{b}.origin")), *[F.abs(one(a, g, k) - one(b, g, k)) for g in range(GROUPS) for k in range(PER_GROUP)])
+
+
+def candidates(prints: DataFrame) -> DataFrame:
+    """``(key, n, fp, p0, ..., origin)``: rows of the pivot table under each choice of three cells that they share with another."""
+    table = prints.select("fp", *pivot_table(F.col("fp")))
+    keys = F.array(*[F.xxhash64(F.lit(k), *[_cell(g) for g in chosen]) for k, chosen in enumerate(combinations(range(GROUPS), 3))])
+    keyed = table.select("fp", F.explode(keys).alias("key"))
+    met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return keyed.join(met, "key").select("key", "n", "fp", *pivot_table(F.col("fp")))
+
+
+def candidate_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of ``candidates`` that meet, with ``coordinates_apart`` (their largest difference in the table) and ``bits_apart``."""
+    met = rows.alias("x").join(rows.alias("y"), F.col("x.key") == F.col("y.key")).where(F.col("x.fp") < F.col("y.fp"))
+    return met.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), apart("x", "y").alias("coordinates_apart"), F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))).alias("bits_apart"))
 
 
 def near_links(prints: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between the distinct fingerprints ``prints (fp)`` whose components are those of "at most two bits apart"."""
-    masks = [_signed(sum(((1 << n) - 1) << at for at, n in (BLOCKS[i] for i in chosen))) for chosen in combinations(range(5), 3)]
-    keys = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m))) for k, m in enumerate(masks)])
-    keyed = prints.select("fp", F.explode(keys).alias("key"))
-    met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = stored(keyed.join(met, "key").select("key", "fp", "n"))
-    few = rows.where(f"n <= {CROWD}").select("key", "fp", *pivot_table(F.col("fp")))
-    pairs = (
-        few.alias("x")
-        .join(few.alias("y"), F.col("x.key") == F.col("y.key"))
-        .where(F.col("x.fp") < F.col("y.fp"))
-        .where(_apart("x", "y") <= LIMIT)
-        .where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= LIMIT)
-        .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
-    )
+    rows = stored(candidates(prints))
+    pairs = candidate_pairs(rows.where(f"n <= {CROWD}")).where(F.col("coordinates_apart") <= LIMIT).where(F.col("bits_apart") <= LIMIT).select("a", "b")
     crowd = rows.where(f"n > {CROWD}").select("fp").distinct()
     points = F.array_append(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))), F.col("fp"))
     shared = crowd.select("fp", F.explode(points).alias("point")).groupBy("point").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
@@ -110,6 +132,13 @@ def near_links(prints: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def components(prints: DataFrame) -> DataFrame:
+    """``(node, root)`` for each distinct fingerprint of ``prints (fp)``: a fingerprint that stands for its component."""
+    nodes = prints.select("fp").distinct()
+    roots = connected_components(near_links(nodes))
+    return nodes.join(roots, nodes.fp == roots.vertex, "left").select(F.col("fp").alias("node"), F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``(id_col, fingerprint, component_id)``.
 
@@ -121,11 +150,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = stored(fingerprints(docs, id_col, text_col))
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    links = near_links(nodes.select("fp"))
-    roots = connected_components(links)
-    placed = nodes.join(roots, nodes.fp == roots.vertex, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    placed = nodes.join(components(nodes), F.col("fp") == F.col("node")).select("node", "least", "root")
     parts = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = checkpointed(placed.join(parts, "root").select(F.col("fp").alias("node"), "component_id"))
+    known = checkpointed(placed.join(parts, "root").select("node", "component_id"))
     return prints.join(known, prints.fp == known.node).select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -133,8 +160,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def with_cluster(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``(id, *keep, name)`` of each row; ``name`` is the same for all rows of a component."""
+    prints = stored(fingerprints(docs, id_col, text_col, keep=keep))
+    found = components(prints)
+    return prints.join(found, prints.fp == found.node).select(F.col("id").alias(id_col), *(keep or []), F.col("root").alias(name))
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, columns unchanged."""
-    found = near_duplicates(docs, id_col, text_col)
-    firsts = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    return docs.join(firsts, docs[id_col] == firsts["__kept"], "left_semi")
+    """One row of ``docs`` from each component of near copies, columns unchanged.
+
+    It is the row with the smallest id (rows without an id come last), of those the one whose text has the
+    smallest hash, of identical rows any one.  Each row has a key of its own for this, so a row stays or goes
+    whatever others share its id.  Null and empty texts are one component.  Very long texts are one row like
+    any other.  An empty table gives an empty result.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], F.monotonically_increasing_id().alias("row"))
+    own_id, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    # stored with its key: a key that is computed again may not be the same
+    held = stored(fingerprints(rows.withColumn("__text", F.col(text)), own_id, "__text", keep=[*names, "row"]))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.xxhash64(text), F.col("row"))
+    best = held.groupBy("fp").agg(F.min(order).alias("best"))
+    found = components(held)
+    firsts = best.join(found, best.fp == found.node).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("kept"))
+    return held.join(firsts, held.row == firsts.kept, "left_semi").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -76,11 +76,39 @@ def test_components_of_crowds(spark):
         assert all(find(a) == find(b) for b in distinct[:k] if (a ^ b).bit_count() <= 2)
 
 
+def kept_rows(rows):
+    """What stays of (id, text) rows: of each component the smallest by id, null last."""
+    prints = [brute_fingerprint(t) for _, t in rows]
+    parts = {}
+    for (i, t), (_, _, part) in zip(rows, brute_components([(k, f) for k, f in enumerate(prints)]), strict=True):
+        parts.setdefault(part, []).append((i is None, i or 0))
+    return sorted(min(p) for p in parts.values())
+
+
 def test_keeps_one(docs, texts):
-    first = {r[2] for r in brute_components([(i, brute_fingerprint(t)) for i, t in texts])}
     kept = simhash.keep_one_of_each(docs)
-    assert kept.columns == docs.columns
-    assert {r[0] for r in kept.select("doc_id").collect()} == first - {None}
+    assert kept.schema == docs.schema
+    assert sorted((r[0] is None, r[0] or 0) for r in kept.select("doc_id").collect()) == kept_rows(texts)
+
+
+def test_keeps_one_of_odd_rows(spark):
+    """Identical rows, rows without an id, and a near copy that shares its id with a row that stays."""
+    long = " ".join(f"word{k}" for k in range(300))
+    rows = [(1, "a b c d"), (1, "a b c d"), (None, "only here"), (None, "a b c d"), (2, "other text of its own"), (2, "A b c d"), (None, None), (None, ""), (3, long), (3, long.upper()), (4, long)]
+    df = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, row int, fp string").repartition(3)
+    kept = simhash.keep_one_of_each(df)
+    assert kept.schema == df.schema
+    got = kept.collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == kept_rows(rows) == [(False, 1), (False, 2), (False, 3), (True, 0), (True, 0)]
+    assert sorted(r.text or "" for r in got if r.doc_id is None) in (["", "only here"], [" ", "only here"])
+
+
+def test_clusters(docs, texts):
+    got = simhash.with_cluster(docs, "near", keep=["source"]).groupBy("near").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).collect()
+    want = {}
+    for r in brute_components([(i, brute_fingerprint(t)) for i, t in texts]):
+        want[r[2]] = want.get(r[2], 0) + 1
+    assert {r.least: r.n for r in got} == want
 
 
 def test_empty_table(none):
@@ -89,6 +117,30 @@ def test_empty_table(none):
 
 
 def test_pivots_bound_distances(spark):
-    df = spark.createDataFrame([(1, 2), (-1, 0), (5, 5)], "a long, b long")
-    pivots = [c.alias(f"a{k}") for k, c in enumerate(simhash.pivot_table(F.col("a")))]
-    assert df.select(*pivots).count() == 3
+    """No coordinate differs by more than the bits do, and fingerprints within two bits share the cells of three groups."""
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(400):
+        f = other = rng.getrandbits(64)
+        for _ in range(rng.choice([0, 1, 2, 3, 9])):
+            other ^= 1 << rng.randrange(64)
+        pairs.append((simhash._signed(f), simhash._signed(other)))
+    side = lambda c: F.struct(F.col(c).alias("fp"), *simhash.pivot_table(F.col(c)))
+    cells = lambda c: F.array(*[F.col(f"{c}.p{g}") - F.col(f"{c}.origin") * sum(1 << simhash.FIELD * k for k in range(simhash.PER_GROUP)) for g in range(simhash.GROUPS)])
+    df = spark.createDataFrame(pairs, "a long, b long").select(side("a").alias("x"), side("b").alias("y"))
+    got = df.select(simhash.apart("x", "y").alias("apart"), F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))).alias("bits"), cells("x").alias("u"), cells("y").alias("v")).collect()
+    assert all(r.apart <= r.bits for r in got)
+    assert all(sum(a == b for a, b in zip(r.u, r.v, strict=True)) >= 3 for r in got if r.bits <= 2)
+    assert sum(r.apart > 2 for r in got if r.bits > 2) > 100
+
+
+def test_pivots_discard(spark):
+    """Pairs that meet in three cells but are far apart in the others are discarded before they are verified."""
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    prints = {base} | {base ^ (rng.getrandbits(13) | 1) ^ (rng.getrandbits(13) << 13) for _ in range(10)} | {base ^ 3}
+    met = simhash.candidate_pairs(simhash.candidates(spark.createDataFrame([(simhash._signed(f),) for f in prints], "fp long"))).collect()
+    pairs = {(r.a, r.b): r for r in met}
+    assert len(pairs) == len(prints) * (len(prints) - 1) // 2
+    assert sum(r.coordinates_apart > 2 for r in pairs.values()) > len(pairs) // 2
+    assert all(r.coordinates_apart <= 2 for r in pairs.values() if r.bits_apart <= 2)
