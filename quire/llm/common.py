@@ -134,19 +134,19 @@ class Words:
         else:
             self.code = np.zeros(0, dtype=np.uint64)
 
-    def grams(self, n: int) -> np.ndarray:
-        """Hash of the ``n`` words from each word on, built from halves; the last n - 1 entries of the data are absent."""
-        return grams(self.code, n)
 
+#: Odd factors of two independent hashes of runs of words.
+FACTOR, SECOND_FACTOR = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA3B195354A39B70D)
 
-def grams(code: np.ndarray, n: int) -> np.ndarray:
+
+def grams(code: np.ndarray, n: int, factor: np.uint64 = FACTOR) -> np.ndarray:
     """Hashes of all runs of ``n`` codes by doubling: a run of 2k joins two runs of k."""
     if len(code) < n:
         return np.zeros(0, dtype=np.uint64)
     done, out = 1, code
     while done < n:
         step = min(done, n - done)
-        out = mixed(out[:-step] * np.uint64(0xD6E8FEB86659FD93) + out[step:] + np.uint64(step))
+        out = mixed(out[:-step] * factor + out[step:] + np.uint64(step))
         done += step
     return out
 

@@ -7,8 +7,10 @@ on to the next level.
 
 Below the last level not every run is counted.  Each window is represented by the smallest-hashed
 run inside it, so equal windows choose equal runs and no repeated window can be lost, while
-only about one run in fourteen is shuffled.  On the last level each surviving window is counted
-itself, so the outcome is exact (up to equality of 64-bit hashes on all levels).
+only about one run in fourteen is shuffled.  Runs that merely share a hash there let more windows
+through, never fewer.  On the last level each surviving window is counted itself, under two 64-bit hashes
+that are built with different factors: windows are taken for equal if both are.  A document is
+known by two hashes of its id and text as well.
 
 Counts are partial sums by hash, and the rows that meet the counts again are joined on unique
 keys, so one hash may hold any share of the rows.  A document's own positions are the only
@@ -22,14 +24,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import Words, byte_texts, grams, mixed, packs, release, stored
+from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, packs, release, stored
 
 WINDOW = 35
-_HITS = "rid long, hash long, at int, len int"
+#: ``second`` is there on the last level only.
+_HITS, _SECOND = "rid long, rid2 long, hash long, at int, len int", ", second long"
 
 
 def _levels(window: int) -> list[int]:
@@ -64,12 +67,12 @@ def _alive(runs: np.ndarray | None, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _represent(code: np.ndarray, runs: np.ndarray | None, length: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes that stand for a document's surviving windows, with the first window and number of windows of each."""
+def _represent(code: np.ndarray, runs: np.ndarray | None, length: int, window: int) -> tuple[np.ndarray, ...]:
+    """Hashes that stand for a document's surviving windows, with the first window and number of windows of each; on the last level the second hashes too."""
     n = len(code) - window + 1
     starts = np.flatnonzero(_alive(runs, n))
     if length == window:
-        return grams(code, window)[starts], starts, np.ones(len(starts), dtype=np.int64)
+        return grams(code, window)[starts], starts, np.ones(len(starts), dtype=np.int64), grams(code, window, SECOND_FACTOR)[starts]
     hashes = grams(code, length)
     run = _chosen(mixed(hashes), window - length + 1)[starts]
     first = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (starts[1:] != starts[:-1] + 1)]))
@@ -81,7 +84,7 @@ def _finder(length: int, window: int) -> Callable:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = byte_texts(batch.column("text")), batch.column("rid").to_numpy()
+            texts, ids, others = byte_texts(batch.column("text")), batch.column("rid").to_numpy(), batch.column("rid2").to_numpy()
             runs = batch.column("runs") if "runs" in batch.schema.names else None
             for lo, hi in packs(texts):
                 words, found = Words(texts[lo:hi]), []
@@ -89,24 +92,26 @@ def _finder(length: int, window: int) -> Callable:
                     code = words.code[words.first[i - lo] : words.first[i - lo + 1]]
                     own = None if runs is None else np.asarray(runs[i].values.to_numpy(zero_copy_only=False), dtype=np.int64)
                     if len(code) >= window:
-                        h, at, n = _represent(code, own, length, window)
-                        found.append((np.full(len(h), ids[i], dtype=np.int64), h, at, n))
+                        h, at, n, *second = _represent(code, own, length, window)
+                        found.append((np.full(len(h), ids[i], dtype=np.int64), np.full(len(h), others[i], dtype=np.int64), h, at, n, *second))
                 if found:
-                    rid, h, at, n = (np.concatenate(x) for x in zip(*found, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(h.view(np.int64)), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["rid", "hash", "at", "len"])
+                    rid, rid2, h, at, n, *second = (np.concatenate(x) for x in zip(*found, strict=True))
+                    columns = [rid, rid2, h.view(np.int64), at.astype(np.int32), n.astype(np.int32), *(x.view(np.int64) for x in second)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rid", "rid2", "hash", "at", "len", "second"][: len(columns)])
 
     return work
 
 
 def _repeated(hits: DataFrame) -> DataFrame:
-    """By document, the windows whose representative is found twice or more: ``(of, runs)``.
+    """By document, the windows whose representative is found twice or more: ``(of, of2, runs)``.
 
     The repeated hashes are stored before they meet the hits again: the join then has two plain shuffles, so
     Spark can split the partition of a hash that holds a large share of the hits.
     """
-    often = stored(hits.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hash").alias("often")))
-    back = hits.join(often, hits.hash == often.often, "left_semi")
-    marks = stored(back.groupBy("rid").agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")).withColumnRenamed("rid", "of"))
+    keys = [c for c in ("hash", "second") if c in hits.columns]
+    often = stored(hits.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
+    back = hits.join(often, keys, "left_semi")
+    marks = stored(back.groupBy(F.col("rid").alias("of"), F.col("rid2").alias("of2")).agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")))
     release(often)
     return marks
 
@@ -151,11 +156,11 @@ def _cutter(window: int, schema: T.StructType, text_col: str, keep_rows: bool) -
 
 
 def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(of, runs)``: for each ``rid`` of ``rows (rid, text, ...)`` with repeated windows, their starts as start and length in turn."""
+    """``(of, of2, runs)``: for each ``rid``, ``rid2`` of ``rows (rid, rid2, text, ...)`` with repeated windows, their starts as start and length in turn."""
     marks = None
     for length in [*_levels(window), window]:
-        texts = rows if marks is None else rows.join(marks, rows.rid == marks.of)
-        hits = stored(texts.select("rid", "text", *([] if marks is None else ["runs"])).mapInArrow(_finder(length, window), _HITS))
+        texts = rows if marks is None else rows.join(marks, _same(rows, marks))
+        hits = stored(texts.select("rid", "rid2", "text", *([] if marks is None else ["runs"])).mapInArrow(_finder(length, window), _HITS + _SECOND * (length == window)))
         if marks is not None:
             release(marks)
         marks = _repeated(hits)
@@ -163,27 +168,39 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return marks
 
 
+def _same(rows: DataFrame, marks: DataFrame) -> Column:
+    return (rows.rid == marks.of) & (rows.rid2 == marks.of2)
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str, columns: bool) -> DataFrame:
     """A row's own key is made of its id and text: rows that share both are alike in everything that follows."""
     own = [F.col(c).alias(f"c_{j}") for j, c in enumerate(docs.columns) if c != text_col] if columns else [F.col(id_col).alias("id")]
-    return docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"), *own)
+    keys = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"), F.xxhash64(F.lit("second"), F.col(text_col), F.col(id_col)).alias("rid2")]
+    return docs.select(*keys, F.col(text_col).alias("text"), *own)
 
 
 def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``(id_col, n_words, n_removed, kept_sha256)`` for each row.
 
     A word goes if any window that covers it also starts elsewhere, in the same row or another; all
-    places lose it.  Null and empty texts have no words and the digest of nothing; repeated
-    rows count as two documents, so each loses every window; an empty table gives an empty result.
+    places lose it.  Null and empty texts, and texts shorter than a window, lose nothing (without words the
+    digest is that of nothing); repeated rows count as two documents, so each loses every window; a null id
+    is an id like any other; a very long text is one document with all its windows.  Other columns are not read.
+    An empty table gives an empty result.
     """
     rows = _rows(docs, id_col, text_col, False)
     marks = repeated_windows(rows, window)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    return rows.join(marks, rows.rid == marks.of, "left").select("id", "text", "runs").mapInArrow(_cutter(window, schema, text_col, False), schema)
+    return rows.join(marks, _same(rows, marks), "left").select("id", "text", "runs").mapInArrow(_cutter(window, schema, text_col, False), schema)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with repeated windows cut from the text; rows without any keep their text as it is, and no row goes."""
+    """``docs`` with repeated windows cut from the text; rows without any keep their text as it is, and no row goes.
+
+    Null, empty and short texts stay as they are; of repeated rows each loses every window, so long ones become
+    empty; the words that are left of a text are joined by single spaces.  Columns of any name stay unchanged.  An
+    empty table gives an empty result.
+    """
     rows = _rows(docs, id_col, text_col, True)
-    marks = repeated_windows(rows.select("rid", "text"), window)
-    return rows.join(marks, rows.rid == marks.of, "left").drop("rid", "of").mapInArrow(_cutter(window, docs.schema, text_col, True), docs.schema)
+    marks = repeated_windows(rows.select("rid", "rid2", "text"), window)
+    return rows.join(marks, _same(rows, marks), "left").drop("rid", "rid2", "of", "of2").mapInArrow(_cutter(window, docs.schema, text_col, True), docs.schema)

@@ -51,3 +51,21 @@ def test_cut_texts(docs, texts):
 def test_empty_table(none):
     assert substring.removed_words(none).count() == 0
     assert substring.without_repeats(none).count() == 0
+
+
+def test_second_hash_differs():
+    """Windows that share the first hash only are not taken for equal."""
+    import numpy as np
+
+    from quire.llm import common
+
+    code = np.arange(100, dtype=np.uint64)
+    assert not set(common.grams(code, 35).tolist()) & set(common.grams(code, 35, common.SECOND_FACTOR).tolist())
+
+
+def test_repeated_and_nameless_rows(spark):
+    """Repeated rows and rows without an id lose what they share; a very long text is searched as a whole."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (None, " ".join(words[:40])), (None, "short"), (2, None), (3, ""), (4, " ".join(f"u{k}" for k in range(50_000)) + " " + " ".join(words[5:45]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(substring.removed_words(df)) == ordered(brute(rows, 35))
