@@ -16,7 +16,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import stored
@@ -55,12 +55,25 @@ def best_fit(sizes: list[int], sources: list[object], clusters: list[object], ca
     return out
 
 
+def word_count(text_col: str) -> Column:
+    """Words of a text; null has none."""
+    return F.size(F.filter(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+
+
 def pack(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, shard: int = SHARD, cluster_col: str | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    capacity: int = CAPACITY,
+    shard: int = SHARD,
+    cluster_col: str | None = None,
+    words_col: str | None = None,
 ) -> DataFrame:
     """``(doc_id, piece, n_words, bin, bin_at)``: the place of every piece of every document.
 
-    Lengths are words (runs of other characters than ASCII white space).  A document longer than a bin, however long,
+    Lengths are words (runs of other characters than ASCII white space), or what ``words_col`` says, null being
+    none; with it and ``cluster_col`` the text is not read.  A document longer than a bin, however long,
     is cut into full pieces and a rest; full pieces fill bins up.  The cluster is ``cluster_col``, by default
     the text's hash: members of one cluster never share a bin, nor do documents of one source.  A null source or
     cluster conflicts with none.  Null and empty texts have no words and one piece of size 0, which may join a
@@ -68,7 +81,7 @@ def pack(
     Repeated rows are separate pieces with one cluster.  Ties in size go by id (null first), then piece and
     cluster; bins with equal room by age.  Other columns are not read.  An empty table gives an empty result.
     """
-    n_words = F.size(F.filter(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    n_words = word_count(text_col) if words_col is None else F.coalesce(words_col, F.lit(0)).cast("int")
     cluster = F.xxhash64(F.coalesce(text_col, F.lit(""))) if cluster_col is None else F.col(cluster_col).cast("string")
     rows = docs.select(F.col(id_col).alias("doc_id"), cluster.alias("cluster"), F.col(source_col).cast("string").alias("source"), n_words.alias("words"))
     last = F.floor(F.greatest(F.col("words") - 1, F.lit(0)) / capacity).cast("int")

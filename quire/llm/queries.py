@@ -42,7 +42,9 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Clusters are components of near copies, as in ``op3_simhash``."""
+    docs = table(spark, sf_dir, "documents").withColumn("words", packing.word_count("text"))
+    return packing.pack(simhash.with_cluster(docs, "near", keep=["source", "words"]), cluster_col="near", words_col="words")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,22 @@ def test_very_long_text(spark):
     got = packing.pack(df, capacity=1000).collect()
     assert sum(r.n_words for r in got if r.doc_id == 1) == 300_001
     assert len({(r.bin, r.bin_at) for r in got}) == len(got) == 302
+
+
+def test_query(spark, data):
+    """Every document of the table has all its words in bins that hold no two members of a source or of a component of near copies."""
+    from quire.llm.queries import QUERIES
+
+    rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "source").collect()
+    facts = {r.doc_id: (len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")), r.source) for r in rows}
+    near = {r.doc_id: r.component_id for r in QUERIES["op3_simhash"](spark, data).collect()}
+    words, bins = defaultdict(int), defaultdict(list)
+    for r in QUERIES["op6_packing"](spark, data).collect():
+        words[r.doc_id] += r.n_words
+        bins[r.bin].append(r)
+    assert words == {i: n for i, (n, _) in facts.items()}
+    for held in bins.values():
+        assert sum(r.n_words for r in held) <= packing.CAPACITY
+        sources = [facts[r.doc_id][1] for r in held if facts[r.doc_id][1] is not None]
+        assert len(sources) == len(set(sources))
+        assert len({near[r.doc_id] for r in held}) == len(held)
