@@ -38,7 +38,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
     Smaller on disk than a checkpoint and readable column by column.  The files go when the
@@ -46,7 +46,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     atexit.register(_remove, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
