@@ -6,6 +6,10 @@ An edit re-encodes only the pre-tokens that it touches and some context: scannin
 at the last old boundary at least ``REACH`` characters before the edit, because no pre-token depends on
 more than that many characters after it, and ends at the first new boundary past the edit that is also an
 old one, because scanning looks at nothing before its own start.
+
+Trees are kept: ``token_trees`` makes a table of them, a row per document with arrays for leaves and nodes, and
+``apply_edits`` takes such a table, changes the trees where edits fall and gives a table of the same form, to be
+stored in its place.  Nothing is encoded there but the regions that the edits touch.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.llm.common import stored
+
 LEAF = 64
 #: The longest look ahead of the pattern: a quote mark may turn into ``'re`` with the two letters after it.
 REACH = 2
@@ -65,6 +71,29 @@ class TokenTree:
         found = pieces.pattern.findall(text)
         self._build(list(map(len, found)), [pieces[p] for p in found])
 
+    @classmethod
+    def kept(cls, text: str, pieces: PieceCounter, arrays: dict[str, list[int]]) -> TokenTree:
+        """A tree from the arrays that ``arrays`` gave; nothing is encoded."""
+        self = cls.__new__(cls)
+        self.text, self.counter = text, pieces
+        self.chars, self.tokens = arrays["node_chars"], arrays["node_tokens"]
+        self.width = len(self.chars) // 2
+        self.leaves, at = [], 0
+        for n in arrays["leaf_pieces"]:
+            self.leaves.append((arrays["piece_chars"][at : at + n], arrays["piece_tokens"][at : at + n]))
+            at += n
+        return self
+
+    def arrays(self) -> dict[str, list[int]]:
+        """What a table keeps of the tree."""
+        return {
+            "leaf_pieces": [len(size) for size, _ in self.leaves],
+            "piece_chars": [s for size, _ in self.leaves for s in size],
+            "piece_tokens": [c for _, count in self.leaves for c in count],
+            "node_chars": self.chars,
+            "node_tokens": self.tokens,
+        }
+
     def _build(self, sizes: list[int], counts: list[int]) -> None:
         self.leaves = [(sizes[k : k + LEAF], counts[k : k + LEAF]) for k in range(0, len(sizes), LEAF)] or [([], [])]
         self.width = 1 << (len(self.leaves) - 1).bit_length()
@@ -146,35 +175,78 @@ class TokenTree:
 
 
 EDITS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("new", T.StringType())]))
+ARRAYS = ["leaf_pieces", "piece_chars", "piece_tokens", "node_chars", "node_tokens"]
+_TREE = [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ARRAYS]
+_COUNTS = ["n_tokens", "n_pieces", "n_edits", "n_tokens_after", "n_encoded_again"]
 
 
-def edited_counts(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
-    """``(id_col, n_tokens, n_pieces, n_edits, n_tokens_after, n_encoded_again)`` of each row.
+def _broadcast(df: DataFrame, vocabulary_path: str):
+    with open(vocabulary_path, encoding="ascii") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
+def _lists(trees: list[TokenTree]) -> list[pa.Array]:
+    kept = [t.arrays() for t in trees]
+    return [pa.array([k[n] for k in kept], pa.list_(pa.int32())) for n in ARRAYS]
+
+
+def token_trees(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``(id, text, *keep, leaf_pieces, piece_chars, piece_tokens, node_chars, node_tokens)``: the tree of each row, to be stored.
+
+    A null or empty text has a tree with one empty leaf; a very long one has a longer list; repeated rows have equal trees.
+    """
+    ranks, keep = _broadcast(docs, vocabulary_path), keep or []
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = counter(pattern, ranks.value)
+            trees = [TokenTree(t or "", pieces) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_lists(trees)], names=["id", "text", *keep, *ARRAYS])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
+    return rows.mapInArrow(work, T.StructType([*rows.schema.fields, *_TREE]))
+
+
+def apply_edits(trees: DataFrame, vocabulary_path: str, pattern: str, edits_col: str = "edits") -> DataFrame:
+    """Trees after their edits: ``(id, text, n_tokens, n_pieces, n_edits, n_tokens_after, n_encoded_again, leaf_pieces, ...)``.
 
     ``edits_col`` is an array of (start, stop, new) in characters of the text as the edits before left it;
-    places outside the text are moved to its ends, and a null edit, list or text counts as
-    none or empty.  Rows are independent; repeated rows give repeated results.
+    places outside the text are moved to its ends, and a null edit, list or text counts as none or empty.
     """
-    with open(vocabulary_path, encoding="ascii") as f:
-        ranks = docs.sparkSession.sparkContext.broadcast(f.read())
-    names = [id_col, "n_tokens", "n_pieces", "n_edits", "n_tokens_after", "n_encoded_again"]
+    ranks = _broadcast(trees, vocabulary_path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces, made = counter(pattern, ranks.value), []
-            for text, edits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                tree = TokenTree(text or "", pieces)
+            pieces, made, counts = counter(pattern, ranks.value), [], []
+            lists = [batch.column(n) for n in ARRAYS]
+            for k, (text, edits) in enumerate(zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), strict=True)):
+                tree = TokenTree.kept(text or "", pieces, {n: c[k].values.to_numpy().tolist() for n, c in zip(ARRAYS, lists, strict=True)})
                 before, size, again, done = tree.total, sum(len(s) for s, _ in tree.leaves), 0, 0
                 for e in edits or []:
                     if e is not None:
                         again += tree.edit(e["start"] or 0, e["stop"] or 0, e["new"] or "")
                         done += 1
-                made.append((before, size, done, tree.total, again))
-            columns = np.array(made, dtype=np.int64).reshape(-1, 5).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in columns)], names=names)
+                made.append(tree)
+                counts.append((before, size, done, tree.total, again))
+            columns = np.array(counts, dtype=np.int64).reshape(-1, 5).T
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([t.text for t in made], pa.string()), *(pa.array(c) for c in columns), *_lists(made)], names=["id", "text", *_COUNTS, *ARRAYS])
 
-    rows = docs.select(id_col, text_col, F.col(edits_col).cast(EDITS))
-    return rows.mapInArrow(work, T.StructType([rows.schema[id_col], *(T.StructField(n, T.LongType()) for n in names[1:])]))
+    rows = trees.select("id", "text", F.col(edits_col).cast(EDITS).alias("edits"), *ARRAYS)
+    return rows.mapInArrow(work, T.StructType([rows.schema["id"], T.StructField("text", T.StringType()), *(T.StructField(n, T.LongType()) for n in _COUNTS), *_TREE]))
+
+
+def edited_counts(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
+    """``(id_col, n_tokens, n_pieces, n_edits, n_tokens_after, n_encoded_again)`` of each row.
+
+    Trees are stored, read back, edited and stored again; the count after the edits is read from the root of
+    the tree in the second table.  Edits are as in ``apply_edits``.  A null or empty text has no tokens; very long
+    texts are edited as they are; rows are independent, so repeated rows give repeated results and a null id
+    stays null.  Other columns are not read.  An empty table gives an empty result.
+    """
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"), F.col(edits_col).alias("edits"))
+    before = stored(token_trees(rows, vocabulary_path, pattern, "doc", "body", keep=["edits"]), "zstd")
+    after = stored(apply_edits(before, vocabulary_path, pattern).drop("text", "n_tokens_after"), "zstd")
+    return after.select(F.col("id").alias(id_col), "n_tokens", "n_pieces", "n_edits", F.get("node_tokens", F.lit(1)).cast("long").alias("n_tokens_after"), "n_encoded_again")
 
 
 def with_sample_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -105,12 +105,36 @@ def test_few_pieces_are_encoded_again(pieces):
     assert tree.edit(100_000, 100_005, "other") < 12
 
 
-def test_count_table(docs, none, texts, pieces):
-    got = collected(tokencount.edited_counts(tokencount.with_sample_edits(docs), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "n_tokens", "n_edits"))
-    assert got == ordered((i, len(pieces.coder.encode_ordinary(t or "")), 3) for i, t in texts)
+def edited(text, edits):
+    for e in edits:
+        a = min(max(0, e.start), len(text))
+        b = min(max(a, e.stop), len(text))
+        text = text[:a] + e.new + text[b:]
+    return text
+
+
+def test_count_table(docs, none, pieces):
+    """Counts before and after the edits of the whole table against encoding both texts anew."""
+    given = tokencount.with_sample_edits(docs)
+    got = collected(tokencount.edited_counts(given, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "n_tokens", "n_pieces", "n_edits", "n_tokens_after"))
+    size = lambda t: len(pieces.coder.encode_ordinary(t))
+    want = [(r.doc_id, size(r.text or ""), len(pieces.pattern.findall(r.text or "")), 3, size(edited(r.text or "", r.edits))) for r in given.select("doc_id", "text", "edits").collect()]
+    assert got == ordered(want)
     assert tokencount.edited_counts(tokencount.with_sample_edits(none), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
 
 
+def test_trees_are_edited_again(docs, pieces):
+    """A stored tree after its edits is that of the edited text, and takes further edits."""
+    place = vocabulary("byte_bpe_50k.tiktoken")
+    once = tokencount.apply_edits(tokencount.token_trees(tokencount.with_sample_edits(docs), place, public_tokenizers.PATTERN, keep=["edits"]), place, public_tokenizers.PATTERN)
+    for r in once.collect():
+        tree = tokencount.TokenTree.kept(r.text, pieces, {n: list(r[n]) for n in tokencount.ARRAYS})
+        assert tree.total == len(pieces.coder.encode_ordinary(r.text)) == r.n_tokens_after
+        assert [s for sizes, _ in tree.leaves for s in sizes] == list(map(len, pieces.pattern.findall(r.text)))
+    twice = tokencount.apply_edits(tokencount.with_sample_edits(once, "n_encoded_again"), place, public_tokenizers.PATTERN)
+    assert all(r.n_tokens_after == len(pieces.coder.encode_ordinary(r.text)) for r in twice.collect())
+
+
 def test_missing_edits(spark):
     df = spark.createDataFrame([(1, "a b c", None), (2, "a b c", [None, (0, 1, None)]), (3, None, [(0, 0, "new text")])], "doc_id long, text string, edits array<struct<start:int,stop:int,new:string>>")
     got = collected(tokencount.edited_counts(df, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "n_edits", "n_tokens", "n_tokens_after"))
