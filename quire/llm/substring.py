@@ -8,9 +8,9 @@ on to the next level.
 Below the last level not every run is counted.  Each window is represented by the smallest-hashed
 run inside it, so equal windows choose equal runs and no repeated window can be lost, while
 only about one run in fourteen is shuffled.  Runs that merely share a hash there let more windows
-through, never fewer.  On the last level each surviving window is counted itself, under two 64-bit hashes
+through, never fewer.  On the last level each surviving window is counted itself, under a 64-bit and a 32-bit hash
 that are built with different factors: windows are taken for equal if both are.  A document is
-known by two hashes of its id and text as well.
+known by two hashes of its id and text.
 
 Counts are partial sums by hash, and the rows that meet the counts again are joined on unique
 keys, so one hash may hold any share of the rows.  A document's own positions are the only
@@ -32,7 +32,7 @@ from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, pac
 
 WINDOW = 35
 #: ``second`` is there on the last level only.
-_HITS, _SECOND = "rid long, rid2 long, hash long, at int, len int", ", second long"
+_HITS, _SECOND = "rid long, rid2 long, hash long, at int, len int", ", second int"
 
 
 def _levels(window: int) -> list[int]:
@@ -72,7 +72,7 @@ def _represent(code: np.ndarray, runs: np.ndarray | None, length: int, window: i
     n = len(code) - window + 1
     starts = np.flatnonzero(_alive(runs, n))
     if length == window:
-        return grams(code, window)[starts], starts, np.ones(len(starts), dtype=np.int64), grams(code, window, SECOND_FACTOR)[starts]
+        return grams(code, window)[starts], starts, np.ones(len(starts), dtype=np.int64), (grams(code, window, SECOND_FACTOR)[starts] >> np.uint64(32)).astype(np.uint32)
     hashes = grams(code, length)
     run = _chosen(mixed(hashes), window - length + 1)[starts]
     first = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (starts[1:] != starts[:-1] + 1)]))
@@ -96,7 +96,7 @@ def _finder(length: int, window: int) -> Callable:
                         found.append((np.full(len(h), ids[i], dtype=np.int64), np.full(len(h), others[i], dtype=np.int64), h, at, n, *second))
                 if found:
                     rid, rid2, h, at, n, *second = (np.concatenate(x) for x in zip(*found, strict=True))
-                    columns = [rid, rid2, h.view(np.int64), at.astype(np.int32), n.astype(np.int32), *(x.view(np.int64) for x in second)]
+                    columns = [rid, rid2, h.view(np.int64), at.astype(np.int32), n.astype(np.int32), *(x.view(np.int32) for x in second)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rid", "rid2", "hash", "at", "len", "second"][: len(columns)])
 
     return work
