@@ -1,26 +1,24 @@
-"""Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
-
-Two dictionaries are trained by the zstandard library: one on ordinary documents, one on toxic text.
-Toxic documents are mostly ordinary language too, so the second is trained on what sets them apart:
-the words that the labelled toxic documents use far more often than the ordinary ones, in
-their places.  A window is then compressed twice, with the ordinary dictionary alone and with
-the toxic text behind it.  Ordinary windows gain nothing from the toxic text; a window that
-repeats something of it gets shorter.
-
-The gains of a document's windows are compared with thresholds.  The numbers of windows beyond each, the
-shares of all windows that these are, and the number of windows are turned into a probability by
-a logistic model, which is fitted on labelled rows only.  The shares keep long texts, where chance
-alone makes some windows gain, apart from short ones.
-
-Fitting uses at most ``SAMPLE`` labelled rows of each class, smallest hashes of the id first, and
-of those the texts of at most ``LONGEST`` characters; scoring reads every whole text.
+"""Toxicity by compression distance: separate zstandard dictionaries of toxic and of ordinary text.
+
+Two dictionaries are trained by the zstandard library, each on windows of its own kind of text.  A window is
+compressed with either, and the two lengths are compared: a window that repeats something of the toxic dictionary
+gets shorter under it, an ordinary one under the other.  Toxic documents are mostly ordinary language too; what
+sets them apart are single words in it.  A window is therefore a word (a long word is several windows), and the toxic
+dictionary is trained on the windows of labelled toxic texts whose words they use far more often than the ordinary ones.
+
+A document's windows are held against thresholds on the gain.  Numbers and shares of windows beyond each threshold
+are turned into a probability by a logistic model, which calibrates the thresholds on labelled rows.  The shares keep
+long texts, where chance alone makes some windows gain, apart from short ones.
+
+Fitting uses at most ``SAMPLE`` labelled rows of each class, smallest hashes of the id first, and about ``WINDOWS``
+windows of those to train a dictionary; both are drawn by hashes.  The driver gets such windows, counted words and a few
+numbers for each row of the sample, never whole texts.  Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,31 +29,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_texts, packs
+from quire.llm.common import byte_texts, packs, release, stored
 
 SAMPLE = 3000
-LONGEST = 20_000
+WINDOWS = 200_000
+#: Bytes that a window and the space after it take, about; only the size of the draw depends on it.
+MEAN_WINDOW = 7
 WINDOW_BYTES = 24
-DICTIONARY_BYTES = 16 << 10
-TOXIC_BYTES = 2 << 10
+DICTIONARY_BYTES = 110 << 10
+TOXIC_BYTES = 8 << 10
 LEVEL = 10
-THRESHOLDS = (2, 3, 4, 5, 6, 7)
-#: Windows beyond a threshold that count, and the share of all windows that counts, at most.
-MOST_WINDOWS, MOST_SHARE = 6, 0.1
+THRESHOLDS = (1, 2, 3, 4, 5, 6)
 N_FEATURES = 2 * len(THRESHOLDS) + 2
 #: Lengths of the word beginnings that are looked at, for languages that add endings.
 STEMS = (4, 5, 6)
+#: How often, and by which log ratio more often, a word must be used for its windows to train the toxic dictionary.
+LEAST_USES, LEAST_SHARE, LEAST_RATIO = 5, 0.01, 3.0
 #: Bytes before every window that both dictionaries end with, so that a window is never stored uncompressed,
 #: and bytes after it, because zstandard looks for no match in the last eight.
 BEFORE = bytes((37 * i + 11) % 89 + 33 for i in range(32)) + b" "
 AFTER = b" ~~~~~~~~"
 CUT = 0.3
-_WINDOWS = re.compile(rb"[^\x20\x09-\x0D](?:.{0,%d}(?=[\x20\x09-\x0D]|\Z)|.{0,%d})" % (WINDOW_BYTES - 1, WINDOW_BYTES - 1), re.DOTALL)
+#: Windows whose gains a worker keeps, as words come again.
+KEPT_WINDOWS = 400_000
+_WINDOWS = re.compile(rb"[^\x20\x09-\x0D]{1,%d}" % WINDOW_BYTES)
+_TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
 _WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
 def windows(text: bytes) -> list[bytes]:
-    """The whole text in successive windows of at most ``WINDOW_BYTES`` that end between words if they can."""
+    """The whole text in windows: its words, those longer than ``WINDOW_BYTES`` in pieces."""
     return _WINDOWS.findall(text.lower())
 
 
@@ -66,21 +69,24 @@ class Model:
     weights: np.ndarray
 
     def gains(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes that each window gains from the toxic dictionary, and each text's first window (one more entry than texts)."""
+        """Bytes by which each window is shorter under the toxic dictionary than under the ordinary one, and each text's first window (one more entry than texts)."""
         found = [windows(t) for t in texts]
         first = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-        joined = [w for x in found for w in x]
-        if not joined:
-            return np.zeros(0, dtype=np.int64), first
-        framed, sizes = [BEFORE + w + AFTER for w in joined], []
-        for packer in self.packers():
-            sizes.append(np.fromiter((len(packer.compress(w)) for w in framed), dtype=np.int64, count=len(joined)))
-        return sizes[0] - sizes[1], first
+        known = self.__dict__.setdefault("_known", {})
+        if len(known) > KEPT_WINDOWS:
+            known.clear()
+        fresh = {w for x in found for w in x} - known.keys()
+        if fresh:
+            framed, sizes = [BEFORE + b" " + w + b" " + AFTER for w in fresh], []
+            for packer in self.packers():
+                sizes.append([len(packer.compress(w)) for w in framed])
+            known.update(zip(fresh, map(int.__sub__, *sizes), strict=True))
+        return np.fromiter((known[w] for x in found for w in x), dtype=np.int64, count=int(first[-1])), first
 
     def packers(self) -> list[zstandard.ZstdCompressor]:
         if not hasattr(self, "_packers"):
             self._packers = []
-            for content in (self.ordinary + BEFORE, self.ordinary + self.toxic + BEFORE):
+            for content in (self.ordinary + BEFORE, self.toxic + BEFORE):
                 data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 data.precompute_compress(level=LEVEL)
                 self._packers.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_checksum=False, write_content_size=False, write_dict_id=False))
@@ -99,55 +105,33 @@ class Model:
         if len(some):
             for k, least in enumerate(THRESHOLDS):
                 beyond = np.add.reduceat((gains >= least).astype(np.int64), first[some])
-                out[some, 2 * k + 1] = np.minimum(beyond, MOST_WINDOWS)
-                out[some, 2 * k + 2] = np.minimum(beyond / count[some], MOST_SHARE) * 30
+                out[some, 2 * k + 1] = np.log1p(beyond)
+                out[some, 2 * k + 2] = np.sqrt(beyond / count[some])
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -30, 30)))
 
 
-def _telling(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
-    """Words and word beginnings that toxic texts use far more often than ordinary ones.
+def forms(token: bytes) -> list[bytes]:
+    """The word in a lower-cased token, and its beginnings marked as such."""
+    word = b"".join(_WORD.findall(token)[:1])
+    return [word, *(word[:k] + b"*" for k in STEMS if len(word) > k)] if word else []
 
-    Uses are counted by the word before, not by text, so that copies of one text count once.
-    """
-    counts = []
-    for texts in (toxic, ordinary):
-        seen: set[tuple[bytes, bytes]] = set()
-        for t in texts:
-            words = _WORD.findall(t.lower())
-            for before, word in zip([b"", *words], words, strict=False):
-                seen.add((before, word))
-                seen.update((before, word[:k] + b"*") for k in STEMS if len(word) > k)
-        counts.append(Counter(w for _, w in seen))
-    many, few = counts
-    n, m = len(toxic), len(ordinary)
-    return {w for w, c in many.items() if c >= max(5, 0.01 * n) and np.log(((c + 0.5) / n) / ((few[w] + 0.5) / m)) > 3}
-
-
-def fit(rows: list[tuple[bytes, int]]) -> Model:
-    """Dictionaries, and thresholds' weights, from labelled texts; half the rows train the dictionaries, all are weighed."""
-    toxic = list(dict.fromkeys(t for t, y in rows if y))
-    ordinary = list(dict.fromkeys(t for t, y in rows if not y))
-    if not toxic or not ordinary:
-        prior = (len(toxic) + 0.5) / (len(rows) + 1)
-        return Model(b"ordinary text", b"toxic text", np.array([np.log(prior / (1 - prior)), *[0.0] * (N_FEATURES - 1)]))
-    telling = _telling(toxic, ordinary)
-    places: list[bytes] = []
-    for t in toxic:
-        for found in re.finditer(rb"[^\x20\x09-\x0D]+", t.lower()):
-            word = b"".join(_WORD.findall(found[0])[:1])
-            if word in telling or any(word[:k] + b"*" in telling for k in STEMS if len(word) > k):
-                places.append(b" " + found[0] + b" ")
-    model = Model(_dictionary([w for t in ordinary for w in windows(t)], DICTIONARY_BYTES), _dictionary(places, TOXIC_BYTES) if places else b"", np.zeros(N_FEATURES))
-    x, y = model.features([t for t, _ in rows]), np.array([l for _, l in rows], dtype=float)
-    model.weights = _logistic(x, y)
-    return model
+
+def uses(text: bytes) -> set[tuple[bytes, int]]:
+    """Words and word beginnings of a text, each with a hash of the word before: so copies of one text count once."""
+    out, before = set(), b""
+    for token in _TOKEN.findall(text.lower()):
+        own = forms(token)
+        out.update((form, zlib.crc32(before)) for form in own)
+        before = own[0] if own else b""
+    return out
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """A dictionary that zstandard trains on ``samples``; the samples themselves where they are too few for that."""
+    samples = [b" " + x + b" " for x in samples]
     groups = [b"".join(samples[i : i + 8]) for i in range(0, len(samples), 8)]
     try:
         return zstandard.train_dictionary(size, groups, k=64, d=6).as_bytes()
@@ -170,22 +154,76 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return w / scale
 
 
+def _emitted(texts: DataFrame, make, schema: str) -> DataFrame:
+    """Rows that ``make(text)`` gives for each of ``texts (text)``, in batches as they come."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = byte_texts(batch.column(0))
+            for lo, hi in packs(texts):
+                if rows := [row for t in texts[lo:hi] for row in make(t)]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
+
+    return texts.select("text").mapInArrow(work, schema)
+
+
+def _drawn(texts: DataFrame, found, share: float) -> list[bytes]:
+    """About ``share`` of the windows that ``found`` gives for each text; which ones depends on the text alone."""
+
+    def make(text: bytes) -> list[tuple[bytes]]:
+        own = found(text)
+        return [(own[k],) for k in np.flatnonzero(np.random.default_rng(zlib.crc32(text)).random(len(own)) < share)]
+
+    return sorted(bytes(r.window) for r in _emitted(texts, make, "window binary").collect())
+
+
+def fit(texts: DataFrame) -> Model:
+    """Dictionaries, and thresholds' weights, from ``texts (text, y)``, a bounded table."""
+    facts = texts.groupBy("y").agg(F.count_distinct("text").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
+    n, size = {r.y: r.n for r in facts}, {r.y: r["size"] or 0 for r in facts}
+    if not n.get(0) or not n.get(1):
+        prior = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
+        return Model(b"ordinary text", b"toxic text", np.array([np.log(prior / (1 - prior)), *[0.0] * (N_FEATURES - 1)]))
+    counted = lambda part, make: _emitted(part, make, "form binary, before long").distinct().groupBy("form").agg(F.count("*").alias("n"))
+    toxic, ordinary = texts.where("y = 1"), texts.where("y = 0")
+    many = {bytes(r.form): r.n for r in counted(toxic, uses).where(F.col("n") >= max(LEAST_USES, LEAST_SHARE * n[1])).collect()}
+    few = {bytes(r.form): r.n for r in counted(ordinary, lambda t: [u for u in uses(t) if u[0] in many]).collect()}
+    telling = {w for w, c in many.items() if np.log((c + 0.5) / n[1]) - np.log((few.get(w, 0) + 0.5) / n[0]) > LEAST_RATIO}
+    places = _drawn(toxic, lambda t: [w for w in _TOKEN.findall(t.lower()) if any(f in telling for f in forms(w))], min(1.0, WINDOWS * MEAN_WINDOW / max(1, size[1])))
+    plain = _drawn(ordinary, windows, min(1.0, WINDOWS * MEAN_WINDOW / max(1, size[0])))
+    model = Model(_dictionary(_shuffled(plain), DICTIONARY_BYTES), _dictionary(_shuffled(places), TOXIC_BYTES) if places else b"", np.zeros(N_FEATURES))
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    measured = lambda part: [r.x for r in _emitted(part, lambda t: [(shared.value.features([t])[0].tolist(),)], "x array<double>").collect()]
+    x = [measured(ordinary), measured(toxic)]
+    model.weights = _logistic(np.array(x[0] + x[1]), np.repeat([0.0, 1.0], [len(x[0]), len(x[1])]))
+    return model
+
+
+def _shuffled(samples: list[bytes]) -> list[bytes]:
+    """In an order that follows from nothing but their number; the trainer reads neighbours together."""
+    return [samples[k] for k in np.random.default_rng(0).permutation(len(samples))]
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """A model from the labelled rows whose ``crc32(id) % 4`` is not 2, within the sample bounds of this module."""
+    """A model from the labelled rows whose ``crc32(id) % 4`` is not 2, within the sample bounds of this module.
+
+    Labels without an id or a value are left out; a null text is empty.  Without labels of both classes every text gets
+    the same score, which follows their share.
+    """
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2))
     order = F.xxhash64(F.lit("fit"), F.col(id_col))
     picked = usable.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("y"), order.alias("h"))
     sample = picked.where("y = 1").orderBy("h").limit(SAMPLE).union(picked.where("y = 0").orderBy("h").limit(SAMPLE))
-    share = picked.groupBy("y").count().collect()
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where(F.length("text") <= LONGEST)
-    rows = sample.join(texts, sample.id == texts.doc).select("text", "y", "h").collect()
-    rows = [(bytes(r.text, "utf-8"), r.y) for r in sorted(rows, key=lambda r: (r.y, r.h, r.text))]
-    model = fit(rows)
+    true = {r["y"]: r["count"] for r in picked.groupBy("y").count().collect()}
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    texts = stored(rows.join(F.broadcast(sample), rows.doc == sample.id).select(F.coalesce("text", F.lit("")).alias("text"), "y"))  # 2 * SAMPLE ids at most
+    model = fit(texts)
     # the sample may hold the classes in other shares than the labels do
-    true = {r["y"]: r["count"] for r in share}
-    have = Counter(y for _, y in rows)
-    if have[0] and have[1] and true.get(0) and true.get(1):
+    have = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
+    if have.get(0) and have.get(1) and true.get(0) and true.get(1):
         model.weights[0] += np.log(true[1] / true[0]) - np.log(have[1] / have[0])
+    release(texts)
     return model
 
 
@@ -193,7 +231,8 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """``(id_col, held_out, score, predicted)`` for each row, from the whole text.
 
     A null or empty text has no windows and gets the score of a text without any gain; equal
-    texts have equal scores; a null id counts as not held out.  An empty table gives an empty result.
+    texts have equal scores, so repeated rows have equal results; a very long text is judged by all its
+    windows; a null id counts as not held out.  Other columns are not read.  An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
