@@ -1,22 +1,26 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page is cut into leaf blocks: runs of text between block-level tags.  Each block becomes a vector of
-its hashed tag path (tags, classes and ids of the elements around it), its hashed words, and a few
-measures.  A bidirectional LSTM, written in numpy, reads the page's blocks in order in both
-directions and labels each one as main text or not, so a block is judged with the whole page in view.
+its hashed tag path (tags, classes and ids of the elements around it), its innermost element, all its hashed
+words, and a few measures, among them how many elements end and begin between it and the block before.
+A bidirectional LSTM, written in numpy, reads the page's blocks in order in both directions and labels each
+one as main text or not, so a block is judged with the whole page in view.
 
-There are no labelled pages to learn from.  The model is trained here, once per driver process, on made-up
-pages (``made_up_page``) whose layouts name their parts in the many ways in which pages do.
+There are no labelled pages to learn from.  ``html_training`` trains the model on made-up pages whose layouts name
+their parts in many ways or not at all; the weights that it found are kept in ``html_weights.npz`` beside it.
+
+Cutting a page takes time and memory in proportion to its length, however deep its elements are nested.
 """
 
 from __future__ import annotations
 
 import html as entities
-import random
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PATH_SIZE, WORD_SIZE, EXTRA = 96, 32, 8
-SIZE = PATH_SIZE + WORD_SIZE + EXTRA
-HIDDEN = 24
+PATH_SIZE, OWN_SIZE, WORD_SIZE, EXTRA = 96, 24, 64, 12
+SIZE = PATH_SIZE + OWN_SIZE + WORD_SIZE + EXTRA
+HIDDEN = 28
 #: Pages labelled together, at most, and the blocks that they have when padded to the longest (a longer page goes alone).
 #: Pages of like length go together.
 TOGETHER, MOST_BLOCKS = 64, 1 << 14
-FIRST_WORDS = 24
+WEIGHTS = Path(__file__).with_name("html_weights.npz")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
@@ -39,29 +43,90 @@ _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _CLOSES_P = {"p", "div", "ul", "ol", "dl", "li", "dt", "dd", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "aside", "nav", "header", "footer", "form", "blockquote", "pre", "main", "figure", "hr"}
 _SPACES = re.compile(r"\s+")
+_NAME_WORDS = re.compile(r"[a-z]+")
+
+
+class Slots(dict):
+    """Place and sign of a hashed word among ``size``: twice the place, and one more for minus.  Kept, as words come again."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+
+    def __missing__(self, word: str) -> int:
+        h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        if len(self) > 200_000:
+            self.clear()
+        out = self[word] = h % self.size * 2 + (h >> 16 & 1)
+        return out
+
+
+_path_slots, _own_slots, _word_slots = Slots(PATH_SIZE), Slots(OWN_SIZE), Slots(WORD_SIZE)
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    """Text between block-level tags; ``path`` has the sums of the hashed names of all elements around it."""
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    __slots__ = ("path", "own", "depth", "closed", "opened", "text", "linked")
+
+    def __init__(self, path: array, own: tuple[str, ...], depth: int, closed: int, opened: int, text: str, linked: int):
+        self.path, self.own, self.depth, self.closed, self.opened, self.text, self.linked = path, own, depth, closed, opened, text, linked
+
+
+class Elements:
+    """The open elements of a page, with the sums of their hashed names and the places of each tag among them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.sums = array("i", [0] * PATH_SIZE)
+        self.places: dict[str, list[int]] = {}
+        self.outer: list[int] = []  # places of block-level elements
+
+    def _add(self, names: tuple[str, ...], times: int) -> None:
+        for name in names:
+            code = _path_slots[name]
+            self.sums[code >> 1] += -times if code & 1 else times
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in _INLINE:
+            self.outer.append(len(self.stack))
+        self.stack.append((tag, names))
+        self._add(names, 1)
+
+    def pop(self) -> None:
+        tag, names = self.stack.pop()
+        self.places[tag].pop()
+        if tag not in _INLINE:
+            self.outer.pop()
+        self._add(names, -1)
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost ``tag``, -1 if none is open."""
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def top(self) -> str:
+        return self.stack[-1][0] if self.stack else ""
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, their white space made single; scripts, styles, comments and other markup are not text."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    opened = Elements()
     held: list[str] = []
     anchors: list[str] = []
-    links = 0
+    links = begun = ended = 0
     at, size = 0, len(page)
 
     def flush() -> None:
+        nonlocal begun, ended
         if held:
             text = _SPACES.sub(" ", entities.unescape("".join(held))).strip()
             if text:
-                out.append(Block(tuple(x for _, names in stack for x in names), text, sum(map(len, anchors))))
+                own = opened.stack[opened.outer[-1]][1] if opened.outer else ()
+                out.append(Block(opened.sums[:], own, len(opened.stack), ended, begun, text, sum(map(len, anchors))))
+                begun = ended = 0
             held.clear()
             anchors.clear()
 
@@ -80,14 +145,17 @@ def blocks(page: str) -> list[Block]:
         tag = found[2].lower()
         if found[1]:
             if tag == "a":
-                links = max(0, links - 1)
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None:
-                if tag not in _INLINE:
-                    flush()
-                    del stack[depth:]
-                elif all(t in _INLINE for t, _ in stack[depth:]):
-                    del stack[depth:]
+                links = 0
+            place = opened.last(tag)
+            if tag in _INLINE:
+                if place > (opened.outer[-1] if opened.outer else -1):
+                    while len(opened.stack) > place:
+                        opened.pop()
+            elif place >= 0:
+                flush()
+                while len(opened.stack) > place:
+                    ended += opened.top() not in _INLINE
+                    opened.pop()
             continue
         if tag in _RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
@@ -96,46 +164,41 @@ def blocks(page: str) -> list[Block]:
         if tag not in _INLINE:
             flush()
             links = 0
-            while stack and (stack[-1][0] in _INLINE or (stack[-1][0] == "p" and tag in _CLOSES_P) or (stack[-1][0] == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"))):
-                stack.pop()
+            while opened.stack and ((top := opened.top()) in _INLINE or (top == "p" and tag in _CLOSES_P) or (top == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"))):
+                ended += top not in _INLINE
+                opened.pop()
         elif tag == "a":
             links = 1
         elif tag == "br":
             held.append(" ")
         if tag not in _VOID and not found[3].rstrip().endswith("/"):
             names = [tag]
-            for kind, value in _NAMES.findall(found[3]):
-                names += [f"{kind.lower()}={w}" for w in re.split(r"[^a-z]+", value.lower()) if w]
-            stack.append((tag, tuple(names)))
+            for _, value in _NAMES.findall(found[3]):
+                names += _NAME_WORDS.findall(value.lower())
+            opened.push(tag, tuple(names))
+            begun += tag not in _INLINE
     flush()
     return out
 
 
-_slots: dict[str, int] = {}
-
-
-def _slot(word: str) -> int:
-    got = _slots.get(word)
-    if got is None:
-        if len(_slots) > 200_000:
-            _slots.clear()
-        got = _slots[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
-    return got
-
-
 def vectors(page: list[Block]) -> np.ndarray:
+    """One row for each block: path, innermost element, words, measures."""
     out = np.zeros((len(page), SIZE), dtype=np.float32)
     for k, block in enumerate(page):
         row = out[k]
-        for name in block.path:
-            h = _slot(name.split("=", 1)[-1])
-            row[h % PATH_SIZE] += 1.0 if h >> 16 & 1 else -1.0
-        words = block.text.split(" ", FIRST_WORDS)[:FIRST_WORDS]
-        for word in words:
-            h = _slot(word.lower())
-            row[PATH_SIZE + h % WORD_SIZE] += (1.0 if h >> 16 & 1 else -1.0) / len(words)
+        row[:PATH_SIZE] = block.path
+        for name in block.own:
+            code = _own_slots[name]
+            row[PATH_SIZE + (code >> 1)] += -1.0 if code & 1 else 1.0
+        codes = np.fromiter(map(_word_slots.__getitem__, block.text.lower().split(" ")), dtype=np.int64)
+        uses = np.bincount(codes, minlength=2 * WORD_SIZE).reshape(-1, 2)
+        row[PATH_SIZE + OWN_SIZE : -EXTRA] = 4 * (uses[:, 0] - uses[:, 1]) / np.sqrt(len(codes) * max(8, len(codes)))
         size = len(block.text)
-        row[-EXTRA:] = (np.log1p(size) / 8, min(1.0, block.linked / size), len(block.path) / 10, k / len(page), 1 / len(page), block.text[-1] in ".!?:;", "©" in block.text, 1.0)
+        digits = sum(map(block.text.count, "0123456789"))
+        row[-EXTRA:] = (
+            np.log1p(size) / 4, min(1.0, block.linked / size), min(block.depth, 30) / 10, k / len(page), 1 / len(page), block.text[-1] in ".!?:;\"'", "©" in block.text,
+            np.log1p(min(block.closed, 50)), np.log1p(min(block.opened, 50)), digits / size, np.log1p(len(codes)) / 3, 1.0,
+        )
     np.clip(out, -3, 3, out=out)
     return out
 
@@ -156,7 +219,7 @@ class Labeller:
             self.weights[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1
         self.weights |= {"o": draw(2 * HIDDEN + SIZE, 1), "p": np.zeros(1, dtype=np.float32)}
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, trace: list | None) -> np.ndarray:
+    def run(self, x: np.ndarray, mask: np.ndarray, d: str, trace: list | None) -> np.ndarray:
         w = self.weights
         count, steps, _ = x.shape
         into = x @ w[f"x{d}"] + w[f"c{d}"]
@@ -176,30 +239,9 @@ class Labeller:
         return out
 
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        both = np.concatenate([self._run(x, mask, "f", None), self._run(x, mask, "b", None), x], axis=2)
+        both = np.concatenate([self.run(x, mask, "f", None), self.run(x, mask, "b", None), x], axis=2)
         return _sigmoid((both @ self.weights["o"])[..., 0] + self.weights["p"])
 
-    def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        w, traces = self.weights, {"f": [], "b": []}
-        both = np.concatenate([self._run(x, mask, d, traces[d]) for d in "fb"] + [x], axis=2)
-        off = (_sigmoid((both @ w["o"])[..., 0] + w["p"]) - y) * mask / mask.sum()
-        grad = {"o": np.einsum("btk,bt->k", both, off)[:, None], "p": np.array([off.sum()])}
-        for n, d in enumerate("fb"):
-            above = off[..., None] * w["o"][n * HIDDEN : (n + 1) * HIDDEN, 0]
-            dh = dc = np.zeros((len(x), HIDDEN), dtype=np.float32)
-            gx, gh, gc = np.zeros_like(w[f"x{d}"]), np.zeros_like(w[f"h{d}"]), np.zeros_like(w[f"c{d}"])
-            for t, i, f, o, g, c, h, shown, m in reversed(traces[d]):
-                dh = dh + above[:, t]
-                live, keep = dh * m, dh * ~m
-                inner = dc * m + live * o * (1 - shown**2)
-                dz = np.concatenate([inner * g * i * (1 - i), inner * c * f * (1 - f), live * shown * o * (1 - o), inner * i * (1 - g**2)], axis=1)
-                gx += x[:, t].T @ dz
-                gh += h.T @ dz
-                gc += dz.sum(axis=0)
-                dh, dc = dz @ w[f"h{d}"].T + keep, inner * f + dc * ~m
-            grad |= {f"x{d}": gx, f"h{d}": gh, f"c{d}": gc}
-        return grad
-
 
 def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     longest = max(len(p) for p in pages)
@@ -209,105 +251,12 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-#: Names that pages give to the parts around and inside the main text.
-_ASIDES = "nav menu navbar navigation breadcrumb breadcrumbs header masthead banner footer copyright legal sidebar aside widget rail ad ads advert advertisement sponsored sponsor promo promotion notice cookie cookies consent gdpr alert popup modal newsletter subscribe signup form login search comment comments respond replies disqus related recommended share social tags toolbar pagination pager".split()
-_BODIES = "content main article post entry story body text page prose".split()
-_TAGS_OF = {"nav": ["nav"], "menu": ["nav"], "navigation": ["nav"], "header": ["header"], "masthead": ["header"], "footer": ["footer"], "copyright": ["footer"], "sidebar": ["aside"], "aside": ["aside"], "form": ["form"], "login": ["form"], "search": ["form"], "newsletter": ["form"], "comments": ["section"]}
-
-
-@cache
-def _vocabulary() -> list[str]:
-    parts = ["er", "th", "in", "ou", "la", "de", "ch", "pa", "ti", "on", "ung", "ci", "es", "re", "st", "ve", "mo", "qu"]
-    rng = random.Random(1)
-    return ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(3000)]
-
-
-def made_up_page(rng: random.Random) -> list[tuple[str, bool]]:
-    """Markup of a page in pieces, with whether the text of each piece is main text."""
-    words, chance, pick = _vocabulary(), rng.random, rng.choice
-    word = lambda: pick(words)
-
-    def sentence(least: int, most: int) -> str:
-        text = " ".join(rng.choices(words, k=rng.randint(least, most)) if chance() < 0.95 else [word()] * rng.randint(least, most))
-        return text.capitalize() + (". " if chance() < 0.8 else " ") + (f"&amp; {word()}" if chance() < 0.1 else "")
-
-    def aside(name: str) -> list[tuple[str, bool]]:
-        tag = pick(_TAGS_OF.get(name, ["div", "section"]) if chance() < 0.6 else ["div", "section", "aside"])
-        plain = tag in ("nav", "header", "footer", "aside", "form") and chance() < 0.6
-        named = "" if plain else f' {pick(["class", "id"])}="{pick([name, name, f"{name}-box", f"site-{name}", f"{name} {word()}"])}"'
-        out = [(f"<{tag}{named}>", False)]
-        for _ in range(rng.randint(1, 4)):
-            kind = chance()
-            if kind < 0.35:
-                out.append(("<ul>" + "".join(f'<li><a href="/{word()}">{word()}</a></li>' for _ in range(rng.randint(1, 7))) + "</ul>", False))
-            elif kind < 0.6:
-                out.append((f"<p>{sentence(3, 40)}</p>", False))
-            elif kind < 0.7:
-                out.append((f"<h{rng.randint(1, 4)}>{sentence(1, 6)}</h3>", False))
-            else:
-                out.append((("&copy; " if name in ("footer", "copyright") else "") + sentence(2, 30), False))
-        return [*out, (f"</{tag}>", False)]
-
-    out = [(f"<html><head><title>{sentence(2, 9)}</title></head><body>", False)]
-    for name in [*(["nav"] if chance() < 0.6 else []), *(["header"] if chance() < 0.4 else []), *(pick(_ASIDES) for _ in range(rng.randint(0, 2)))]:
-        out += aside(name)
-    shell = pick(["article", "article", "main", "div", "div", "section"])
-    bare = shell in ("article", "main") and chance() < 0.6
-    out.append((f"<{shell}>" if bare else f'<{shell} {pick(["class", "id"])}="{pick(_BODIES)}{pick(["", "-body", " wide"])}">', False))
-    if chance() < 0.8:
-        out.append((f"<h1>{sentence(1, 12)}</h1>", True))
-    long = chance() < 0.06
-    for _ in range(rng.randint(1, 80 if long else 9)):
-        kind = chance()
-        if kind < 0.1:
-            out.append((f"<h{rng.randint(2, 4)}>{sentence(1, 7)}</h2>", True))
-        elif kind < 0.2:
-            out.append(("<ul>" + "".join(f"<li>{sentence(1, 12)}</li>" for _ in range(rng.randint(1, 5))) + "</ul>", True))
-        elif kind < 0.25:
-            out.append((f"<blockquote>{sentence(3, 30)}</blockquote>", True))
-        elif kind < 0.3:
-            out.append((f"<table><tr><td>{sentence(1, 5)}</td><td>{sentence(1, 5)}</td></tr></table>", True))
-        elif kind < (0.31 if long else 0.38):
-            out += aside(pick(["ad", "share", "related", "promo", "advert", "sponsored", "notice", "form", "newsletter", "comments"]))
-        else:
-            opened, closed = pick([("<p>", "</p>"), ("<p><b>", "<br>"), ("<p>", ""), ("<div>", "</div>")])
-            link = f'<a href="/x">{word()} {word()}</a> {sentence(1, 9)}' if chance() < 0.2 else ""
-            out.append((f"{opened}{sentence(1, 6 if long else 60)}{link}{closed}", True))
-    out.append((f"</{shell}>", False))
-    for name in [*(pick(_ASIDES) for _ in range(rng.randint(0, 2))), *(["comments"] if chance() < 0.3 else []), *(["footer"] if chance() < 0.7 else [])]:
-        out += aside(name)
-    return [*out, ("</body></html>", False)]
-
-
-def _labelled(rng: random.Random) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of a made-up page's blocks, and their labels; a private mark in each piece tells where its blocks end up."""
-    pieces = made_up_page(rng)
-    marked = "".join(re.sub(r">(?=[^<])|^(?=[^<])", lambda m: m[0] + "\x01", text) if main else text for text, main in pieces)
-    found = blocks(marked)
-    y = np.array(["\x01" in b.text for b in found], dtype=np.float32)
-    for b in found:
-        b.text = b.text.replace("\x01", "").strip() or "."
-    return vectors(found), y
-
-
 @cache
-def trained(seed: int = 7, rounds: int = 240, batch: int = 32) -> Labeller:
-    """The model, trained on ``rounds * batch`` made-up pages by Adam."""
-    rng, model = random.Random(seed), Labeller(seed)
-    first = {k: np.zeros_like(v) for k, v in model.weights.items()}
-    second = {k: np.zeros_like(v) for k, v in model.weights.items()}
-    for n in range(1, rounds + 1):
-        pages = [_labelled(rng) for _ in range(batch)]
-        x, mask = padded([p for p, _ in pages])
-        y = np.zeros(mask.shape, dtype=np.float32)
-        for k, (_, own) in enumerate(pages):
-            y[k, : len(own)] = own
-        rate = 0.01 * (1 - n / (rounds + 1)) + 0.0005
-        for k, g in model.gradients(x, mask, y).items():
-            g = np.clip(g, -1, 1)
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.999 * second[k] + 0.001 * g * g
-            model.weights[k] -= (rate * (first[k] / (1 - 0.9**n)) / (np.sqrt(second[k] / (1 - 0.999**n)) + 1e-8)).astype(np.float32)
+def trained() -> Labeller:
+    """The model that ``html_training`` has made."""
+    model = Labeller()
+    with np.load(WEIGHTS) as kept:
+        model.weights = {k: kept[k].astype(np.float32) for k in model.weights}
     return model
 
 
@@ -332,8 +281,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """``(id_col, url_col, text, n_chars)`` for each page, from its whole markup.
 
     A null or empty page, or one without any main text, gives an empty text; rows are independent, so
-    repeated pages give repeated results.  Unclosed and stray tags are taken as browsers take them in
-    the common cases; an element left open ends with the element around it.
+    repeated pages give repeated results, and null ids and addresses stay null.  Unclosed and stray tags are
+    taken as browsers take them in the common cases; an element left open ends with the element around it.  Very long
+    and deeply nested pages are read whole, one at a time.  Other columns are not read.  An empty table gives
+    an empty result.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or trained())
 
