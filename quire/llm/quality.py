@@ -50,6 +50,7 @@ def shapes(words: Words) -> np.ndarray:
     upper, letters, digits = held((raw >= 65) & (raw <= 90)), held(_CLASS[raw] == 0), held(_CLASS[raw] == 4)
     size = end - start
     again = np.concatenate([[False], words.code[1:] == words.code[:-1]]) if len(size) else np.zeros(0, dtype=bool)
+    again[words.first[:-1][words.first[:-1] < len(size)]] = False  # the word before is another text's
     out = (upper >= 2) & (2 * upper > letters)
     for part, base in (((raw[start] >= 65) & (raw[start] <= 90), 2), (_CLASS[raw[end - 1]], 5), (digits > 0, 2), (np.minimum(size // 4, 3), 4), (again, 2), (letters + digits == 0, 2)):
         out = out.astype(np.int64) * base + part
@@ -188,8 +189,9 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """``(id_col, log_weight, per_word, accepted, key, sampled)`` of every row; as many rows are sampled as are accepted.
 
     A null or empty text has weight 1 (log weight 0).  Equal texts have equal weights; noise goes by id, so
-    repeated rows have equal keys.  Without labels of both classes everything is accepted; an
-    empty table gives an empty result.
+    repeated rows have equal keys, and so do all rows with a null id and one text; rows that tie with the last
+    key are sampled all.  Very long texts are read whole.  Without labels of both classes everything is accepted;
+    an empty table gives an empty result.  Other columns are not read.
     """
     model = learn(docs, labels, id_col, text_col, label_col)
     rows = stored(scored(docs, model, id_col, text_col).withColumn("accepted", F.col("per_word") >= model.threshold))
@@ -197,7 +199,13 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """The rows of ``docs`` whose log ratio per word reaches the threshold, columns unchanged."""
+    """The rows of ``docs`` whose log ratio per word reaches the threshold, columns unchanged.
+
+    This is the filter of a pipeline, which must keep every clean document: Gumbel top-k (``resampled``) draws a
+    training set of given size and would leave clean documents out by chance.  A null or empty text has the
+    log ratio 0; repeated rows stay or go together; a null id and columns of any name stay as they are; long texts
+    are read whole.  Without labels of both classes every row stays; an empty table gives an empty result.
+    """
     model = learn(docs, labels, id_col, text_col, label_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
