@@ -47,12 +47,17 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    atexit.register(_remove, spark, path)
+    removed_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Notes that a folder of intermediate files goes when the driver's process ends."""
+    atexit.register(_remove, spark, path)
+
+
 def release(df: DataFrame) -> None:
     """Removes the files of a ``stored`` table that nothing will read any more."""
     _remove(df.sparkSession, df.stored_at)

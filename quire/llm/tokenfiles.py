@@ -9,8 +9,8 @@ Rows are dealt by ranges of the id, so files follow each other in ascending id o
 needs another's result: a document's place in the corpus is its place in its file plus the
 tokens of all files before, a running sum over the list of files alone.
 
-Files are written under a temporary name and then renamed; a repeated task writes the same bytes under
-the same name, so lost executors do no harm.
+Each attempt of a task writes files of its own, named after the attempt, and nothing is renamed or replaced.  The list
+that the finished attempts return decides which files count; those of lost attempts are in no list.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import shared_folder, stored
+from quire.llm.common import removed_at_exit, shared_folder, stored
 
 SKIPPABLE_INDEX = 0x184D2A50
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -41,7 +41,7 @@ SEEKABLE = 0x8F92EAB1
 ROLL_BYTES = 64 << 20
 #: Tasks that read files at the same time, at most.
 MOST_TASKS = 10_000
-#: Encodings of single words that a worker keeps; when they are more, it starts anew.
+#: Encodings of single words that a worker keeps; when they are more, the next ones come beside them and then in their place.
 KEPT_WORDS = 400_000
 #: The array module's letter for unsigned 32-bit integers here.
 IDS = next(c for c in "IL" if array(c).itemsize == 4)
@@ -57,12 +57,17 @@ def _byte_characters() -> dict[int, str]:
 _BYTES = _byte_characters()
 
 
+#: Texts that tell whether a tokenizer's words can be encoded one by one.
+PROBES = ("one two", " leading and trailing ", "two  spaces\n\nand lines", "Word, (word). it's! a-b?", "été naïve 12 x1 ___", "don't,stop...now", "日本語 text", "tab\tand\x0bothers", "<|endoftext|> ### %%")
+
+
 class WordEncoder(dict):
     """Token ids of space-separated words as bytes, each encoded once by the tokenizers library.
 
     Right for tokenizers that drop white space, as no token of theirs spans a space, and that part
     letters from marks: letters with closing ASCII marks are looked up as two words.  Words of Latin-1
-    letters go straight to the tokenizer's model where that is seen to give the same ids.
+    letters go straight to the tokenizer's model where that is seen to give the same ids.  All of this is tried
+    on ``PROBES``; with a tokenizer that does otherwise on any of them, whole texts are encoded.
     """
 
     def __init__(self, model: str):
@@ -70,31 +75,41 @@ class WordEncoder(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_str(model)
         self.model = self.tokenizer.model
         self.plain = all(self._letters(w) == self._whole(w) for w in ("a", "Word", "STRASSE", "Straße", "été", "ÑANDÚ", "qzxjqk"))
+        self.by_word = all(np.frombuffer(self._words(t), dtype="<u4").tolist() == self._whole(t) for t in PROBES)
 
     def _whole(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _letters(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.lower().encode().decode("latin-1").translate(_BYTES))]
+        low = word.lower()
+        return [t.id for t in self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(_BYTES))]
 
     def __missing__(self, word: str) -> bytes:
+        if (known := self.older.get(word)) is not None:
+            self[word] = known
+            return known
         head = word.rstrip(string.punctuation)
         if head != word and head.isalpha():
             out = self[head] + self[word[len(head) :]]
         else:
-            known = self.plain and word.isalpha() and max(word) <= "\xff"
+            known = self.plain and word.isalpha() and (word.isascii() or max(word) <= "\xff")
             out = array(IDS, self._letters(word) if known else self._whole(word)).tobytes()
         if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = out
         return out
 
-    def encode(self, text: str) -> bytes:
+    def _words(self, text: str) -> bytes:
         return b"".join([self[w] for w in text.replace("\n", " ").split(" ")])
 
+    def encode(self, text: str) -> bytes:
+        return self._words(text) if self.by_word else array(IDS, self._whole(text)).tobytes()
+
 
 _encoders: dict[int, WordEncoder] = {}
 
@@ -112,9 +127,7 @@ class FrameWriter:
     """Writes one file; ``add`` for each document, then ``close``."""
 
     def __init__(self, system: fs.FileSystem, path: str, level: int = 3):
-        self.system, self.path = system, path
-        self.draft = f"{os.path.dirname(path)}/.{os.path.basename(path)}.{uuid.uuid4().hex}"
-        self.out = system.open_output_stream(self.draft)
+        self.out = system.open_output_stream(path, compression=None)  # else the suffix would have all of it compressed once more
         self.packer = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
         self.ids: list[int | None] = []
         self.table: list[bytes] = []
@@ -135,9 +148,6 @@ class FrameWriter:
         seek = b"".join(self.table) + struct.pack("<IBI", len(self.table), 0x80, SEEKABLE)
         self.out.write(struct.pack("<II", SKIPPABLE_SEEK, len(seek)) + seek)
         self.out.close()
-        if self.system.get_file_info(self.path).type != fs.FileType.NotFound:
-            self.system.delete_file(self.path)
-        self.system.move(self.draft, self.path)
 
 
 class FrameReader:
@@ -175,22 +185,24 @@ class FrameReader:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes ``docs`` to files under ``folder`` and returns their list ``(part, piece, uri, docs, tokens)``.
 
-    A null text counts as empty and yields the end id alone.  Rows with a null id come first; rows
-    that share an id follow each other by text.  An empty table yields no files.
+    A null text counts as empty and yields the end id alone.  Rows with a null id come first; rows that share an
+    id follow each other by a hash of the text, so any number of them can be dealt to several tasks.  Repeated rows
+    are all written; a very long text is one frame.  An empty table yields no files.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     end = struct.pack("<I", end_id)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, out, piece, done = TaskContext.get().partitionId(), None, 0, []
+        task = TaskContext.get()
+        part, out, piece, done = task.partitionId(), None, 0, []
         system, base = fs.FileSystem.from_uri(folder)
         for batch in batches:
             words = encoder(model.value)
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if out is None:
                     system.create_dir(base, recursive=True)
-                    name = f"part-{part:06d}-{piece:04d}.tok.zst"
+                    name = f"part-{part:06d}-{piece:04d}-{task.taskAttemptId()}.tok.zst"
                     out = FrameWriter(system, f"{base}/{name}")
                 out.add(doc_id, words.encode(text or "") + end)
                 if out.bytes >= ROLL_BYTES:
@@ -204,12 +216,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["part", "piece", "uri", "docs", "tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    order = [F.col("id").asc_nulls_first(), F.col("h")]
+    dealt = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
     return stored(dealt.mapInArrow(work, "part int, piece int, uri string, docs long, tokens long"))
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` of every document in ``files``, read from them."""
+    """``(doc_id, start, n_tokens, ids_crc32)`` of every document in ``files``, read from them.
+
+    Null and repeated ids come back as they were written; an empty list gives an empty result; a damaged frame is an error.
+    """
     before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.select("uri", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
 
@@ -226,7 +242,10 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
 
 def token_output(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """Writes the files and reads them back; ``folder`` is by default a new one in the shared folder."""
-    shared = shared_folder(docs.sparkSession)
-    shared = f"file://{os.path.abspath(shared)}" if ":" not in shared else shared.replace("file:/", "file:///", 1) if shared.startswith("file:/") and not shared.startswith("file:///") else shared
-    return read_token_files(write_token_files(docs, folder or f"{shared}/tokens-{uuid.uuid4().hex}", tokenizer_path, end_id, id_col, text_col))
+    """Writes the files and reads them back; ``folder`` is by default a new one in the shared folder, which goes when the driver ends."""
+    if folder is None:
+        shared = shared_folder(docs.sparkSession)
+        shared = f"file://{os.path.abspath(shared)}" if ":" not in shared else shared.replace("file:/", "file:///", 1) if shared.startswith("file:/") and not shared.startswith("file:///") else shared
+        folder = f"{shared}/tokens-{uuid.uuid4().hex}"
+        removed_at_exit(docs.sparkSession, folder)
+    return read_token_files(write_token_files(docs, folder, tokenizer_path, end_id, id_col, text_col))

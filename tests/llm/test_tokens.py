@@ -37,19 +37,52 @@ def test_words_encode_like_texts(whole, texts):
     with open(vocabulary(WORDS), encoding="utf-8") as f:
         encoder = tokenfiles.WordEncoder(f.read())
     assert encoder.plain
+    assert encoder.by_word
     for t in [*ODD, *(t or "" for _, t in texts)]:
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == whole(t), t
 
 
 def test_files_equal_whole_encoding(docs, texts, whole):
     got = collected(tokenfiles.token_output(docs, vocabulary(WORDS), 2))
-    rows = sorted(((i, t) for i, t in texts), key=lambda r: [(v is not None, v) for v in r])
-    start, want = 0, []
-    for i, t in rows:
+    want = {}
+    for i, t in texts:
         ids = np.array([*whole(t or ""), 2], dtype="<u4")
-        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
-        start += len(ids)
-    assert got == ordered(want)
+        want.setdefault(i, []).append((len(ids), zlib.crc32(ids.tobytes())))
+    start = 0
+    for i, group in sorted(want.items(), key=lambda r: (r[0] is not None, r[0])):
+        rows = sorted((r for r in got if r[0] == i), key=lambda r: r[1])
+        assert sorted(r[2:] for r in rows) == sorted(group)  # rows of one id are in any order
+        for r in rows:
+            assert r[1] == start
+            start += r[2]
+    assert len(got) == len(texts)
+
+
+def test_tokenizers_that_keep_spaces(texts):
+    """With a tokenizer whose tokens hold spaces, whole texts are encoded."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = tokenfiles.WordEncoder(f.read())
+    assert not encoder.by_word
+    tokenizer = Tokenizer.from_file(path)
+    for t in [*ODD, *(t or "" for _, t in texts)]:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_many_rows_without_an_id(spark, tmp_path):
+    """Rows of one id are dealt to several tasks."""
+    df = spark.createDataFrame([(None, f"text number {k} " * 5) for k in range(400)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = tokenfiles.write_token_files(df.repartition(8), f"file://{tmp_path}", vocabulary(WORDS), 2).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(f.docs for f in files) < 300
+    assert sum(f.docs for f in files) == 400
+    got = tokenfiles.read_token_files(spark.createDataFrame(files)).orderBy("start").collect()
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:k]) for k in range(400)]
 
 
 def test_reader_takes_single_documents(docs, spark, tmp_path, whole):
