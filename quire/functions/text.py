@@ -102,3 +102,29 @@ def markdown_table(rows: Column, trimmed: bool) -> Column:
     rule = lambda row: F.concat(F.lit("| "), F.array_join(F.transform(row, lambda _: F.lit("---")), " | "), F.lit(" |"))
     body = F.transform(rows, lambda row, i: F.when(i == 0, F.concat(line(row), F.lit("\n"), rule(row))).otherwise(line(row)))
     return control_trim(F.array_join(body, "\n"))
+
+
+def distinct_names(names: Column, dotted: bool = False) -> Column:
+    """An array of names made distinct in order: a name that is taken gets ``_2``, ``_3``, ... until it is free.
+
+    With ``dotted`` the number stands before the suffix after the last dot.  For the short lists that a document holds.
+    """
+
+    def numbered(name: Column, k: Column) -> Column:
+        if not dotted:
+            return F.when(k == 1, name).otherwise(F.concat_ws("_", name, k.cast("string")))
+        stem, suffix = F.regexp_extract(name, r"(?s)\A(.*?)(\.[^.]*)?\z", 1), F.regexp_extract(name, r"(?s)\A(.*?)(\.[^.]*)?\z", 2)
+        return F.when(k == 1, name).otherwise(F.concat(stem, F.lit("_"), k.cast("string"), suffix))
+
+    def add(taken: Column, name: Column) -> Column:
+        tried = F.transform(F.sequence(F.lit(1), F.size(taken) + 1), lambda k: numbered(name, k))
+        return F.concat(taken, F.slice(F.filter(tried, lambda x: ~F.array_contains(taken, x)), 1, 1))
+
+    return F.aggregate(names, F.array().cast("array<string>"), add)
+
+
+def plain_file_name(path: Column) -> Column:
+    """The last segment of a path as a name that stays in its folder: odd characters as ``_``, dots kept, none at the start; ``unknown`` if nothing is left."""
+    last = F.regexp_replace(F.regexp_extract(F.coalesce(path, F.lit("")), r"(?s)([^/\\]*)\z", 1), f"[^.{NAME_KEEPS}]", "_")
+    cut = F.regexp_replace(last, r"\A\.+", "")
+    return F.when(cut == "", "unknown").otherwise(cut)

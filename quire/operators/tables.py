@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import control_trim, csv_line, markdown_table, safe_file_name
+from quire.functions.text import control_trim, csv_line, distinct_names, markdown_table, safe_file_name
 
 MOST_ROWS, MOST_COLUMNS = 50, 10
 HEADER_CELLS = 2
@@ -68,3 +68,36 @@ def csv_lines(rows: DataFrame, sheet: list[str]) -> DataFrame:
 def data_ref(position: Column, schema: Column, rows: Column, name: Column) -> Column:
     """The line that stands for a large table in a body file."""
     return F.concat(F.lit("# POS: "), position.cast("string"), F.lit(" | TYPE: data_ref | schema: "), schema, F.lit(" | rows: "), rows.cast("string"), F.lit(" | file: data/"), safe_file_name(name), F.lit(".csv"))
+
+
+def grid_is_large(grid: Column) -> Column:
+    """Whether an array of rows is a large table, as in ``classify``."""
+    width = F.size(F.get(grid, F.lit(0)))
+    return (F.size(grid) > MOST_ROWS) | (width == 0) | (width > MOST_COLUMNS)
+
+
+def _large(sheet: Column) -> Column:
+    """What a document tells of a large sheet, with its CSV text."""
+    grid = sheet["rows"]
+    header = header_index(grid)
+    schema = F.array_join(filled(F.get(grid, header)), " | ")
+    told = F.transform(F.slice(grid, header + 2, PREVIEW_ROWS), lambda row, k: F.concat(F.lit("Row "), (k + 1).cast("string"), F.lit(": "), F.array_join(filled(row), ", ")))
+    preview = control_trim(F.array_join(F.concat(F.array(F.concat(F.lit("Columns: "), schema)), told), "\n"))
+    csv = F.array_join(F.transform(grid, lambda row: F.concat(csv_line(row), F.lit("\n"))), "")
+    return F.struct(sheet["position"].alias("position"), schema.alias("schema_text"), F.size(grid).alias("row_count"), sheet["sheet"].alias("sheet"), preview.alias("preview"), csv.alias("csv"))
+
+
+def with_tables(docs: DataFrame) -> DataFrame:
+    """``docs (..., elements, sheets)`` with small sheets among ``elements`` and large ones in ``tables``; ``sheets`` goes.
+
+    ``tables`` is an array of (position, schema_text, row_count, sheet, preview, csv, file); ``file`` is the base of the name
+    of its CSV file, distinct within the document.  All of it is on the document's row: sheets do not shuffle.
+    """
+    some = F.filter("sheets", lambda s: F.size(s["rows"]) > 0)
+    markdown = lambda s: F.struct(s["position"].alias("position"), F.lit("table").alias("type"), markdown_table(s["rows"], False).alias("content"), F.lit(None).cast("string").alias("metadata"))
+    small = F.transform(F.filter(some, lambda s: ~grid_is_large(s["rows"])), markdown)
+    elements = F.when(F.size("sheets") > 0, F.sort_array(F.concat("elements", small.cast(docs.schema["elements"].dataType)))).otherwise(F.col("elements"))
+    found = docs.withColumn("elements", elements).withColumn("tables", F.transform(F.filter(some, lambda s: grid_is_large(s["rows"])), _large)).drop("sheets")
+    files = distinct_names(F.transform("tables", lambda t: safe_file_name(t["sheet"])))
+    named = F.zip_with("tables", files, lambda t, name: F.struct(*[t[n].alias(n) for n in ("position", "schema_text", "row_count", "sheet", "preview", "csv")], name.alias("file")))
+    return found.withColumn("tables", named)

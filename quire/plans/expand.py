@@ -7,12 +7,13 @@ the next level, so each file is parsed once and lost executors cost no more than
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.detect import media_type, parser, suffix
-from quire.functions.text import base_name
+from quire.functions.text import base_name, plain_file_name
 from quire.operators.elements import preorder
 from quire.operators.naming import directory_names
 from quire.plans.corpus import parent_label
@@ -41,23 +42,35 @@ def routed(files: DataFrame) -> DataFrame:
     return kinds.withColumn("ext", suffix(F.col("kind"), F.col("file_name"))).withColumn("parser", parser(F.col("ext"), F.col("file_name")))
 
 
-def expand(sources: DataFrame, depth_limit: int = MOST_DEPTH, images_recurse: bool = False, fail_fast: bool = False) -> dict[str, DataFrame]:
+def expand(
+    sources: DataFrame,
+    depth_limit: int = MOST_DEPTH,
+    images_recurse: bool = False,
+    fail_fast: bool = False,
+    keep_content: bool = False,
+    parsers: dict[str, Callable[[bytes], dict]] | None = None,
+) -> dict[str, DataFrame]:
     """All files within ``sources (session_id, file_name, content)``: tables ``docs`` and ``skipped``.
 
     ``docs`` has a row per supported file with its path of ordinals, ``seq``, ``dir``, ``parent`` and parsed
     lists; files without a parser are in ``skipped`` and take no ``seq``.  Pictures are leaves; with
-    ``images_recurse`` each holds itself again until the depth limit, as some older corpora have it.
+    ``images_recurse`` each holds itself again until the depth limit, as some older corpora have it.  ``content`` stays
+    with ``keep_content``, for copies of the sources.  ``parsers`` are functions from bytes to the lists of ``PARSED``, by the
+    suffix that they take; they come before the known ones.
     """
+    parsers = parsers or {}
     spark = sources.sparkSession
     folder = f"{shared_folder(spark)}/quire-expand-{uuid.uuid4().hex}"
     level = sources.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), "file_name", F.lit(None).cast("int").alias("parent_position"), "content")
     docs, skipped = [], []
     for depth in range(depth_limit):
         files = routed(level)
+        if parsers:
+            files = files.withColumn("parser", F.when(F.col("ext").isin(*parsers), F.col("ext")).otherwise(F.col("parser")))
         skipped.append(files.where("parser is null").select("session_id", "path", "file_name", "ext"))
         picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), F.col("ext").alias("format"), F.col("content").alias("data")))
-        rows = parsed(files.where("parser is not null and parser <> 'image'"), fail_fast)
-        pictures = files.where("parser = 'image'").select(*[c for c in files.columns if c != "content"], *[_empty(rows, n) for n in ("elements", "sheets", "embedded")], picture.cast(rows.schema["images"].dataType).alias("images"), F.lit(None).cast("string").alias("error"))
+        rows = parsed(files.where("parser is not null and parser <> 'image'"), fail_fast, keep_content, parsers)
+        pictures = files.where("parser = 'image'").select(*[c for c in files.columns if c != "content" or keep_content], *[_empty(rows, n) for n in ("elements", "sheets", "embedded")], picture.cast(rows.schema["images"].dataType).alias("images"), F.lit(None).cast("string").alias("error"))
         path = f"{folder}/{depth}"
         rows.unionByName(pictures).write.parquet(path)
         done = spark.read.parquet(path)
@@ -83,7 +96,7 @@ def expand(sources: DataFrame, depth_limit: int = MOST_DEPTH, images_recurse: bo
     above = named.select("session_id", F.col("path").alias("up"), F.col("dir").alias("parent_dir"))
     up = F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))
     full = placed.withColumn("up", F.when(F.col("depth") > 0, up)).join(above, ["session_id", "up"], "left")
-    out = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", "file_name"))
+    out = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", plain_file_name(F.col("file_name"))))
     return {"docs": out.drop("up", "parent_dir"), "skipped": lost}
 
 

@@ -11,13 +11,15 @@ import posixpath
 import re
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.text import control_trim
+
 PARSED = (
     "elements array<struct<position:int,type:string,content:string,metadata:string>>,"
     "sheets array<struct<sheet:string,position:int,rows:array<array<string>>>>,"
@@ -58,6 +60,11 @@ def _relations(archive: zipfile.ZipFile, part: str) -> dict[str, str]:
     return {r.get("Id"): posixpath.normpath(posixpath.join(folder, r.get("Target"))).lstrip("/") for r in ElementTree.fromstring(archive.read(rels)).iter(f"{P}Relationship")}
 
 
+#: The same characters as ``functions.text.BLANK`` (fixed values), and those that are trimmed: all up to U+0020.
+_BLANK = re.compile(r"[\x09-\x0d\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000]*")
+_ENDS = "".join(map(chr, range(33)))
+
+
 def _text(node: ElementTree.Element) -> str:
     marks = {f"{W}tab": "\t", f"{W}br": "\n"}
     return "".join(marks.get(x.tag, (x.text or "") if x.tag == f"{W}t" else "") for x in node.iter())
@@ -96,8 +103,8 @@ def parse_docx(data: bytes) -> dict:
         for part in sorted(n for n in names if n.startswith(f"word/{kind}") and n.endswith(".xml")):
             for block in ElementTree.fromstring(archive.read(part)):
                 text = markdown(_grid(block)) if block.tag == f"{W}tbl" else _text(block)
-                if text.strip():
-                    add(len(elements), kind, text)
+                if not _BLANK.fullmatch(text):
+                    add(len(elements), kind, text.strip(_ENDS))
     rels = _relations(archive, "word/document.xml")
     body = ElementTree.fromstring(archive.read("word/document.xml")).find(f"{W}body")
     at = len(elements)
@@ -110,9 +117,10 @@ def parse_docx(data: bytes) -> dict:
             for target in shown:
                 images.append({"file_name": posixpath.basename(target), "position": at, "format": target.rpartition(".")[2].lower(), "data": archive.read(target)})
             text = _text(block)
-            if text.strip():
-                add(at + len(shown), "paragraph", text)
-            at += len(shown) + bool(text.strip())
+            told = not _BLANK.fullmatch(text)
+            if told:
+                add(at + len(shown), "paragraph", text.strip(_ENDS))
+            at += len(shown) + told
     embedded = []
     for part in (n for n in names if "embeddings" in n and not n.endswith((".rels", "/"))):
         (name, content), place = unboxed(posixpath.basename(part), archive.read(part)), len(elements)
@@ -234,21 +242,22 @@ PARSERS = {"pdf": parse_pdf, "zip": parse_zip, "docx": parse_docx, "xlsx": parse
 _LISTS = ("elements", "sheets", "embedded", "images")
 
 
-def parsed(files: DataFrame, fail_fast: bool = False) -> DataFrame:
-    """``files (..., parser, content)`` with the columns of ``PARSED`` in place of ``content``.
+def parsed(files: DataFrame, fail_fast: bool = False, keep_content: bool = False, parsers: dict[str, Callable[[bytes], dict]] | None = None) -> DataFrame:
+    """``files (..., parser, content)`` with the columns of ``PARSED`` in place of ``content``, or beside it if it is kept.
 
     A file that cannot be read gets its reason in ``error`` and empty lists, unless ``fail_fast``; so does
-    one whose parser is not among ``PARSERS``.
+    one whose parser is not among ``parsers`` (``PARSERS`` and what is given here; a given parser comes first).
     """
-    keys = [c for c in files.columns if c != "content"]
+    known = PARSERS | (parsers or {})
+    keys = [c for c in files.columns if c != "content" or keep_content]
     schema = files.select(*keys).schema
     added = files.sparkSession.createDataFrame([], PARSED).schema
 
     def one(kind: str, content: bytes | None) -> dict:
         try:
-            if kind not in PARSERS:
+            if kind not in known:
                 raise ValueError(f"no parser for {kind}")
-            return {"error": None} | PARSERS[kind](content or b"")
+            return {"error": None} | known[kind](content or b"")
         except Exception as e:  # any damage of a file belongs to its row
             if fail_fast:
                 raise
@@ -268,20 +277,31 @@ def parsed(files: DataFrame, fail_fast: bool = False) -> DataFrame:
     return files.mapInArrow(work, type(schema)([*schema.fields, *added.fields]))
 
 
-def object_name(blob: Column) -> Column:
-    """File name at the start of an embedded object: the bytes before the first NUL, which must come within 260; null if there is none."""
+def _name_ends(blob: Column) -> Column:
+    """Place of an embedded object's first NUL, from 1; null without four bytes, or a NUL within 260 of them."""
     at = F.position(F.lit(b"\x00"), blob)
-    named = at.between(2, 260) & (F.octet_length(blob) >= 4)
-    return F.when(named, F.trim(F.decode(F.substring(blob, F.lit(1), at - 1), "US-ASCII")))
+    return F.when(at.between(1, 260) & (F.octet_length(blob) >= 4), at)
+
+
+def object_name(blob: Column) -> Column:
+    """File name at the start of an embedded object: the bytes before the first NUL, trimmed; null if there are none."""
+    at = _name_ends(blob)
+    return F.when(at > 1, control_trim(F.decode(F.substring(blob, F.lit(1), at - 1), "US-ASCII")))
 
 
 def object_content(blob: Column) -> Column:
-    """Content of an embedded object: after the name, as many bytes as a little-endian length says if that fits, else all that is left."""
-    start = F.position(F.lit(b"\x00"), blob)
+    """Content of an embedded object: after the first NUL, as many bytes as a little-endian length says if that fits, else all that is left."""
+    start = _name_ends(blob)
     rest = F.substring(blob, start + 1, F.octet_length(blob))
     digits = F.hex(F.substring(rest, 1, 4))
     turned = F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)])
     length = F.conv(turned, 16, 10).cast("long")
     left = F.octet_length(rest)
     fits = (left >= 4) & (length > 0) & (length + 4 <= left)
-    return F.when(start > 0, F.when(fits, F.substring(rest, F.lit(5), length.cast("int"))).when(left > 0, rest))
+    return F.when(fits, F.substring(rest, F.lit(5), length.cast("int"))).when(left > 0, rest)
+
+
+def object_file(blob: Column) -> Column:
+    """Name and content of an embedded object; null if it lacks either."""
+    name, content = object_name(blob), object_content(blob)
+    return F.when(name.isNotNull() & content.isNotNull(), F.struct(name.alias("file_name"), content.alias("data")))

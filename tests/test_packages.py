@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions import text
 from quire.operators.naming import allocate
 from quire.operators.tables import header_index, large_tables
 from quire.plans.expand import expand
@@ -174,10 +175,95 @@ def test_rescan(spark, tmp_path):
     from quire.plans.corpus import index_json
     from quire.sources import rescan
 
-    tables_ = F.expr("array(named_struct('position', 3, 'sheet', 'S 1', 'row_count', 60L))")
+    tables_ = F.expr("array(named_struct('position', 3, 'sheet', 'S 1', 'row_count', 60L, 'file', 'S_1'))")
     text = spark.range(1).select(index_json(F.lit("d/d.md"), F.lit(60), F.lit(0), tables_).alias("j")).first()[0]
     (tmp_path / "d/chunks").mkdir(parents=True)
     (tmp_path / "d/chunks/index.json").write_text(text)
     got = rescan.units(rescan.indexes(spark, f"{tmp_path}/*/chunks/index.json")).orderBy("task_type", "file").collect()
     assert [tuple(r) for r in got] == [("d", "chunk", "chunks/chunk_0001.md"), ("d", "chunk", "chunks/chunk_0002.md"), ("d", "csv", "data/S_1.csv")]
     assert rescan.texts(spark, f"{tmp_path}/*/chunks/index.json").first().value == text
+
+
+def test_trimmed_paragraphs():
+    """Paragraphs lose characters up to U+0020 at both ends; no-break spaces are neither trimmed nor blank."""
+    got = packages.parse_docx(docx(par("  padded \t") + par("\u3000 ") + par("\u00a0") + par("\u00a0kept\u00a0")))
+    assert [(e["position"], e["content"]) for e in got["elements"]] == [(0, "padded"), (1, "\u00a0"), (2, "\u00a0kept\u00a0")]
+
+
+def test_object_guards(spark):
+    """Without four bytes, or a NUL within 260 of them, an object has neither name nor content."""
+    blobs = [b"a\0b", b"ab\0", b"\0abcd", b"x" * 260 + b"\0yy", b"x" * 259 + b"\0yy", b"n.txt\0\x02\0\0\0hi!", b"n \0data", None]
+    df = spark.createDataFrame([(k, None if b is None else bytearray(b)) for k, b in enumerate(blobs)], "k int, b binary")
+    got = {r[0]: r[1] for r in df.select("k", packages.object_file(F.col("b"))).collect()}
+    assert [got[k] is None for k in range(8)] == [True, True, True, True, False, False, False, True]
+    assert bytes(got[4].data) == b"yy"
+    assert (got[5].file_name, bytes(got[5].data)) == ("n.txt", b"hi")
+    assert (got[6].file_name, bytes(got[6].data)) == ("n", b"data")
+
+
+def test_own_parser(spark):
+    """A parser that is given takes its suffix before the known ones, and files that were unsupported."""
+    own = {"txt": lambda data: {"elements": [{"position": 0, "type": "note", "content": data.decode(), "metadata": None}]}}
+    df = spark.createDataFrame([("s", "a.txt", bytearray(b"hello"))], "session_id string, file_name string, content binary")
+    docs = expand(df, parsers=own)["docs"].collect()
+    assert [(d.parser, d.elements[0].content) for d in docs] == [("txt", "hello")]
+    assert expand(df)["docs"].count() == 0
+
+
+def test_distinct_names(spark):
+    cases = [["a", "a", "a_2"], ["a_2", "a", "a"], [], ["x"] * 5]
+    df = spark.createDataFrame([(c,) for c in cases], "n array<string>")
+    assert [r[0] for r in df.select(text.distinct_names(F.col("n"))).collect()] == [allocate(c) for c in cases]
+    pictures = spark.createDataFrame([(["p.png", "p.png", "p_2.png", "q"],)], "n array<string>")
+    assert pictures.select(text.distinct_names(F.col("n"), dotted=True)).first()[0] == ["p.png", "p_2.png", "p_2_2.png", "q"]
+
+
+def test_corpus_round_trip(spark, tmp_path):
+    """A word-processor file with a workbook in it becomes a folder of files, and is read back from there."""
+    import json
+
+    from quire.sources import rescan
+    from quire.sources.sinks import write_corpus
+
+    grid = [["id", "name, full", "x"], *([str(k), f"n{k}", 'say "hi"'] for k in range(59))]
+    small = [["a", "b"], ["1", "2"]]
+    book = xlsx({"Big Data": [[c.replace('"', "&quot;") for c in row] for row in grid], "Big_Data": grid, "Small": small})
+    outer = docx(par("Hello"), {"word/embeddings/big.xlsx": book})
+    sources = spark.createDataFrame([("s1", "in/p.docx", bytearray(outer)), ("s2", "none.docx", bytearray(docx("")))], "session_id string, file_name string, content binary")
+    written = write_corpus(expand(sources, keep_content=True)["docs"], f"file://{tmp_path}").collect()
+    paths = sorted(r.path for r in written)
+    assert paths == sorted(
+        ["s1/manifest.json", "s1/in_p/in_p.md", "s1/in_p/p.docx", "s1/in_p/chunks/index.json", "s1/in_p/chunks/chunk_0001.md"]
+        + [f"s1/big/{x}" for x in ("big.md", "big.xlsx", "chunks/index.json", "chunks/chunk_0001.md", "data/Big_Data.csv", "data/Big_Data_2.csv")]
+        + ["s2/manifest.json", "s2/none/none.md", "s2/none/none.docx", "s2/none/chunks/index.json", "s2/none/chunks/chunk_0001.md"]
+    )
+    assert (tmp_path / "s1/in_p/p.docx").read_bytes() == outer
+    csv = (tmp_path / "s1/big/data/Big_Data.csv").read_text().split("\n")
+    assert len(csv) == 61
+    assert csv[0] == 'id,"name, full",x'
+    assert csv[1] == '0,n0,"say ""hi"""'
+    body = (tmp_path / "s1/big/big.md").read_text()
+    assert body.startswith("# DOC: 1\n# SOURCE: big.xlsx\n# PARENT: in_p, pos=1\n\n# POS: 0 | TYPE: sheet_header\n")
+    assert "| TYPE: data_ref | schema: id | name, full | x | rows: 60 | file: data/Big_Data_2.csv\nColumns: id | name, full | x\nRow 1: 0, n0, say" in body
+    assert "| a | b |\n| --- | --- |\n| 1 | 2 |" in body
+    assert "PARENT" not in (tmp_path / "s1/in_p/in_p.md").read_text()
+    assert "TYPE: embed" in (tmp_path / "s1/in_p/in_p.md").read_text()
+    index = json.loads((tmp_path / "s1/big/chunks/index.json").read_text())
+    assert (index["total_elements"], index["total_large_tables"], [t["name"] for t in index["large_tables"]]) == (4, 2, ["Big_Data.csv", "Big_Data_2.csv"])
+    docs = rescan.manifests(spark, f"{tmp_path}/*/manifest.json").orderBy("session_id", "seq").collect()
+    assert [(d.session_id, d.seq, d.dir, d.type, d.element_count, d.data_ref_count, d.parent) for d in docs] == [("s1", 0, "in_p", "docx", 2, 0, "root"), ("s1", 1, "big", "xlsx", 4, 2, "in_p, pos=1"), ("s2", 0, "none", "docx", 0, 0, "root")]
+    units = {tuple(r) for r in rescan.units(rescan.indexes(spark, f"{tmp_path}/*/*/chunks/index.json")).collect()}
+    assert ("big", "csv", "data/Big_Data_2.csv") in units
+
+
+def test_pictures_in_a_corpus(spark, tmp_path):
+    """Pictures are written under distinct names, the body refers to those, and each is a document of its own."""
+    from quire.plans.corpus import corpus_files
+
+    source = docx(par("", 0, 1), pictures=["p q.png", "p_q.png"])
+    docs = expand(spark.createDataFrame([("s", "d.docx", bytearray(source))], "session_id string, file_name string, content binary"), keep_content=True)["docs"]
+    files = {r.path: bytes(r.content) for r in corpus_files(docs).collect()}
+    assert files["s/d/media/p_q.png"] == files["s/d/media/p_q_2.png"] == PNG
+    assert b"file: media/p_q_2.png" in files["s/d/d.md"]
+    assert b'"image_count":2' in files["s/manifest.json"]
+    assert {"s/p_q/p_q.md", "s/p_q_2/p_q.md", "s/p_q_2/media/p_q.png"} <= set(files)
