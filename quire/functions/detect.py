@@ -38,8 +38,9 @@ SUFFIXES = {
     "image/tiff": "tiff",
     "image/webp": "webp",
 }
+#: Suffixes of pictures (fixed values).
 IMAGE_SUFFIXES = ("png", "jpg", "jpeg", "gif", "bmp", "tiff", "tif", "webp")
-#: Parsers in order of priority, with the suffixes that they take.
+#: Parsers in order of priority, with the suffixes that they take (fixed values).
 PARSERS = (
     ("docx", ("docx", "docm")),
     ("doc", ("doc",)),
@@ -88,6 +89,7 @@ def parser(ext: Column, name: Column) -> Column:
 
 
 def image_format(name: Column, kind: Column) -> Column:
-    """Format of a picture: its name's suffix, else its media type's, else ``png``."""
-    by_name = name_suffix(name)
-    return F.when(by_name != "bin", by_name).otherwise(F.coalesce(reduce(lambda x, y: F.coalesce(x, y), [F.when(kind == k, s) for k, s in SUFFIXES.items() if k.startswith("image/")]), F.lit("png")))
+    """Format of a picture: its name's suffix, else its media type's, else ``png``; ``jpeg`` and ``tif`` are ``jpg`` and ``tiff``."""
+    folded = F.create_map(*[F.lit(x) for s in IMAGE_SUFFIXES for x in (s, {"jpeg": "jpg", "tif": "tiff"}.get(s, s))])
+    by_kind = F.create_map(*[F.lit(x) for k, s in SUFFIXES.items() if k.startswith("image/") for x in (k, s)])
+    return F.coalesce(F.try_element_at(folded, name_suffix(name)), F.try_element_at(by_kind, kind), F.lit("png"))

@@ -37,8 +37,9 @@ def allocate(bases: Iterable[str]) -> list[str]:
 def directory_names(docs: DataFrame, session: list[str], base: str = "base", order: str = "seq") -> DataFrame:
     """``docs`` with ``dir``, also where bases look like given names (a, a, a_2 become a, a_2, a_2_2).
 
-    Names can only meet within a family, the bases that are equal without closing ``_`` and digits, so
-    each family of a session is a group of its own.
+    Names can only meet within a family, the bases that are equal without closing ``_`` and digits.  Families of a
+    single base are numbered by rank; only those with several are folded in order, each family of a
+    session as a group of its own.
     """
     schema = T.StructType([*docs.schema.fields, T.StructField("dir", T.StringType())])
     names = docs.columns
@@ -48,5 +49,8 @@ def directory_names(docs: DataFrame, session: list[str], base: str = "base", ord
         group["dir"] = allocate(group[base])
         return group[[*names, "dir"]]
 
-    families = docs.withColumn("__family", F.regexp_replace(base, r"(_\d+)+\z", ""))
-    return families.groupBy(*session, "__family").applyInPandas(work, schema)
+    family = Window.partitionBy(*session, "__family")
+    families = docs.withColumn("__family", F.regexp_replace(base, r"(_\d+)+\z", "")).withColumn("__several", F.min(base).over(family) != F.max(base).over(family))
+    plain = simple_names(families.where("not __several"), session, base, order).drop("__family", "__several")
+    folded = families.where("__several").drop("__several").groupBy(*session, "__family").applyInPandas(work, schema)
+    return plain.unionByName(folded)

@@ -6,18 +6,20 @@ the next level, so each file is parsed once and lost executors cost no more than
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.detect import media_type, parser, suffix
+from quire.functions.detect import image_format, media_type, parser, suffix
 from quire.functions.text import base_name, plain_file_name
 from quire.operators.elements import preorder
 from quire.operators.naming import directory_names
 from quire.plans.corpus import parent_label
 from quire.sources.packages import parsed
+from quire.sources.sinks import removed
 
 MOST_DEPTH = 10
 _FRONTIER = ["session_id", "path", "depth", "file_name", "parent_position", "content"]
@@ -61,6 +63,7 @@ def expand(
     parsers = parsers or {}
     spark = sources.sparkSession
     folder = f"{shared_folder(spark)}/quire-expand-{uuid.uuid4().hex}"
+    atexit.register(removed, spark, folder)
     level = sources.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), "file_name", F.lit(None).cast("int").alias("parent_position"), "content")
     docs, skipped = [], []
     for depth in range(depth_limit):
@@ -68,7 +71,7 @@ def expand(
         if parsers:
             files = files.withColumn("parser", F.when(F.col("ext").isin(*parsers), F.col("ext")).otherwise(F.col("parser")))
         skipped.append(files.where("parser is null").select("session_id", "path", "file_name", "ext"))
-        picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), F.col("ext").alias("format"), F.col("content").alias("data")))
+        picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("content").alias("data")))
         rows = parsed(files.where("parser is not null and parser <> 'image'"), fail_fast, keep_content, parsers)
         pictures = files.where("parser = 'image'").select(*[c for c in files.columns if c != "content" or keep_content], *[_empty(rows, n) for n in ("elements", "sheets", "embedded")], picture.cast(rows.schema["images"].dataType).alias("images"), F.lit(None).cast("string").alias("error"))
         path = f"{folder}/{depth}"

@@ -21,8 +21,8 @@ STRATEGY = (
     {"check": "PAGE_INPUT", "chunks": "all", "csv": False, "image": False, "flagged": False},
     {"check": "KNOWLEDGE", "chunks": "all", "csv": True, "image": True, "flagged": False},
 )
-#: Words that mark a chunk as being about regulatory reports.
-KEYWORDS = ("report", "regulat", "complian", "submission", "disclos")
+#: Words that mark a chunk as being about regulatory reports: the specified ones (fixed values), then English ones.
+KEYWORDS = ("报送", "监管", "合规", "上报", "披露", "report", "regulat", "complian", "submission", "disclos")
 #: Personal data by category: field name and pattern, in Java's and RE2's common syntax.
 PERSONAL = {
     "e-mail": ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
@@ -34,20 +34,32 @@ PERSONAL = {
 #: How a masked value of a category must look.
 MASKING = {"e-mail": r"\*{3}@", "id number": r"\*{8}", "bank card": r"\*{4}", "mobile": r"\*{4}", "password": r"\A\*+\z"}
 MASKED = r"\*{3}"
+#: What every personal datum has in its text: a quick test before the patterns.
+PERSONAL_HINT = r"(?i)@|[0-9][0-9]|pass"
 #: Attributes that a report item must state, the weightiest first, each with the pattern that states it.
 REPORT_ATTRIBUTES = {
-    "owner": r"(?i)\bowner\b",
-    "logic": r"(?i)\blogic\b|\bderived\b",
-    "check_rule": r"(?i)\brule\b",
-    "name": r"(?i)\bname\b",
-    "definition": r"(?i)\bdefin",
-    "scope": r"(?i)\bscope\b",
-    "check_frequency": r"(?i)\bdaily\b|\bweekly\b|\bmonthly\b",
+    "owner": r"(?i)\bowner\b|dataowner",
+    "logic": r"(?i)\blogic\b|\bderived\b|取数逻辑",
+    "check_rule": r"(?i)\brule\b|校验规则",
+    "name": r"(?i)\bname\b|中文名",
+    "definition": r"(?i)\bdefin|口径",
+    "scope": r"(?i)\bscope\b|报送范围",
+    "check_frequency": r"(?i)\bdaily\b|\bweekly\b|\bmonthly\b|校验频率",
 }
 #: Rules that an input field should have.
-INPUT_RULES = {"required": r"(?i)\brequired\b|\bmandatory\b", "format": r"(?i)\bformat\b", "range": r"(?i)\bbetween\b|\brange\b", "precision": r"(?i)\bdecimal|\bprecision\b"}
-#: Kinds of knowledge, by the end or beginning of a word.
-KNOWLEDGE = {"INDICATOR": r"\b[^\W\d_]{3,}(?:rate|ratio|degree)\b", "QUALITY_RULE": r"\b(?:complete|accura|consist|timel|valid)[^\W\d_]*\b", "TAG": r"\b(?:tag|label|tier|level)[^\W\d_]*\b", "DATA_ITEM": r"\b[a-z]+_[a-z_]+\b"}
+INPUT_RULES = {
+    "required": r"(?i)\brequired\b|\bmandatory\b|必填",
+    "format": r"(?i)\bformat\b|格式",
+    "range": r"(?i)\bbetween\b|\brange\b|枚举|码值|取值范围",
+    "precision": r"(?i)\bdecimal|\bprecision\b|精度|小数",
+}
+#: Kinds of knowledge, by the end or beginning of a word; the endings in Chinese are the specified ones (fixed values).
+KNOWLEDGE = {
+    "INDICATOR": r"\b[^\W\d_]{3,}(?:rate|ratio|degree)\b|[\x{4e00}-\x{9fa5}]+[率比度]",
+    "QUALITY_RULE": r"\b(?:complete|accura|consist|timel|valid)[^\W\d_]*\b|完整性|准确性|一致性|时效性|有效性",
+    "TAG": r"\b(?:tag|label|tier|level)[^\W\d_]*\b|标签|画像|分层|等级",
+    "DATA_ITEM": r"\b[a-z]+_[a-z_]+\b",
+}
 CHUNK_TOKENS, CSV_TOKENS, DOCUMENT_TOKENS, GLOBAL_TOKENS = 2000, 3000, 4000, 8000
 CALL_SECONDS, REDUCES = 3, 2
 
@@ -84,7 +96,8 @@ def personal_findings(elements: DataFrame, keys: list[str]) -> DataFrame:
         return F.transform(F.regexp_extract_all("content", F.lit(pattern), F.lit(0)), lambda v: F.struct(F.lit(category).alias("category"), F.lit(field).alias("field"), v.alias("value_example")))
 
     kinds = [values(category, field, pattern) for category, (field, pattern) in PERSONAL.items()]
-    found = elements.select(*keys, "position", evidence(F.col("content"), 100).alias("evidence"), F.explode_outer(F.concat(*kinds)).alias("f")).where("f is not null")
+    likely = elements.where(F.col("content").rlike(PERSONAL_HINT))
+    found = likely.select(*keys, "position", evidence(F.col("content"), 100).alias("evidence"), F.explode_outer(F.concat(*kinds)).alias("f")).where("f is not null")
     return found.select(*keys, "position", "f.category", "f.field", "f.value_example", F.col("f.value_example").rlike(MASKED).alias("has_masking"), "evidence")
 
 
@@ -107,6 +120,16 @@ def personal_overall(by_document: DataFrame, keys: list[str]) -> DataFrame:
     return merged.select("category", "field", "value_example", "documents", "places", *[F.col(f"first.{k}").alias(f"first_{k}") for k in keys], risk(F.col("category"), F.col("value_example"), F.col("has_masking")).alias("risk"))
 
 
+def places(findings: DataFrame, finding: list[str], keys: list[str]) -> DataFrame:
+    """Where merged findings stand: ``(finding, keys, pos, evidence)``, a row per finding and document.
+
+    The small rows of a merge over all documents keep counts; this table keeps every position and its evidence, side by
+    side and in order, and joins with them on ``finding``.  Only what one document holds comes together in a row.
+    """
+    held = F.sort_array(F.collect_set(F.struct("position", "evidence")))
+    return findings.groupBy(*finding, *keys).agg(held.alias("held")).select(*finding, *keys, F.col("held.position").alias("pos"), F.col("held.evidence").alias("evidence"))
+
+
 RISKS = ("HIGH", "MEDIUM", "LOW")
 
 
@@ -123,6 +146,10 @@ def _named(bits: Column, names: list[str]) -> Column:
     return F.array_compact(F.array(*[F.when(bits.bitwiseAND(1 << k) != 0, F.lit(n)) for k, n in enumerate(names)]))
 
 
+def _rank(name: Column, names: list[str]) -> Column:
+    return F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), name), F.lit(len(names) + 1)).cast("int")
+
+
 def regulatory_findings(elements: DataFrame, keys: list[str], patterns: dict[str, str] = REPORT_ATTRIBUTES) -> DataFrame:
     """Elements as report items, named by their first word, with a bit for each attribute that they do not state."""
     every = (1 << len(patterns)) - 1
@@ -132,18 +159,21 @@ def regulatory_findings(elements: DataFrame, keys: list[str], patterns: dict[str
 
 
 def regulatory_overall(findings: DataFrame, keys: list[str], patterns: dict[str, str] = REPORT_ATTRIBUTES) -> DataFrame:
-    """Items merged over all places: everything that any of them lacks, the lack that weighs most, and how often they occur."""
+    """Items merged over all places: everything that any of them lacks, the lack that weighs most, and how often they occur.
+
+    ``severity_rank`` orders a report: 1 for the weightiest lack, one more than there are attributes for none.
+    """
     names = list(patterns)
     merged = findings.groupBy("item_name").agg(F.bit_or("missing").alias("bits"), F.count("*").alias("places"))
     listed = _named(F.col("bits"), names)
-    return merged.select("item_name", F.array_join(listed, ",").alias("missing_fields"), F.coalesce(F.get(listed, F.lit(0)), F.lit("none")).alias("severity"), "places")
+    return merged.select("item_name", F.array_join(listed, ",").alias("missing_fields"), F.coalesce(F.get(listed, F.lit(0)), F.lit("none")).alias("severity"), _rank(F.get(listed, F.lit(0)), names).alias("severity_rank"), "places")
 
 
 def input_findings(elements: DataFrame, keys: list[str], location: Column, patterns: dict[str, str] = INPUT_RULES) -> DataFrame:
     """Elements with a colon as input fields: the name before it, the place where they are, and the rules that are missing."""
     every = (1 << len(patterns)) - 1
     name = F.lower(F.trim(F.substring_index("content", ":", 1)))
-    return elements.where(F.col("content").contains(":")).select(*keys, "position", evidence(name, 40).alias("field_name"), location.alias("field_location"), (F.lit(every) - _stated(patterns, F.col("content"))).alias("missing"))
+    return elements.where(F.col("content").contains(":")).select(*keys, "position", evidence(name, 40).alias("field_name"), location.alias("field_location"), (F.lit(every) - _stated(patterns, F.col("content"))).alias("missing"), evidence(F.col("content"), 200).alias("evidence"))
 
 
 def input_overall(findings: DataFrame, patterns: dict[str, str] = INPUT_RULES) -> DataFrame:
@@ -170,6 +200,15 @@ def knowledge_overall(findings: DataFrame, keys: list[str]) -> DataFrame:
     return merged.select("category", "name", "places", *[F.col(f"first.{k}").alias(f"first_{k}") for k in keys], F.col("first.position").alias("first_position"), F.col("first.evidence").alias("evidence"))
 
 
+#: The four lists of a report's knowledge, by the category of their entries.
+KNOWLEDGE_LISTS = {"indicators": "INDICATOR", "tags": "TAG", "data_items": "DATA_ITEM", "quality_rules": "QUALITY_RULE"}
+
+
+def knowledge_lists(overall: DataFrame) -> dict[str, DataFrame]:
+    """The entries of ``knowledge_overall`` as the four lists of a report."""
+    return {name: overall.where(F.col("category") == kind).drop("category") for name, kind in KNOWLEDGE_LISTS.items()}
+
+
 def summary(personal: DataFrame, regulatory: DataFrame, inputs: DataFrame, knowledge: DataFrame) -> DataFrame:
     """The six counters of a report, in one row."""
     parts = [
@@ -213,6 +252,30 @@ def parsed_findings(answer: Column, schema: str) -> Column:
     return F.from_json(answer, f"array<{schema}>")
 
 
+def report_tables(personal: DataFrame, regulatory: DataFrame, inputs: DataFrame, knowledge: DataFrame) -> dict[str, DataFrame]:
+    """The tables of a report in their order, by the folder that each belongs in."""
+    lists = {f"findings/knowledge/{name}": rows.orderBy("name") for name, rows in knowledge_lists(knowledge).items()}
+    return {
+        "findings/pii_findings": personal.orderBy("category", risk_order(F.col("risk")), "value_example"),
+        "findings/regulatory_findings": regulatory.orderBy("severity_rank", "item_name"),
+        "findings/page_input_findings": inputs.orderBy(F.desc("n_missing"), "field_name", "field_location"),
+        **lists,
+    }
+
+
+def write_review(session: str, source: str, counters: DataFrame, tables: dict[str, DataFrame], folder: str) -> None:
+    """Writes a report below ``folder``: ``report.json`` and ``report.md`` with the counters of ``summary``, and each table as a folder of JSON lines."""
+    from quire.sources.sinks import write_files
+
+    names = counters.columns
+    head = report(F.lit(session), F.lit(source), F.current_timestamp(), {n: F.col(n) for n in names})
+    lines = F.concat(F.lit(f"# {session}\n\nSource: {source}\n\n"), *[F.concat(F.lit(f"- {n}: "), F.col(n).cast("string"), F.lit("\n")) for n in names])
+    files = F.array(F.struct(F.lit("report.json").alias("path"), head.alias("content")), F.struct(F.lit("report.md"), lines))
+    write_files(counters.select(F.inline(files)), folder).collect()  # two rows
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").json(f"{folder}/{name}")
+
+
 def report(session: Column, source: Column, generated_at: Column, counters: dict[str, Column]) -> Column:
     """A report's head and summary as JSON; the findings are tables of their own."""
     return F.to_json(F.struct(session.alias("session_id"), source.alias("source_file"), F.date_format(generated_at, "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"), F.struct(*[c.alias(k) for k, c in counters.items()]).alias("summary")))

@@ -13,6 +13,7 @@ from quire.functions.text import BLANK, NAME_KEEPS
 from quire.operators import elements as el
 from quire.operators import naming, tables
 from quire.plans import corpus, review
+from quire.sources.sinks import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -150,22 +151,34 @@ def file_names(spark, sf_dir):
     return reduce(DataFrame.unionAll, names).select("name", text.safe_file_name(name).alias("safe_name"), text.last_segment(name).alias("last_segment"), text.base_name(name).alias("base_name"))
 
 
-_PARTS = f"SELECT p_partkey, p_brand, {_BASE}(SELECT p_partkey, p_brand, p_name AS name FROM part))"
+#: Parts of a session, at most: a session is what came out of one file, so it doesn't grow with the table.
+SESSION_PARTS, FOLDED_PARTS = 4096, 128
+_PARTS = f"SELECT p_partkey, p_partkey // {SESSION_PARTS} AS session, {_BASE}(SELECT p_partkey, p_name AS name FROM part))"
 
 
-@query(f"""SELECT p_partkey, p_brand, CASE WHEN rank = 1 THEN base_name ELSE base_name || '_' || rank END AS dir FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, base_name ORDER BY p_partkey) AS rank FROM ({_PARTS}))""")
+def _session(size):
+    return F.expr(f"p_partkey div {size}").alias("session")
+
+
+@query(f"""SELECT p_partkey, session, CASE WHEN rank = 1 THEN base_name ELSE base_name || '_' || rank END AS dir FROM (SELECT *, row_number() OVER (PARTITION BY session, base_name ORDER BY p_partkey) AS rank FROM ({_PARTS}))""")
 def directory_suffix(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", text.base_name(F.col("p_name")).alias("base"))
-    return naming.simple_names(parts, ["p_brand"], "base", "p_partkey").drop("base")
+    parts = table(spark, sf_dir, "part").select("p_partkey", _session(SESSION_PARTS), text.base_name(F.col("p_name")).alias("base"))
+    return naming.simple_names(parts, ["session"], "base", "p_partkey").drop("base")
+
+
+#: Three bases in a session's turn, so that names clash; each takes the first that is free of base, base_2, base_3, ...
+_ODD = "'p' || p_partkey % 3 || CASE WHEN p_partkey % 5 = 0 THEN '_2' WHEN p_partkey % 7 = 0 THEN '_3' ELSE '' END"
 
 
-@query()
+@query(f"""WITH s AS (SELECT p_partkey // {FOLDED_PARTS} AS session, list(p_partkey ORDER BY p_partkey) AS keys, list([{_ODD}] ORDER BY p_partkey) AS bases FROM part GROUP BY 1),
+n AS (SELECT session, keys, bases, list_reduce(bases, lambda acc, x: list_append(acc, list_filter(list_transform(range(1, len(acc) + 2), lambda k: CASE WHEN k = 1 THEN x[1] ELSE x[1] || '_' || k END), lambda c: NOT list_contains(acc, c))[1])) AS dirs FROM s)
+SELECT session, unnest(keys) AS p_partkey, unnest(list_transform(bases, lambda b: b[1])) AS base, unnest(dirs) AS dir FROM n""")
 def directory_fold(spark, sf_dir):
     """Some bases already look like given names, so order decides who gets which."""
-    base = text.base_name(F.col("p_name"))
-    odd = F.when(F.col("p_partkey") % 5 == 0, F.concat(base, F.lit("_2"))).otherwise(base)
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", odd.alias("base"))
-    return naming.directory_names(parts, ["p_brand"], "base", "p_partkey")
+    key = F.col("p_partkey")
+    odd = F.concat(F.lit("p"), (key % 3).cast("string"), F.when(key % 5 == 0, "_2").when(key % 7 == 0, "_3").otherwise(""))
+    parts = table(spark, sf_dir, "part").select("p_partkey", _session(FOLDED_PARTS), odd.alias("base"))
+    return naming.directory_names(parts, ["session"], "base", "p_partkey")
 
 
 # --- quoting and formats ------------------------------------------------------------------------------------
@@ -215,16 +228,16 @@ def session_id_format(spark, sf_dir):
 # --- sheets ----------------------------------------------------------------------------------------------------
 
 _SHEETS = """s AS (
-  SELECT 'nation ' || c_nationkey AS sheet, c_custkey AS row_no, [CAST(c_custkey AS VARCHAR), c_name, c_mktsegment] AS cells FROM customer
+  SELECT 'nation ' || c_nationkey || ' part ' || c_custkey // 10000 AS sheet, c_custkey AS row_no, [CAST(c_custkey AS VARCHAR), c_name, c_mktsegment] AS cells FROM customer
   UNION ALL SELECT 'user ' || user_id, event_id, [CAST(event_id AS VARCHAR), event_type, props] FROM events
   UNION ALL SELECT 'orders of ' || o_custkey, o_orderkey, [CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority] FROM orders)"""
 
 
 def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of sheets of three kinds, so that small and large ones occur."""
+    """Rows of sheets of three kinds, so that small and large ones occur; a sheet holds no more customers than its part has."""
     parts = (("customer", "nation ", "c_nationkey", "c_custkey", ("c_name", "c_mktsegment")), ("events", "user ", "user_id", "event_id", ("event_type", "props")), ("orders", "orders of ", "o_custkey", "o_orderkey", ("o_orderstatus", "o_orderpriority")))
     rows = [
-        table(spark, sf_dir, name).select(F.concat(F.lit(word), F.col(key).cast("string")).alias("sheet"), F.col(number).alias("row_no"), F.array(F.col(number).cast("string"), *cells).alias("cells"))
+        table(spark, sf_dir, name).select(F.concat(F.lit(word), F.col(key).cast("string"), *([F.lit(" part "), F.expr("cast(c_custkey div 10000 as string)")] if name == "customer" else [])).alias("sheet"), F.col(number).alias("row_no"), F.array(F.col(number).cast("string"), *cells).alias("cells"))
         for name, word, key, number, cells in parts
     ]
     return reduce(DataFrame.unionAll, rows)
@@ -262,7 +275,7 @@ def large_table_schema_preview(spark, sf_dir):
   || '| ' || string_agg(CAST(n_nationkey AS VARCHAR) || ' | ' || n_name || ' |', chr(10) || '| ' ORDER BY n_nationkey) FILTER (WHERE NOT first) AS markdown
   FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) = 1 AS first FROM nation) JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
 def small_table_markdown(spark, sf_dir):
-    nations = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # one row per region of the world
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = nations.select(F.col("r_name").alias("sheet"), F.col("n_nationkey").alias("row_no"), F.array(F.col("n_nationkey").cast("string"), "n_name").alias("cells"))
     return tables.small_tables(rows, ["sheet"])
 
@@ -272,44 +285,45 @@ def large_table_csv(spark, sf_dir):
     return tables.csv_lines(_sheets(spark, sf_dir), ["sheet"])
 
 
-#: One workbook whose sheets are the users of events: a header at 2i, then the table at 2i + 1; large tables are no elements.
-_BOOK = """u AS (SELECT user_id, count(*) AS n, row_number() OVER (ORDER BY user_id) - 1 AS i FROM events GROUP BY user_id),
-b AS (SELECT user_id, n, i, 2 * i + 1 AS position, n > 50 AS is_large FROM u),
-k AS (SELECT count(*) + count(*) FILTER (WHERE NOT is_large) AS elements FROM b),
-c AS (SELECT CAST(unnest(range(greatest(1, (elements + 49) // 50))) AS BIGINT) AS q, elements FROM k)"""
+#: Workbooks whose sheets are 200 users of events each: a header at 2i, then the table at 2i + 1; large tables are no elements.
+BOOK_USERS = 200
+_BOOK = f"""u AS (SELECT user_id // {BOOK_USERS} AS book, user_id, count(*) AS n, row_number() OVER (PARTITION BY user_id // {BOOK_USERS} ORDER BY user_id) - 1 AS i FROM events GROUP BY user_id),
+b AS (SELECT book, user_id, n, i, 2 * i + 1 AS position, n > 50 AS is_large FROM u),
+k AS (SELECT book, count(*) + count(*) FILTER (WHERE NOT is_large) AS elements FROM b GROUP BY book),
+c AS (SELECT book, CAST(unnest(range(greatest(1, (elements + 49) // 50))) AS BIGINT) AS q, elements FROM k)"""
 
 
-def _workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sheets of the workbook as (user_id, n, position, is_large): a list of sheets, counted before it is numbered."""
-    sheets = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n")).withColumn("book", F.lit(0))
+def _workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets of the workbooks as (book, user_id, n, position, is_large), numbered within their book."""
+    sheets = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n")).withColumn("book", F.expr(f"user_id div {BOOK_USERS}"))
     place = F.row_number().over(_in_order("book", "user_id")) - 1
-    return sheets.select("user_id", "n", (2 * place + 1).alias("position"), (F.col("n") > tables.MOST_ROWS).alias("is_large"))
+    return sheets.select("book", "user_id", "n", (2 * place + 1).alias("position"), (F.col("n") > tables.MOST_ROWS).alias("is_large"))
 
 
-@query(f"""WITH {_BOOK} SELECT printf('chunk_%04d.md', q + 1) AS file, CAST(q * 50 AS INTEGER) AS pos_lo, CAST(least(q * 50 + 49, elements - 1) AS INTEGER) AS pos_hi,
-  EXISTS (SELECT 1 FROM b WHERE is_large AND position BETWEEN q * 50 AND least(q * 50 + 49, elements - 1)) AS includes_large_table FROM c""")
+@query(f"""WITH {_BOOK} SELECT book, printf('chunk_%04d.md', q + 1) AS file, CAST(q * 50 AS INTEGER) AS pos_lo, CAST(least(q * 50 + 49, elements - 1) AS INTEGER) AS pos_hi,
+  EXISTS (SELECT 1 FROM b WHERE b.book = c.book AND is_large AND position BETWEEN q * 50 AND least(q * 50 + 49, elements - 1)) AS includes_large_table FROM c""")
 def chunk_has_large_table(spark, sf_dir):
     """Ranges of chunks are on element indexes, positions of tables are not; both are compared as they are."""
-    sheets = _workbook(spark, sf_dir)
+    sheets = _workbooks(spark, sf_dir)
     size = el.CHUNK
-    chunks = sheets.agg((F.count("*") + F.count_if(~F.col("is_large"))).cast("int").alias("n"))
-    rows = chunks.select("n", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / size).cast("int"), F.lit(1)) - 1)).alias("q"))
-    ranges = rows.select("q", (F.col("q") * size).alias("pos_lo"), F.least(F.col("q") * size + size - 1, F.col("n") - 1).alias("pos_hi"))
+    chunks = sheets.groupBy("book").agg((F.count("*") + F.count_if(~F.col("is_large"))).cast("int").alias("n"))
+    rows = chunks.select("book", "n", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / size).cast("int"), F.lit(1)) - 1)).alias("q"))
+    ranges = rows.select("book", "q", (F.col("q") * size).alias("pos_lo"), F.least(F.col("q") * size + size - 1, F.col("n") - 1).alias("pos_hi"))
     # a table can only lie in the chunk that its position divided by the size names, so the range test becomes an equality and a filter
-    held = sheets.where("is_large").select(F.expr(f"cast(position div {size} as int)").alias("q"), "position")
-    hits = ranges.join(held, "q").where(F.col("position").between(F.col("pos_lo"), F.col("pos_hi"))).select("q").distinct()
-    flagged = ranges.join(hits.withColumn("hit", F.lit(True)), "q", "left")
-    return flagged.select(el.chunk_file(F.col("q") + 1).alias("file"), "pos_lo", "pos_hi", F.coalesce("hit", F.lit(False)).alias("includes_large_table"))
+    held = sheets.where("is_large").select("book", F.expr(f"cast(position div {size} as int)").alias("q"), "position")
+    hits = ranges.join(held, ["book", "q"]).where(F.col("position").between(F.col("pos_lo"), F.col("pos_hi"))).select("book", "q").distinct()
+    flagged = ranges.join(hits.withColumn("hit", F.lit(True)), ["book", "q"], "left")
+    return flagged.select("book", el.chunk_file(F.col("q") + 1).alias("file"), "pos_lo", "pos_hi", F.coalesce("hit", F.lit(False)).alias("includes_large_table"))
 
 
-@query(f"""WITH {_BOOK} SELECT user_id, CAST(position AS INTEGER) AS position, printf('chunk_%04d.md', position // 50 + 1) AS in_chunk, position // 50 < greatest(1, (elements + 49) // 50) AS in_chunk_exists FROM b, k WHERE is_large""")
+@query(f"""WITH {_BOOK} SELECT book, user_id, CAST(position AS INTEGER) AS position, printf('chunk_%04d.md', position // 50 + 1) AS in_chunk, position // 50 < greatest(1, (elements + 49) // 50) AS in_chunk_exists FROM b JOIN k USING (book) WHERE is_large""")
 def large_table_in_chunk(spark, sf_dir):
     """The chunk that a position names may not exist; it is then flagged."""
-    sheets = _workbook(spark, sf_dir)
-    count = sheets.agg((F.count("*") + F.count_if(~F.col("is_large"))).alias("elements")).withColumn("one", F.lit(1))
+    sheets = _workbooks(spark, sf_dir)
+    count = sheets.groupBy("book").agg((F.count("*") + F.count_if(~F.col("is_large"))).alias("elements"))
     number = F.expr(f"cast(position div {el.CHUNK} as int)") + 1
-    large = sheets.where("is_large").withColumn("one", F.lit(1)).join(F.broadcast(count), "one")  # a single row
-    return large.select("user_id", "position", el.chunk_file(number).alias("in_chunk"), (number <= F.greatest(F.ceil(F.col("elements") / el.CHUNK), F.lit(1))).alias("in_chunk_exists"))
+    large = sheets.where("is_large").join(count, "book")
+    return large.select("book", "user_id", "position", el.chunk_file(number).alias("in_chunk"), (number <= F.greatest(F.ceil(F.col("elements") / el.CHUNK), F.lit(1))).alias("in_chunk_exists"))
 
 
 @query(f"""WITH {_NUMBERED} SELECT sheet, '# POS: 1 | TYPE: data_ref | schema: ' || array_to_string(max(CASE WHEN row_no = 0 THEN cells END), ' | ') || ' | rows: ' || count(*) || ' | file: data/' || replace(sheet, ' ', '_') || '.csv' AS line
@@ -319,6 +333,62 @@ def data_ref_lines(spark, sf_dir):
     return found.select("sheet", tables.data_ref(F.lit(1), F.col("schema_text"), F.col("row_count"), F.col("sheet")).alias("line"))
 
 
+# --- files of workbooks: a user is a workbook, an event type a sheet; two are wide, so large, and their names sanitise equally
+
+_WIDE = {"error": "big data", "signup": "big_data"}
+_FILLERS = ", ".join(f"'x{k}'" for k in range(8))
+_WORKBOOKS = f"""sh AS (SELECT user_id, event_type, CASE event_type WHEN 'error' THEN 'big data' WHEN 'signup' THEN 'big_data' ELSE event_type END AS sheet, count(*) AS n,
+  event_type IN ('error', 'signup') OR count(*) > 50 AS large, row_number() OVER (PARTITION BY user_id ORDER BY event_type) - 1 AS i,
+  list(CASE WHEN event_type IN ('error', 'signup') THEN [CAST(event_id AS VARCHAR), event_type, props, {_FILLERS}] ELSE [CAST(event_id AS VARCHAR), event_type, props] END ORDER BY event_id) AS g FROM events GROUP BY user_id, event_type),
+fs AS (SELECT *, replace(sheet, ' ', '_') || CASE WHEN row_number() OVER (PARTITION BY user_id, large, replace(sheet, ' ', '_') ORDER BY i) = 1 THEN '' ELSE '_2' END AS file,
+  array_to_string(g[1], ' | ') AS head FROM sh),
+tx AS (SELECT *, '# POS: ' || 2 * i || ' | TYPE: sheet_header' || chr(10) || '[Sheet: ' || sheet || ']' || chr(10) || chr(10) || CASE WHEN large THEN '' ELSE '# POS: ' || (2 * i + 1) || ' | TYPE: table' || chr(10) || '| ' || head || ' |' || chr(10) || '| --- | --- | --- |'
+    || array_to_string(list_transform(g[2:], lambda r: chr(10) || '| ' || array_to_string(r, ' | ') || ' |'), '') || chr(10) || chr(10) END AS told,
+  CASE WHEN large THEN '# POS: ' || (2 * i + 1) || ' | TYPE: data_ref | schema: ' || head || ' | rows: ' || n || ' | file: data/' || file || '.csv' || chr(10) || 'Columns: ' || head
+    || CASE WHEN n > 1 THEN chr(10) || 'Row 1: ' || array_to_string(g[2], ', ') ELSE '' END || CASE WHEN n > 2 THEN chr(10) || 'Row 2: ' || array_to_string(g[3], ', ') ELSE '' END || chr(10) || chr(10) ELSE '' END AS refs,
+  CASE WHEN large THEN '{{"name":"' || file || '.csv","sheet":"' || sheet || '","pos":' || (2 * i + 1) || ',"rows":' || n || ',"file":"data/' || file || '.csv","in_chunk":"chunk_0001.md"}}' END AS listed FROM fs),
+wb AS (SELECT 'user_' || user_id AS d, count(*) + count(*) FILTER (WHERE NOT large) AS e, count(*) FILTER (WHERE large) AS t, count(*) AS s, string_agg(told, '' ORDER BY i) AS told, string_agg(refs, '' ORDER BY i) AS refs,
+  coalesce(string_agg(listed, ',' ORDER BY i), '') AS listed, max(CASE WHEN large THEN 2 * i + 1 ELSE -1 END) AS last, min(CASE WHEN large THEN 2 * i + 1 ELSE 999 END) AS first FROM tx GROUP BY user_id),
+csv AS (SELECT 'user_' || user_id AS d, file, array_to_string(list_transform(g, lambda r: array_to_string(list_transform(r, lambda x: CASE WHEN regexp_matches(x, '[,"\\n]') THEN '"' || replace(x, '"', '""') || '"' ELSE x END), ',') || chr(10)), '') AS content FROM fs WHERE large),
+files AS (
+  SELECT d || '/' || d || '/' || d || '.md' AS path, '# DOC: 0' || chr(10) || '# SOURCE: ' || d || '.xlsx' || chr(10) || chr(10) || told || refs || '# POS: ' || 2 * s || ' | TYPE: image | file: media/p_q.png' || chr(10) || chr(10)
+    || '# POS: ' || (2 * s + 1) || ' | TYPE: image | file: media/p_q_2.png' || chr(10) || chr(10) AS content FROM wb
+  UNION ALL SELECT d || '/' || d || '/chunks/index.json', '{{"source":"' || d || '/' || d || '.md","total_elements":' || e || ',"total_large_tables":' || t || ',"total_images":2,"chunk_size":50,"chunks":[{{"file":"chunk_0001.md","pos_range":[0,' || (e - 1) || '],"element_count":' || e
+    || ',"includes_large_table":' || CASE WHEN first <= e - 1 THEN 'true' ELSE 'false' END || '}}],"large_tables":[' || listed || ']}}' FROM wb
+  UNION ALL SELECT d || '/' || d || '/chunks/chunk_0001.md', '# Chunk 1 of 1' || chr(10) || '# Source: ' || d || '/' || d || '.md' || chr(10) || '# Pos range: 0 - ' || (e - 1) || chr(10) || chr(10) || told FROM wb
+  UNION ALL SELECT d || '/' || d || '/data/' || file || '.csv', content FROM csv
+  UNION ALL SELECT d || '/' || d || '/media/' || unnest(['p_q.png', 'p_q_2.png']), 'picture of ' || d FROM wb
+  UNION ALL SELECT d || '/manifest.json', '{{"session_id":"' || d || '","source_file":"' || d || '.xlsx","docs":[{{"seq":0,"dir":"' || d || '","source":"' || d || '.xlsx","source_copy":"' || d || '/' || d || '.xlsx","type":"xlsx","element_count":' || e
+    || ',"data_ref_count":' || t || ',"image_count":2,"parent":"root"}}]}}' FROM wb)"""
+
+
+def _workbook_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks as ``expand`` gives them: their sheets' rows, a header element per sheet, two pictures after the last sheet."""
+    wide = F.col("event_type").isin(*_WIDE)
+    plain = [F.col("event_id").cast("string"), F.col("event_type"), F.col("props")]
+    cells = F.when(wide, F.array(*plain, *[F.lit(f"x{k}") for k in range(8)])).otherwise(F.array(*plain))
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", cells.alias("cells"))
+    # a sheet is one page of a workbook, a workbook one file
+    sheets = rows.groupBy("user_id", "event_type").agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "cells"))), lambda r: r["cells"]).alias("rows"))
+    books = sheets.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_type", "rows"))).alias("pages"))
+    name = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
+    known = F.create_map(*[F.lit(x) for pair in _WIDE.items() for x in pair])
+    title = lambda p: F.coalesce(F.try_element_at(known, p["event_type"]), p["event_type"])
+    header = lambda p, i: F.struct((2 * i).alias("position"), F.lit("sheet_header").alias("type"), F.concat(F.lit("[Sheet: "), title(p), F.lit("]")).alias("content"), F.lit(None).cast("string").alias("metadata"))
+    page = lambda p, i: F.struct(title(p).alias("sheet"), (2 * i + 1).alias("position"), p["rows"].alias("rows"))
+    picture = lambda file, k: F.struct(F.lit(file).alias("file_name"), (2 * F.size("pages") + k).alias("position"), F.lit("png").alias("format"), F.encode(F.concat(F.lit("picture of "), name), "UTF-8").alias("data"))
+    return books.select(
+        name.alias("session_id"), name.alias("dir"), name.alias("base"), F.concat(name, F.lit(".xlsx")).alias("file_name"), F.lit(0).alias("seq"), F.lit(0).alias("depth"), F.lit("xlsx").alias("parser"), F.lit("root").alias("parent"),
+        F.transform("pages", header).alias("elements"), F.transform("pages", page).alias("sheets"), F.array(picture("p q.png", 0), picture("p_q.png", 1)).alias("images"),
+    )
+
+
+@query(f"WITH {_WORKBOOKS} SELECT path, md5(content) AS content_md5 FROM files")
+def workbook_corpus_files(spark, sf_dir):
+    """Every file of the workbooks' corpora: bodies, indexes, chunks, CSV files, pictures, manifests."""
+    return corpus.corpus_files(staged(_workbook_documents(spark, sf_dir))).select("path", F.md5("content").alias("content_md5"))
+
+
 # --- detection and routing -------------------------------------------------------------------------------------
 
 _LIST = ("a.docx", "B.DOCM", "old.doc", "t.xlsx", "t.XLS", "p.pdf", "z.zip", "i.JPeG", "i.webp", "notes.txt", "rows.csv", "noext", "dot.", ".hidden")
@@ -345,41 +415,41 @@ def unsupported_drop(spark, sf_dir):
     return _routed(spark, sf_dir).where("parser is null").groupBy("ext").agg(F.count("*").alias("n"))
 
 
-# --- trees: a binary heap over the parts of a brand ------------------------------------------------------------
+# --- trees: a binary heap over the parts of a session ------------------------------------------------------------
 
-_HEAP = """h AS (SELECT p_brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INTEGER) AS k, p_partkey FROM part)"""
-_TREE = f"""RECURSIVE {_HEAP}, t AS (SELECT p_brand, k, p_partkey, [0] AS path, 0 AS depth FROM h WHERE k = 1
-  UNION ALL SELECT h.p_brand, h.k, h.p_partkey, list_append(t.path, h.k % 2), t.depth + 1 FROM t JOIN h ON h.p_brand = t.p_brand AND h.k // 2 = t.k WHERE h.k > 1 AND t.depth + 1 < {{limit}})"""
-TREE_DEPTH = 5
+_HEAP = f"""h AS (SELECT p_partkey // {SESSION_PARTS} AS session, CAST(row_number() OVER (PARTITION BY p_partkey // {SESSION_PARTS} ORDER BY p_partkey) AS INTEGER) AS k, p_partkey FROM part)"""
+_TREE = f"""RECURSIVE {_HEAP}, t AS (SELECT session, k, p_partkey, [0] AS path, 0 AS depth FROM h WHERE k = 1
+  UNION ALL SELECT h.session, h.k, h.p_partkey, list_append(t.path, h.k % 2), t.depth + 1 FROM t JOIN h ON h.session = t.session AND h.k // 2 = t.k WHERE h.k > 1 AND t.depth + 1 < {{limit}})"""
+TREE_DEPTH = 10
 
 
 def _heap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes with the ordinals on the way to them: the bits of their number."""
-    rank = F.row_number().over(_in_order("p_brand", "p_partkey"))
-    nodes = table(spark, sf_dir, "part").select("p_brand", "p_partkey", rank.alias("k"))
+    rank = F.row_number().over(_in_order("session", "p_partkey"))
+    nodes = table(spark, sf_dir, "part").select(_session(SESSION_PARTS), "p_partkey").select("session", "p_partkey", rank.alias("k"))
     bits = F.bin("k")
     depth = F.length(bits) - 1
     steps = F.transform(F.sequence(F.lit(1), F.length(bits)), lambda i: F.when(i == 1, 0).otherwise(F.substr(bits, i, F.lit(1)).cast("int")))
-    return nodes.select("p_brand", "p_partkey", "k", steps.alias("path"), depth.cast("int").alias("depth"))
+    return nodes.select("session", "p_partkey", "k", steps.alias("path"), depth.cast("int").alias("depth"))
 
 
-@query(f"WITH {_TREE.format(limit=TREE_DEPTH)} SELECT p_brand, p_partkey, CAST(depth AS INTEGER) AS depth FROM t")
+@query(f"WITH {_TREE.format(limit=TREE_DEPTH)} SELECT session, p_partkey, CAST(depth AS INTEGER) AS depth FROM t")
 def tree_depth_limit(spark, sf_dir):
-    return _heap(spark, sf_dir).where(F.col("depth") < TREE_DEPTH).select("p_brand", "p_partkey", "depth")
+    return _heap(spark, sf_dir).where(F.col("depth") < TREE_DEPTH).select("session", "p_partkey", "depth")
 
 
-@query(f"WITH {_TREE.format(limit=99)} SELECT p_brand, p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY path) - 1 AS INTEGER) AS seq FROM t")
+@query(f"WITH {_TREE.format(limit=99)} SELECT session, p_partkey, CAST(row_number() OVER (PARTITION BY session ORDER BY path) - 1 AS INTEGER) AS seq FROM t")
 def preorder_seq(spark, sf_dir):
-    return el.preorder(_heap(spark, sf_dir), ["p_brand"]).select("p_brand", "p_partkey", "seq")
+    return el.preorder(_heap(spark, sf_dir), ["session"]).select("session", "p_partkey", "seq")
 
 
-@query(f"WITH {_HEAP} SELECT c.p_brand, c.p_partkey, CASE WHEN c.k = 1 THEN 'root' ELSE 'part_' || p.p_partkey || ', pos=' || (c.k % 2) END AS parent FROM h c LEFT JOIN h p ON p.p_brand = c.p_brand AND p.k = c.k // 2 AND c.k > 1")
+@query(f"WITH {_HEAP} SELECT c.session, c.p_partkey, CASE WHEN c.k = 1 THEN 'root' ELSE 'part_' || p.p_partkey || ', pos=' || (c.k % 2) END AS parent FROM h c LEFT JOIN h p ON p.session = c.session AND p.k = c.k // 2 AND c.k > 1")
 def parent_label(spark, sf_dir):
     nodes = _heap(spark, sf_dir)
     up = F.when(F.col("depth") > 0, F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(1))))
-    above = nodes.select("p_brand", F.col("path").alias("up"), F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("parent_dir"))
-    both = nodes.withColumn("up", up).join(above, ["p_brand", "up"], "left")
-    return both.select("p_brand", "p_partkey", corpus.parent_label(F.col("parent_dir"), F.element_at("path", -1)).alias("parent"))
+    above = nodes.select("session", F.col("path").alias("up"), F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("parent_dir"))
+    both = nodes.withColumn("up", up).join(above, ["session", "up"], "left")
+    return both.select("session", "p_partkey", corpus.parent_label(F.col("parent_dir"), F.element_at("path", -1)).alias("parent"))
 
 
 # --- review ---------------------------------------------------------------------------------------------------
@@ -429,7 +499,9 @@ _PG = f"{_PD}, pg AS (SELECT category, field, value_example, count(*) AS documen
 
 
 def _personal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.personal_findings(_elements(spark, sf_dir), ["doc_id"])
+    """Documents without a hint of personal data are left out before they are split into lines."""
+    likely = table(spark, sf_dir, "documents").where(F.col("text").rlike(review.PERSONAL_HINT))
+    return review.personal_findings(el.exploded(el.text_documents(likely)), ["doc_id"])
 
 
 @query(f"WITH {_PII} SELECT * FROM pf")
@@ -457,7 +529,8 @@ def pii_risk_rank(spark, sf_dir):
 
 #: Patterns for the made-up prose, one for each attribute and rule.
 PROSE_ATTRIBUTES = dict(zip(review.REPORT_ATTRIBUTES, ("the", "and|und", "tion", "ou", "en", "er", "la"), strict=True))
-PROSE_RULES = dict(zip(review.INPUT_RULES, ("en", "er", "la", "the"), strict=True))
+#: What the input fields of events may state.
+PROSE_RULES = dict(zip(review.INPUT_RULES, ("[0-9][0-9]", ": [0-5]", "7", "error|click"), strict=True))
 PROSE_KNOWLEDGE = {"INDICATOR": r"[a-z]{3,}(?:tion|keit)", "QUALITY_RULE": r"ver[a-z]+", "TAG": r"thou[a-z]*", "DATA_ITEM": r"[a-z]+mente"}
 
 
@@ -470,7 +543,8 @@ def _listed(patterns: dict[str, str]) -> str:
 
 
 _REG = rf"""{_E}, g AS (SELECT lower(regexp_extract(content, '[^\W\d_]+')) AS item_name, bit_or({_bits(PROSE_ATTRIBUTES)}) AS bits, count(*) AS places FROM e WHERE regexp_extract(content, '[^\W\d_]+') <> '' GROUP BY 1),
-reg AS (SELECT item_name, coalesce(array_to_string({_listed(PROSE_ATTRIBUTES)}, ','), '') AS missing_fields, coalesce(({_listed(PROSE_ATTRIBUTES)})[1], 'none') AS severity, places FROM g)"""
+reg AS (SELECT item_name, coalesce(array_to_string({_listed(PROSE_ATTRIBUTES)}, ','), '') AS missing_fields, coalesce(({_listed(PROSE_ATTRIBUTES)})[1], 'none') AS severity,
+  CAST(coalesce(list_position([{", ".join(f"'{n}'" for n in PROSE_ATTRIBUTES)}], ({_listed(PROSE_ATTRIBUTES)})[1]), {len(PROSE_ATTRIBUTES) + 1}) AS INTEGER) AS severity_rank, places FROM g)"""
 
 
 @query(f"WITH {_REG} SELECT * FROM reg")
@@ -478,17 +552,21 @@ def regulatory_reduce(spark, sf_dir):
     return review.regulatory_overall(review.regulatory_findings(_elements(spark, sf_dir), ["doc_id"], PROSE_ATTRIBUTES), ["doc_id"], PROSE_ATTRIBUTES)
 
 
-_INP = f"""ie AS (SELECT e.*, source FROM e JOIN documents USING (doc_id) WHERE contains(content, ':')),
-ig AS (SELECT substring(lower(trim(string_split(content, ':')[1])), 1, 40) AS field_name, source AS field_location, bit_or({_bits(PROSE_RULES)}) AS bits, count(*) AS places FROM ie GROUP BY 1, 2),
+_INP = f"""ie AS (SELECT event_id, 0 AS position, event_type AS field_location, 'Field ' || event_id % 40 || ': ' || event_type || ' ' || props AS content FROM events),
+ig AS (SELECT substring(lower(trim(string_split(content, ':')[1])), 1, 40) AS field_name, field_location, bit_or({_bits(PROSE_RULES)}) AS bits, count(*) AS places FROM ie WHERE contains(content, ':') GROUP BY 1, 2),
 inp AS (SELECT field_name, field_location, coalesce(array_to_string({_listed(PROSE_RULES)}, ','), '') AS missing_rules, CAST(bit_count(bits) AS INTEGER) AS n_missing, places FROM ig)"""
 
 
-@query(f"WITH {_E}, {_INP} SELECT * FROM inp")
+def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lines of a page that describe its input fields."""
+    line = F.concat(F.lit("Field "), (F.col("event_id") % 40).cast("string"), F.lit(": "), "event_type", F.lit(" "), "props")
+    rows = table(spark, sf_dir, "events").select("event_id", F.lit(0).alias("position"), line.alias("content"), "event_type")
+    return review.input_findings(rows, ["event_id"], F.col("event_type"), PROSE_RULES)
+
+
+@query(f"WITH {_INP} SELECT * FROM inp")
 def page_input_reduce(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    parsed = docs.select("doc_id", "source", text.lines(F.col("text")).alias("lines"))
-    rows = parsed.select("doc_id", "source", F.posexplode_outer("lines").alias("position", "content")).where("position is not null")
-    return review.input_overall(review.input_findings(rows, ["doc_id"], F.col("source"), PROSE_RULES), PROSE_RULES)
+    return review.input_overall(_inputs(spark, sf_dir), PROSE_RULES)
 
 
 _KNOW = "kf AS (" + " UNION ALL ".join(f"SELECT doc_id, idx AS position, '{c}' AS category, unnest(regexp_extract_all(lower(content), '{p}')) AS name, substring(content, 1, 200) AS evidence FROM e" for c, p in PROSE_KNOWLEDGE.items()) + """),
@@ -500,10 +578,55 @@ def knowledge_reduce(spark, sf_dir):
     return review.knowledge_overall(review.knowledge_findings(_elements(spark, sf_dir), ["doc_id"], PROSE_KNOWLEDGE), ["doc_id"])
 
 
+def _linked(sql: str, finding: str) -> str:
+    """Positions and evidence of each finding in each document, as text."""
+    return f"""SELECT {finding}, doc_id, array_to_string(list_transform(h, lambda x: x.position), ',') AS pos, md5(array_to_string(list_transform(h, lambda x: x.evidence), '|')) AS evidence_md5
+  FROM (SELECT {finding}, doc_id, list_sort(list(DISTINCT {{'position': position, 'evidence': evidence}})) AS h FROM ({sql}) GROUP BY {finding}, doc_id)"""
+
+
+def _links(findings: DataFrame, finding: list[str]) -> DataFrame:
+    found = review.places(findings, finding, ["doc_id"])
+    return found.select(*finding, "doc_id", F.array_join(F.col("pos").cast("array<string>"), ",").alias("pos"), F.md5(F.array_join("evidence", "|")).alias("evidence_md5"))
+
+
+@query(f"WITH {_PII} {_linked('SELECT * FROM pf', 'category, field, value_example')}")
+def pii_places(spark, sf_dir):
+    return _links(_personal(spark, sf_dir), ["category", "field", "value_example"])
+
+
+_ITEMS = r"SELECT lower(regexp_extract(content, '[^\W\d_]+')) AS item_name, doc_id, idx AS position, substring(content, 1, 200) AS evidence FROM e WHERE regexp_extract(content, '[^\W\d_]+') <> ''"
+
+
+@query(f"WITH {_E} {_linked(_ITEMS, 'item_name')}")
+def regulatory_places(spark, sf_dir):
+    return _links(review.regulatory_findings(_elements(spark, sf_dir), ["doc_id"], PROSE_ATTRIBUTES), ["item_name"])
+
+
+@query(f"WITH {_INP} {_linked('SELECT substring(lower(trim(string_split(content, chr(58))[1])), 1, 40) AS field_name, field_location, event_id AS doc_id, position, substring(content, 1, 200) AS evidence FROM ie', 'field_name, field_location')}")
+def page_input_places(spark, sf_dir):
+    return _links(_inputs(spark, sf_dir).withColumnRenamed("event_id", "doc_id"), ["field_name", "field_location"])
+
+
+@query(f"WITH {_E}, {_KNOW} {_linked('SELECT * FROM kf', 'category, name')}")
+def knowledge_places(spark, sf_dir):
+    return _links(review.knowledge_findings(_elements(spark, sf_dir), ["doc_id"], PROSE_KNOWLEDGE), ["category", "name"])
+
+
+@query(f"WITH {_E}, {_KNOW} SELECT CASE category WHEN 'INDICATOR' THEN 'indicators' WHEN 'TAG' THEN 'tags' WHEN 'DATA_ITEM' THEN 'data_items' ELSE 'quality_rules' END AS list, name, places FROM know")
+def knowledge_lists(spark, sf_dir):
+    """The four lists of a report, one after the other."""
+    lists = review.knowledge_lists(staged(knowledge_reduce(spark, sf_dir)))
+    return reduce(DataFrame.unionAll, [rows.select(F.lit(name).alias("list"), "name", "places") for name, rows in lists.items()])
+
+
 @query(f"""WITH {_PG}, {_REG.removeprefix(_E + ', ')}, {_INP}, {_KNOW} SELECT (SELECT count(*) FROM pg) AS pii_total, (SELECT count(*) FROM pg WHERE {_RISK} = 'HIGH') AS pii_high_risk, (SELECT count(*) FROM reg WHERE missing_fields <> '') AS regulatory_missing,
   (SELECT count(*) FROM inp WHERE n_missing > 0) AS page_input_missing_rules, (SELECT count(*) FROM know WHERE category = 'INDICATOR') AS indicators_extracted, (SELECT count(*) FROM know WHERE category = 'TAG') AS tags_extracted""")
 def report_summary(spark, sf_dir):
-    return review.summary(pii_reduce_global(spark, sf_dir), regulatory_reduce(spark, sf_dir), page_input_reduce(spark, sf_dir), knowledge_reduce(spark, sf_dir))
+    """Documents are split into elements once, for all checks but the personal one, which reads few of them."""
+    elements = staged(_elements(spark, sf_dir).select("doc_id", "position", "content"))
+    regulatory = review.regulatory_overall(review.regulatory_findings(elements, ["doc_id"], PROSE_ATTRIBUTES), ["doc_id"], PROSE_ATTRIBUTES)
+    knowledge = review.knowledge_overall(review.knowledge_findings(elements, ["doc_id"], PROSE_KNOWLEDGE), ["doc_id"])
+    return review.summary(pii_reduce_global(spark, sf_dir), regulatory, page_input_reduce(spark, sf_dir), knowledge)
 
 
 @query(f"""WITH {_UNITS} SELECT doc_id, map_tokens, map_tokens + 12000 AS total_tokens FROM (SELECT doc_id, CAST(sum(CASE task_type WHEN 'csv' THEN 3000 WHEN 'chunk' THEN 2000 ELSE 0 END) AS BIGINT) AS map_tokens FROM units GROUP BY doc_id)""")
