@@ -17,6 +17,10 @@ than ``CROWD`` fingerprints therefore form no pairs; their fingerprints are link
 another way: two fingerprints are within two bits if and only if some 64-bit point is
 within one bit of both, and no point is within one bit of more than 65 fingerprints.  Joining
 each fingerprint to the smallest one at each of its 65 points gives the same components.
+
+``keep_one_of_each`` removes near copies of five-word shingles and a similarity of 0.8 from a corpus.  Their
+fingerprints may differ by a dozen bits and more, for which no join of whole fingerprints is selective; candidates
+there share the SimHash of a *lane*, a fixed small part of their shingles that most edits leave alone.
 """
 
 from __future__ import annotations
@@ -32,13 +36,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_texts, checkpointed, connected_components, stored
+from quire.llm.common import byte_texts, checkpointed, connected_components, mixed, stored
 
 GROUPS, PER_GROUP = 5, 9
 CROWD = 16
 LIMIT = 2
 SHINGLE = 3
 SEED = 42
+#: Near copies, as they are removed from a corpus: words of a shingle, share of the shingles of two texts that both have.
+WIDE_SHINGLE, SIMILARITY = 5, 0.8
+#: Bits that fingerprints of near copies may differ in: beyond, a pair isn't looked at (3.5 standard deviations at that similarity).
+WIDE_LIMIT = 20
+#: Shingles of a lane, lanes of a scale, and the fewest shingles of a lane that counts.
+LANE, MOST_LANES, LEAST_IN_LANE = 6, 32, 3
 #: (first bit, bits) of the block of each group.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 #: Bits that a distance takes in a packed row of the table.
@@ -167,21 +177,115 @@ def with_cluster(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: s
     return prints.join(found, prints.fp == found.node).select(F.col("id").alias(id_col), *(keep or []), F.col("root").alias(name))
 
 
+def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> np.ndarray:
+    """Distinct hashes of a text's shingles, in order; a text with fewer words has one shingle, one without words none."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    n = min(shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(b" ".join(words[k : k + n]), seed) for k in range(len(words) - n + 1)), dtype=np.uint64))
+
+
+def _simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """SimHash of each run of ``hashes``; ``first`` has where the runs begin."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64)
+    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+    size = np.diff(np.append(first, len(hashes)))
+    return np.packbits(2 * ones > size[:, None], axis=1).view(">u8")[:, 0].astype(np.uint64)
+
+
+def lanes(hashes: np.ndarray) -> np.ndarray:
+    """Keys of a text's lanes: SimHashes of fixed parts of its shingles.
+
+    A lane holds the shingles whose hash has a certain remainder; there are so many remainders that a lane has about
+    ``LANE`` shingles, or half as many on the next scale, and at most ``MOST_LANES`` of them are used on each.  An edit changes
+    the lanes of the few shingles that it touches and leaves the others as they are.  Texts whose numbers of shingles
+    are no more apart than four to five share a scale.
+    """
+    if not len(hashes):
+        return np.zeros(1, dtype=np.int64)
+    scale, out = max(0, int(np.log2(max(1, len(hashes) / LANE)))), []
+    mix = mixed(hashes)
+    for at in (scale, scale + 1):
+        own = mix & np.uint64((1 << at) - 1)
+        used = np.flatnonzero(own < MOST_LANES)
+        used = used[np.argsort(own[used], kind="stable")]
+        if not len(used):
+            continue
+        lane = own[used]
+        first = np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]]))
+        size = np.diff(np.append(first, len(lane)))
+        keys = mixed(_simhashes(hashes[used], first) + mixed(lane[first] * np.uint64(64) + np.uint64(at + 1)))
+        out.append(keys[(size >= LEAST_IN_LANE) | (at == 0)])
+    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, dtype=np.int64)
+
+
+def _sketched(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``(*keep, fp, lanes)`` of each row: the SimHash of all its shingles, and its lanes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(t, WIDE_SHINGLE) for t in byte_texts(batch.column(0))]
+            prints = [int(_simhashes(h, np.zeros(1, dtype=np.int64)).view(np.int64)[0]) if len(h) else 0 for h in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints, pa.int64()), pa.array([lanes(h) for h in found], pa.list_(pa.int64()))], names=[*keep, "fp", "lanes"])
+
+    read = rows.select(F.col(text).alias("__text"), *keep)
+    return read.mapInArrow(work, T.StructType([*(read.schema[k] for k in keep), T.StructField("fp", T.LongType()), T.StructField("lanes", T.ArrayType(T.LongType()))]))
+
+
+def _shingled(rows: DataFrame, text: str) -> DataFrame:
+    """``(row, shingles)``: the distinct shingles of each row."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(t, WIDE_SHINGLE).view(np.int64) for t in byte_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["row", "shingles"])
+
+    return rows.select("row", F.col(text)).mapInArrow(work, "row long, shingles array<long>")
+
+
+def similar_links(nodes: DataFrame, held: DataFrame, text: str) -> DataFrame:
+    """Links ``(a, b)`` between rows of ``nodes (row, fp, lanes)`` whose texts in ``held (row, text)`` have ``SIMILARITY``.
+
+    Each row is paired with the smallest row of every lane that it shares with others, so a lane that any number of rows
+    share gives one pair for each of them.  Pairs are discarded by their pivot coordinates, then by the distance of
+    their fingerprints, both within ``WIDE_LIMIT``; the survivors are verified on their shingles themselves.
+    """
+    keyed = nodes.select("row", "fp", F.explode("lanes").alias("key"))
+    least = keyed.groupBy("key").agg(F.min(F.struct("row", "fp")).alias("least"), F.count("*").alias("n")).where("n > 1").select("key", "least")
+    side = lambda row, fp: F.struct(row.alias("row"), fp.alias("fp"), *pivot_table(fp))
+    met = keyed.join(least, "key").where(F.col("row") != F.col("least.row")).select("row", "fp", "least").distinct()
+    told = met.select(side(F.col("row"), F.col("fp")).alias("x"), side(F.col("least.row"), F.col("least.fp")).alias("y"))
+    near = told.where(apart("x", "y") <= WIDE_LIMIT).where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= WIDE_LIMIT)
+    pairs = stored(near.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")))
+    wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    shingles = stored(_shingled(held.join(wanted, "row", "left_semi"), text))
+    first, second = (shingles.select(F.col("row").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    both = pairs.join(first, "a").join(second, "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    every = F.size("sa") + F.size("sb") - shared
+    return both.where((every == 0) | (shared >= SIMILARITY * every)).select("a", "b")
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` from each component of near copies, columns unchanged.
+    """One row of ``docs`` from each group of near copies, columns unchanged.
 
-    It is the row with the smallest id (rows without an id come last), of those the one whose text has the
-    smallest hash, of identical rows any one.  Each row has a key of its own for this, so a row stays or goes
-    whatever others share its id.  Null and empty texts are one component.  Very long texts are one row like
-    any other.  An empty table gives an empty result.
+    Near copies share ``SIMILARITY`` of their ``WIDE_SHINGLE``-word shingles; groups are what links between them reach.  The
+    row that stays has the smallest id (rows without an id come last), of those the text with the smallest hash, of
+    identical rows it is any one.  Each row has a key of its own for this, so a row stays or goes whatever others share
+    its id.  Texts without words are one group, null among them.  Very long texts are one row like any other.
+    An empty table gives an empty result.
     """
     names = [f"c{k}" for k in range(len(docs.columns))]
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], F.monotonically_increasing_id().alias("row"))
     own_id, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    same = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
     # stored with its key: a key that is computed again may not be the same
-    held = stored(fingerprints(rows.withColumn("__text", F.col(text)), own_id, "__text", keep=[*names, "row"]))
-    order = F.struct(F.col("id").isNull(), F.col("id"), F.xxhash64(text), F.col("row"))
-    best = held.groupBy("fp").agg(F.min(order).alias("best"))
-    found = components(held)
-    firsts = best.join(found, best.fp == found.node).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("kept"))
+    held = stored(_sketched(rows.select("*", *same), text, [*names, "row", "h1", "h2"]))
+    order = F.struct(F.col(own_id).isNull().alias("nameless"), F.col(own_id).alias("id"), F.col("h1"), F.col("row"))
+    texts = stored(held.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min(order).alias("best")).select("node", "best"))
+    nodes = held.select("row", "fp", "lanes").join(texts.select(F.col("node").alias("row")), "row", "left_semi")
+    roots = connected_components(similar_links(nodes, held.select("row", text), text))
+    firsts = texts.join(roots, texts.node == roots.vertex, "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("kept"))
     return held.join(firsts, held.row == firsts.kept, "left_semi").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -76,12 +77,29 @@ def test_components_of_crowds(spark):
         assert all(find(a) == find(b) for b in distinct[:k] if (a ^ b).bit_count() <= 2)
 
 
+def shingles(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", words)
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_groups(texts):
+    """Group of each text: what links of similarity 0.8 reach."""
+    sets = [shingles(t) for t in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            every = len(sets[a] | sets[b])
+            if group[a] != group[b] and (every == 0 or len(sets[a] & sets[b]) >= 0.8 * every):
+                group = [group[b] if g == group[a] else g for g in group]
+    return group
+
+
 def kept_rows(rows):
-    """What stays of (id, text) rows: of each component the smallest by id, null last."""
-    prints = [brute_fingerprint(t) for _, t in rows]
+    """What stays of (id, text) rows: of each group the smallest by id, null last."""
     parts = {}
-    for (i, t), (_, _, part) in zip(rows, brute_components([(k, f) for k, f in enumerate(prints)]), strict=True):
-        parts.setdefault(part, []).append((i is None, i or 0))
+    for (i, _), g in zip(rows, brute_groups([t for _, t in rows]), strict=True):
+        parts.setdefault(g, []).append((i is None, i or 0))
     return sorted(min(p) for p in parts.values())
 
 
@@ -103,6 +121,34 @@ def test_keeps_one_of_odd_rows(spark):
     assert sorted(r.text or "" for r in got if r.doc_id is None) in (["", "only here"], [" ", "only here"])
 
 
+@pytest.mark.parametrize("size", [20, 60, 150, 400, 3000])
+def test_near_copies(spark, size):
+    """Texts with a few words replaced: nearly all that are similar enough are found, no others are linked."""
+    rng = random.Random(size)
+    words = [f"w{k}" for k in range(5000)]
+    texts = []
+    for _ in range(40):
+        base = [rng.choice(words) for _ in range(size)]
+        copy = list(base)
+        for at in rng.sample(range(size), max(1, size * rng.choice([1, 1, 2, 3]) // 100)):
+            copy[at] = "changed"
+        texts += [" ".join(base), " ".join(copy)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one_of_each(df).collect()}
+    near = [k for k in range(0, len(texts), 2) if len(shingles(texts[k]) & shingles(texts[k + 1])) >= 0.8 * len(shingles(texts[k]) | shingles(texts[k + 1]))]
+    gone = set(range(len(texts))) - kept
+    assert gone <= {k + 1 for k in near}
+    assert len(gone) >= 0.9 * len(near)
+
+
+def test_crowd_of_near_copies(spark):
+    """Hundreds of copies of one text, each with a word of its own replaced, leave one."""
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(base[:k] + [f"own{k}"] + base[k + 1 :]) for k in range(200)] + [" ".join(base)] * 50
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in simhash.keep_one_of_each(df).collect()] == [0]
+
+
 def test_clusters(docs, texts):
     got = simhash.with_cluster(docs, "near", keep=["source"]).groupBy("near").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).collect()
     want = {}
