@@ -10,7 +10,7 @@ run inside it, so equal windows choose equal runs and no repeated window can be
 only about one run in fourteen is shuffled.  Runs that merely share a hash there let more windows
 through, never fewer.  On the last level each surviving window is counted itself, under a 64-bit and a 32-bit hash
 that are built with different factors: windows are taken for equal if both are.  A document is
-known by two hashes of its id and text.
+known by a 64-bit and a 32-bit hash of its id and text.
 
 Counts are partial sums by hash, and the rows that meet the counts again are joined on unique
 keys, so one hash may hold any share of the rows.  A document's own positions are the only
@@ -32,7 +32,7 @@ from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, pac
 
 WINDOW = 35
 #: ``second`` is there on the last level only.
-_HITS, _SECOND = "rid long, rid2 long, hash long, at int, len int", ", second int"
+_HITS, _SECOND = "rid long, rid2 int, hash long, at int, len int", ", second int"
 
 
 def _levels(window: int) -> list[int]:
@@ -93,7 +93,7 @@ def _finder(length: int, window: int) -> Callable:
                     own = None if runs is None else np.asarray(runs[i].values.to_numpy(zero_copy_only=False), dtype=np.int64)
                     if len(code) >= window:
                         h, at, n, *second = _represent(code, own, length, window)
-                        found.append((np.full(len(h), ids[i], dtype=np.int64), np.full(len(h), others[i], dtype=np.int64), h, at, n, *second))
+                        found.append((np.full(len(h), ids[i], dtype=np.int64), np.full(len(h), others[i], dtype=np.int32), h, at, n, *second))
                 if found:
                     rid, rid2, h, at, n, *second = (np.concatenate(x) for x in zip(*found, strict=True))
                     columns = [rid, rid2, h.view(np.int64), at.astype(np.int32), n.astype(np.int32), *(x.view(np.int32) for x in second)]
@@ -108,11 +108,16 @@ def _repeated(hits: DataFrame) -> DataFrame:
     The repeated hashes are stored before they meet the hits again: the join then has two plain shuffles, so
     Spark can split the partition of a hash that holds a large share of the hits.
     """
-    keys = [c for c in ("hash", "second") if c in hits.columns]
-    often = stored(hits.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
-    back = hits.join(often, keys, "left_semi")
+    found = lambda rows, *keys: stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
+    often = [found(hits, "hash")]
+    back = hits.join(often[0], "hash", "left_semi")
+    if "second" in hits.columns:  # only what is left needs the second hash
+        left = stored(back)
+        often += [left, found(left, "hash", "second")]
+        back = left.join(often[2], ["hash", "second"], "left_semi")
     marks = stored(back.groupBy(F.col("rid").alias("of"), F.col("rid2").alias("of2")).agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")))
-    release(often)
+    for table in often:
+        release(table)
     return marks
 
 
@@ -175,7 +180,7 @@ def _same(rows: DataFrame, marks: DataFrame) -> Column:
 def _rows(docs: DataFrame, id_col: str, text_col: str, columns: bool) -> DataFrame:
     """A row's own key is made of its id and text: rows that share both are alike in everything that follows."""
     own = [F.col(c).alias(f"c_{j}") for j, c in enumerate(docs.columns) if c != text_col] if columns else [F.col(id_col).alias("id")]
-    keys = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"), F.xxhash64(F.lit("second"), F.col(text_col), F.col(id_col)).alias("rid2")]
+    keys = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"), F.shiftright(F.xxhash64(F.lit("second"), F.col(text_col), F.col(id_col)), 32).cast("int").alias("rid2")]
     return docs.select(*keys, F.col(text_col).alias("text"), *own)
 
 
