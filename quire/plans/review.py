@@ -270,7 +270,7 @@ def write_review(session: str, source: str, counters: DataFrame, tables: dict[st
     names = counters.columns
     head = report(F.lit(session), F.lit(source), F.current_timestamp(), {n: F.col(n) for n in names})
     lines = F.concat(F.lit(f"# {session}\n\nSource: {source}\n\n"), *[F.concat(F.lit(f"- {n}: "), F.col(n).cast("string"), F.lit("\n")) for n in names])
-    files = F.array(F.struct(F.lit("report.json").alias("path"), head.alias("content")), F.struct(F.lit("report.md"), lines))
+    files = F.array(F.struct(F.lit("report.json").alias("path"), head.alias("content")), F.struct(F.lit("report.md").alias("path"), lines.alias("content")))
     write_files(counters.select(F.inline(files)), folder).collect()  # two rows
     for name, rows in tables.items():
         rows.write.mode("overwrite").json(f"{folder}/{name}")

@@ -27,7 +27,7 @@ def test_lines(spark):
 
 @pytest.mark.parametrize(
     ("name", "base"),
-    [("My Document (v2.0).docx", "My_Document_v2.0"), ("需求文档_V2.3.1.docx", "需求文档_V2.3.1"), ("test@#$file.docx", "test_file"), ("noext", "noext"), ("", "unknown"), (None, "unknown"), (".hidden", "hidden"), ("___.x", "unknown"), ("a/b.docx", "a_b")],
+    [("Annual plan [draft 3].xlsx", "Annual_plan_draft_3"), ("会议记录-1.0.pdf", "会议记录-1.0"), ("a&&b%%c.zip", "a_b_c"), ("README", "README"), ("", "unknown"), (None, "unknown"), (".hidden", "hidden"), ("___.x", "unknown"), ("a/b.docx", "a_b"), ("..", "unknown")],
 )
 def test_base_name(spark, name, base):
     assert values(spark, text.base_name, [name]) == [base]
