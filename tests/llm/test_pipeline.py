@@ -40,3 +40,37 @@ def test_run(spark, data):
 def test_queries_give_rows(spark, data):
     for name in ("op1_toxicity", "op2_html", "op6_packing", "op8_quality"):
         assert QUERIES[name](spark, data).count() > 0
+
+
+def test_stages_on_odd_rows(spark, data, docs, none, texts):
+    """Null ids, nulls and empty texts, repeated rows, a very long text and columns with clashing names, stage after stage."""
+    held = docs
+    for name, stage in cp.STAGES[:-1]:
+        before = held.count()
+        out = cp.stored(stage(spark, held, data))
+        assert out.columns == docs.columns, name
+        assert dict(out.dtypes) == dict(docs.dtypes), name
+        assert out.count() <= before
+        assert stage(spark, none, data).count() == 0
+        held = out
+    last = cp.STAGES[-1][1]
+    packed = last(spark, held, data).collect()
+    assert sorted(str(i) for i in {r.doc_id for r in packed}) == sorted(str(r.doc_id) for r in held.select("doc_id").distinct().collect())
+    assert last(spark, none, data).count() == 0
+
+
+def test_odd_rows_of_each_stage(spark, data, docs, texts):
+    """What each stage does with the same odd rows, by itself."""
+    size = len(texts)
+    stages = dict(cp.STAGES)
+    model = quality.learn(docs, table(spark, data, "labels"))
+    good = quality.scored(docs, model).where(f"per_word >= {model.threshold!r}").count()
+    assert stages["quality classifier"](spark, docs, data).count() == good
+    near = stages["simhash near-dedup"](spark, docs, data)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in near.select("doc_id").collect()) == kept_rows(texts)
+    cut = stages["substring dedup"](spark, docs, data)
+    assert cut.count() == size
+    assert cut.where("n_chars <> length(text) or (n_chars is null and text is not null)").count() == 0
+    clean = stages["benchmark decontamination"](spark, docs, data)
+    assert clean.count() == size - decontaminate.contamination(docs, table(spark, data, "benchmark")).where("contaminated").count()
+    assert stages["best-fit packing"](spark, docs, data).groupBy("doc_id").count().count() == docs.select("doc_id").distinct().count()
