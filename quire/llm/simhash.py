@@ -246,19 +246,19 @@ def _shingled(rows: DataFrame, text: str) -> DataFrame:
 
 
 def similar_links(nodes: DataFrame, held: DataFrame, text: str) -> DataFrame:
-    """Links ``(a, b)`` between rows of ``nodes (row, fp, lanes)`` whose texts in ``held (row, text)`` have ``SIMILARITY``.
+    """Links ``(a, b)`` between rows of ``nodes (row, fp, lanes, p0, ..., origin)`` whose texts in ``held (row, text)`` have ``SIMILARITY``.
 
     Each row is paired with the smallest row of every lane that it shares with others, so a lane that any number of rows
     share gives one pair for each of them.  Pairs are discarded by their pivot coordinates, then by the distance of
     their fingerprints, both within ``WIDE_LIMIT``; the survivors are verified on their shingles themselves.
     """
-    keyed = nodes.select("row", "fp", F.explode("lanes").alias("key"))
-    least = keyed.groupBy("key").agg(F.min(F.struct("row", "fp")).alias("least"), F.count("*").alias("n")).where("n > 1").select("key", "least")
-    side = lambda row, fp: F.struct(row.alias("row"), fp.alias("fp"), *pivot_table(fp))
-    met = keyed.join(least, "key").where(F.col("row") != F.col("least.row")).select("row", "fp", "least").distinct()
-    told = met.select(side(F.col("row"), F.col("fp")).alias("x"), side(F.col("least.row"), F.col("least.fp")).alias("y"))
+    keyed = nodes.select("row", F.explode("lanes").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("row").alias("least"), F.count("*").alias("n")).where("n > 1").select("key", "least")
+    met = keyed.join(least, "key").where("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b")).distinct()
+    table = nodes.drop("lanes")
+    told = met.join(table.alias("x"), F.col("a") == F.col("x.row")).join(table.alias("y"), F.col("b") == F.col("y.row"))
     near = told.where(apart("x", "y") <= WIDE_LIMIT).where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= WIDE_LIMIT)
-    pairs = stored(near.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")))
+    pairs = stored(near.select("a", "b"))
     wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
     shingles = stored(_shingled(held.join(wanted, "row", "left_semi"), text))
     first, second = (shingles.select(F.col("row").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
@@ -282,10 +282,10 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     own_id, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
     same = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
     # stored with its key: a key that is computed again may not be the same
-    held = stored(_sketched(rows.select("*", *same), text, [*names, "row", "h1", "h2"]))
+    held = stored(_sketched(rows.select("*", *same), text, [*names, "row", "h1", "h2"]).select("*", *pivot_table(F.col("fp"))))
     order = F.struct(F.col(own_id).isNull().alias("nameless"), F.col(own_id).alias("id"), F.col("h1"), F.col("row"))
     texts = stored(held.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min(order).alias("best")).select("node", "best"))
-    nodes = held.select("row", "fp", "lanes").join(texts.select(F.col("node").alias("row")), "row", "left_semi")
+    nodes = held.drop("h1", "h2", *names).join(texts.select(F.col("node").alias("row")), "row", "left_semi")
     roots = connected_components(similar_links(nodes, held.select("row", text), text))
     firsts = texts.join(roots, texts.node == roots.vertex, "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("kept"))
     return held.join(firsts, held.row == firsts.kept, "left_semi").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
