@@ -7,7 +7,7 @@ at the last old boundary at least ``REACH`` characters before the edit, because
 more than that many characters after it, and ends at the first new boundary past the edit that is also an
 old one, because scanning looks at nothing before its own start.
 
-Trees are kept: ``token_trees`` makes a table of them, a row per document with arrays for leaves and nodes, and
+Trees are kept: ``token_trees`` makes a table of them, a row per document with packed arrays for leaves and nodes, and
 ``apply_edits`` takes such a table, changes the trees where edits fall and gives a table of the same form, to be
 stored in its place.  Nothing is encoded there but the regions that the edits touch.
 """
@@ -15,10 +15,11 @@ stored in its place.  Nothing is encoded there but the regions that the edits to
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,9 @@ from quire.llm.common import stored
 LEAF = 64
 #: The longest look ahead of the pattern: a quote mark may turn into ``'re`` with the two letters after it.
 REACH = 2
-KEPT_PIECES = 400_000
+KEPT_PIECES = 200_000
+#: Bytes of text whose trees are built or edited together.
+PART_BYTES = 1 << 20
 
 
 class PieceCounter(dict):
@@ -72,27 +75,22 @@ class TokenTree:
         self._build(list(map(len, found)), [pieces[p] for p in found])
 
     @classmethod
-    def kept(cls, text: str, pieces: PieceCounter, arrays: dict[str, list[int]]) -> TokenTree:
+    def kept(cls, text: str, pieces: PieceCounter, arrays: Iterable[bytes]) -> TokenTree:
         """A tree from the arrays that ``arrays`` gave; nothing is encoded."""
         self = cls.__new__(cls)
         self.text, self.counter = text, pieces
-        self.chars, self.tokens = arrays["node_chars"], arrays["node_tokens"]
+        lengths, sizes, counts, self.chars, self.tokens = (np.frombuffer(a, dtype="<i4").tolist() for a in arrays)
         self.width = len(self.chars) // 2
         self.leaves, at = [], 0
-        for n in arrays["leaf_pieces"]:
-            self.leaves.append((arrays["piece_chars"][at : at + n], arrays["piece_tokens"][at : at + n]))
+        for n in lengths:
+            self.leaves.append((sizes[at : at + n], counts[at : at + n]))
             at += n
         return self
 
-    def arrays(self) -> dict[str, list[int]]:
-        """What a table keeps of the tree."""
-        return {
-            "leaf_pieces": [len(size) for size, _ in self.leaves],
-            "piece_chars": [s for size, _ in self.leaves for s in size],
-            "piece_tokens": [c for _, count in self.leaves for c in count],
-            "node_chars": self.chars,
-            "node_tokens": self.tokens,
-        }
+    def arrays(self) -> list[bytes]:
+        """What a table keeps of the tree, in the order of ``ARRAYS``."""
+        lists = ([len(size) for size, _ in self.leaves], [s for size, _ in self.leaves for s in size], [c for _, count in self.leaves for c in count], self.chars, self.tokens)
+        return [np.array(x, dtype="<i4").tobytes() for x in lists]
 
     def _build(self, sizes: list[int], counts: list[int]) -> None:
         self.leaves = [(sizes[k : k + LEAF], counts[k : k + LEAF]) for k in range(0, len(sizes), LEAF)] or [([], [])]
@@ -175,8 +173,9 @@ class TokenTree:
 
 
 EDITS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("new", T.StringType())]))
+#: Columns of a tree, 32-bit little-endian integers each: pre-tokens of each leaf, characters and tokens of each pre-token, and of each node; ``total`` is the root's sum.
 ARRAYS = ["leaf_pieces", "piece_chars", "piece_tokens", "node_chars", "node_tokens"]
-_TREE = [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ARRAYS]
+_TREE = [*(T.StructField(n, T.BinaryType()) for n in ARRAYS), T.StructField("total", T.LongType())]
 _COUNTS = ["n_tokens", "n_pieces", "n_edits", "n_tokens_after", "n_encoded_again"]
 
 
@@ -185,13 +184,25 @@ def _broadcast(df: DataFrame, vocabulary_path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _lists(trees: list[TokenTree]) -> list[pa.Array]:
-    kept = [t.arrays() for t in trees]
-    return [pa.array([k[n] for k in kept], pa.list_(pa.int32())) for n in ARRAYS]
+def _columns(trees: list[TokenTree]) -> list[pa.Array]:
+    return [*(pa.array(c, pa.binary()) for c in zip(*(t.arrays() for t in trees), strict=True)), pa.array([t.total for t in trees], pa.int64())]
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about a megabyte of text each: the trees of a slice are all that is in memory."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text").cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    lo = held = 0
+    for k, size in enumerate(sizes):
+        if held and held + size > PART_BYTES:
+            yield batch.slice(lo, k - lo)
+            lo, held = k, 0
+        held += int(size) + 1
+    if batch.num_rows:
+        yield batch.slice(lo)
 
 
 def token_trees(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``(id, text, *keep, leaf_pieces, piece_chars, piece_tokens, node_chars, node_tokens)``: the tree of each row, to be stored.
+    """``(id, text, *keep, leaf_pieces, piece_chars, piece_tokens, node_chars, node_tokens, total)``: the tree of each row, to be stored.
 
     A null or empty text has a tree with one empty leaf; a very long one has a longer list; repeated rows have equal trees.
     """
@@ -200,8 +211,9 @@ def token_trees(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pieces = counter(pattern, ranks.value)
-            trees = [TokenTree(t or "", pieces) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *_lists(trees)], names=["id", "text", *keep, *ARRAYS])
+            for part in _parts(batch):
+                trees = [TokenTree(t or "", pieces) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, *_columns(trees)], names=["id", "text", *keep, *ARRAYS, "total"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
     return rows.mapInArrow(work, T.StructType([*rows.schema.fields, *_TREE]))
@@ -216,11 +228,10 @@ def apply_edits(trees: DataFrame, vocabulary_path: str, pattern: str, edits_col:
     ranks = _broadcast(trees, vocabulary_path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             pieces, made, counts = counter(pattern, ranks.value), [], []
-            lists = [batch.column(n) for n in ARRAYS]
-            for k, (text, edits) in enumerate(zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), strict=True)):
-                tree = TokenTree.kept(text or "", pieces, {n: c[k].values.to_numpy().tolist() for n, c in zip(ARRAYS, lists, strict=True)})
+            for text, edits, *arrays in zip(*(batch.column(n).to_pylist() for n in ("text", "edits", *ARRAYS)), strict=True):
+                tree = TokenTree.kept(text or "", pieces, arrays)
                 before, size, again, done = tree.total, sum(len(s) for s, _ in tree.leaves), 0, 0
                 for e in edits or []:
                     if e is not None:
@@ -229,7 +240,7 @@ def apply_edits(trees: DataFrame, vocabulary_path: str, pattern: str, edits_col:
                 made.append(tree)
                 counts.append((before, size, done, tree.total, again))
             columns = np.array(counts, dtype=np.int64).reshape(-1, 5).T
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([t.text for t in made], pa.string()), *(pa.array(c) for c in columns), *_lists(made)], names=["id", "text", *_COUNTS, *ARRAYS])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([t.text for t in made], pa.string()), *(pa.array(c) for c in columns), *_columns(made)], names=["id", "text", *_COUNTS, *ARRAYS, "total"])
 
     rows = trees.select("id", "text", F.col(edits_col).cast(EDITS).alias("edits"), *ARRAYS)
     return rows.mapInArrow(work, T.StructType([rows.schema["id"], T.StructField("text", T.StringType()), *(T.StructField(n, T.LongType()) for n in _COUNTS), *_TREE]))
@@ -246,7 +257,7 @@ def edited_counts(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: s
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"), F.col(edits_col).alias("edits"))
     before = stored(token_trees(rows, vocabulary_path, pattern, "doc", "body", keep=["edits"]), "zstd")
     after = stored(apply_edits(before, vocabulary_path, pattern).drop("text", "n_tokens_after"), "zstd")
-    return after.select(F.col("id").alias(id_col), "n_tokens", "n_pieces", "n_edits", F.get("node_tokens", F.lit(1)).cast("long").alias("n_tokens_after"), "n_encoded_again")
+    return after.select(F.col("id").alias(id_col), "n_tokens", "n_pieces", "n_edits", F.col("total").alias("n_tokens_after"), "n_encoded_again")
 
 
 def with_sample_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -161,7 +161,7 @@ def test_trees_are_edited_again(docs, pieces):
     place = vocabulary("byte_bpe_50k.tiktoken")
     once = tokencount.apply_edits(tokencount.token_trees(tokencount.with_sample_edits(docs), place, public_tokenizers.PATTERN, keep=["edits"]), place, public_tokenizers.PATTERN)
     for r in once.collect():
-        tree = tokencount.TokenTree.kept(r.text, pieces, {n: list(r[n]) for n in tokencount.ARRAYS})
+        tree = tokencount.TokenTree.kept(r.text, pieces, [bytes(r[n]) for n in tokencount.ARRAYS])
         assert tree.total == len(pieces.coder.encode_ordinary(r.text)) == r.n_tokens_after
         assert [s for sizes, _ in tree.leaves for s in sizes] == list(map(len, pieces.pattern.findall(r.text)))
     twice = tokencount.apply_edits(tokencount.with_sample_edits(once, "n_encoded_again"), place, public_tokenizers.PATTERN)
