@@ -38,6 +38,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Effort of zstandard in ``stored`` tables, where that codec is asked for.
+ZSTD_LEVEL = 9
+
+
 def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
@@ -46,7 +50,7 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).parquet(path)
     removed_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
