@@ -30,28 +30,23 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once, kept in the shared folder and cut off from its lineage."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
-
-
+#: Stored tables of this process, in order.
+_made: list[tuple[SparkSession, str]] = []
 #: Effort of zstandard in ``stored`` tables, where that codec is asked for.
 ZSTD_LEVEL = 9
 
 
 def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back.
+    """``df`` written as Parquet to the shared folder and read back: computed once and cut off from its lineage.
 
     Smaller on disk than a checkpoint and readable column by column.  The files go when the
-    driver's process ends.
+    driver's process ends, or before by ``release`` or ``release_since``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
     df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).parquet(path)
     removed_at_exit(spark, path)
+    _made.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -67,6 +62,18 @@ def release(df: DataFrame) -> None:
     _remove(df.sparkSession, df.stored_at)
 
 
+def mark() -> int:
+    """A point in time for ``release_since``."""
+    return len(_made)
+
+
+def release_since(when: int, but: DataFrame) -> None:
+    """Removes the files of the tables stored since ``when``, but for one of them; nothing else may read them any more."""
+    for spark, path in _made[when:]:
+        if path != but.stored_at:
+            _remove(spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -79,20 +86,22 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest vertex that each vertex of ``edges (a, b)`` can reach, as ``(vertex, root)``.
 
     Alternates large-star and small-star steps; each round is a few shuffles of the edge list,
-    whose length never grows, and its result is checkpointed.  Vertices without an edge to
+    whose length never grows, and its result is stored in place of the round's before.  Vertices without an edge to
     another vertex do not appear.
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
-    links, seen = checkpointed(both), None
+    links, seen = stored(both), None
     for _ in range(max_rounds):
         near = links.union(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = near.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("k"), F.least("m", "v").alias("m"))
         large = near.join(least, near.v == least.k).where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m")).withColumnRenamed("v", "k")
         met = large.join(low, large.v == low.k)
-        links = checkpointed(
+        last = links
+        links = stored(
             met.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).union(low.select(F.col("k").alias("v"), F.col("m").alias("u"))).distinct()
         )
+        release(last)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40))).first()
         if now == seen or now[0] == 0:
             break

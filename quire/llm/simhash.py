@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import byte_texts, checkpointed, connected_components, mixed, stored
+from quire.llm.common import byte_texts, connected_components, mixed, stored
 
 GROUPS, PER_GROUP = 5, 9
 CROWD = 16
@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
     placed = nodes.join(components(nodes), F.col("fp") == F.col("node")).select("node", "least", "root")
     parts = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = checkpointed(placed.join(parts, "root").select("node", "component_id"))
+    known = stored(placed.join(parts, "root").select("node", "component_id"))
     return prints.join(known, prints.fp == known.node).select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
