@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, packs, release, stored
+from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, packs, release, stored, tidy
 
 WINDOW = 35
 #: ``second`` is there on the last level only.
@@ -108,16 +108,13 @@ def _repeated(hits: DataFrame) -> DataFrame:
     The repeated hashes are stored before they meet the hits again: the join then has two plain shuffles, so
     Spark can split the partition of a hash that holds a large share of the hits.
     """
-    found = lambda rows, *keys: stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
-    often = [found(hits, "hash")]
-    back = hits.join(often[0], "hash", "left_semi")
-    if "second" in hits.columns:  # only what is left needs the second hash
-        left = stored(back)
-        often += [left, found(left, "hash", "second")]
-        back = left.join(often[2], ["hash", "second"], "left_semi")
+    keys = [c for c in ("hash", "second") if c in hits.columns]
+    often = stored(hits.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
+    tidy(hits.sparkSession)
+    back = hits.join(often, keys, "left_semi")
     marks = stored(back.groupBy(F.col("rid").alias("of"), F.col("rid2").alias("of2")).agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")))
-    for table in often:
-        release(table)
+    release(often)
+    tidy(hits.sparkSession)
     return marks
 
 
