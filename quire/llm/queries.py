@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, html, media, packing, quality, simhash, substring, tokencount, tokenfiles, toxicity
+from quire.llm import decontaminate, html, media, packing, periodic, pieces, quality, simhash, spelling, substring, tokencount, tokenfiles, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,8 +67,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_output(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.collapsed_runs(table(spark, sf_dir, "documents"), order=periodic.planted))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(pieces.piece_ids(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), decode=True))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), damage=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_html, op3_simhash, op4_substring, op5_media, op6_packing, op7_token_counts, op8_quality, op9_decontamination, op10_token_files)
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_html, op3_simhash, op4_substring, op5_media, op6_packing, op7_token_counts, op8_quality, op9_decontamination, op10_token_files,
+        op11_periodic_runs, op12_pieces, op13_spelling,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_decontamination": decontaminate.ORACLE}
