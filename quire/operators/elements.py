@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import lines
+from quire.operators.ranking import ranked
 
 CHUNK = 50
 ELEMENT = "struct<position:int,type:string,content:string,metadata:string>"
@@ -54,12 +55,16 @@ def element_counts(elements: DataFrame, keys: list[str]) -> DataFrame:
     return elements.groupBy(*keys, "type").agg(F.count("*").alias("n"))
 
 
+def path_key(path: Column) -> Column:
+    """An array of child ordinals as bytes that sort as it does: four bytes for each, so a parent comes before its children."""
+    return F.unhex(F.array_join(F.transform(path, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
+
+
 def preorder(nodes: DataFrame, session: list[str], path: str = "path") -> DataFrame:
     """``nodes`` with ``seq``: the place of each in its session in the order of ``path``, an array of child ordinals.
 
     Arrays compare element by element with the shorter first, so the order is parents before children.
-    A session is what came out of one source file; sessions are numbered side by side.
+    A session may hold any number of nodes: ranges of paths are numbered side by side.
     """
-    from pyspark.sql import Window
-
-    return nodes.withColumn("seq", F.row_number().over(Window.partitionBy(*session).orderBy(path)) - 1)
+    rows = ranked(nodes.withColumn("__path", path_key(F.col(path))), session, ["__path"], "seq")
+    return rows.withColumn("seq", F.col("seq").cast("int")).drop("__path")

@@ -1,16 +1,18 @@
-"""Recursive expansion of nested files, level by level.
+"""Recursive expansion of nested files, each distinct content parsed once.
 
-A level is a table of files.  Its parsed rows are written to the shared folder, and what they embed is
-the next level, so each file is parsed once and lost executors cost no more than a level.
+Files are known by the 128-bit hash of their bytes and the parser that takes them.  A level's files are looked up in
+the table of contents that are parsed already; only those that are not there are parsed, and what they embed,
+without the bytes, becomes a table of links from a content to its children.  The tree of files is then that table joined
+with itself, level by level: an attachment that any number of sessions hold is read, parsed and stored once.  Each level
+is written to the shared folder, so lost executors cost no more than a level.
 """
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.detect import image_format, media_type, parser, suffix
@@ -19,23 +21,11 @@ from quire.operators.elements import preorder
 from quire.operators.naming import directory_names
 from quire.plans.corpus import parent_label
 from quire.sources.packages import parsed
-from quire.sources.sinks import removed
+from quire.sources.shared import staged
 
 MOST_DEPTH = 10
-_FRONTIER = ["session_id", "path", "depth", "file_name", "parent_position", "content"]
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only a local session may go without, and gets a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    import tempfile
-
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+IMAGE = "image"
+_LISTS = ("elements", "sheets", "embedded", "images", "error")
 
 
 def routed(files: DataFrame) -> DataFrame:
@@ -44,6 +34,27 @@ def routed(files: DataFrame) -> DataFrame:
     return kinds.withColumn("ext", suffix(F.col("kind"), F.col("file_name"))).withColumn("parser", parser(F.col("ext"), F.col("file_name")))
 
 
+def _keyed(files: DataFrame, parsers: dict) -> DataFrame:
+    """``files`` routed, with ``content_key``: equal for files with equal bytes that go to the same parser."""
+    known = routed(files)
+    if parsers:
+        known = known.withColumn("parser", F.when(F.col("ext").isin(*parsers), F.col("ext")).otherwise(F.col("parser")))
+    return known.withColumn("content_key", F.concat_ws(":", F.md5(F.coalesce("content", F.lit(b""))), "parser"))
+
+
+def _children(contents: DataFrame, parsers: dict) -> DataFrame:
+    """What parsed contents embed, in order, then their pictures: ``(content_key of the child, in_key, k, file_name, position, content, ...)``."""
+    part = lambda e: F.struct(e["file_name"].alias("file_name"), e["position"].alias("position"), e["data"].alias("data"))
+    inner = F.concat(F.transform("embedded", part), F.transform("images", part))
+    rows = contents.select(F.col("content_key").alias("in_key"), F.posexplode(inner).alias("k", "e"))
+    return _keyed(rows.select("in_key", "k", F.col("e.file_name").alias("file_name"), F.col("e.position").alias("position"), F.col("e.data").alias("content")), parsers)
+
+
+def _distinct(files: DataFrame) -> DataFrame:
+    """One row per content that some parser takes."""
+    return files.where("parser is not null").groupBy("content_key", "parser").agg(F.first("content").alias("content"))
+
+
 def expand(
     sources: DataFrame,
     depth_limit: int = MOST_DEPTH,
@@ -52,56 +63,66 @@ def expand(
     keep_content: bool = False,
     parsers: dict[str, Callable[[bytes], dict]] | None = None,
 ) -> dict[str, DataFrame]:
-    """All files within ``sources (session_id, file_name, content)``: tables ``docs`` and ``skipped``.
+    """All files within ``sources (session_id, file_name, content)``: tables ``docs``, ``skipped`` and ``contents``.
 
     ``docs`` has a row per supported file with its path of ordinals, ``seq``, ``dir``, ``parent`` and parsed
-    lists; files without a parser are in ``skipped`` and take no ``seq``.  Pictures are leaves; with
-    ``images_recurse`` each holds itself again until the depth limit, as some older corpora have it.  ``content`` stays
-    with ``keep_content``, for copies of the sources.  ``parsers`` are functions from bytes to the lists of ``PARSED``, by the
-    suffix that they take; they come before the known ones.
+    lists; files without a parser are in ``skipped`` and take no ``seq``.  ``contents`` has a row per distinct content with
+    what it was parsed to.  Pictures are leaves; with ``images_recurse`` each holds itself again until the depth
+    limit, as some older corpora have it.  ``content`` stays with ``keep_content``, for copies of the sources.  ``parsers`` are
+    functions from bytes to the lists of ``PARSED``, by the suffix that they take; they come before the known ones.
     """
     parsers = parsers or {}
-    spark = sources.sparkSession
-    folder = f"{shared_folder(spark)}/quire-expand-{uuid.uuid4().hex}"
-    atexit.register(removed, spark, folder)
-    level = sources.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), "file_name", F.lit(None).cast("int").alias("parent_position"), "content")
-    docs, skipped = [], []
+    top = _keyed(sources.select("session_id", "file_name", "content"), parsers)
+    named = ["file_name", "kind", "ext", "parser", "content_key"]
+    level = staged(top.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("parent_position"), *named))
+
+    contents, links = [], []
+    fresh = _distinct(top)
     for depth in range(depth_limit):
-        files = routed(level)
-        if parsers:
-            files = files.withColumn("parser", F.when(F.col("ext").isin(*parsers), F.col("ext")).otherwise(F.col("parser")))
-        skipped.append(files.where("parser is null").select("session_id", "path", "file_name", "ext"))
-        picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("content").alias("data")))
-        rows = parsed(files.where("parser is not null and parser <> 'image'"), fail_fast, keep_content, parsers)
-        pictures = files.where("parser = 'image'").select(*[c for c in files.columns if c != "content" or keep_content], *[_empty(rows, n) for n in ("elements", "sheets", "embedded")], picture.cast(rows.schema["images"].dataType).alias("images"), F.lit(None).cast("string").alias("error"))
-        path = f"{folder}/{depth}"
-        rows.unionByName(pictures).write.parquet(path)
-        done = spark.read.parquet(path)
-        docs.append(done)
-        # embedded files in their order, then pictures
-        inner = F.concat(
-            F.transform("embedded", lambda e: F.struct(e["file_name"].alias("file_name"), e["position"].alias("position"), e["data"].alias("data"))),
-            F.transform("images", lambda e: F.struct(e["file_name"].alias("file_name"), e["position"].alias("position"), e["data"].alias("data"))),
-        )
-        held = done if images_recurse else done.where("parser <> 'image'")
-        level = held.select("session_id", F.col("path").alias("up"), F.posexplode(inner).alias("k", "e")).select(
-            "session_id", F.concat("up", F.array("k")).alias("path"), F.lit(depth + 1).alias("depth"), F.col("e.file_name").alias("file_name"), F.col("e.position").alias("parent_position"), F.col("e.data").alias("content")
-        )
-        if done.where("size(embedded) > 0 or size(images) > 0").isEmpty():
+        if contents:
+            known = reduce(DataFrame.unionByName, [c.select(F.col("content_key").alias("known_key")) for c in contents])
+            fresh = fresh.join(known, fresh.content_key == known.known_key, "left_anti")
+        rows = parsed(fresh.where(F.col("parser") != IMAGE), fail_fast, keep_content, parsers)
+        rows = rows.withColumnRenamed("content", "held") if keep_content else rows.withColumn("held", F.lit(None).cast("binary"))
+        pictures = fresh.where(F.col("parser") == IMAGE).select("content_key", "parser", F.col("content").alias("held"), *[F.lit(None).cast("string").alias(n) if n == "error" else _empty(rows, n) for n in _LISTS])
+        done = staged(rows.unionByName(pictures))
+        contents.append(done)
+        inside = _children(done, parsers)
+        found = staged(inside.drop("content"))
+        links.append(found)
+        if depth + 1 == depth_limit or found.where("parser is not null").isEmpty():
+            break
+        fresh = _distinct(inside)
+
+    link = reduce(DataFrame.unionByName, links).select("in_key", "k", F.col("position").alias("at"), *[F.col(c).alias(f"c_{c}") for c in named])
+    levels = [level]
+    for depth in range(1, depth_limit):
+        held = levels[-1].where("parser is not null")
+        below = lambda up, k, at, own: up.select("session_id", F.concat("path", F.array(k)).alias("path"), F.lit(depth).alias("depth"), at.cast("int").alias("parent_position"), *own)  # noqa: B023, E731
+        inner = below(held.join(link, held.content_key == link.in_key), F.col("k"), F.col("at"), [F.col(f"c_{c}").alias(c) for c in named])
+        if images_recurse:
+            again = below(held.where(F.col("parser") == IMAGE), F.lit(0), F.lit(0), [F.col(c) for c in named])
+            inner = inner.unionByName(again)
+        inner = staged(inner)
+        if inner.isEmpty():
             break
-    found, lost = docs[0], skipped[0]
-    for d in docs[1:]:
-        found = found.unionByName(d)
-    for s in skipped[1:]:
-        lost = lost.unionByName(s)
-    named = directory_names(preorder(found.select("session_id", "path", "file_name"), ["session_id"]).withColumn("base", base_name(F.col("file_name"))), ["session_id"])
-    placed = found.join(named.select("session_id", "path", "seq", "base", "dir"), ["session_id", "path"])
-    above = named.select("session_id", F.col("path").alias("up"), F.col("dir").alias("parent_dir"))
+        levels.append(inner)
+    nodes = reduce(DataFrame.unionByName, levels)
+    held = nodes.where("parser is not null")
+
+    order = directory_names(preorder(held.select("session_id", "path", "file_name"), ["session_id"]).withColumn("base", base_name(F.col("file_name"))), ["session_id"])
+    placed = held.join(order.select("session_id", "path", "seq", "base", "dir"), ["session_id", "path"])
+    above = order.select("session_id", F.col("path").alias("up"), F.col("dir").alias("parent_dir"))
     up = F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))
     full = placed.withColumn("up", F.when(F.col("depth") > 0, up)).join(above, ["session_id", "up"], "left")
-    out = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", plain_file_name(F.col("file_name"))))
-    return {"docs": out.drop("up", "parent_dir"), "skipped": lost}
+    full = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", plain_file_name(F.col("file_name"))))
+    every = reduce(DataFrame.unionByName, contents)
+    picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("held").alias("data")))
+    docs = full.drop("up", "parent_dir").join(every.drop("parser"), "content_key")
+    docs = docs.withColumn("images", F.when(F.col("parser") == IMAGE, picture.cast(every.schema["images"].dataType)).otherwise(F.col("images")))
+    docs = docs.withColumnRenamed("held", "content") if keep_content else docs.drop("held")
+    return {"docs": docs, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": every.drop("held")}
 
 
-def _empty(like: DataFrame, name: str):
+def _empty(like: DataFrame, name: str) -> Column:
     return F.array().cast(like.schema[name].dataType).alias(name)

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from quire.functions import detect, text
 from quire.functions.text import BLANK, NAME_KEEPS
 from quire.operators import elements as el
-from quire.operators import naming, tables
+from quire.operators import naming, ranking, tables
 from quire.plans import corpus, review
-from quire.sources.sinks import staged
+from quire.plans.expand import expand
+from quire.sources.shared import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -181,6 +182,22 @@ def directory_fold(spark, sf_dir):
     return naming.directory_names(parts, ["session"], "base", "p_partkey")
 
 
+#: As above, over the whole table as one session: three bases, also numbered ones and numbered ones of those.
+_ODDER = "'p' || p_partkey % 3 || CASE WHEN p_partkey % 5 = 0 THEN '_2' WHEN p_partkey % 7 = 0 THEN '_3' WHEN p_partkey % 11 = 0 THEN '_2_2' WHEN p_partkey % 13 = 0 THEN '_40' ELSE '' END"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS i, row_number() OVER (PARTITION BY base ORDER BY p_partkey) AS j FROM (SELECT p_partkey, {_ODDER} AS base FROM part)),
+f AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS p_partkey, '' AS base, CAST([] AS VARCHAR[]) AS used
+  UNION ALL SELECT o.i, o.p_partkey, o.base, list_append(f.used, list_filter(list_transform(range(o.j, o.j + 8), lambda k: CASE WHEN k = 1 THEN o.base ELSE o.base || '_' || k END), lambda c: NOT list_contains(f.used, c))[1])
+  FROM f JOIN o ON o.i = f.i + 1)
+SELECT p_partkey, base, used[-1] AS dir FROM f WHERE i > 0""")
+def directory_fold_whole(spark, sf_dir):
+    """One session over the whole table; claims to one name are settled by joins."""
+    key = F.col("p_partkey")
+    end = F.when(key % 5 == 0, "_2").when(key % 7 == 0, "_3").when(key % 11 == 0, "_2_2").when(key % 13 == 0, "_40").otherwise("")
+    return naming.directory_names(table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("p"), (key % 3).cast("string"), end).alias("base")), [], "base", "p_partkey")
+
+
 # --- quoting and formats ------------------------------------------------------------------------------------
 
 _CSV = """coalesce(CASE WHEN regexp_matches({0}, '[,"\\n]') THEN '"' || replace({0}, '"', '""') || '"' ELSE {0} END, '')"""
@@ -428,9 +445,11 @@ def _heap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.row_number().over(_in_order("session", "p_partkey"))
     nodes = table(spark, sf_dir, "part").select(_session(SESSION_PARTS), "p_partkey").select("session", "p_partkey", rank.alias("k"))
     bits = F.bin("k")
-    depth = F.length(bits) - 1
-    steps = F.transform(F.sequence(F.lit(1), F.length(bits)), lambda i: F.when(i == 1, 0).otherwise(F.substr(bits, i, F.lit(1)).cast("int")))
-    return nodes.select("session", "p_partkey", "k", steps.alias("path"), depth.cast("int").alias("depth"))
+    return nodes.select("session", "p_partkey", "k", _heap_path(bits).alias("path"), (F.length(bits) - 1).cast("int").alias("depth"))
+
+
+def _heap_path(bits):
+    return F.transform(F.sequence(F.lit(1), F.length(bits)), lambda i: F.when(i == 1, 0).otherwise(F.substr(bits, i, F.lit(1)).cast("int")))
 
 
 @query(f"WITH {_TREE.format(limit=TREE_DEPTH)} SELECT session, p_partkey, CAST(depth AS INTEGER) AS depth FROM t")
@@ -443,6 +462,15 @@ def preorder_seq(spark, sf_dir):
     return el.preorder(_heap(spark, sf_dir), ["session"]).select("session", "p_partkey", "seq")
 
 
+@query("""WITH RECURSIVE h AS (SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS k, p_partkey FROM part), t AS (SELECT k, p_partkey, [0] AS path FROM h WHERE k = 1
+  UNION ALL SELECT h.k, h.p_partkey, list_append(t.path, h.k % 2) FROM t JOIN h ON h.k // 2 = t.k WHERE h.k > 1)
+SELECT p_partkey, CAST(row_number() OVER (ORDER BY path) - 1 AS INTEGER) AS seq FROM t""")
+def preorder_whole(spark, sf_dir):
+    """One session over the whole table, so the numbers of ranges are added up."""
+    nodes = ranking.ranked(table(spark, sf_dir, "part").select("p_partkey"), [], ["p_partkey"], "k").withColumn("k", F.col("k") + 1)
+    return el.preorder(nodes.select("p_partkey", _heap_path(F.bin("k")).alias("path")), []).select("p_partkey", "seq")
+
+
 @query(f"WITH {_HEAP} SELECT c.session, c.p_partkey, CASE WHEN c.k = 1 THEN 'root' ELSE 'part_' || p.p_partkey || ', pos=' || (c.k % 2) END AS parent FROM h c LEFT JOIN h p ON p.session = c.session AND p.k = c.k // 2 AND c.k > 1")
 def parent_label(spark, sf_dir):
     nodes = _heap(spark, sf_dir)
@@ -452,6 +480,44 @@ def parent_label(spark, sf_dir):
     return both.select("session", "p_partkey", corpus.parent_label(F.col("parent_dir"), F.element_at("path", -1)).alias("parent"))
 
 
+# --- expansion: a document is a file that holds its two halves, down to single lines -------------------------------
+
+_HALVES = """RECURSIVE f AS (SELECT doc_id, [0] AS path, 0 AS depth, 'document.half' AS name, CAST(NULL AS INTEGER) AS pos, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+  UNION ALL SELECT doc_id, list_append(path, k), depth + 1, CASE k WHEN 0 THEN 'front.half' ELSE 'back.half' END, CAST(k + 5 AS INTEGER), CASE k WHEN 0 THEN ls[1 : len(ls) // 2] ELSE ls[len(ls) // 2 + 1 :] END
+  FROM f, (VALUES (0), (1)) v(k) WHERE len(ls) > 1 AND depth + 1 < 10)"""
+_EXPANDED = rf"""{_HALVES}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY path) - 1 AS seq, row_number() OVER (PARTITION BY doc_id, name ORDER BY path) AS r FROM f),
+d AS (SELECT *, regexp_replace(name, '\.half$', '') || CASE WHEN r = 1 THEN '' ELSE '_' || r END AS dir FROM n)"""
+
+
+def halves(data: bytes) -> dict:
+    """A container made of lines: one line is an element, several are two files with half of them each."""
+    lines = data.split(b"\n")
+    if len(lines) == 1:
+        return {"elements": [{"position": 0, "type": "paragraph", "content": data.decode(), "metadata": None}]}
+    half = len(lines) // 2
+    parts = (("front.half", lines[:half]), ("back.half", lines[half:]))
+    return {"embedded": [{"file_name": name, "position": k + 5, "data": b"\n".join(part)} for k, (name, part) in enumerate(parts)]}
+
+
+def _expanded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    sources = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("session_id"), F.lit("document.half").alias("file_name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+    return expand(sources, parsers={"half": halves})
+
+
+@query(f"""WITH {_EXPANDED} SELECT d.doc_id, CAST(d.seq AS INTEGER) AS seq, CAST(d.depth AS INTEGER) AS depth, d.name AS file_name, d.dir, coalesce(u.dir || ', pos=' || d.pos, 'root') AS parent, d.dir || '/' || d.name AS source_copy,
+  CASE WHEN len(d.ls) = 1 THEN md5(d.ls[1]) END AS line_md5 FROM d LEFT JOIN d u ON u.doc_id = d.doc_id AND u.path = d.path[1 : len(d.path) - 1] AND d.depth > 0""")
+def expanded_files(spark, sf_dir):
+    """Every file within the documents: level, number, directory, parent, and the line that a leaf holds."""
+    docs = _expanded(spark, sf_dir)["docs"]
+    return docs.select(F.col("session_id").alias("doc_id"), "seq", "depth", "file_name", "dir", "parent", "source_copy", F.md5(F.get("elements", F.lit(0))["content"]).alias("line_md5"))
+
+
+@query(f"WITH {_HALVES}, c AS (SELECT md5(array_to_string(ls, chr(10))) || ':half' AS content_key, len(ls) > 1 AS holds FROM f) SELECT content_key, CAST(any_value(CASE WHEN holds THEN 2 ELSE 0 END) AS INTEGER) AS n_embedded FROM c GROUP BY content_key")
+def parsed_contents(spark, sf_dir):
+    """Each distinct content once, however many documents hold it."""
+    return _expanded(spark, sf_dir)["contents"].select("content_key", F.size("embedded").alias("n_embedded"))
+
+
 # --- review ---------------------------------------------------------------------------------------------------
 
 #: Words of the made-up prose that stand for the keywords of a real corpus.

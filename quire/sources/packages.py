@@ -29,6 +29,8 @@ PARSED = (
 )
 #: Bytes that one archive may unpack to; beyond, the file is an error.
 MOST_UNPACKED = 1 << 30
+#: Bytes of files that are parsed before their rows are passed on.
+TOGETHER = 4 << 20
 #: Namespaces of office files (published; fixed values).
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -269,10 +271,15 @@ def parsed(files: DataFrame, fail_fast: bool = False, keep_content: bool = False
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):  # one file at a time, as each may be large
-                row = one(batch.column("parser")[k].as_py(), batch.column("content")[k].as_py())
-                new = [pa.array([row.get(f.name) if f.name == "error" else row.get(f.name) or []], f.type) for f in arrow]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(k, 1) for c in keys), *new], names=[*keys, *arrow.names])
+            begin, held, rows = 0, 0, []
+            for k in range(batch.num_rows):  # few files at a time, as each may be large
+                content = batch.column("content")[k].as_py()
+                rows.append(one(batch.column("parser")[k].as_py(), content))
+                held += len(content or b"")
+                if held > TOGETHER or k + 1 == batch.num_rows:
+                    new = [pa.array([row.get(f.name) if f.name == "error" else row.get(f.name) or [] for row in rows], f.type) for f in arrow]
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(begin, len(rows)) for c in keys), *new], names=[*keys, *arrow.names])
+                    begin, held, rows = k + 1, 0, []
 
     return files.mapInArrow(work, type(schema)([*schema.fields, *added.fields]))
 
