@@ -107,6 +107,31 @@ def risk(category: Column, value: Column, has_masking: Column) -> Column:
     return F.when(~has_masking, "HIGH").when(~fits, "MEDIUM").otherwise("LOW")
 
 
+#: Characters of a rule table's patterns and verdicts up to which every executor gets a copy of it.
+MOST_RULES = 4_000_000
+
+
+def by_rules(findings: DataFrame, rules: DataFrame, default: str = "LOW", category: str = "category", value: str = "value_example", out: str = "verdict", most: int = MOST_RULES) -> DataFrame:
+    """``findings`` with ``out``, the verdict of the first rule that matches; ``default`` where none does.
+
+    ``rules (category, order, pattern, verdict)`` is a table: a rule is for the findings of its category, or for all if
+    that is null, and matches values in which its pattern is found.  The rule with the smallest order decides, among
+    equal ones the smaller pattern.  Rules come together by category and meet the findings in one join on it, with
+    a copy for every executor as long as they are small; beyond, Spark shuffles both sides and splits a large category.
+    Findings with a null category only meet the rules for all; a null value matches nothing.
+    """
+    rule = F.struct("order", "pattern", "verdict")
+    given = rules.where("pattern is not null")
+    size = given.agg(F.sum(F.length("pattern") + F.coalesce(F.length("verdict"), F.lit(0)))).first()[0] or 0
+    copied = F.broadcast if size <= most else lambda df: df
+    own = given.where("category is not null").groupBy(F.col("category").alias("__category")).agg(F.collect_list(rule).alias("__own"))
+    general = given.where("category is null").agg(F.collect_list(rule).alias("__all"))  # one row
+    met = findings.join(copied(own), findings[category] == own["__category"], "left").join(copied(general), how="left", on=F.lit(True))
+    ordered = F.array_sort(F.concat(F.coalesce("__own", F.array().cast(own.schema["__own"].dataType)), F.col("__all")))
+    first = F.get(F.filter(ordered, lambda r: F.rlike(F.col(value), r["pattern"])), F.lit(0))["verdict"]
+    return met.withColumn(out, F.coalesce(first, F.lit(default))).drop("__category", "__own", "__all")
+
+
 def personal_by_document(findings: DataFrame, keys: list[str]) -> DataFrame:
     """Findings merged within a document, with all their positions."""
     merged = findings.groupBy(*keys, "category", "field", "value_example").agg(F.sort_array(F.collect_set("position")).alias("pos"), F.min("has_masking").alias("has_masking"), F.min("evidence").alias("evidence"))
@@ -252,6 +277,48 @@ def parsed_findings(answer: Column, schema: str) -> Column:
     return F.from_json(answer, f"array<{schema}>")
 
 
+def _object(depth: int) -> str:
+    """A pattern of a whole JSON object that holds others down to a depth."""
+    inner = "" if depth == 0 else f"|{_object(depth - 1)}"
+    return r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+"' + inner + r")*+\}"
+
+
+#: Objects in an answer that as a whole is no JSON.
+OBJECT = "(?s)" + _object(4)
+
+
+def salvaged(answers: DataFrame, fields: dict[str, str], required: list[str], answer: str = "answer") -> tuple[DataFrame, DataFrame]:
+    """Findings of imperfect answers, and what had to be left: ``(..., k, fields)`` and ``(..., k, text, reason)``.
+
+    An answer that is a JSON array, or one object, is taken element by element.  Of any other, such as one that was cut off or
+    has words around it, the whole objects are taken, and the rest is a reject by itself.  An element fits if it is an
+    object, has the ``required`` fields, and each field that it has can be read as the type that ``fields`` names; elements
+    that do not fit are rejects one by one, so one of them costs no other.  ``k`` is the element's place from 0.  Null
+    answers give neither; every other one leaves at least one row unless it is an empty array.
+    """
+    whole = F.try_parse_json(answer)
+    kind = F.schema_of_variant(whole)
+    listed = F.when(kind.startswith("ARRAY"), F.transform(F.variant_get(whole, "$", "array<variant>"), lambda v: F.to_json(v))).when(kind.startswith("OBJECT"), F.array(F.to_json(whole)))
+    broken = F.regexp_extract_all(answer, F.lit(OBJECT), F.lit(0))
+    rest = F.regexp_replace(F.regexp_replace(answer, OBJECT, ""), r"\A[\s\[,]+|[\s\],]+\z", "")
+    keys = [c for c in answers.columns if c != answer]
+    parts = answers.where(F.col(answer).isNotNull()).select(*keys, listed.isNull().alias("__broken"), F.coalesce(listed, broken).alias("__texts"), rest.alias("__rest"))
+    items = parts.select(*keys, F.posexplode("__texts").alias("k", "text")).withColumn("v", F.try_parse_json("text"))
+    read = {name: F.try_variant_get("v", f"$.{name}", kind) for name, kind in fields.items()}
+    held = lambda name: F.try_variant_get("v", f"$.{name}", "variant")
+    absent = lambda name: held(name).isNull() | F.is_variant_null(held(name))
+    wrong = F.array_compact(F.array(*[F.when(c.isNull() & ~absent(n), F.lit(n)) for n, c in read.items()]))
+    lacking = F.array_compact(F.array(*[F.when(absent(n), F.lit(n)) for n in required]))
+    reason = (
+        F.when(~F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)), F.lit("not an object"))
+        .when(F.size(lacking) > 0, F.concat(F.lit("lacks "), F.array_join(lacking, ", ")))
+        .when(F.size(wrong) > 0, F.concat(F.lit("another type of "), F.array_join(wrong, ", ")))
+    )
+    judged = items.select(*keys, "k", "text", *[c.alias(n) for n, c in read.items()], reason.alias("reason"))
+    left = parts.where("__broken and __rest <> ''").select(*keys, F.size("__texts").alias("k"), F.col("__rest").alias("text"), F.lit("no whole element").alias("reason"))
+    return judged.where("reason is null").drop("text", "reason"), judged.where("reason is not null").select(*keys, "k", "text", "reason").unionByName(left)
+
+
 def report_tables(personal: DataFrame, regulatory: DataFrame, inputs: DataFrame, knowledge: DataFrame) -> dict[str, DataFrame]:
     """The tables of a report in their order, by the folder that each belongs in."""
     lists = {f"findings/knowledge/{name}": rows.orderBy("name") for name, rows in knowledge_lists(knowledge).items()}

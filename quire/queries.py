@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import detect, text
+from quire.functions import detect, keywords, text
 from quire.functions.text import BLANK, NAME_KEEPS
 from quire.operators import elements as el
 from quire.operators import naming, ranking, tables
@@ -593,6 +593,65 @@ def pii_risk_rank(spark, sf_dir):
     return grouped.select("category", "risk", review.risk_order(F.col("risk")).alias("rank"), "findings", "places").orderBy("category", "rank")
 
 
+#: Rules for found values: a category or all, order, pattern, verdict; several match some values, and the first decides.
+RULES = (
+    ("e-mail", 2, "@", "HIGH"), ("e-mail", 1, r"\.(org|net)$", "LOW"), ("mobile", 1, r"^\+", "HIGH"), ("mobile", 5, "[0-9]$", "LOW"), ("mobile", 3, "7", "MEDIUM"),
+    (None, 4, "[0-9]{4}", "MEDIUM"), ("bank card", 1, "^4", "HIGH"), ("password", 9, ".", "HIGH"), (None, 1, r"\*{3}", "MASKED"),
+)
+_RULES = ", ".join(f"({'NULL' if c is None else repr(c)}, {o}, '{p}', '{v}')" for c, o, p, v in RULES)
+
+
+@query(f"""WITH {_PD}, rules(category, ord, pattern, verdict) AS (VALUES {_RULES}) SELECT doc_id, category, field, value_example, coalesce((SELECT arg_min(verdict, (ord, pattern)) FROM rules r
+  WHERE (r.category IS NULL OR r.category = pd.category) AND regexp_matches(pd.value_example, r.pattern)), 'UNRULED') AS verdict FROM pd""")
+def masking_rules(spark, sf_dir):
+    """Values judged by a table of rules, the first match deciding."""
+    found = review.personal_by_document(_personal(spark, sf_dir), ["doc_id"]).select("doc_id", "category", "field", "value_example")
+    return review.by_rules(found, spark.createDataFrame(RULES, "category string, order int, pattern string, verdict string"), "UNRULED")
+
+
+_WORDS_OF = "SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark"
+
+
+@query(rf"""WITH {_E}, w AS (SELECT doc_id, idx, unnest(string_split(content, ' ')) AS word, generate_subscripts(string_split(content, ' '), 1) AS k FROM e),
+a AS (SELECT doc_id, idx, word, CAST(coalesce(sum(length(word) + 1) OVER (PARTITION BY doc_id, idx ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS spot FROM w)
+SELECT doc_id, word, count(*) AS n, md5(string_agg(idx || ':' || spot, ',' ORDER BY idx, spot)) AS places_md5 FROM a SEMI JOIN ({_WORDS_OF}) b USING (word) WHERE word <> '' GROUP BY doc_id, word""")
+def keyword_places(spark, sf_dir):
+    """Where the words of all benchmark items stand in the documents."""
+    words = table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("kind"), F.explode(F.split("text", " ")).alias("word")).distinct()
+    found = keywords.keyword_places(_elements(spark, sf_dir).select("doc_id", "position", "content"), words, boundary=" ")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("position", "at"))), lambda p: F.concat_ws(":", p["position"], p["at"]))
+    return found.groupBy("doc_id", "word").agg(F.count("*").alias("n"), F.md5(F.array_join(listed, ",")).alias("places_md5"))
+
+
+#: Answers of a model, one per document, with what goes wrong with them: cut off, words around, a wrong element.
+_ANSWERED = """a AS (SELECT doc_id, doc_id % 5 AS how, '{"category":"' || coalesce(lang, 'none') || '","pos":' || coalesce(length(text), 0) || '}' AS good FROM documents)"""
+
+
+@query(f"""WITH {_ANSWERED}, g AS (SELECT doc_id, good, unnest(CASE how WHEN 0 THEN [0, 1] WHEN 1 THEN [0] WHEN 2 THEN [0] WHEN 3 THEN [1] ELSE CAST([] AS INTEGER[]) END) AS k FROM a)
+SELECT doc_id, CAST(k AS INTEGER) AS k, json_extract_string(good, '$.category') AS category, CAST(json_extract(good, '$.pos') AS INTEGER) AS pos FROM g""")
+def salvaged_findings(spark, sf_dir):
+    """Elements that fit, from answers that are whole, cut off, surrounded by words, or hold one wrong element."""
+    return review.salvaged(_answers(spark, sf_dir), {"category": "string", "pos": "int"}, ["category"])[0]
+
+
+@query(f"""WITH {_ANSWERED} SELECT doc_id, CAST(CASE how WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 0 END AS INTEGER) AS k, CASE how WHEN 1 THEN 'no whole element' WHEN 2 THEN 'no whole element' WHEN 3 THEN 'another type of pos' ELSE 'no whole element' END AS reason FROM a WHERE how > 0""")
+def rejected_findings(spark, sf_dir):
+    return review.salvaged(_answers(spark, sf_dir), {"category": "string", "pos": "int"}, ["category"])[1].select("doc_id", "k", "reason")
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = F.to_json(F.struct(F.coalesce("lang", F.lit("none")).alias("category"), F.coalesce(F.length("text"), F.lit(0)).alias("pos")))
+    how = F.col("doc_id") % 5
+    answer = (
+        F.when(how == 0, F.concat(F.lit("["), good, F.lit(","), good, F.lit("]")))
+        .when(how == 1, F.concat(F.lit("["), good, F.lit(',{"category":"cut", "po')))
+        .when(how == 2, F.concat(F.lit("Here it is:\n["), good, F.lit("]")))
+        .when(how == 3, F.concat(F.lit('[{"category":"x","pos":"no number"},'), good, F.lit("]")))
+        .otherwise("I found nothing.")
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", answer.alias("answer"))
+
+
 #: Patterns for the made-up prose, one for each attribute and rule.
 PROSE_ATTRIBUTES = dict(zip(review.REPORT_ATTRIBUTES, ("the", "and|und", "tion", "ou", "en", "er", "la"), strict=True))
 #: What the input fields of events may state.
