@@ -24,15 +24,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, packs, release, stored, tidy
+from quire.llm.common import SECOND_FACTOR, Words, byte_texts, grams, mixed, packs, release, stored
 
 WINDOW = 35
-#: ``second`` is there on the last level only.
-_HITS, _SECOND = "rid long, rid2 int, hash long, at int, len int", ", second int"
+#: ``doc`` is a document's number within its task, small enough to travel with each hit; ``second`` is there on the last level only.
+_HITS, _SECOND = "doc long, rid long, rid2 int, hash long, at int, len int", ", second int"
 
 
 def _levels(window: int) -> list[int]:
@@ -83,6 +84,7 @@ def _finder(length: int, window: int) -> Callable:
     """Emits the representatives of one level; a column ``runs``, if there is one, holds the survivors of the level before."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts, ids, others = byte_texts(batch.column("text")), batch.column("rid").to_numpy(), batch.column("rid2").to_numpy()
             runs = batch.column("runs") if "runs" in batch.schema.names else None
@@ -93,11 +95,12 @@ def _finder(length: int, window: int) -> Callable:
                     own = None if runs is None else np.asarray(runs[i].values.to_numpy(zero_copy_only=False), dtype=np.int64)
                     if len(code) >= window:
                         h, at, n, *second = _represent(code, own, length, window)
-                        found.append((np.full(len(h), ids[i], dtype=np.int64), np.full(len(h), others[i], dtype=np.int32), h, at, n, *second))
+                        number += 1
+                        found.append((np.full(len(h), number, dtype=np.int64), np.full(len(h), ids[i], dtype=np.int64), np.full(len(h), others[i], dtype=np.int32), h, at, n, *second))
                 if found:
-                    rid, rid2, h, at, n, *second = (np.concatenate(x) for x in zip(*found, strict=True))
-                    columns = [rid, rid2, h.view(np.int64), at.astype(np.int32), n.astype(np.int32), *(x.view(np.int32) for x in second)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rid", "rid2", "hash", "at", "len", "second"][: len(columns)])
+                    doc, rid, rid2, h, at, n, *second = (np.concatenate(x) for x in zip(*found, strict=True))
+                    columns = [doc, rid, rid2, h.view(np.int64), at.astype(np.int32), n.astype(np.int32), *(x.view(np.int32) for x in second)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "rid", "rid2", "hash", "at", "len", "second"][: len(columns)])
 
     return work
 
@@ -106,15 +109,17 @@ def _repeated(hits: DataFrame) -> DataFrame:
     """By document, the windows whose representative is found twice or more: ``(of, of2, runs)``.
 
     The repeated hashes are stored before they meet the hits again: the join then has two plain shuffles, so
-    Spark can split the partition of a hash that holds a large share of the hits.
+    Spark can split the partition of a hash that holds a large share of the hits.  Hits travel under their document's number;
+    its hashes come back once per document.
     """
     keys = [c for c in ("hash", "second") if c in hits.columns]
     often = stored(hits.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
-    tidy(hits.sparkSession)
-    back = hits.join(often, keys, "left_semi")
-    marks = stored(back.groupBy(F.col("rid").alias("of"), F.col("rid2").alias("of2")).agg(F.flatten(F.collect_list(F.array("at", "len"))).alias("runs")))
+    length = F.lit(1) if "second" in keys else F.col("len")  # on the last level, a hit is one window
+    back = hits.select("doc", *keys, "at", *(["len"] if "second" not in keys else [])).join(often, keys, "left_semi")
+    runs = back.groupBy("doc").agg(F.flatten(F.collect_list(F.array("at", length))).alias("runs"))
+    names = hits.groupBy(F.col("rid").alias("of"), F.col("rid2").alias("of2")).agg(F.min("doc").alias("doc"))  # rows that share both are alike
+    marks = stored(runs.join(names, "doc").select("of", "of2", "runs"))
     release(often)
-    tidy(hits.sparkSession)
     return marks
 
 
