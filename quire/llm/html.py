@@ -18,6 +18,7 @@ import html as entities
 import re
 import zlib
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -36,9 +37,12 @@ HIDDEN = 28
 TOGETHER, MOST_BLOCKS = 64, 1 << 14
 WEIGHTS = Path(__file__).with_name("html_weights.npz")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+#: Comments, tags, declarations.  A quote that nothing closes is a character like any other, so a tag always ends, and what is read once is not read again.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)", re.DOTALL)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _RAW = {"script", "style", "template", "noscript", "textarea", "svg", "iframe", "select"}
+#: Of these, the ones that may stand inside each other.
+_NESTED = {"template", "svg", "select"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _CLOSES_P = {"p", "div", "ul", "ol", "dl", "li", "dt", "dd", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "aside", "nav", "header", "footer", "form", "blockquote", "pre", "main", "figure", "hr"}
@@ -110,10 +114,43 @@ class Elements:
         return self.stack[-1][0] if self.stack else ""
 
 
+class Ends:
+    """Where elements without text end, from one scan of the page for each tag that is asked for."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.known: dict[str, tuple[list[int], list[int], dict[int, int]]] = {}
+
+    def _scan(self, tag: str) -> tuple[list[int], list[int], dict[int, int]]:
+        """Begins and ends of all end tags, and the end of the one that closes a start tag, by the place behind that."""
+        if tag not in self.known:
+            begins, ends, pairs, open_ = [], [], {}, []
+            for found in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*+>", self.page, re.IGNORECASE):
+                if found[1]:
+                    begins.append(found.start())
+                    ends.append(found.end())
+                    if open_:
+                        pairs[open_.pop()] = found.end()
+                elif found[0][-2] != "/":
+                    open_.append(found.end())
+            self.known[tag] = begins, ends, pairs
+        return self.known[tag]
+
+    def after(self, tag: str, at: int, parent: str) -> int:
+        """Where to go on behind an element whose start tag ends at ``at``: its own end, else the next end of its parent, else right there."""
+        begins, ends, pairs = self._scan(tag)
+        if tag in _NESTED and at in pairs:
+            return pairs[at]
+        if tag not in _NESTED and (k := bisect_left(begins, at)) < len(begins):
+            return ends[k]
+        begins = self._scan(parent)[0] if parent else []
+        return begins[k] if (k := bisect_left(begins, at)) < len(begins) else at
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, their white space made single; scripts, styles, comments and other markup are not text."""
     out: list[Block] = []
-    opened = Elements()
+    opened, closing = Elements(), Ends(page)
     held: list[str] = []
     anchors: list[str] = []
     links = begun = ended = 0
@@ -158,8 +195,8 @@ def blocks(page: str) -> list[Block]:
                     opened.pop()
             continue
         if tag in _RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else size
+            if not (tag == "svg" and found[3].rstrip().endswith("/")):
+                at = closing.after(tag, at, opened.top())
             continue
         if tag not in _INLINE:
             flush()
@@ -282,7 +319,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     A null or empty page, or one without any main text, gives an empty text; rows are independent, so
     repeated pages give repeated results, and null ids and addresses stay null.  Unclosed and stray tags are
-    taken as browsers take them in the common cases; an element left open ends with the element around it.  Very long
+    taken as browsers take them in the common cases; an element left open ends with the element around it, also one whose
+    content is no text (``svg``, ``noscript`` and the like), and ``<svg/>`` has no content.  A quote in a tag that nothing
+    closes is an ordinary character.  Very long
     and deeply nested pages are read whole, one at a time.  Other columns are not read.  An empty table gives
     an empty result.
     """

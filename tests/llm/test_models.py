@@ -279,3 +279,76 @@ def test_pages_table(spark, labeller):
     assert all(r[3] == len(r[2]) for r in rows)
     assert rows[1][2] == rows[2][2]
     assert html.main_text(pages.limit(0), model=labeller).count() == 0
+
+
+def article_lines(page: str) -> list[str]:
+    """Lines of a page's article by the standard library's parser, without the package's cutter."""
+    from html.parser import HTMLParser
+
+    inline = set("a abbr b cite code em i mark q s small span strong sub sup time u".split())
+
+    class Lines(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.lines, self.held = 0, [], []
+
+        def end_line(self):
+            line = " ".join("".join(self.held).split())
+            self.lines += [line] if line else []
+            self.held = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "br":
+                self.held.append(" ")
+            elif tag not in inline:
+                self.end_line()
+            self.inside += tag == "article"
+
+        def handle_endtag(self, tag):
+            if tag not in inline:
+                self.end_line()
+            self.inside -= tag == "article"
+
+        def handle_data(self, data):
+            if self.inside and self.cdata_elem is None:
+                self.held.append(data)
+
+    parser = Lines()
+    parser.feed(page)
+    parser.close()
+    parser.end_line()
+    return parser.lines
+
+
+def test_articles_against_another_parser(spark, data, labeller):
+    rows = spark.read.parquet(f"{data}/pages.parquet").where("html like '%<article>%'")
+    got = html.main_text(rows, model=labeller).join(rows.select("page_id", "html"), "page_id").collect()
+    assert len(got) > 10
+    assert [r.page_id for r in got if r.text.split("\n") != article_lines(r.html)] == []
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ('<p>one</p><svg viewBox="0 0 1 1"/><p>two</p>', ["one", "two"]),
+        ("<div><noscript>hidden<p>more</div><p>two", ["two"]),
+        ("<div><svg><svg><path/></svg>in</svg>one</div><p>two", ["one", "two"]),
+        ("<div><svg><g>in</div><p>two", ["two"]),
+        ("<div><template>a<template>b</template>c</template>one</div>", ["one"]),
+        ("<iframe src=x><p>after", ["after"]),
+        ("<div><select><option>a</div>two", ["two"]),
+        ("x<SCRIPT>if (a<b) '</p>'</script >y<style>p{}</style>z", ["xyz"]),
+        ('<p title="a>b">one</p><p title="c>two</p><p>three', ["one", "two", "three"]),
+        ("<p class='x\">one</p>", ["one"]),
+    ],
+)
+def test_unclosed_and_self_closed_elements(page, want):
+    """An element without text that nothing closes ends with its parent; nothing behind it is lost."""
+    assert [b.text for b in html.blocks(page)] == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000 + '"', "<a '" * 200_000 + "<p \"x", "<svg>" * 200_000 + "x", "<div><noscript><p>x" * 30_000, "<template>" * 50_000 + "</template>" * 40_000, "<a b='" * 150_000])
+def test_odd_tags_take_linear_time(page):
+    began = time.perf_counter()
+    html.blocks(page)
+    assert time.perf_counter() - began < 20
