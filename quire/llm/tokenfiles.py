@@ -58,7 +58,7 @@ _BYTES = _byte_characters()
 
 
 #: Texts that tell whether a tokenizer's words can be encoded one by one.
-PROBES = ("one two", " leading and trailing ", "two  spaces\n\nand lines", "Word, (word). it's! a-b?", "été naïve 12 x1 ___", "don't,stop...now", "日本語 text", "tab\tand\x0bothers", "<|endoftext|> ### %%")
+PROBES = ("one two", " leading and trailing ", "two  spaces\n\nand lines", "Word, (word). it's! a-b?", "été naïve 12 x1 ___", "don't,stop...now", "日本語 text", "tab\tand\x0bothers", "<|endoftext|> ### %%", "\u0130$ \u0130, x\u0130!")
 
 
 class WordEncoder(dict):
@@ -93,7 +93,7 @@ class WordEncoder(dict):
             self[word] = known
             return known
         head = word.rstrip(string.punctuation)
-        if head != word and head.isalpha():
+        if head != word and head.isalpha() and head.lower().isalpha():  # a mark that lower-casing brings would join the sign behind it
             out = self[head] + self[word[len(head) :]]
         else:
             known = self.plain and word.isalpha() and (word.isascii() or max(word) <= "\xff")

@@ -173,3 +173,14 @@ def test_missing_edits(spark):
     got = collected(tokencount.edited_counts(df, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "n_edits", "n_tokens", "n_tokens_after"))
     assert [r[:2] for r in got] == [(1, 0), (2, 1), (3, 1)]
     assert got[2][2:] == (0, 2)
+
+
+def test_words_of_odd_letters():
+    """Letters whose lower case has a mark, digits of all kinds and closing signs: words alone give what whole texts give."""
+    with open(vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = tokenfiles.WordEncoder(f.read())
+    assert words.by_word and words.plain
+    rng = random.Random(6)
+    pool = [*"aZ09.,$!?-'é", *"İıßŉǰΐﬁKÅ٣²ⅧᾳΣς字ǄẞᾼΪ", "́", "̇", "‍", "ก็", "_", " ", "\n"]
+    for text in ["İ$", "xİ,", "İİ!", *("".join(rng.choice(pool) for _ in range(rng.randrange(1, 9))) for _ in range(20_000))]:
+        assert np.frombuffer(words.encode(text), dtype="<u4").tolist() == words._whole(text), text
