@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import uuid
 from collections.abc import Iterator
 
@@ -75,12 +74,6 @@ def release_since(when: int, but: DataFrame) -> None:
             _remove(spark, path)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Lets go of the shuffle files of finished queries; Spark keeps them until the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -21,6 +21,10 @@ each fingerprint to the smallest one at each of its 65 points gives the same com
 ``keep_one_of_each`` removes near copies of five-word shingles and a similarity of 0.8 from a corpus.  Their
 fingerprints may differ by a dozen bits and more, for which no join of whole fingerprints is selective; candidates
 there share the SimHash of a *lane*, a fixed small part of their shingles that most edits leave alone.
+
+Texts of up to ``SHORT`` shingles have too few of them for lanes.  They are joined exactly: in an order that puts rare shingles
+first, two texts that share 0.8 of their shingles have one in common among the first fifth of each, so only
+these meet.  The rows of such a shingle are compared with each other by all their shingles, and rows that always meet together once.
 """
 
 from __future__ import annotations
@@ -49,6 +53,8 @@ WIDE_SHINGLE, SIMILARITY = 5, 0.8
 WIDE_LIMIT = 20
 #: Shingles of a lane, lanes of a scale, and the fewest shingles of a lane that counts.
 LANE, MOST_LANES, LEAST_IN_LANE = 6, 32, 3
+#: Shingles of a text, at most, whose near copies are found by rare shingles; rows of a group that are compared with each other.
+SHORT, MOST_TOGETHER = 100, 1024
 #: (first bit, bits) of the block of each group.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 #: Bits that a distance takes in a packed row of the table.
@@ -196,7 +202,7 @@ def _simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def lanes(hashes: np.ndarray) -> np.ndarray:
-    """Keys of a text's lanes: SimHashes of fixed parts of its shingles.
+    """Keys of a text's lanes: SimHashes of fixed parts of its shingles.  Short texts have none, but those without words share one.
 
     A lane holds the shingles whose hash has a certain remainder; there are so many remainders that a lane has about
     ``LANE`` shingles, or half as many on the next scale, and at most ``MOST_LANES`` of them are used on each.  An edit changes
@@ -205,6 +211,8 @@ def lanes(hashes: np.ndarray) -> np.ndarray:
     """
     if not len(hashes):
         return np.zeros(1, dtype=np.int64)
+    if len(hashes) <= SHORT:
+        return np.zeros(0, dtype=np.int64)
     scale, out = max(0, int(np.log2(max(1, len(hashes) / LANE)))), []
     mix = mixed(hashes)
     for at in (scale, scale + 1):
@@ -222,16 +230,17 @@ def lanes(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketched(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``(*keep, fp, lanes)`` of each row: the SimHash of all its shingles, and its lanes."""
+    """``(*keep, fp, lanes, short)`` of each row: the SimHash of all its shingles, its lanes, and the shingles themselves if a short text may be its copy."""
+    most = int(SHORT / SIMILARITY)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_hashes(t, WIDE_SHINGLE) for t in byte_texts(batch.column(0))]
             prints = [int(_simhashes(h, np.zeros(1, dtype=np.int64)).view(np.int64)[0]) if len(h) else 0 for h in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints, pa.int64()), pa.array([lanes(h) for h in found], pa.list_(pa.int64()))], names=[*keep, "fp", "lanes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints, pa.int64()), pa.array([lanes(h) for h in found], pa.list_(pa.int64())), pa.array([h.view(np.int64) if 0 < len(h) <= most else None for h in found], pa.list_(pa.int64()))], names=[*keep, "fp", "lanes", "short"])
 
     read = rows.select(F.col(text).alias("__text"), *keep)
-    return read.mapInArrow(work, T.StructType([*(read.schema[k] for k in keep), T.StructField("fp", T.LongType()), T.StructField("lanes", T.ArrayType(T.LongType()))]))
+    return read.mapInArrow(work, T.StructType([*(read.schema[k] for k in keep), T.StructField("fp", T.LongType()), T.StructField("lanes", T.ArrayType(T.LongType())), T.StructField("short", T.ArrayType(T.LongType()))]))
 
 
 def _shingled(rows: DataFrame, text: str) -> DataFrame:
@@ -245,17 +254,91 @@ def _shingled(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("row", F.col(text)).mapInArrow(work, "row long, shingles array<long>")
 
 
+def _rare(nodes: DataFrame) -> DataFrame:
+    """``(row, key)``: the shingles of each short text by which it must meet its near copies.
+
+    Shingles that no other row has come first of all, and need not be looked up.
+    """
+    rows = nodes.where("short is not null").select("row", F.size("short").alias("n"), F.explode("short").alias("key"))
+    often = rows.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
+    shared = rows.join(often, "key").groupBy("row", "n").agg(F.sort_array(F.collect_list(F.struct("uses", "key"))).alias("shared"))
+    # n less what must be shared, plus one; of these, n less the shared ones are the row's own
+    count = F.size("shared") + 1 - F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-9).cast("int")
+    return shared.select("row", F.explode(F.slice("shared", F.lit(1), F.greatest(count, F.lit(0)))).alias("s")).select("row", "s.key")
+
+
+def _linked(rows: np.ndarray, shingles: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links that join what is similar among some rows, one less than there are rows at most."""
+    flat = np.concatenate(shingles)
+    owner = np.repeat(np.arange(len(rows)), [len(s) for s in shingles])
+    kinds, code = np.unique(flat, return_inverse=True)
+    turn = np.argsort(code, kind="stable")
+    first = np.searchsorted(code[turn], np.arange(len(kinds) + 1))
+    holders, size = owner[turn], np.array([len(s) for s in shingles])
+    root = np.arange(len(rows))
+    at = 0
+    for k in range(len(rows)):
+        own = code[at : at + size[k]]
+        at += size[k]
+        count = first[own + 1] - first[own]
+        places = np.repeat(first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        shared = np.bincount(holders[places], minlength=len(rows))[:k]
+        for j in np.flatnonzero(shared >= SIMILARITY * (size[k] + size[:k] - shared) - 1e-9).tolist():
+            if root[j] != root[k]:
+                yield int(rows[j]), int(rows[k])
+                root[root == root[k]] = root[j]
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within the groups of sorted rows ``(gid, row, short)``."""
+    gid, rows, shingles = None, [], []
+
+    def out() -> pa.RecordBatch:
+        links = list(_linked(np.array(rows), shingles))
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    for batch in batches:
+        for g, row, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if g != gid and rows:
+                yield out()
+                rows, shingles = [], []
+            gid = g
+            rows.append(row)
+            shingles.append(own.values.to_numpy())
+    if rows:
+        yield out()
+
+
+def short_links(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links ``(a, b)`` between similar rows of ``nodes (row, short, ...)``, and pairs that have yet to be looked at.
+
+    The links join all short texts that are similar, directly or over others.  A shingle that is among the rare ones of more than
+    ``MOST_TOGETHER`` rows, as in a large group of copies, has its rows compared in blocks, drawn anew for each shingle,
+    and each row of them is paired with the smallest.
+    """
+    keys = stored(_rare(nodes))
+    sizes = keys.groupBy("key").agg(F.count("*").alias("uses"), F.min("row").alias("least")).where("uses > 1")
+    met = stored(keys.join(sizes, "key"))
+    block = F.when(F.col("uses") > MOST_TOGETHER, F.pmod(F.xxhash64("row", "key"), F.ceil(2 * F.col("uses") / MOST_TOGETHER))).otherwise(0)
+    members = met.groupBy("key", block.alias("block")).agg(F.sort_array(F.collect_list("row")).alias("members")).where("size(members) > 1").select("members").distinct()
+    units = members.select(F.xxhash64("members").alias("gid"), F.explode("members").alias("row")).join(nodes.select("row", "short"), "row").select("gid", "row", "short")
+    links = units.repartition("gid").sortWithinPartitions("gid").mapInArrow(_compared, "a long, b long").distinct()
+    return links, met.where((F.col("uses") > MOST_TOGETHER) & (F.col("row") != F.col("least"))).select(F.col("row").alias("a"), F.col("least").alias("b")).distinct()
+
+
 def similar_links(nodes: DataFrame, held: DataFrame, text: str) -> DataFrame:
-    """Links ``(a, b)`` between rows of ``nodes (row, fp, lanes, p0, ..., origin)`` whose texts in ``held (row, text)`` have ``SIMILARITY``.
+    """Links ``(a, b)`` between rows of ``nodes (row, fp, lanes, short, p0, ..., origin)`` whose texts in ``held (row, text)`` have ``SIMILARITY``.
 
-    Each row is paired with the smallest row of every lane that it shares with others, so a lane that any number of rows
-    share gives one pair for each of them.  Pairs are discarded by their pivot coordinates, then by the distance of
-    their fingerprints, both within ``WIDE_LIMIT``; the survivors are verified on their shingles themselves.
+    Short texts are linked by ``short_links``.  Each longer one is paired with the smallest row of every lane that it shares with
+    others, so a lane that any number of rows share gives one pair for each of them.  Pairs are discarded by their pivot
+    coordinates, then by the distance of their fingerprints, both within ``WIDE_LIMIT``; the survivors are verified on their
+    shingles themselves.
     """
+    links, crowded = short_links(nodes)
     keyed = nodes.select("row", F.explode("lanes").alias("key"))
     least = keyed.groupBy("key").agg(F.min("row").alias("least"), F.count("*").alias("n")).where("n > 1").select("key", "least")
-    met = keyed.join(least, "key").where("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b")).distinct()
-    table = nodes.drop("lanes")
+    met = keyed.join(least, "key").where("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b")).union(crowded).distinct()
+    table = nodes.drop("lanes", "short")
     told = met.join(table.alias("x"), F.col("a") == F.col("x.row")).join(table.alias("y"), F.col("b") == F.col("y.row"))
     near = told.where(apart("x", "y") <= WIDE_LIMIT).where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= WIDE_LIMIT)
     pairs = stored(near.select("a", "b"))
@@ -265,7 +348,7 @@ def similar_links(nodes: DataFrame, held: DataFrame, text: str) -> DataFrame:
     both = pairs.join(first, "a").join(second, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     every = F.size("sa") + F.size("sb") - shared
-    return both.where((every == 0) | (shared >= SIMILARITY * every)).select("a", "b")
+    return both.where((every == 0) | (shared >= SIMILARITY * every)).select("a", "b").union(links)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -141,6 +141,70 @@ def test_near_copies(spark, size):
     assert len(gone) >= 0.9 * len(near)
 
 
+def edited(rng, base, how):
+    """A copy with one to three words appended, put before, or replaced anywhere or at an edge."""
+    n = rng.choice([1, 1, 2, 3])
+    more = [f"new{rng.randrange(1000)}" for _ in range(n)]
+    if how == "appended":
+        return base + more
+    if how == "before":
+        return more + base
+    copy = list(base)
+    for k, w in enumerate(more):
+        copy[rng.randrange(len(copy)) if how == "replaced" else -1 - k % len(copy)] = w
+    return copy
+
+
+def kept_of_components(texts):
+    """The rows that stay by brute force: the first of each component of pairs with the similarity."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[i] if r == root[j] else r for r in root]
+    least = {}
+    for k, r in enumerate(root):
+        least.setdefault(r, k)
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize("size", [5, 9, 12, 15, 20, 40, 95])
+def test_short_copies_are_all_found(spark, size):
+    """However the copy differs, from texts of one shingle on."""
+    rng = random.Random(size)
+    words = [f"w{k}" for k in range(3000)]
+    texts = []
+    for how in ("appended", "before", "replaced", "edge") * 12:
+        base = [rng.choice(words) for _ in range(size)]
+        texts += [" ".join(base), " ".join(edited(rng, base, how))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect())
+    want = kept_of_components(texts)
+    assert got == want
+    assert len(want) < len(texts) or size < 9
+
+
+@pytest.mark.parametrize("together", [1024, 100])
+def test_pages_of_one_template(spark, monkeypatch, together):
+    """Pages that share most words fall into the groups of the similarity, neither more nor fewer, while a group's rows are compared together."""
+    rng = random.Random(4)
+    frame = [f"t{k}" for k in range(48)]
+    texts = []
+    for _ in range(130):
+        own = [f"o{rng.randrange(400)}" for _ in range(12)]
+        for _ in range(rng.choice([1, 1, 2, 3, 4])):
+            words = own[:]
+            words[rng.randrange(12)] = f"o{rng.randrange(400)}"
+            texts.append(" ".join(frame[:20] + words + frame[20:]))
+    monkeypatch.setattr(simhash, "MOST_TOGETHER", together)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got, want = sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()), kept_of_components(texts)
+    if together > len(texts):
+        assert got == want
+    else:
+        assert set(want) <= set(got) and len(got) <= 1.05 * len(want)
+
+
 def test_crowd_of_near_copies(spark):
     """Hundreds of copies of one text, each with a word of its own replaced, leave one."""
     base = [f"w{k}" for k in range(200)]
