@@ -14,7 +14,8 @@ from quire.operators import elements as el
 from quire.operators import naming, ranking, tables
 from quire.plans import corpus, review
 from quire.plans.expand import expand
-from quire.sources.shared import staged
+from quire.sources import corpus_source
+from quire.sources.shared import new_folder, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -480,6 +481,21 @@ def parent_label(spark, sf_dir):
     return both.select("session", "p_partkey", corpus.parent_label(F.col("parent_dir"), F.element_at("path", -1)).alias("parent"))
 
 
+@query(f"WITH {_E} SELECT 'doc_' || doc_id AS session_id, idx, idx AS position, content FROM e")
+def corpus_reread(spark, sf_dir):
+    """Chunk files and manifests of all documents, written in one commit and read back as elements."""
+    parsed = _documents(spark, sf_dir).withColumn("session_id", F.concat(F.lit("doc_"), F.col("doc_id").cast("string")))
+    chunks = corpus.chunk_markdown(parsed.select("session_id", "elements"), F.lit("d/d.md")).select(F.concat_ws("/", "session_id", F.lit("d/chunks"), "file").alias("path"), "content")
+    listed = parsed.select(
+        "session_id", F.lit(0).alias("seq"), F.lit("d").alias("dir"), F.lit("d.txt").alias("source"), F.lit("d/d.txt").alias("source_copy"), F.lit("txt").alias("type"),
+        F.size("elements").alias("element_count"), F.lit(0).alias("data_ref_count"), F.lit(0).alias("image_count"), F.lit("root").alias("parent"),
+    )
+    manifests = corpus.manifest_json(listed).select(F.concat_ws("/", "session_id", F.lit("manifest.json")).alias("path"), F.col("manifest").alias("content"))
+    folder = new_folder(spark, "quire-corpus")
+    corpus_source.save_files(chunks.union(manifests), folder)
+    return corpus_source.read_corpora(spark, folder, task_types=["chunk"]).select("session_id", "idx", "position", "content")
+
+
 # --- expansion: a document is a file that holds its two halves, down to single lines -------------------------------
 
 _HALVES = """RECURSIVE f AS (SELECT doc_id, [0] AS path, 0 AS depth, 'document.half' AS name, CAST(NULL AS INTEGER) AS pos, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,18 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared one, as a URI that Arrow's file systems know too; it goes when the driver ends."""
+    folder = shared_folder(spark)
+    if ":" not in folder:
+        folder = f"file://{os.path.abspath(folder)}"
+    elif folder.startswith("file:/") and not folder.startswith("file:///"):
+        folder = folder.replace("file:/", "file:///", 1)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    atexit.register(removed, spark, path)
+    return path
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, for tables that several parts of a plan read; the files go when the driver ends."""
     spark = df.sparkSession
