@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -82,9 +83,15 @@ def suffix(kind: Column, name: Column) -> Column:
     return F.coalesce(F.try_element_at(known, kind), name_suffix(name))
 
 
-def parser(ext: Column, name: Column) -> Column:
-    """First parser that takes the suffix, else the first that takes the file name, else null."""
-    taken = F.create_map(*[F.lit(x) for kind, suffixes in PARSERS for s in suffixes for x in (s, kind)])
+def parser(ext: Column, name: Column, handlers: Sequence[tuple[str, Sequence[str]]] = PARSERS) -> Column:
+    """First of ``handlers`` (a parser's name and the suffixes that it takes) for the suffix, else the first for the file name, else null."""
+    first: dict[str, str] = {}
+    for kind, suffixes in handlers:
+        for s in suffixes:
+            first.setdefault(s, kind)
+    if not first:
+        return F.lit(None).cast("string")
+    taken = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
     return F.coalesce(F.try_element_at(taken, ext), F.try_element_at(taken, name_suffix(name)))
 
 

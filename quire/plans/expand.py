@@ -9,13 +9,13 @@ is written to the shared folder, so lost executors cost no more than a level.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.detect import image_format, media_type, parser, suffix
+from quire.functions.detect import PARSERS, image_format, media_type, parser, suffix
 from quire.functions.text import base_name, plain_file_name
 from quire.operators.elements import preorder
 from quire.operators.naming import directory_names
@@ -28,26 +28,26 @@ IMAGE = "image"
 _LISTS = ("elements", "sheets", "embedded", "images", "error")
 
 
-def routed(files: DataFrame) -> DataFrame:
+Handlers = Sequence[tuple[str, Sequence[str]]]
+
+
+def routed(files: DataFrame, handlers: Handlers = PARSERS) -> DataFrame:
     """``files (..., file_name, content)`` with ``kind`` (media type), ``ext`` and ``parser``; the last is null for unsupported files."""
     kinds = files.withColumn("kind", media_type(F.col("content")))
-    return kinds.withColumn("ext", suffix(F.col("kind"), F.col("file_name"))).withColumn("parser", parser(F.col("ext"), F.col("file_name")))
+    return kinds.withColumn("ext", suffix(F.col("kind"), F.col("file_name"))).withColumn("parser", parser(F.col("ext"), F.col("file_name"), handlers))
 
 
-def _keyed(files: DataFrame, parsers: dict) -> DataFrame:
+def _keyed(files: DataFrame, handlers: Handlers) -> DataFrame:
     """``files`` routed, with ``content_key``: equal for files with equal bytes that go to the same parser."""
-    known = routed(files)
-    if parsers:
-        known = known.withColumn("parser", F.when(F.col("ext").isin(*parsers), F.col("ext")).otherwise(F.col("parser")))
-    return known.withColumn("content_key", F.concat_ws(":", F.md5(F.coalesce("content", F.lit(b""))), "parser"))
+    return routed(files, handlers).withColumn("content_key", F.concat_ws(":", F.md5(F.coalesce("content", F.lit(b""))), "parser"))
 
 
-def _children(contents: DataFrame, parsers: dict) -> DataFrame:
+def _children(contents: DataFrame, handlers: Handlers) -> DataFrame:
     """What parsed contents embed, in order, then their pictures: ``(content_key of the child, in_key, k, file_name, position, content, ...)``."""
     part = lambda e: F.struct(e["file_name"].alias("file_name"), e["position"].alias("position"), e["data"].alias("data"))
     inner = F.concat(F.transform("embedded", part), F.transform("images", part))
     rows = contents.select(F.col("content_key").alias("in_key"), F.posexplode(inner).alias("k", "e"))
-    return _keyed(rows.select("in_key", "k", F.col("e.file_name").alias("file_name"), F.col("e.position").alias("position"), F.col("e.data").alias("content")), parsers)
+    return _keyed(rows.select("in_key", "k", F.col("e.file_name").alias("file_name"), F.col("e.position").alias("position"), F.col("e.data").alias("content")), handlers)
 
 
 def _distinct(files: DataFrame) -> DataFrame:
@@ -62,6 +62,7 @@ def expand(
     fail_fast: bool = False,
     keep_content: bool = False,
     parsers: dict[str, Callable[[bytes], dict]] | None = None,
+    handlers: Handlers | None = None,
 ) -> dict[str, DataFrame]:
     """All files within ``sources (session_id, file_name, content)``: tables ``docs``, ``skipped`` and ``contents``.
 
@@ -69,10 +70,14 @@ def expand(
     lists; files without a parser are in ``skipped`` and take no ``seq``.  ``contents`` has a row per distinct content with
     what it was parsed to.  Pictures are leaves; with ``images_recurse`` each holds itself again until the depth
     limit, as some older corpora have it.  ``content`` stays with ``keep_content``, for copies of the sources.  ``parsers`` are
-    functions from bytes to the lists of ``PARSED``, by the suffix that they take; they come before the known ones.
+    functions from bytes to the lists of ``PARSED``, by the suffix that they take; they come before the known ones.  ``handlers``
+    replaces the list of parsers: names (of ``parsers`` or known ones) with the suffixes that each takes, the first that
+    takes a file being the one that gets it, so parsers can be left out and put in another order.
     """
     parsers = parsers or {}
-    top = _keyed(sources.select("session_id", "file_name", "content"), parsers)
+    if handlers is None:
+        handlers = (*((name, (name,)) for name in parsers), *PARSERS)
+    top = _keyed(sources.select("session_id", "file_name", "content"), handlers)
     named = ["file_name", "kind", "ext", "parser", "content_key"]
     level = staged(top.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("parent_position"), *named))
 
@@ -87,7 +92,7 @@ def expand(
         pictures = fresh.where(F.col("parser") == IMAGE).select("content_key", "parser", F.col("content").alias("held"), *[F.lit(None).cast("string").alias(n) if n == "error" else _empty(rows, n) for n in _LISTS])
         done = staged(rows.unionByName(pictures))
         contents.append(done)
-        inside = _children(done, parsers)
+        inside = _children(done, handlers)
         found = staged(inside.drop("content"))
         links.append(found)
         if depth + 1 == depth_limit or found.where("parser is not null").isEmpty():

@@ -188,8 +188,13 @@ def regulatory_overall(findings: DataFrame, keys: list[str], patterns: dict[str,
 
     ``severity_rank`` orders a report: 1 for the weightiest lack, one more than there are attributes for none.
     """
-    names = list(patterns)
     merged = findings.groupBy("item_name").agg(F.bit_or("missing").alias("bits"), F.count("*").alias("places"))
+    return regulatory_listed(merged, patterns)
+
+
+def regulatory_listed(merged: DataFrame, patterns: dict[str, str] = REPORT_ATTRIBUTES) -> DataFrame:
+    """Items ``(item_name, bits, places)`` as a report lists them."""
+    names = list(patterns)
     listed = _named(F.col("bits"), names)
     return merged.select("item_name", F.array_join(listed, ",").alias("missing_fields"), F.coalesce(F.get(listed, F.lit(0)), F.lit("none")).alias("severity"), _rank(F.get(listed, F.lit(0)), names).alias("severity_rank"), "places")
 

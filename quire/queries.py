@@ -16,6 +16,7 @@ from quire.plans import corpus, review
 from quire.plans.expand import expand
 from quire.sources import corpus_source
 from quire.sources.shared import new_folder, staged
+from quire.streaming import findings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -693,6 +694,35 @@ def regulatory_reduce(spark, sf_dir):
     return review.regulatory_overall(review.regulatory_findings(_elements(spark, sf_dir), ["doc_id"], PROSE_ATTRIBUTES), ["doc_id"], PROSE_ATTRIBUTES)
 
 
+#: Documents without every tenth one, which its last version empties.
+_LAST = _REG.replace("FROM documents)", "FROM documents WHERE doc_id % 10 <> 0)")
+
+
+@query(f"WITH {_LAST} SELECT * FROM reg")
+def regulatory_state(spark, sf_dir):
+    """Versions of documents come in three batches, some newest first; the state equals a reduce over the newest."""
+    lines = _elements(spark, sf_dir).select("doc_id", "position", "content")
+    size = lines.groupBy("doc_id").agg(F.count("*").alias("size"))
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    halves_ = lines.join(size, "doc_id").where("position < size div 2").drop("size")
+    kinds = {1: (docs, halves_), 2: (docs, lines), 3: (docs.where("doc_id % 10 = 0"), lines.where("false"))}
+    bits = [f"missing_{k}" for k in range(len(PROSE_ATTRIBUTES))]
+    values = {"places": F.lit(1)} | {n: F.shiftright("missing", k).bitwiseAND(F.lit(1)) for k, n in enumerate(bits)}
+    batches = ([(1, "doc_id % 2 = 1"), (2, "doc_id % 2 = 0")], [(1, "doc_id % 2 = 0"), (2, "doc_id % 2 = 1")], [(3, "true")])
+    folder, out = new_folder(spark, "quire-versions"), new_folder(spark, "quire-changes")
+    for batch in batches:  # one after the other, as they would come
+        parts = []
+        for version, which in batch:
+            files, own = (df.where(which) for df in kinds[version])
+            found = review.regulatory_findings(own, ["doc_id"], PROSE_ATTRIBUTES).withColumnRenamed("doc_id", "file_id").withColumn("version", F.lit(version))
+            parts.append(findings.contributions(files.select(F.col("doc_id").alias("file_id"), F.lit(version).alias("version")), found, values, "item_name"))
+        reduce(DataFrame.unionByName, parts).write.mode("append").parquet(folder)
+        findings.take_versions(spark, folder, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    names = ["places", *bits]
+    kept = findings.state(spark.read.schema(findings.CHANGES).parquet(f"{out}/table"), names, "item_name")
+    return review.regulatory_listed(kept.select("item_name", findings.bits_of(bits).alias("bits"), "places"), PROSE_ATTRIBUTES)
+
+
 _INP = f"""ie AS (SELECT event_id, 0 AS position, event_type AS field_location, 'Field ' || event_id % 40 || ': ' || event_type || ' ' || props AS content FROM events),
 ig AS (SELECT substring(lower(trim(string_split(content, ':')[1])), 1, 40) AS field_name, field_location, bit_or({_bits(PROSE_RULES)}) AS bits, count(*) AS places FROM ie WHERE contains(content, ':') GROUP BY 1, 2),
 inp AS (SELECT field_name, field_location, coalesce(array_to_string({_listed(PROSE_RULES)}, ','), '') AS missing_rules, CAST(bit_count(bits) AS INTEGER) AS n_missing, places FROM ig)"""

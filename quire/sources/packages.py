@@ -37,6 +37,7 @@ A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 P = "{http://schemas.openxmlformats.org/package/2006/relationships}"
+C = "{http://schemas.openxmlformats.org/package/2006/content-types}"
 
 
 def opened(data: bytes) -> zipfile.ZipFile:
@@ -81,13 +82,29 @@ def markdown(grid: list[list[str]]) -> str:
     return "\n".join([*lines[:1], *(["| " + " | ".join("---" for _ in grid[0]) + " |"] if grid else []), *lines[1:]]).strip()
 
 
-def unboxed(name: str, data: bytes) -> tuple[str, bytes]:
-    """The file that an embedded object in the simple layout holds; other parts stay as they are."""
+def content_types(archive: zipfile.ZipFile) -> Callable[[str], str | None]:
+    """Content type of a part: its own, else that of its suffix, else none."""
+    try:
+        root = ElementTree.fromstring(archive.read("[Content_Types].xml"))
+    except KeyError:
+        return lambda part: None
+    own = {e.get("PartName", "").lstrip("/"): e.get("ContentType") for e in root if e.tag == f"{C}Override"}
+    by_suffix = {e.get("Extension", "").lower(): e.get("ContentType") for e in root if e.tag == f"{C}Default"}
+    return lambda part: own.get(part) or by_suffix.get(part.rpartition(".")[2].lower())
+
+
+def unboxed(name: str, data: bytes, kind: str | None = None) -> tuple[str, bytes]:
+    """The file that an embedded object in the simple layout holds; other parts stay as they are.
+
+    An object is known by its content type (``oleObject`` or ``ole`` in it), and by the suffix ``bin`` where a package tells none.
+    """
+    if not ("ole" in kind if kind else name.lower().endswith(".bin")):
+        return name, data
     at = data[:260].find(b"\0")
     rest = data[at + 1 :]
     size = int.from_bytes(rest[:4], "little", signed=True)
     rest = rest[4 : 4 + size] if 0 < size <= len(rest) - 4 else rest
-    return (data[:at].decode("latin-1").strip(), rest) if name.lower().endswith(".bin") and at > 0 and len(data) >= 4 and rest else (name, data)
+    return (data[:at].decode("latin-1").strip(), rest) if at > 0 and len(data) >= 4 and rest else (name, data)
 
 
 def parse_docx(data: bytes) -> dict:
@@ -123,9 +140,9 @@ def parse_docx(data: bytes) -> dict:
             if told:
                 add(at + len(shown), "paragraph", text.strip(_ENDS))
             at += len(shown) + told
-    embedded = []
+    embedded, kinds = [], content_types(archive)
     for part in (n for n in names if "embeddings" in n and not n.endswith((".rels", "/"))):
-        (name, content), place = unboxed(posixpath.basename(part), archive.read(part)), len(elements)
+        (name, content), place = unboxed(posixpath.basename(part), archive.read(part), kinds(part)), len(elements)
         add(place, "embed", None, f"file: {name}")
         embedded.append({"file_name": name, "position": place, "data": content})
     return {"elements": elements, "images": images, "embedded": embedded}

@@ -116,3 +116,43 @@ def test_equal_contents_are_parsed_once(spark, tmp_path):
 def test_no_files(spark):
     found = expand(spark.createDataFrame([], "session_id string, file_name string, content binary"))
     assert [found[k].count() for k in ("docs", "skipped", "contents")] == [0, 0, 0]
+
+
+def test_handlers_are_replaced(spark):
+    """A list of handlers takes the place of the known one: its order decides, and what it leaves out is unsupported."""
+    texts = {"first": lambda data: {"elements": [{"position": 0, "type": "first", "content": data.decode(), "metadata": None}]}, "second": lambda data: {"elements": [{"position": 0, "type": "second", "content": data.decode(), "metadata": None}]}}
+    files = spark.createDataFrame([("s", n, bytearray(b"x")) for n in ("a.one", "b.two", "c.pdf")], "session_id string, file_name string, content binary")
+
+    def kinds(handlers):
+        found = expand(files, parsers=texts, handlers=handlers)
+        return {d.file_name: d.elements[0].type for d in found["docs"].collect()}, sorted(r.file_name for r in found["skipped"].collect())
+
+    assert kinds([("first", ["one"]), ("second", ["one", "two"])]) == ({"a.one": "first", "b.two": "second"}, ["c.pdf"])
+    assert kinds([("second", ["one", "two"]), ("first", ["one"])]) == ({"a.one": "second", "b.two": "second"}, ["c.pdf"])
+    assert kinds([]) == ({}, ["a.one", "b.two", "c.pdf"])
+
+
+def test_objects_are_known_by_content_type():
+    """A part's own type counts, then that of its suffix; the suffix ``bin`` only where a package tells none."""
+    import io
+    import zipfile
+
+    from quire.sources import packages
+
+    ns = "http://schemas.openxmlformats.org/package/2006/content-types"
+    types = f'<Types xmlns="{ns}"><Default Extension="bin" ContentType="application/vnd.openxmlformats-officedocument.oleObject"/><Override PartName="/word/embeddings/plain.bin" ContentType="application/octet-stream"/><Override PartName="/word/embeddings/o.dat" ContentType="application/ole"/></Types>'
+    body = '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body/></w:document>'
+    box = b"in.txt\0hello"
+
+    def names(with_types):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            if with_types:
+                z.writestr("[Content_Types].xml", types)
+            z.writestr("word/document.xml", body)
+            for n in ("a.bin", "plain.bin", "o.dat", "p.docx"):
+                z.writestr(f"word/embeddings/{n}", box)
+        return [(e["file_name"], e["data"]) for e in packages.parse_docx(out.getvalue())["embedded"]]
+
+    assert names(True) == [("in.txt", b"hello"), ("plain.bin", box), ("in.txt", b"hello"), ("p.docx", box)]
+    assert names(False) == [("in.txt", b"hello"), ("in.txt", b"hello"), ("o.dat", box), ("p.docx", box)]
