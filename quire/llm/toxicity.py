@@ -10,9 +10,8 @@ A document's windows are held against thresholds on the gain.  Numbers and share
 are turned into a probability by a logistic model, which calibrates the thresholds on labelled rows.  The shares keep
 long texts, where chance alone makes some windows gain, apart from short ones.
 
-Fitting uses at most ``SAMPLE`` labelled rows of each class, smallest hashes of the id first, and about ``WINDOWS``
-windows of those to train a dictionary; both are drawn by hashes.  The driver gets such windows, counted words and a few
-numbers for each row of the sample, never whole texts.  Scoring reads every whole text.
+Fitting uses at most ``SAMPLE`` labelled rows of each class, smallest hashes of the id first, and all windows of those.  The
+driver gets these windows, counted words and a few numbers for each row of the sample.  Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -32,9 +31,6 @@ from pyspark.sql import types as T
 from quire.llm.common import byte_texts, packs, release, stored
 
 SAMPLE = 3000
-WINDOWS = 200_000
-#: Bytes that a window and the space after it take, about; only the size of the draw depends on it.
-MEAN_WINDOW = 7
 WINDOW_BYTES = 24
 DICTIONARY_BYTES = 110 << 10
 TOXIC_BYTES = 8 << 10
@@ -62,6 +58,10 @@ def windows(text: bytes) -> list[bytes]:
     return _WINDOWS.findall(text.lower())
 
 
+#: Gains of a worker's windows by the dictionaries that they hold for: fitting and scoring share them.
+_known: dict[tuple[int, int], dict[bytes, int]] = {}
+
+
 @dataclass
 class Model:
     ordinary: bytes
@@ -72,7 +72,10 @@ class Model:
         """Bytes by which each window is shorter under the toxic dictionary than under the ordinary one, and each text's first window (one more entry than texts)."""
         found = [windows(t) for t in texts]
         first = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-        known = self.__dict__.setdefault("_known", {})
+        known = _known.setdefault(key := (hash(self.ordinary), hash(self.toxic)), {})
+        if len(_known) > 1:  # of other dictionaries
+            for other in _known.keys() - {key}:
+                del _known[other]
         if len(known) > KEPT_WINDOWS:
             known.clear()
         fresh = {w for x in found for w in x} - known.keys()
@@ -168,20 +171,27 @@ def _emitted(texts: DataFrame, make, schema: str) -> DataFrame:
     return texts.select("text").mapInArrow(work, schema)
 
 
-def _drawn(texts: DataFrame, found, share: float) -> list[bytes]:
-    """About ``share`` of the windows that ``found`` gives for each text; which ones depends on the text alone."""
+def _gathered(texts: DataFrame, found) -> list[bytes]:
+    """What ``found`` gives for each text of a bounded table, all of it, in order."""
+    return sorted(bytes(r.window) for r in _emitted(texts, lambda t: [(w,) for w in found(t)], "window binary").toLocalIterator(prefetchPartitions=True))
+
+
+def _measured(texts: DataFrame, model: Model) -> list[list[float]]:
+    """Features of the texts of a bounded table."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
-    def make(text: bytes) -> list[tuple[bytes]]:
-        own = found(text)
-        return [(own[k],) for k in np.flatnonzero(np.random.default_rng(zlib.crc32(text)).random(len(own)) < share)]
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = byte_texts(batch.column(0))
+            for lo, hi in packs(own):
+                yield pa.RecordBatch.from_arrays([pa.array(shared.value.features(own[lo:hi]).tolist(), pa.list_(pa.float64()))], names=["x"])
 
-    return sorted(bytes(r.window) for r in _emitted(texts, make, "window binary").collect())
+    return [r.x for r in texts.select("text").mapInArrow(work, "x array<double>").collect()]
 
 
 def fit(texts: DataFrame) -> Model:
     """Dictionaries, and thresholds' weights, from ``texts (text, y)``, a bounded table."""
-    facts = texts.groupBy("y").agg(F.count_distinct("text").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
-    n, size = {r.y: r.n for r in facts}, {r.y: r["size"] or 0 for r in facts}
+    n = {r.y: r.n for r in texts.groupBy("y").agg(F.count_distinct("text").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         prior = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
         return Model(b"ordinary text", b"toxic text", np.array([np.log(prior / (1 - prior)), *[0.0] * (N_FEATURES - 1)]))
@@ -190,12 +200,10 @@ def fit(texts: DataFrame) -> Model:
     many = {bytes(r.form): r.n for r in counted(toxic, uses).where(F.col("n") >= max(LEAST_USES, LEAST_SHARE * n[1])).collect()}
     few = {bytes(r.form): r.n for r in counted(ordinary, lambda t: [u for u in uses(t) if u[0] in many]).collect()}
     telling = {w for w, c in many.items() if np.log((c + 0.5) / n[1]) - np.log((few.get(w, 0) + 0.5) / n[0]) > LEAST_RATIO}
-    places = _drawn(toxic, lambda t: [w for w in _TOKEN.findall(t.lower()) if any(f in telling for f in forms(w))], min(1.0, WINDOWS * MEAN_WINDOW / max(1, size[1])))
-    plain = _drawn(ordinary, windows, min(1.0, WINDOWS * MEAN_WINDOW / max(1, size[0])))
+    places = _gathered(toxic, lambda t: [w for w in _TOKEN.findall(t.lower()) if any(f in telling for f in forms(w))])
+    plain = _gathered(ordinary, windows)
     model = Model(_dictionary(_shuffled(plain), DICTIONARY_BYTES), _dictionary(_shuffled(places), TOXIC_BYTES) if places else b"", np.zeros(N_FEATURES))
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-    measured = lambda part: [r.x for r in _emitted(part, lambda t: [(shared.value.features([t])[0].tolist(),)], "x array<double>").collect()]
-    x = [measured(ordinary), measured(toxic)]
+    x = [_measured(ordinary, model), _measured(toxic, model)]
     model.weights = _logistic(np.array(x[0] + x[1]), np.repeat([0.0, 1.0], [len(x[0]), len(x[1])]))
     return model
 
