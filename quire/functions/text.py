@@ -116,11 +116,15 @@ def distinct_names(names: Column, dotted: bool = False) -> Column:
         stem, suffix = F.regexp_extract(name, r"(?s)\A(.*?)(\.[^.]*)?\z", 1), F.regexp_extract(name, r"(?s)\A(.*?)(\.[^.]*)?\z", 2)
         return F.when(k == 1, name).otherwise(F.concat(stem, F.lit("_"), k.cast("string"), suffix))
 
-    def add(taken: Column, name: Column) -> Column:
-        tried = F.transform(F.sequence(F.lit(1), F.size(taken) + 1), lambda k: numbered(name, k))
+    # the numbers below the count of earlier equal names are taken; beyond it, only names that look numbered can be in the way
+    earlier = F.transform(names, lambda x, i: F.struct(x.alias("name"), F.size(F.filter(F.slice(names, F.lit(1), i), lambda y: y == x)).alias("n")))
+    odd = F.size(F.filter(names, lambda x: x.rlike(r"_[0-9]+(\.[^.]*)?\z")))
+
+    def add(taken: Column, own: Column) -> Column:
+        tried = F.transform(F.sequence(own["n"] + 1, own["n"] + odd + 1), lambda k: numbered(own["name"], k))
         return F.concat(taken, F.slice(F.filter(tried, lambda x: ~F.array_contains(taken, x)), 1, 1))
 
-    return F.aggregate(names, F.array().cast("array<string>"), add)
+    return F.aggregate(earlier, F.array().cast("array<string>"), add)
 
 
 def plain_file_name(path: Column) -> Column:

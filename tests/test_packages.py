@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import random
 import zipfile
 
 import pytest
@@ -214,6 +215,10 @@ def test_distinct_names(spark):
     cases = [["a", "a", "a_2"], ["a_2", "a", "a"], [], ["x"] * 5]
     df = spark.createDataFrame([(c,) for c in cases], "n array<string>")
     assert [r[0] for r in df.select(text.distinct_names(F.col("n"))).collect()] == [allocate(c) for c in cases]
+    rng = random.Random(5)
+    cases = [[rng.choice(["a", "b", "a_2", "a_3", "a_2_2", "b_2_2", "a_02"]) for _ in range(rng.randrange(25))] for _ in range(60)] + [["same"] * 600]
+    df = spark.createDataFrame(list(enumerate(cases)), "k int, n array<string>")
+    assert [r[0] for r in df.orderBy("k").select(text.distinct_names(F.col("n"))).collect()] == [allocate(c) for c in cases]
     pictures = spark.createDataFrame([(["p.png", "p.png", "p_2.png", "q"],)], "n array<string>")
     assert pictures.select(text.distinct_names(F.col("n"), dotted=True)).first()[0] == ["p.png", "p_2.png", "p_2_2.png", "q"]
 
