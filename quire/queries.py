@@ -13,8 +13,9 @@ from quire.functions.text import BLANK, NAME_KEEPS
 from quire.operators import elements as el
 from quire.operators import naming, ranking, tables
 from quire.plans import corpus, review
+from quire.plans import expand as expand_
 from quire.plans.expand import expand
-from quire.sources import corpus_source
+from quire.sources import corpus_source, packages
 from quire.sources.shared import new_folder, staged
 from quire.streaming import findings
 
@@ -434,6 +435,46 @@ def unsupported_drop(spark, sf_dir):
     return _routed(spark, sf_dir).where("parser is null").groupBy("ext").agg(F.count("*").alias("n"))
 
 
+#: What files begin with, the name that they go by, and what both are told to be.
+_BEGINS = (
+    ("255044462D", "a.txt", "application/pdf", "pdf", "pdf"), ("89504E470D0A1A0A", "b", "image/png", "png", "image"), ("FFD8FFE0", "c.jpeg", "image/jpeg", "jpg", "image"), ("47494638", "d.webp", "image/gif", "gif", "image"),
+    ("424D", "e.x.bmp", "image/bmp", "bmp", "image"), ("49492A00", "f.tif", "image/tiff", "tiff", "image"), ("4D4D002A", "g", "image/tiff", "tiff", "image"), ("504B0304", "h.docx", "application/zip", "zip", "zip"),
+    ("524946460000000057454250", "i.dat", "image/webp", "webp", "image"), ("D0CF11E0A1B11AE1", "j.XLS", "application/x-ole-storage", "xls", "xlsx"), ("00", "k.Docm", "application/octet-stream", "docm", "docx"), ("00", "l", "application/octet-stream", "bin", None),
+)
+_BEGUN = ", ".join(f"({k}, '{n}', '{m}', '{e}', {'NULL' if h is None else repr(h)})" for k, (_, n, m, e, h) in enumerate(_BEGINS))
+
+
+@query(f"SELECT doc_id, name AS file_name, kind, ext, parser, CASE WHEN name LIKE '%.jpeg' THEN 'jpg' WHEN name LIKE '%.tif' THEN 'tiff' WHEN regexp_matches(name, '[.](webp|bmp)$') THEN regexp_extract(name, '[^.]*$') WHEN kind LIKE 'image/%' THEN ext ELSE 'png' END AS picture FROM documents JOIN (VALUES {_BEGUN}) v(k, name, kind, ext, parser) ON k = doc_id % {len(_BEGINS)}")
+def sniffed_files(spark, sf_dir):
+    """Texts behind the first bytes of known formats, under names that say something else or nothing."""
+    k = F.col("doc_id") % len(_BEGINS)
+    head = lambda j: F.element_at(F.array(*[F.lit(b[j]) for b in _BEGINS]), (k + 1).cast("int"))
+    content = F.concat(F.unhex(head(0)), F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    files = expand_.routed(table(spark, sf_dir, "documents").select("doc_id", head(1).alias("file_name"), content.alias("content")))
+    return files.select("doc_id", "file_name", "kind", "ext", "parser", detect.image_format(F.col("file_name"), F.col("kind")).alias("picture"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE 'doc ' || doc_id || '.txt' END AS file_name, CASE doc_id % 5 WHEN 0 THEN md5(coalesce(text, '')) WHEN 1 THEN md5('tail' || coalesce(text, '')) WHEN 2 THEN md5(coalesce(text, '') || 'after') END AS content_md5
+  FROM documents WHERE coalesce(text, '') <> ''""")
+def embedded_objects(spark, sf_dir):
+    """Texts in the layout of embedded objects: with a length, without one, with bytes behind it, without a name, without a NUL in reach."""
+    rows = table(spark, sf_dir, "documents").where("coalesce(text, '') <> ''")
+    bytes_ = lambda c: F.encode(c, "UTF-8")
+    how, text_, nul = F.col("doc_id") % 5, bytes_(F.col("text")), F.lit(b"\0")
+    name = bytes_(F.concat(F.lit(" doc "), F.col("doc_id").cast("string"), F.lit(".txt ")))
+    digits = F.lpad(F.hex(F.octet_length(text_)), 8, "0")
+    size = F.unhex(F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)]))
+    blob = (
+        F.when(how == 0, F.concat(name, nul, size, text_, bytes_(F.lit("beyond"))))
+        .when(how == 1, F.concat(name, nul, bytes_(F.lit("tail")), text_))
+        .when(how == 2, F.concat(name, nul, text_, bytes_(F.lit("after"))))
+        .when(how == 3, F.concat(nul, text_))
+        .otherwise(F.concat(bytes_(F.repeat(F.lit("x"), 261)), nul, text_))
+    )
+    file = packages.object_file(blob)
+    return rows.select("doc_id", file["file_name"].alias("file_name"), F.md5(file["data"]).alias("content_md5"))
+
+
 # --- trees: a binary heap over the parts of a session ------------------------------------------------------------
 
 _HEAP = f"""h AS (SELECT p_partkey // {SESSION_PARTS} AS session, CAST(row_number() OVER (PARTITION BY p_partkey // {SESSION_PARTS} ORDER BY p_partkey) AS INTEGER) AS k, p_partkey FROM part)"""
@@ -684,9 +725,14 @@ def _listed(patterns: dict[str, str]) -> str:
     return "list_filter([" + ", ".join(f"CASE WHEN (bits & {1 << k}) <> 0 THEN '{n}' END" for k, n in enumerate(patterns)) + "], lambda x: x IS NOT NULL)"
 
 
-_REG = rf"""{_E}, g AS (SELECT lower(regexp_extract(content, '[^\W\d_]+')) AS item_name, bit_or({_bits(PROSE_ATTRIBUTES)}) AS bits, count(*) AS places FROM e WHERE regexp_extract(content, '[^\W\d_]+') <> '' GROUP BY 1),
-reg AS (SELECT item_name, coalesce(array_to_string({_listed(PROSE_ATTRIBUTES)}, ','), '') AS missing_fields, coalesce(({_listed(PROSE_ATTRIBUTES)})[1], 'none') AS severity,
-  CAST(coalesce(list_position([{", ".join(f"'{n}'" for n in PROSE_ATTRIBUTES)}], ({_listed(PROSE_ATTRIBUTES)})[1]), {len(PROSE_ATTRIBUTES) + 1}) AS INTEGER) AS severity_rank, places FROM g)"""
+def _reg(patterns: dict[str, str], rows: str) -> str:
+    names = ", ".join(f"'{n}'" for n in patterns)
+    return rf"""{_E}, {rows}g AS (SELECT lower(regexp_extract(content, '[^\W\d_]+')) AS item_name, bit_or({_bits(patterns)}) AS bits, count(*) AS places FROM {'pe' if rows else 'e'} WHERE regexp_extract(content, '[^\W\d_]+') <> '' GROUP BY 1),
+reg AS (SELECT item_name, coalesce(array_to_string({_listed(patterns)}, ','), '') AS missing_fields, coalesce(({_listed(patterns)})[1], 'none') AS severity,
+  CAST(coalesce(list_position([{names}], ({_listed(patterns)})[1]), {len(patterns) + 1}) AS INTEGER) AS severity_rank, places FROM g)"""
+
+
+_REG = _reg(PROSE_ATTRIBUTES, "")
 
 
 @query(f"WITH {_REG} SELECT * FROM reg")
@@ -723,6 +769,50 @@ def regulatory_state(spark, sf_dir):
     return review.regulatory_listed(kept.select("item_name", findings.bits_of(bits).alias("bits"), "places"), PROSE_ATTRIBUTES)
 
 
+#: Words that the specification names, and others, to be planted behind the lines of documents and the fields of events.
+SPECIFIED = (
+    "owner", "取数逻辑", "rule", "中文名", "definition of", "口径", "scope", "报送范围", "daily", "校验规则", "name", "logic derived", "Owner: logic rule name defined scope weekly", "必填", "format", "枚举", "精度", "required",
+    "between 1 and 2, decimal", "取值范围 小数 格式", "不良率", "资本充足比", "click ratio", "完整性", "accuracy", "标签", "label", "user_name", "监管报送", "Disclosure", "nothing",
+)
+_PLANTED = "[" + ", ".join(f"'{w}'" for w in SPECIFIED) + f"][{{0}} % {len(SPECIFIED)} + 1]"
+#: Accented letters go, as the two engines differ in whether one of them ends a word.
+_PE = f"pe AS (SELECT doc_id, idx, regexp_replace(content, '[À-ÿ]', 'z', 'g') || ' ' || {_PLANTED.format('(doc_id + idx)')} AS content FROM e), "
+
+
+def _planted(number):
+    return F.element_at(F.array(*[F.lit(w) for w in SPECIFIED]), (number % len(SPECIFIED) + 1).cast("int"))
+
+
+def _planted_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.concat(F.regexp_replace("content", "[À-ÿ]", "z"), F.lit(" "), _planted(F.col("doc_id") + F.col("position")))
+    return _elements(spark, sf_dir).select("doc_id", "position", line.alias("content"))
+
+
+@query(f"WITH {_E}, {_PE.rstrip(', ')} SELECT doc_id, idx AS position, " + " OR ".join(f"contains(lower(content), '{k}')" for k in review.KEYWORDS) + " AS hit FROM pe")
+def specified_keywords(spark, sf_dir):
+    rows = _planted_elements(spark, sf_dir)
+    return rows.select("doc_id", "position", review.has_keyword(F.col("content")).alias("hit"))
+
+
+@query(f"WITH {_reg(review.REPORT_ATTRIBUTES, _PE)} SELECT * FROM reg")
+def specified_attributes(spark, sf_dir):
+    return review.regulatory_overall(review.regulatory_findings(_planted_elements(spark, sf_dir), ["doc_id"]), ["doc_id"])
+
+
+@query(f"""WITH {_E}, {_PE}kf AS ({" UNION ALL ".join(f"SELECT '{c}' AS category, unnest(regexp_extract_all(lower(content), '{p}')) AS name FROM pe" for c, p in review.KNOWLEDGE.items())}) SELECT category, name, count(*) AS places FROM kf GROUP BY category, name""")
+def specified_knowledge(spark, sf_dir):
+    return review.knowledge_overall(review.knowledge_findings(_planted_elements(spark, sf_dir), ["doc_id"]), ["doc_id"]).select("category", "name", "places")
+
+
+@query(f"""WITH ie AS (SELECT event_type AS field_location, 'Field ' || event_id % 40 || ': ' || {_PLANTED.format('event_id')} AS content FROM events),
+ig AS (SELECT lower(trim(string_split(content, ':')[1])) AS field_name, field_location, bit_or({_bits(review.INPUT_RULES)}) AS bits, count(*) AS places FROM ie GROUP BY 1, 2)
+SELECT field_name, field_location, coalesce(array_to_string({_listed(review.INPUT_RULES)}, ','), '') AS missing_rules, CAST(bit_count(bits) AS INTEGER) AS n_missing, places FROM ig""")
+def specified_inputs(spark, sf_dir):
+    line = F.concat(F.lit("Field "), (F.col("event_id") % 40).cast("string"), F.lit(": "), _planted(F.col("event_id")))
+    rows = table(spark, sf_dir, "events").select("event_id", F.lit(0).alias("position"), line.alias("content"), "event_type")
+    return review.input_overall(review.input_findings(rows, ["event_id"], F.col("event_type")))
+
+
 _INP = f"""ie AS (SELECT event_id, 0 AS position, event_type AS field_location, 'Field ' || event_id % 40 || ': ' || event_type || ' ' || props AS content FROM events),
 ig AS (SELECT substring(lower(trim(string_split(content, ':')[1])), 1, 40) AS field_name, field_location, bit_or({_bits(PROSE_RULES)}) AS bits, count(*) AS places FROM ie WHERE contains(content, ':') GROUP BY 1, 2),
 inp AS (SELECT field_name, field_location, coalesce(array_to_string({_listed(PROSE_RULES)}, ','), '') AS missing_rules, CAST(bit_count(bits) AS INTEGER) AS n_missing, places FROM ig)"""
