@@ -12,7 +12,7 @@ from quire.functions import detect, keywords, text
 from quire.functions.text import BLANK, NAME_KEEPS
 from quire.operators import elements as el
 from quire.operators import naming, ranking, tables
-from quire.plans import corpus, review
+from quire.plans import corpus, executor, review
 from quire.plans import expand as expand_
 from quire.plans.expand import expand
 from quire.sources import corpus_source, packages
@@ -435,6 +435,17 @@ def unsupported_drop(spark, sf_dir):
     return _routed(spark, sf_dir).where("parser is null").groupBy("ext").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT doc_id, CAST(d AS INTEGER) AS depth, CAST(d AS INTEGER) AS seq, 'a_b' || CASE d WHEN 0 THEN '' ELSE '_' || (d + 1) END AS dir, CASE d WHEN 0 THEN 'root' WHEN 1 THEN 'a_b, pos=0' ELSE 'a_b_' || d || ', pos=0' END AS parent, 'png' AS format,
+  octet_length(encode(coalesce(text, ''))) + 8 AS n_bytes FROM documents, range(10) t(d)""")
+def picture_recursion(spark, sf_dir):
+    """Texts as pictures, each of which holds itself down to the depth limit, as older corpora have it; parsed once all the same."""
+    content = F.concat(F.unhex(F.lit("89504E470D0A1A0A")), F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    sources = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("session_id"), F.lit("a b.png").alias("file_name"), content.alias("content"))
+    docs = expand(sources, images_recurse=True)["docs"]
+    image = F.get("images", F.lit(0))
+    return docs.select(F.col("session_id").alias("doc_id"), "depth", "seq", "dir", "parent", image["format"].alias("format"), F.octet_length(image["data"]).cast("bigint").alias("n_bytes"))
+
+
 #: What files begin with, the name that they go by, and what both are told to be.
 _BEGINS = (
     ("255044462D", "a.txt", "application/pdf", "pdf", "pdf"), ("89504E470D0A1A0A", "b", "image/png", "png", "image"), ("FFD8FFE0", "c.jpeg", "image/jpeg", "jpg", "image"), ("47494638", "d.webp", "image/gif", "gif", "image"),
@@ -613,6 +624,35 @@ def keyword_chunk_filter(spark, sf_dir):
     return chunks.select("doc_id", el.chunk_file(F.col("chunk_no")).alias("file"), review.has_keyword(first, WORDS).alias("first_hit"), review.has_keyword(own, WORDS).alias("chunk_hit"))
 
 
+def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map tasks of the chunks, each with the chunk's elements as text."""
+    chunks = el.with_chunks(_documents(spark, sf_dir))
+    own = F.array_join(F.transform(F.slice("elements", F.col("pos_lo") + 1, F.greatest("element_count", F.lit(0))), lambda e: e["content"]), "\n")
+    units = chunks.select("doc_id", el.chunk_file(F.col("chunk_no")).alias("file"), own.alias("text"), F.lit("chunk").alias("task_type"), review.has_keyword(own, WORDS).alias("keyword_hit"))
+    return review.tasks(units).select("doc_id", "file", "check_type", "text")
+
+
+_TASKS = f"""{_C}, w AS (SELECT doc_id, {_FILE} AS file, coalesce(array_to_string(ls[lo + 1:hi + 1], chr(10)), '') AS text FROM c),
+k AS (SELECT w.*, check_type FROM w, (VALUES ('PII'), ('REGULATORY'), ('PAGE_INPUT'), ('KNOWLEDGE')) v(check_type) WHERE check_type <> 'REGULATORY' OR {_HIT.format("text")})"""
+
+
+def letters_counted(check: str, text: str) -> str:
+    """A detector in place of a model."""
+    return f"{check}: {text.count('e')} of {len(text)}"
+
+
+@query(f"WITH {_TASKS} SELECT doc_id, file, check_type, check_type || ': ' || (length(text) - length(replace(text, 'e', ''))) || ' of ' || length(text) AS answer, CAST(1 AS INTEGER) AS tries FROM k")
+def executed_tasks(spark, sf_dir):
+    """Every task through the durable executor; equal texts of one check are called once."""
+    done = executor.run_tasks(_tasks(spark, sf_dir), letters_counted, new_folder(spark, "quire-answers"), buckets=16, calls_per_file=500)
+    return done.select("doc_id", "file", "check_type", "answer", "tries")
+
+
+@query(f"WITH {_TASKS} SELECT doc_id, file, check_type, md5(CASE check_type {' '.join(f"WHEN '{c}' THEN '{p}'" for c, p in review.PROMPTS.items())} END || chr(10) || chr(10) || text) AS prompt_md5 FROM k")
+def task_prompts(spark, sf_dir):
+    return _tasks(spark, sf_dir).select("doc_id", "file", "check_type", F.md5(review.prompt(F.col("check_type"), F.col("text"))).alias("prompt_md5"))
+
+
 _PII = f"{_E}, f AS (" + " UNION ALL ".join(
     f"SELECT doc_id, idx AS position, '{c}' AS category, '{f}' AS field, unnest(regexp_extract_all(content, '{p}')) AS value_example, substring(content, 1, 100) AS evidence FROM e" for c, (f, p) in review.PERSONAL.items()
 ) + rf"), pf AS (SELECT doc_id, position, category, field, value_example, regexp_matches(value_example, '{review.MASKED}') AS has_masking, evidence FROM f)"
