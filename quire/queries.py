@@ -278,9 +278,9 @@ _NUMBERED = f"{_SHEETS}, r AS (SELECT sheet, row_number() OVER (PARTITION BY she
 
 
 def _numbered_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows numbered from 0 in each sheet; a sheet is one workbook page, so its rows are numbered together."""
-    rank = F.row_number().over(_in_order("sheet", "row_no")) - 1
-    return _sheets(spark, sf_dir).select("sheet", rank.alias("row_no"), "cells")
+    """Rows numbered from 0 in each sheet, however long it is."""
+    ranks = ranking.ranked(_sheets(spark, sf_dir).select("sheet", "row_no", "cells"), ["sheet"], ["row_no"], "place")
+    return ranks.select("sheet", F.col("place").cast("int").alias("row_no"), "cells")
 
 
 @query(f"""WITH {_NUMBERED}, f AS (SELECT sheet, count(*) AS row_count FROM r GROUP BY sheet HAVING count(*) > 50)
