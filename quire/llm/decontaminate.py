@@ -71,7 +71,8 @@ def overlaps(
     """Verified overlaps ``(rid, item, matched)`` of ``docs (rid, text_col)``; equal items are one, under their smallest id.
 
     ``matched`` is the largest number of equal tokens in a window, or in the whole item if it is
-    shorter than ``window``.
+    shorter than ``window``.  Null and empty texts and items overlap with nothing; rows that share a ``rid`` are taken for one
+    document; a very long text is searched whole; other columns are not read; an empty table on either side gives an empty result.
     """
     tests = items.select(F.col(item_id).alias("item"), tokens(F.col(item_text)).alias("words"))
     tests = tests.groupBy("words").agg(F.min("item").alias("item")).where(F.size("words") > 0).withColumn("item_key", F.struct(F.xxhash64("words"), F.xxhash64(F.lit("second"), "words"))).withColumn("n", F.size("words"))

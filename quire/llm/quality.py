@@ -136,7 +136,11 @@ def _between(score: np.ndarray, good: np.ndarray) -> float:
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``(id_col, log_weight, per_word, *keep)`` of every row."""
+    """``(id_col, log_weight, per_word, *keep)`` of every row.
+
+    Null and empty texts have weight 1 (log weight 0); repeated rows have equal results, null ids stay null, a very long text is
+    read whole, columns beside ``keep`` are not read, and an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = keep or []
 
@@ -179,7 +183,11 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
 
 
 def resampled(weights: DataFrame, k: int, id_col: str = "doc_id", seed: int = 0) -> DataFrame:
-    """``weights`` with ``key`` (log weight plus Gumbel noise) and ``sampled``: the k largest keys, with all rows that tie with the last."""
+    """``weights`` with ``key`` (log weight plus Gumbel noise) and ``sampled``: the k largest keys, with all rows that tie with the last.
+
+    Noise goes by id, so rows that share one, also a null one, share it; repeated rows are sampled together.  With k of zero, or an
+    empty table, nothing is sampled.  Columns named ``key`` or ``sampled`` are replaced.
+    """
     keyed = weights.withColumn("key", F.col("log_weight") / TEMPERATURE + gumbel(F.col(id_col), seed))
     least = kth_largest(keyed, "key", k)
     return keyed.withColumn("sampled", F.lit(False) if least is None else F.col("key") >= F.lit(least))

@@ -177,7 +177,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def with_cluster(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``(id, *keep, name)`` of each row; ``name`` is the same for all rows of a component."""
+    """``(id, *keep, name)`` of each row; ``name`` is the same for all rows of a component.
+
+    Null and empty texts have fingerprint zero and are one component with what is within two bits of it; repeated rows and rows
+    with a null id are rows like any other; a very long text has one fingerprint; an empty table gives an empty result.
+    """
     prints = stored(fingerprints(docs, id_col, text_col, keep=keep))
     found = components(prints)
     return prints.join(found, prints.fp == found.node).select(F.col("id").alias(id_col), *(keep or []), F.col("root").alias(name))

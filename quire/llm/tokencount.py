@@ -223,7 +223,8 @@ def apply_edits(trees: DataFrame, vocabulary_path: str, pattern: str, edits_col:
     """Trees after their edits: ``(id, text, n_tokens, n_pieces, n_edits, n_tokens_after, n_encoded_again, leaf_pieces, ...)``.
 
     ``edits_col`` is an array of (start, stop, new) in characters of the text as the edits before left it;
-    places outside the text are moved to its ends, and a null edit, list or text counts as none or empty.
+    places outside the text are moved to its ends, and a null edit, list or text counts as none or empty.  Repeated rows
+    are edited each by itself, null ids stay null, a very long text is one tree, and an empty table gives an empty result.
     """
     ranks = _broadcast(trees, vocabulary_path)
 
