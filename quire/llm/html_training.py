@@ -110,6 +110,9 @@ def made_up_page(rng: random.Random) -> list[tuple[str, bool]]:
     out.append((f"<{shell}>" if bare else f"<{shell}{attribute([f'{b}{e}' for b in BODIES for e in ('', '-body', ' wide')])}>", False))
     if chance() < 0.8:
         out.append((f"<h1>{sentence(1, 12)}</h1>", True))
+    if chance() < 0.1:  # a line that an article repeats, refrains and list-like texts among them
+        line, around = sentence(1, pick([4, 12, 25])), pick([("<p>", "</p>"), ("<p>", "</p>"), ("<div>", "</div>"), ("<p>", "")])
+        out += [(f"{around[0]}{line if chance() < 0.9 else sentence(1, 12)}{around[1]}", True) for _ in range(rng.randint(3, pick([8, 20, 60])))]
     long = chance() < 0.06
     for _ in range(rng.randint(1, 80 if long else 9)):
         kind = chance()

@@ -352,3 +352,11 @@ def test_odd_tags_take_linear_time(page):
     began = time.perf_counter()
     html.blocks(page)
     assert time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize("times", [5, 40, 130])
+def test_repeated_lines_of_an_article(labeller, times):
+    """Short lines that an article repeats are main text, every one of them."""
+    lines = ["Sa mera thori."] * times
+    page = f"<html><body><nav><a href='/'>Home</a> <a href='/n'>News</a></nav><article><h1>Mera quothe</h1><p>Enthe morila quo sa thorimen, ve ti la mo.</p>{''.join(f'<p>{x}</p>' for x in lines)}</article><footer>© 2024 All rights reserved.</footer></body></html>"
+    assert html.main_texts([page], labeller)[0].split("\n") == ["Mera quothe", "Enthe morila quo sa thorimen, ve ti la mo.", *lines]
