@@ -581,6 +581,14 @@ def expanded_files(spark, sf_dir):
     return docs.select(F.col("session_id").alias("doc_id"), "seq", "depth", "file_name", "dir", "parent", "source_copy", F.md5(F.get("elements", F.lit(0))["content"]).alias("line_md5"))
 
 
+@query(f"WITH {_EXPANDED} SELECT doc_id || '/' || dir || '/' || name AS path, md5(array_to_string(ls, chr(10))) AS content_md5 FROM d")
+def source_copies(spark, sf_dir):
+    """The copies of all files, nested ones too, among the files of their corpora."""
+    sources = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("session_id"), F.lit("document.half").alias("file_name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+    files = corpus.corpus_files(expand(sources, parsers={"half": halves}, keep_content=True)["docs"])
+    return files.where(F.col("path").endswith(".half")).select("path", F.md5("content").alias("content_md5"))
+
+
 @query(f"WITH {_HALVES}, c AS (SELECT md5(array_to_string(ls, chr(10))) || ':half' AS content_key, len(ls) > 1 AS holds FROM f) SELECT content_key, CAST(any_value(CASE WHEN holds THEN 2 ELSE 0 END) AS INTEGER) AS n_embedded FROM c GROUP BY content_key")
 def parsed_contents(spark, sf_dir):
     """Each distinct content once, however many documents hold it."""
@@ -930,6 +938,16 @@ def report_summary(spark, sf_dir):
     return review.summary(pii_reduce_global(spark, sf_dir), regulatory, page_input_reduce(spark, sf_dir), knowledge)
 
 
+_COUNTERS = ("pii_total", "pii_high_risk", "regulatory_missing", "page_input_missing_rules", "indicators_extracted", "tags_extracted")
+
+
+@query(f"""SELECT '{{"session_id":"review","source_file":"documents","generated_at":"2024-02-03T04:05:06","summary":{{' || {" || ',' || ".join(f"'{chr(34)}{c}{chr(34)}:' || {c}" for c in _COUNTERS)} || '}}}}' AS report FROM ({ORACLE_SQL["report_summary"]})""")
+def report_json(spark, sf_dir):
+    """The head of a report with its counters."""
+    counters = report_summary(spark, sf_dir)
+    return counters.select(review.report(F.lit("review"), F.lit("documents"), F.lit("2024-02-03 04:05:06").cast("timestamp"), {c: F.col(c) for c in _COUNTERS}).alias("report"))
+
+
 @query(f"""WITH {_UNITS} SELECT doc_id, map_tokens, map_tokens + 12000 AS total_tokens FROM (SELECT doc_id, CAST(sum(CASE task_type WHEN 'csv' THEN 3000 WHEN 'chunk' THEN 2000 ELSE 0 END) AS BIGINT) AS map_tokens FROM units GROUP BY doc_id)""")
 def token_budget(spark, sf_dir):
     return review.token_budget(_units(spark, sf_dir), ["doc_id"])
