@@ -50,9 +50,18 @@ def _children(contents: DataFrame, handlers: Handlers) -> DataFrame:
     return _keyed(rows.select("in_key", "k", F.col("e.file_name").alias("file_name"), F.col("e.position").alias("position"), F.col("e.data").alias("content")), handlers)
 
 
-def _distinct(files: DataFrame) -> DataFrame:
-    """One row per content that some parser takes."""
-    return files.where("parser is not null").groupBy("content_key", "parser").agg(F.first("content").alias("content"))
+def _fresh(files: DataFrame, listed: DataFrame, place: list[str], known: DataFrame | None) -> DataFrame:
+    """One row of ``files`` per content that some parser takes and that is not ``known``, without moving contents where few repeat.
+
+    ``listed`` is the stored table of the same files without their contents, ``place`` what tells them apart.  The files
+    to leave out are found there; contents only meet that list, of which executors get a copy if it is small.
+    """
+    taken = listed.where("parser is not null").select("content_key", *place)
+    repeated = taken.groupBy("content_key").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("least")).where("n > 1").select("content_key", "least")
+    again = taken.join(repeated, "content_key").where(F.struct(*place) != F.col("least")).select(*place)
+    if known is not None:
+        again = again.union(taken.join(known, "content_key", "left_semi").select(*place)).distinct()
+    return files.where("parser is not null").join(staged(again), place, "left_anti").select("content_key", "parser", "content")
 
 
 def expand(
@@ -82,11 +91,11 @@ def expand(
     level = staged(top.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("parent_position"), *named))
 
     contents, links = [], []
-    fresh = _distinct(top)
+    if level.groupBy("session_id").count().where("count > 1").isEmpty():
+        fresh = _fresh(top, level, ["session_id"], None)
+    else:  # sources that share a session cannot be told apart by it
+        fresh = top.where("parser is not null").groupBy("content_key", "parser").agg(F.first("content").alias("content"))
     for depth in range(depth_limit):
-        if contents:
-            known = reduce(DataFrame.unionByName, [c.select(F.col("content_key").alias("known_key")) for c in contents])
-            fresh = fresh.join(known, fresh.content_key == known.known_key, "left_anti")
         rows = parsed(fresh.where(F.col("parser") != IMAGE), fail_fast, keep_content, parsers)
         rows = rows.withColumnRenamed("content", "held") if keep_content else rows.withColumn("held", F.lit(None).cast("binary"))
         pictures = fresh.where(F.col("parser") == IMAGE).select("content_key", "parser", F.col("content").alias("held"), *[F.lit(None).cast("string").alias(n) if n == "error" else _empty(rows, n) for n in _LISTS])
@@ -97,7 +106,7 @@ def expand(
         links.append(found)
         if depth + 1 == depth_limit or found.where("parser is not null").isEmpty():
             break
-        fresh = _distinct(inside)
+        fresh = _fresh(inside, found, ["in_key", "k"], reduce(DataFrame.unionByName, [c.select("content_key") for c in contents]))
 
     link = reduce(DataFrame.unionByName, links).select("in_key", "k", F.col("position").alias("at"), *[F.col(c).alias(f"c_{c}") for c in named])
     levels = [level]
