@@ -7,7 +7,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from quire.functions.keywords import keyword_places
 from quire.plans import executor, review
