@@ -36,15 +36,15 @@ _made: list[tuple[SparkSession, str]] = []
 ZSTD_LEVEL = 9
 
 
-def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, codec: str = "snappy", page: int = 1 << 20) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: computed once and cut off from its lineage.
 
-    Smaller on disk than a checkpoint and readable column by column.  The files go when the
+    Smaller on disk than a checkpoint and readable column by column.  A ``page`` of so many bytes is compressed by itself.  The files go when the
     driver's process ends, or before by ``release`` or ``release_since``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quire-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).parquet(path)
+    df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).option("parquet.page.size", page).parquet(path)
     removed_at_exit(spark, path)
     _made.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)

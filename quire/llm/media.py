@@ -2,8 +2,9 @@
 
 Audio is kept as WAV bytes in a binary column.  mu-law and A-law samples are expanded by tables of 256
 values.  ADPCM blocks are independent, so all blocks of a batch are decoded side by side: one numpy
-step per sample position, over as many blocks as there are.  PCM is stored as 16-bit WAV in a column of
-its own, and what is told about audio is computed from stored columns that were read back.
+step per sample position, over as many blocks as there are.  PCM is 16-bit WAV in a column of its own; in
+tables that are stored, it is the two planes of a lifting step, which lose nothing and are smaller.  What is told
+about audio is computed from stored columns that were read back.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from quire.llm.common import byte_texts, packs, stored
 RATE = 8000
 TARGET_RATE = 16000
 UNIT = 576
+#: Bytes of a page of stored tables: large pages hold more texts that resemble each other.
+PAGE = 4 << 20
 #: WAV format tags (fixed values).
 PCM, ALAW, MULAW, IMA_ADPCM = 1, 6, 7, 17
 
@@ -147,6 +150,27 @@ def _stored_pcm(pcm: list[np.ndarray | None], rate: int) -> pa.Array:
     return pa.array([None if p is None else wav(p.astype("<i2", copy=False).tobytes(), PCM, rate) for p in pcm], pa.binary())
 
 
+def lifted(pcm: np.ndarray) -> bytes:
+    """16-bit PCM of any kind without loss: every other sample, then what those between differ from the mean of their neighbours."""
+    even = pcm[::2].astype("<i2")
+    return even.tobytes() + (pcm[1::2] - _between(even, len(pcm) // 2)).astype("<i2").tobytes()
+
+
+def unlifted(data: bytes) -> np.ndarray:
+    """The PCM that ``lifted`` took."""
+    planes = np.frombuffer(data, dtype="<i2")
+    out, half = np.empty(len(planes), dtype=np.int16), (len(planes) + 1) // 2
+    out[::2] = planes[:half]
+    out[1::2] = planes[half:] + _between(planes[:half], len(planes) - half)
+    return out
+
+
+def _between(even: np.ndarray, count: int) -> np.ndarray:
+    """Means of neighbours, the last sample being held."""
+    wide = np.append(even, even[-1:]).astype(np.int32)
+    return ((wide[:-1] + wide[1:]) >> 1).astype(np.int16)[:count]
+
+
 def to_pcm(media: DataFrame, media_col: str = "media", target_rate: int = TARGET_RATE, pcm_col: str = "pcm") -> DataFrame:
     """``media`` with a column ``pcm_col``: each WAV file decoded and resampled, as 16-bit WAV bytes.
 
@@ -223,7 +247,7 @@ _TOLD = [T.StructField(n, k) for n, k in (("payload_bytes", T.LongType()), ("pay
 def _described(media: DataFrame, unit: int, rate: int) -> DataFrame:
     """``(id, n_bytes, ..., pcm)`` of stored files, about a megabyte of them at a time.
 
-    A file tells its payload, the CRC-32s of the PCM that the payload makes as A-law and ADPCM, and the PCM that is stored.
+    A file tells its payload, the CRC-32s of the PCM that the payload makes as A-law and ADPCM, and the PCM that is stored, lifted.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +262,7 @@ def _described(media: DataFrame, unit: int, rate: int) -> DataFrame:
                     others = ";".join(f"{n}={zlib.crc32(x.astype('<i2', copy=False).tobytes()):08x}" for n, x in zip(("alaw", "ima"), both, strict=True))
                     told.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), others))
                 columns = [pa.array(c) for c in zip(*told, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("id")[lo:hi], batch.column("n_bytes")[lo:hi], *columns, _stored_pcm(heard, rate)], names=["id", "n_bytes", *(f.name for f in _TOLD), "pcm"])
+                yield pa.RecordBatch.from_arrays([batch.column("id")[lo:hi], batch.column("n_bytes")[lo:hi], *columns, pa.array([lifted(p) for p in heard], pa.binary())], names=["id", "n_bytes", *(f.name for f in _TOLD), "pcm"])
 
     return media.mapInArrow(work, T.StructType([media.schema["id"], media.schema["n_bytes"], *_TOLD, T.StructField("pcm", T.BinaryType())]))
 
@@ -247,22 +271,22 @@ def text_audio(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Each text stored as telephony audio, read back, stored as PCM of ``rate``, read back again and described.
 
     A table of mu-law WAV files is written first.  What is read back from it gives the payload and media
-    columns, and the PCM column of a second table.  ``feature`` has the CRC-32, peak and mean size of the PCM
+    columns, and the PCM column (lifted) of a second table.  ``feature`` has the CRC-32, peak and mean size of the PCM
     that is read back from there, and CRC-32s of the PCM that the payload makes as A-law and IMA ADPCM (blocks of
     ``unit`` bytes).  A null or empty text stores ``unit`` bytes 255; a very long text is one file, whatever its
     length; rows are independent, so repeated texts have repeated results and a null id stays null.  Other
     columns are not read.  An empty table gives an empty result.
     """
-    media = stored(text_media(docs, id_col, text_col, unit), "zstd")
-    heard = stored(_described(media, unit, rate), "zstd")
+    media = stored(text_media(docs, id_col, text_col, unit), "zstd", PAGE)
+    heard = stored(_described(media, unit, rate), "zstd", PAGE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             features = []
             for file, others in zip(batch.column("pcm"), batch.column("others").to_pylist(), strict=True):
-                samples = unwav(file.as_py())[3]
-                size = np.abs(np.frombuffer(samples, dtype="<i2").astype(np.int32))
-                features.append(f"mulaw={zlib.crc32(samples):08x};{others};peak={size.max()};mean={size.sum() // len(size)}")
+                pcm = unlifted(file.as_py())
+                size = np.abs(pcm.astype(np.int32))
+                features.append(f"mulaw={zlib.crc32(pcm.astype('<i2', copy=False).tobytes()):08x};{others};peak={size.max()};mean={size.sum() // len(size)}")
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("id", *NAMES[:-1])), pa.array(features, pa.string())], names=[id_col, *NAMES])
 
     known = {f.name: f for f in heard.schema}

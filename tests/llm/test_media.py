@@ -116,5 +116,23 @@ def test_features(docs, texts, rate):
     assert got == sorted(((i, feature(t)) for i, t in texts), key=lambda r: [(v is not None, v) for v in r])
 
 
+def test_lifting_loses_nothing():
+    rng = np.random.default_rng(3)
+    for n in range(9):
+        pcm = rng.integers(-32768, 32768, n).astype(np.int16)
+        assert len(media.lifted(pcm)) == 2 * n
+        assert media.unlifted(media.lifted(pcm)).tolist() == pcm.tolist()
+    wide = media.resampled(rng.integers(-32768, 32768, 50).astype(np.int16), 8000, 16000)
+    assert set(media.lifted(wide)[100:]) == {0}
+
+
+def test_query_resamples(spark, data):
+    """The registered query hears 16 kHz, twice the samples of the payload."""
+    from quire.llm.queries import op5_media, table
+
+    docs = table(spark, data, "documents")
+    assert collected(op5_media(spark, data)) == collected(media.text_audio(docs, rate=16000))
+
+
 def test_empty_table(none):
     assert media.text_audio(none).count() == 0
