@@ -26,6 +26,8 @@ from quire.sources.shared import staged
 MOST_DEPTH = 10
 IMAGE = "image"
 _LISTS = ("elements", "sheets", "embedded", "images", "error")
+#: Files to leave out of a level, at most, that executors get as a list; more are told by a filter of so many bits for each, in pieces of ``PIECE`` bits.
+FEW, BITS, PIECE = 100_000, 16, 1 << 15
 
 
 Handlers = Sequence[tuple[str, Sequence[str]]]
@@ -51,17 +53,36 @@ def _children(contents: DataFrame, handlers: Handlers) -> DataFrame:
 
 
 def _fresh(files: DataFrame, listed: DataFrame, place: list[str], known: DataFrame | None) -> DataFrame:
-    """One row of ``files`` per content that some parser takes and that is not ``known``, without moving contents where few repeat.
+    """One row of ``files`` per content that some parser takes and that is not ``known``, without moving contents that are not repeated.
 
     ``listed`` is the stored table of the same files without their contents, ``place`` what tells them apart.  The files
-    to leave out are found there; contents only meet that list, of which executors get a copy if it is small.
+    to leave out are found there; contents only meet that list.  Executors get a copy of it if it is short.
     """
     taken = listed.where("parser is not null").select("content_key", *place)
     repeated = taken.groupBy("content_key").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("least")).where("n > 1").select("content_key", "least")
     again = taken.join(repeated, "content_key").where(F.struct(*place) != F.col("least")).select(*place)
     if known is not None:
         again = again.union(taken.join(known, "content_key", "left_semi").select(*place)).distinct()
-    return files.where("parser is not null").join(staged(again), place, "left_anti").select("content_key", "parser", "content")
+    return _without(files.where("parser is not null"), staged(again), place).select("content_key", "parser", "content")
+
+
+def _without(files: DataFrame, out: DataFrame, place: list[str]) -> DataFrame:
+    """``files`` but for those whose ``place`` is in ``out``.
+
+    If these are more than ``FEW``, executors get a filter of their hashes.  Files that it lets pass stay where they are;
+    only the others, those to leave out and one in ``BITS`` of the rest, are shuffled to meet the list.
+    """
+    count = out.count()
+    if count <= FEW:
+        return files.join(F.broadcast(out), place, "left_anti")
+    pieces = -(-count * BITS // PIECE)
+    bit = F.pmod(F.xxhash64(*place), F.lit(pieces * PIECE))
+    bits = out.groupBy(F.floor(bit / PIECE).cast("int").alias("piece")).agg(F.bitmap_construct_agg(bit % PIECE).alias("bits"))
+    told = files.withColumn("piece", F.floor(bit / PIECE).cast("int")).join(F.broadcast(bits), "piece", "left")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(bit % PIECE / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    told = told.withColumn("met", F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+    clear, met = (told.where(c).select(*files.columns) for c in (~F.col("met"), F.col("met")))
+    return clear.unionByName(met.join(out, place, "left_anti").select(*files.columns))
 
 
 def expand(
@@ -90,14 +111,14 @@ def expand(
     named = ["file_name", "kind", "ext", "parser", "content_key"]
     level = staged(top.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("parent_position"), *named))
 
-    contents, links = [], []
+    contents, links, held_bytes = [], [], []
     if level.groupBy("session_id").count().where("count > 1").isEmpty():
         fresh = _fresh(top, level, ["session_id"], None)
     else:  # sources that share a session cannot be told apart by it
         fresh = top.where("parser is not null").groupBy("content_key", "parser").agg(F.first("content").alias("content"))
     for depth in range(depth_limit):
-        rows = parsed(fresh.where(F.col("parser") != IMAGE), fail_fast, keep_content, parsers)
-        rows = rows.withColumnRenamed("content", "held") if keep_content else rows.withColumn("held", F.lit(None).cast("binary"))
+        held_bytes.append(fresh.select("content_key", "content"))  # read again from what holds them, so they are stored once
+        rows = parsed(fresh.where(F.col("parser") != IMAGE), fail_fast, parsers=parsers).withColumn("held", F.lit(None).cast("binary"))
         pictures = fresh.where(F.col("parser") == IMAGE).select("content_key", "parser", F.col("content").alias("held"), *[F.lit(None).cast("string").alias(n) if n == "error" else _empty(rows, n) for n in _LISTS])
         done = staged(rows.unionByName(pictures))
         contents.append(done)
@@ -134,7 +155,9 @@ def expand(
     picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("held").alias("data")))
     docs = full.drop("up", "parent_dir").join(every.drop("parser"), "content_key")
     docs = docs.withColumn("images", F.when(F.col("parser") == IMAGE, picture.cast(every.schema["images"].dataType)).otherwise(F.col("images")))
-    docs = docs.withColumnRenamed("held", "content") if keep_content else docs.drop("held")
+    docs = docs.drop("held")
+    if keep_content:
+        docs = docs.join(reduce(DataFrame.unionByName, held_bytes), "content_key")
     return {"docs": docs, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": every.drop("held")}
 
 
