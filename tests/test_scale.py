@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from quire.operators import ranking
 from quire.operators.elements import path_key, preorder
 from quire.operators.naming import allocate, directory_names, simple_names
+from quire.plans import corpus
+from quire.plans import expand as expand_
 from quire.plans.expand import expand
 from quire.queries import halves
 
@@ -113,6 +115,28 @@ def test_equal_contents_are_parsed_once(spark, tmp_path):
     assert limited.agg(F.max("depth")).first()[0] == 1
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_files_left_out(spark, monkeypatch, few):
+    """A long list of files to leave out leaves the same ones, and moves few of the others."""
+    monkeypatch.setattr(expand_, "FEW", few)
+    files = spark.range(20_000).select(F.col("id").cast("string").alias("in_key"), (F.col("id") % 3).cast("int").alias("k"), F.lit("parser").alias("parser"), F.repeat(F.lit("x"), 500).cast("binary").alias("content"))
+    out = files.where("in_key % 10 = 7").select("in_key", "k")
+    kept = expand_._without(files, out, ["in_key", "k"])
+    assert kept.columns == files.columns
+    assert sorted(int(r.in_key) for r in kept.select("in_key").collect()) == [k for k in range(20_000) if k % 10 != 7]
+
+
+def test_contents_are_stored_once(spark, monkeypatch):
+    """Neither a level's table nor what is laid out holds the bytes of a file beside those that its container embeds."""
+    seen = []
+    for module in (expand_, corpus):
+        monkeypatch.setattr(module, "staged", lambda df, keep=module.staged: seen.append(df.columns) or keep(df))
+    sources = spark.createDataFrame([("s", "f.half", bytearray(b"x\ny\nz"))], "session_id string, file_name string, content binary")
+    files = corpus.corpus_files(expand(sources, parsers={"half": halves}, keep_content=True)["docs"])
+    assert sorted(bytes(r.content) for r in files.where("path like '%.half'").collect()) == [b"x", b"x\ny\nz", b"y", b"y\nz", b"z"]
+    assert not [c for c in seen if "content" in c or ("embedded" in c and "body" in c)]
+
+
 def test_no_files(spark):
     found = expand(spark.createDataFrame([], "session_id string, file_name string, content binary"))
     assert [found[k].count() for k in ("docs", "skipped", "contents")] == [0, 0, 0]
