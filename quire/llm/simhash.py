@@ -24,7 +24,8 @@ there share the SimHash of a *lane*, a fixed small part of their shingles that m
 
 Texts of up to ``SHORT`` shingles have too few of them for lanes.  They are joined exactly: in an order that puts rare shingles
 first, two texts that share 0.8 of their shingles have one in common among the first fifth of each, so only
-these meet.  The rows of such a shingle are compared with each other by all their shingles, and rows that always meet together once.
+these meet.  The rows of such a shingle are compared with each other by all their shingles, and rows that always meet together once;
+more rows than one task should hold are compared block by block.
 """
 
 from __future__ import annotations
@@ -313,21 +314,49 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def short_links(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links ``(a, b)`` between similar rows of ``nodes (row, short, ...)``, and pairs that have yet to be looked at.
+def _compared_together(units: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the similar rows of each of ``units (gid, row)``."""
+    rows = units.join(nodes.select("row", "short"), "row").select("gid", "row", "short")
+    return rows.repartition("gid").sortWithinPartitions("gid").mapInArrow(_compared, "a long, b long").distinct()
 
-    The links join all short texts that are similar, directly or over others.  A shingle that is among the rare ones of more than
-    ``MOST_TOGETHER`` rows, as in a large group of copies, has its rows compared in blocks, drawn anew for each shingle,
-    and each row of them is paired with the smallest.
+
+def _across_blocks(crowded: DataFrame, links: DataFrame) -> DataFrame:
+    """Units ``(gid, row)`` in which all rows of a key of ``crowded (key, row)`` meet that ``links`` leave in different components.
+
+    Per key, the rows outside its largest component meet each other and that component, two blocks at a time.  A key whose rows
+    are one component by now has nothing left to find.
+    """
+    roots = connected_components(links)
+    placed = stored(crowded.join(roots, crowded.row == roots.vertex, "left").select("key", "row", F.coalesce("root", "row").alias("root")))
+    parts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    most = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("inside"), F.sum("n").alias("n")).where("n > inside")
+    blocks = lambda n: F.ceil(2 * n / MOST_TOGETHER)
+    rest = placed.join(most.select("key", "main", blocks(F.col("n") - F.col("inside")).alias("outer"), blocks(F.col("inside")).alias("inner")), "key")
+    drawn = F.xxhash64("row", "key")
+    rest = rest.withColumn("block", F.when(F.col("root") == F.col("main"), F.col("outer") + F.pmod(drawn, F.col("inner"))).otherwise(F.pmod(drawn, F.col("outer"))))
+    last = F.when(F.col("block") < F.col("outer"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+    met = rest.select("key", "row", "block", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("other")).where("block <> other")
+    return met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("gid"), "row")
+
+
+def short_links(nodes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that join all similar rows of ``nodes (row, short, ...)``, directly or over others.
+
+    A shingle that is among the rare ones of more than ``MOST_TOGETHER`` rows, as in a large group of copies, first has its rows
+    compared in blocks, drawn anew for each shingle, and with the smallest row.  That joins most of them; those of
+    different components are then compared across all blocks, so no task holds more rows at once, and no link is lost.
+    Where thousands of such rows share a shingle and are not similar, this takes as many comparisons as they have pairs.
     """
     keys = stored(_rare(nodes))
     sizes = keys.groupBy("key").agg(F.count("*").alias("uses"), F.min("row").alias("least")).where("uses > 1")
     met = stored(keys.join(sizes, "key"))
     block = F.when(F.col("uses") > MOST_TOGETHER, F.pmod(F.xxhash64("row", "key"), F.ceil(2 * F.col("uses") / MOST_TOGETHER))).otherwise(0)
-    members = met.groupBy("key", block.alias("block")).agg(F.sort_array(F.collect_list("row")).alias("members")).where("size(members) > 1").select("members").distinct()
-    units = members.select(F.xxhash64("members").alias("gid"), F.explode("members").alias("row")).join(nodes.select("row", "short"), "row").select("gid", "row", "short")
-    links = units.repartition("gid").sortWithinPartitions("gid").mapInArrow(_compared, "a long, b long").distinct()
-    return links, met.where((F.col("uses") > MOST_TOGETHER) & (F.col("row") != F.col("least"))).select(F.col("row").alias("a"), F.col("least").alias("b")).distinct()
+    members = met.groupBy("key", "least", block.alias("block")).agg(F.collect_list("row").alias("own")).select(F.array_sort(F.array_union("own", F.array("least"))).alias("members"))
+    together = members.where("size(members) > 1").distinct().select(F.xxhash64("members").alias("gid"), F.explode("members").alias("row"))
+    links, crowded = stored(_compared_together(together, nodes)), met.where(F.col("uses") > MOST_TOGETHER).select("key", "row")
+    if crowded.isEmpty():
+        return links
+    return links.union(_compared_together(_across_blocks(crowded, links), nodes))
 
 
 def similar_links(nodes: DataFrame, held: DataFrame, text: str) -> DataFrame:
@@ -338,10 +367,10 @@ def similar_links(nodes: DataFrame, held: DataFrame, text: str) -> DataFrame:
     coordinates, then by the distance of their fingerprints, both within ``WIDE_LIMIT``; the survivors are verified on their
     shingles themselves.
     """
-    links, crowded = short_links(nodes)
+    links = short_links(nodes)
     keyed = nodes.select("row", F.explode("lanes").alias("key"))
     least = keyed.groupBy("key").agg(F.min("row").alias("least"), F.count("*").alias("n")).where("n > 1").select("key", "least")
-    met = keyed.join(least, "key").where("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b")).union(crowded).distinct()
+    met = keyed.join(least, "key").where("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b")).distinct()
     table = nodes.drop("lanes", "short")
     told = met.join(table.alias("x"), F.col("a") == F.col("x.row")).join(table.alias("y"), F.col("b") == F.col("y.row"))
     near = told.where(apart("x", "y") <= WIDE_LIMIT).where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= WIDE_LIMIT)

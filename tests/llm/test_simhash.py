@@ -205,6 +205,22 @@ def test_pages_of_one_template(spark, monkeypatch, together):
         assert set(want) <= set(got) and len(got) <= 1.05 * len(want)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_groups_beyond_a_block_are_exact(spark, monkeypatch, seed):
+    """Pages of one template fall into the groups of brute force, however few rows are compared together."""
+    rng = random.Random(seed)
+    frame, texts = [f"t{k}" for k in range(48)], []
+    for _ in range(120):
+        own = [f"o{rng.randrange(400)}" for _ in range(12)]
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            words = own[:]
+            words[rng.randrange(12)] = f"o{rng.randrange(400)}"
+            texts.append(" ".join(frame[:20] + words + frame[20:]))
+    monkeypatch.setattr(simhash, "MOST_TOGETHER", 16)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == kept_of_components(texts)
+
+
 def test_crowd_of_near_copies(spark):
     """Hundreds of copies of one text, each with a word of its own replaced, leave one."""
     base = [f"w{k}" for k in range(200)]
