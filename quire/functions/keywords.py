@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 #: Characters of the words that one automaton holds; a driver and every worker have room for it.
 MOST_CHARACTERS = 8_000_000
+#: Places that a worker holds before it passes them on.
+MOST_PLACES = 20_000
 
 
 def _finder(words: dict[str, list[str]], boundary: str | None, lower: bool, names: list[str]):
@@ -37,16 +39,25 @@ def _finder(words: dict[str, list[str]], boundary: str | None, lower: bool, name
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            *keys, texts = batch.columns
             rows, found = [], []
-            for k, text in enumerate(batch.column(len(names) - 3).to_pylist()):
-                if text:
-                    own = list(places(text.lower() if lower else text))
-                    found.extend(own)
-                    rows.extend([k] * len(own))
-            if found:
-                kept = batch.take(pa.array(rows, pa.int64()))
+
+            def out(keys: list[pa.Array] = keys) -> pa.RecordBatch:
                 kind, word, at = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([*kept.columns[:-1], pa.array(kind, pa.string()), pa.array(word, pa.string()), pa.array(at, pa.int32())], names=names)
+                kept = [c.take(pa.array(rows, pa.int64())) for c in keys]  # noqa: B023
+                return pa.RecordBatch.from_arrays([*kept, pa.array(kind, pa.string()), pa.array(word, pa.string()), pa.array(at, pa.int32())], names=names)
+
+            for k, value in enumerate(texts):
+                text = value.as_py()
+                for place in places(text.lower() if lower else text) if text else ():
+                    found.append(place)
+                    rows.append(k)
+                    if len(found) >= MOST_PLACES:
+                        yield out()
+                        rows.clear()
+                        found.clear()
+            if found:
+                yield out()
 
     return work
 
