@@ -1,7 +1,8 @@
 """The map executor: calls a detector once for each distinct check and text, and remembers the answers.
 
 Answers belong to the hash of check and text and are kept in a store in a shared folder.  Before any work, tasks meet
-the store and those that it answers go.  What is left is dealt to buckets by its hash.  A bucket's task first
+the store and those that it answers go.  What is left is dealt to buckets by its hash, in rounds if it is much, so that a
+bucket's task reads no more than ``ROUND_BYTES`` of texts or so, however many there are.  A bucket's task first
 looks at what earlier attempts of it have stored, then calls the detector and stores what it gets in files of few
 answers, so an executor that is lost takes at most the calls of an unfinished file with it, and with
 ``calls_per_file=1`` none.  Errors are rows too; they are tried again in the next run.
@@ -9,6 +10,7 @@ answers, so an executor that is lost takes at most the calls of an unfinished fi
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,6 +20,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.shared import staged
+
+#: Bytes of texts that a bucket takes in a round.
+ROUND_BYTES = 256 << 20
 ANSWERS = "task_key string, answer string, error string, tries int"
 _ARROW = pa.schema([("task_key", pa.string()), ("answer", pa.string()), ("error", pa.string()), ("tries", pa.int32())])
 
@@ -109,7 +115,13 @@ def run_tasks(
     keyed = tasks.withColumn("task_key", task_key(F.col("check_type"), F.col("text")))
     done = answers(spark, store).where("answer is not null").select("task_key")
     todo = keyed.select("task_key", "check_type", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["task_key"]).join(done, "task_key", "left_anti")
+    size = keyed.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0  # of equal tasks too, so rounds may be smaller
+    rounds = max(1, math.ceil(size / (buckets * ROUND_BYTES)))
     placed = todo.select(F.pmod(F.xxhash64("task_key"), F.lit(buckets)).cast("int").alias("bucket"), "task_key", "check_type", "text")
-    dealt = placed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    dealt.mapInArrow(_bucket_work(store, detector, retries, wait_s, calls_per_file), "calls long").agg(F.sum("calls")).collect()
+    if rounds > 1:
+        placed = staged(placed.withColumn("round", F.pmod(F.xxhash64(F.lit("round"), "task_key"), F.lit(rounds)).cast("int")), "round")
+    for k in range(rounds):
+        own = placed.where(F.col("round") == k).drop("round") if rounds > 1 else placed
+        dealt = own.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        dealt.mapInArrow(_bucket_work(store, detector, retries, wait_s, calls_per_file), "calls long").agg(F.sum("calls")).collect()
     return keyed.join(answers(spark, store), "task_key", "left")

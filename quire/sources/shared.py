@@ -34,11 +34,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back, for tables that several parts of a plan read; the files go when the driver ends."""
+def staged(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written to the shared folder, in a folder for each value of ``by``, and read back, for tables that several parts of a plan read; the files go when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quire-staged-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     atexit.register(removed, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

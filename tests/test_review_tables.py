@@ -145,3 +145,33 @@ def test_a_lost_task_calls_nothing_twice(spark, tmp_path):
     asked = calls(log)
     assert len(set(asked)) == 11
     assert len(asked) <= 12  # only the call during which it died comes again
+
+
+def test_rounds_bound_what_a_task_reads(spark, tmp_path, monkeypatch):
+    """Much text is dealt in rounds: every task is answered, once, and no task of a bucket gets all of it."""
+    seen = []
+    work = executor._bucket_work
+    monkeypatch.setattr(executor, "_bucket_work", lambda *a: seen.append(a) or work(*a))
+    monkeypatch.setattr(executor, "ROUND_BYTES", 20)
+    log = tmp_path / "log"
+    log.mkdir()
+    got = executor.run_tasks(tasks_of(spark, 40), detector(str(log)), f"file://{tmp_path}/store", buckets=2).collect()
+    assert len(seen) > 3
+    assert all(r.answer is not None for r in got)
+    assert len(list(log.iterdir())) == len({r.task_key for r in got})
+
+
+def test_places_of_a_long_text_take_no_copies_of_it(spark):
+    """What comes out of a text is passed on in parts, and the text itself is not repeated for each place."""
+    import pyarrow as pa
+
+    from quire.functions import keywords
+
+    work = keywords._finder({"ab": ["k"]}, None, False, ["id", "kind", "word", "at"])
+    text = "ab " * 30_000
+    before = pa.total_allocated_bytes()
+    sizes = []
+    for part in work(iter([pa.RecordBatch.from_pydict({"id": [7], "content": [text]})])):
+        sizes.append(part.num_rows)
+        assert pa.total_allocated_bytes() - before < 10_000_000
+    assert sizes == [20_000, 10_000]
