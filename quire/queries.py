@@ -795,10 +795,10 @@ _LAST = _REG.replace("FROM documents)", "FROM documents WHERE doc_id % 10 <> 0)"
 @query(f"WITH {_LAST} SELECT * FROM reg")
 def regulatory_state(spark, sf_dir):
     """Versions of documents come in three batches, some newest first; the state equals a reduce over the newest."""
-    lines = _elements(spark, sf_dir).select("doc_id", "position", "content")
-    size = lines.groupBy("doc_id").agg(F.count("*").alias("size"))
+    parsed = _documents(spark, sf_dir)
+    half = parsed.withColumn("elements", F.slice("elements", F.lit(1), F.floor(F.size("elements") / 2).cast("int")))
+    lines, halves_ = (el.exploded(df).select("doc_id", "position", "content") for df in (parsed, half))
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    halves_ = lines.join(size, "doc_id").where("position < size div 2").drop("size")
     kinds = {1: (docs, halves_), 2: (docs, lines), 3: (docs.where("doc_id % 10 = 0"), lines.where("false"))}
     bits = [f"missing_{k}" for k in range(len(PROSE_ATTRIBUTES))]
     values = {"places": F.lit(1)} | {n: F.shiftright("missing", k).bitwiseAND(F.lit(1)) for k, n in enumerate(bits)}

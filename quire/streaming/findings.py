@@ -42,7 +42,7 @@ class NewestVersion(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         newest = max(rows, key=lambda r: r.version)
-        old = self.kept.get() if self.kept.exists() else None
+        old = self.kept.get()  # none for a file that is new
         if old is not None and old[0] >= newest.version:
             return
         own = {f["finding"]: [int(n) for n in f["counts"]] for f in newest.findings}
