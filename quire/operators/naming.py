@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.ranking import ranked, running
-from quire.sources.shared import staged
+from quire.sources.shared import by_sorting, staged
 
 #: A name that a shorter base may be given: the base, and a number from 2 on without leading zeros.
 NUMBERED = r"(?s)\A(.+)_([2-9]|[1-9][0-9]{1,17})\z"
@@ -72,24 +72,26 @@ def _on(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
 
 def _passed(rows: DataFrame, session: list[str], base: str, order: str) -> DataFrame | None:
     """``(session, base, __k)``: the numbers that each base passes over, 1 if its own name went to a shorter base; null if no base looks like a given name."""
+    if rows.where(F.col(base).rlike(NUMBERED)).isEmpty():
+        return None
     bases = rows.groupBy(*session, base).agg(F.min(order).alias(order))
     looks = bases.where(F.col(base).rlike(NUMBERED)).select(*session, F.regexp_extract(base, NUMBERED, 1).alias("__up"), F.regexp_extract(base, NUMBERED, 2).cast("long").alias("__k"), F.col(base).alias("__own"), order)
     shorter = bases.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(session)], F.col(base).alias("__base"))
     held = {c: f"__s{i}" for i, c in enumerate(session)}
-    claims = staged(looks.join(shorter, _on(looks, shorter, held | {"__up": "__base"})).drop(*held.values(), "__base"))
+    claims = staged(looks.join(by_sorting(shorter), _on(looks, shorter, held | {"__up": "__base"})).drop(*held.values(), "__base"))
     if claims.isEmpty():
         return None
     group = [*session, "__up"]
     # documents of the shorter base before each claim: its rank among both, without the claims before it
     asked = ranked(claims, group, [order], "__claims")
     some = asked.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(session)], F.col("__up").alias("__base")).distinct()
-    theirs = rows.join(some, _on(rows, some, held | {base: "__base"}), "left_semi").withColumnRenamed(base, "__up")
+    theirs = rows.join(by_sorting(some), _on(rows, some, held | {base: "__base"}), "left_semi").withColumnRenamed(base, "__up")
     among = ranked(asked.unionByName(theirs, allowMissingColumns=True), group, [order], "__all").where("__own is not null")
     state = staged(among.select(*group, "__k", "__own", (F.col("__all") - F.col("__claims")).alias("__before"), F.lit(None).cast("boolean").alias("__skip")))
     while True:
         known = state.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(session)], F.col("__own").alias("__name"), F.coalesce(F.col("__skip").cast("int"), F.lit(-1)).alias("__first"))
         sums = running(state, group, ["__k"], {"__sure": F.coalesce("__skip", F.lit(False)).cast("long"), "__possible": F.coalesce("__skip", F.lit(True)).cast("long")})
-        seen = sums.join(known, _on(sums, known, held | {"__up": "__name"}), "left").drop(*held.values(), "__name")
+        seen = sums.join(by_sorting(known), _on(sums, known, held | {"__up": "__name"}), "left").drop(*held.values(), "__name")
         # a base whose own name went to a shorter one passes over 1
         low = F.col("__before") + F.col("__sure") + (F.coalesce("__first", F.lit(1)) == 0).cast("long")
         high = F.col("__before") + F.col("__possible") + (F.coalesce("__first", F.lit(1)) != 1).cast("long")

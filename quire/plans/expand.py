@@ -21,13 +21,13 @@ from quire.operators.elements import preorder
 from quire.operators.naming import directory_names
 from quire.plans.corpus import parent_label
 from quire.sources.packages import parsed
-from quire.sources.shared import staged
+from quire.sources.shared import by_sorting, staged
 
 MOST_DEPTH = 10
 IMAGE = "image"
 _LISTS = ("elements", "sheets", "embedded", "images", "error")
 #: Files to leave out of a level, at most, that executors get as a list; more are told by a filter of so many bits for each, in pieces of ``PIECE`` bits.
-FEW, BITS, PIECE = 100_000, 16, 1 << 15
+FEW, BITS, PIECE = 10_000, 16, 1 << 15
 
 
 Handlers = Sequence[tuple[str, Sequence[str]]]
@@ -60,9 +60,9 @@ def _fresh(files: DataFrame, listed: DataFrame, place: list[str], known: DataFra
     """
     taken = listed.where("parser is not null").select("content_key", *place)
     repeated = taken.groupBy("content_key").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("least")).where("n > 1").select("content_key", "least")
-    again = taken.join(repeated, "content_key").where(F.struct(*place) != F.col("least")).select(*place)
+    again = taken.join(by_sorting(repeated), "content_key").where(F.struct(*place) != F.col("least")).select(*place)
     if known is not None:
-        again = again.union(taken.join(known, "content_key", "left_semi").select(*place)).distinct()
+        again = again.union(taken.join(by_sorting(known), "content_key", "left_semi").select(*place)).distinct()
     return _without(files.where("parser is not null"), staged(again), place).select("content_key", "parser", "content")
 
 
@@ -82,7 +82,7 @@ def _without(files: DataFrame, out: DataFrame, place: list[str]) -> DataFrame:
     byte = F.conv(F.hex(F.substring("bits", (F.floor(bit % PIECE / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     told = told.withColumn("met", F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
     clear, met = (told.where(c).select(*files.columns) for c in (~F.col("met"), F.col("met")))
-    return clear.unionByName(met.join(out, place, "left_anti").select(*files.columns))
+    return clear.unionByName(met.join(by_sorting(out), place, "left_anti").select(*files.columns))
 
 
 def expand(
@@ -129,35 +129,37 @@ def expand(
             break
         fresh = _fresh(inside, found, ["in_key", "k"], reduce(DataFrame.unionByName, [c.select("content_key") for c in contents]))
 
-    link = reduce(DataFrame.unionByName, links).select("in_key", "k", F.col("position").alias("at"), *[F.col(c).alias(f"c_{c}") for c in named])
-    levels = [level]
+    levels, embeds = [level], not links[0].isEmpty()
     for depth in range(1, depth_limit):
         held = levels[-1].where("parser is not null")
         below = lambda up, k, at, own: up.select("session_id", F.concat("path", F.array(k)).alias("path"), F.lit(depth).alias("depth"), at.cast("int").alias("parent_position"), *own)  # noqa: B023, E731
-        inner = below(held.join(link, held.content_key == link.in_key), F.col("k"), F.col("at"), [F.col(f"c_{c}").alias(c) for c in named])
+        inner = []
+        if embeds:  # what a level holds is parsed by then, so deeper links are not asked
+            link = reduce(DataFrame.unionByName, links[:depth]).select("in_key", "k", F.col("position").alias("at"), *[F.col(c).alias(f"c_{c}") for c in named])
+            inner.append(below(held.join(by_sorting(link), held.content_key == link.in_key), F.col("k"), F.col("at"), [F.col(f"c_{c}").alias(c) for c in named]))
         if images_recurse:
-            again = below(held.where(F.col("parser") == IMAGE), F.lit(0), F.lit(0), [F.col(c) for c in named])
-            inner = inner.unionByName(again)
-        inner = staged(inner)
-        if inner.isEmpty():
+            inner.append(below(held.where(F.col("parser") == IMAGE), F.lit(0), F.lit(0), [F.col(c) for c in named]))
+        if not inner:
+            break
+        levels.append(staged(reduce(DataFrame.unionByName, inner)))
+        if levels[-1].isEmpty():
             break
-        levels.append(inner)
     nodes = reduce(DataFrame.unionByName, levels)
     held = nodes.where("parser is not null")
 
     order = directory_names(preorder(held.select("session_id", "path", "file_name"), ["session_id"]).withColumn("base", base_name(F.col("file_name"))), ["session_id"])
-    placed = held.join(order.select("session_id", "path", "seq", "base", "dir"), ["session_id", "path"])
+    placed = held.join(by_sorting(order.select("session_id", "path", "seq", "base", "dir")), ["session_id", "path"])
     above = order.select("session_id", F.col("path").alias("up"), F.col("dir").alias("parent_dir"))
     up = F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))
-    full = placed.withColumn("up", F.when(F.col("depth") > 0, up)).join(above, ["session_id", "up"], "left")
+    full = placed.withColumn("up", F.when(F.col("depth") > 0, up)).join(by_sorting(above), ["session_id", "up"], "left")
     full = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", plain_file_name(F.col("file_name"))))
     every = reduce(DataFrame.unionByName, contents)
     picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("held").alias("data")))
-    docs = full.drop("up", "parent_dir").join(every.drop("parser"), "content_key")
+    docs = full.drop("up", "parent_dir").join(by_sorting(every.drop("parser")), "content_key")
     docs = docs.withColumn("images", F.when(F.col("parser") == IMAGE, picture.cast(every.schema["images"].dataType)).otherwise(F.col("images")))
     docs = docs.drop("held")
     if keep_content:
-        docs = docs.join(reduce(DataFrame.unionByName, held_bytes), "content_key")
+        docs = docs.join(by_sorting(reduce(DataFrame.unionByName, held_bytes)), "content_key")
     return {"docs": docs, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": every.drop("held")}
 
 

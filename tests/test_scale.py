@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import ranking
+from quire.operators import naming, ranking
 from quire.operators.elements import path_key, preorder
 from quire.operators.naming import allocate, directory_names, simple_names
 from quire.plans import corpus
@@ -43,6 +43,50 @@ def test_one_group_spreads(spark):
     assert ranks.agg(F.countDistinct("rank"), F.min("rank"), F.max("rank")).first()[:] == (20_000, 0, 19_999)
 
 
+@pytest.mark.parametrize("keys", [["g"], ["g", "h"], []])
+def test_groups_over_several_ranges(spark, keys):
+    """Groups that begin before a range, within it and that fill several, with null among them."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "hot", "hot", "hot", f"s{k % 5}"]), rng.randrange(2), k, rng.randrange(5)) for k in range(600)]
+    df = spark.createDataFrame(rows, "g string, h int, o int, v int").repartition(3)
+    want, sums = {}, {}
+    for r in sorted(rows, key=lambda r: r[2]):
+        group = tuple(r[:2][: len(keys)])
+        n, total = sums.get(group, (0, 0))
+        want[r[2]] = (n, total)
+        sums[group] = (n + 1, total + r[3])
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert ranking._dealt(df, keys, ["o"]).select(ranking._PART).distinct().count() > 2
+        assert {r.o: r["rank"] for r in ranking.ranked(df, keys, ["o"]).collect()} == {o: n for o, (n, _) in want.items()}
+        got = ranking.running(df, keys, ["o"], {"before": F.col("v"), "count": F.lit(1)})
+        assert got.columns == ["g", "h", "o", "v", "before", "count"]
+        assert {r.o: (r["count"], r.before) for r in got.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+
+
+def joins(df):
+    """Joins of the plan, and those of them that Spark may turn into copies for each executor by the size of files."""
+    found = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    return found, [x for x in found if "strategy=" not in x]
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_file_sizes_decide_no_join(spark, monkeypatch, few):
+    """Stored rows may be a hundred times as large as their files, so no join of an expansion is left to the files' size."""
+    seen = []
+    monkeypatch.setattr(expand_, "FEW", few)
+    for module in (expand_, naming, ranking, corpus):
+        monkeypatch.setattr(module, "staged", lambda df, keep=module.staged: seen.append(df) or keep(df))
+    sources = spark.createDataFrame([(f"s{k % 4}", f, bytearray(b"x\ny\nx\ny")) for k, f in enumerate(["f.half", "f_2.half", "a.png", "f.half", "f.half"])], "session_id string, file_name string, content binary")
+    found = expand(sources, parsers={"half": halves}, images_recurse=True, keep_content=True)
+    every = [joins(df) for df in (*seen, *found.values(), corpus.corpus_files(found["docs"]))]
+    assert sum(len(all_) for all_, _ in every) > 20
+    assert not [x for _, free in every for x in free]
+
+
 def test_path_keys_sort_as_paths(spark):
     rng = random.Random(2)
     paths = [[0, *(rng.choice([0, 1, 2, 300, 70_000]) for _ in range(rng.randrange(5)))] for _ in range(200)]
