@@ -87,6 +87,18 @@ def test_file_sizes_decide_no_join(spark, monkeypatch, few):
     assert not [x for _, free in every for x in free]
 
 
+def test_pictures_that_hold_themselves_join_by_sorting(spark, monkeypatch):
+    """Ten levels of pictures alone: nothing is embedded, so levels need no links, and no join goes by the files' size."""
+    seen = []
+    for module in (expand_, naming, ranking):
+        monkeypatch.setattr(module, "staged", lambda df, keep=module.staged: seen.append(df) or keep(df))
+    docs = expand(spark.createDataFrame([(k, "a b.png", bytearray(b"p%d" % (k % 3))) for k in range(5)], "session_id int, file_name string, content binary"), images_recurse=True)["docs"]
+    assert not [x for df in (*seen, docs) for x in joins(df)[1]]
+    assert not [df for df in seen if "parent_position" in df.columns and joins(df)[0]]
+    got = sorted((d.session_id, d.depth, d.dir, bytes(d.images[0].data)) for d in docs.select("session_id", "depth", "dir", "images").collect())
+    assert got == [(s, d, "a_b" if d == 0 else f"a_b_{d + 1}", b"p%d" % (s % 3)) for s in range(5) for d in range(10)]
+
+
 def test_path_keys_sort_as_paths(spark):
     rng = random.Random(2)
     paths = [[0, *(rng.choice([0, 1, 2, 300, 70_000]) for _ in range(rng.randrange(5)))] for _ in range(200)]
