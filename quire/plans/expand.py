@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from quire.sources.shared import by_sorting, staged
 
 MOST_DEPTH = 10
 IMAGE = "image"
+_NAMED = ("file_name", "kind", "ext", "parser", "content_key")
 _LISTS = ("elements", "sheets", "embedded", "images", "error")
 #: Files to leave out of a level, at most, that executors get as a list; more are told by a filter of so many bits for each, in pieces of ``PIECE`` bits.
 FEW, BITS, PIECE = 10_000, 16, 1 << 15
@@ -85,31 +87,22 @@ def _without(files: DataFrame, out: DataFrame, place: list[str]) -> DataFrame:
     return clear.unionByName(met.join(by_sorting(out), place, "left_anti").select(*files.columns))
 
 
-def expand(
-    sources: DataFrame,
-    depth_limit: int = MOST_DEPTH,
-    images_recurse: bool = False,
-    fail_fast: bool = False,
-    keep_content: bool = False,
-    parsers: dict[str, Callable[[bytes], dict]] | None = None,
-    handlers: Handlers | None = None,
-) -> dict[str, DataFrame]:
-    """All files within ``sources (session_id, file_name, content)``: tables ``docs``, ``skipped`` and ``contents``.
+class Contents(NamedTuple):
+    """What sources hold: the files of level 0, then for each level its new contents, their links to what they embed, and their bytes."""
 
-    ``docs`` has a row per supported file with its path of ordinals, ``seq``, ``dir``, ``parent`` and parsed
-    lists; files without a parser are in ``skipped`` and take no ``seq``.  ``contents`` has a row per distinct content with
-    what it was parsed to.  Pictures are leaves; with ``images_recurse`` each holds itself again until the depth
-    limit, as some older corpora have it.  ``content`` stays with ``keep_content``, for copies of the sources.  ``parsers`` are
-    functions from bytes to the lists of ``PARSED``, by the suffix that they take; they come before the known ones.  ``handlers``
-    replaces the list of parsers: names (of ``parsers`` or known ones) with the suffixes that each takes, the first that
-    takes a file being the one that gets it, so parsers can be left out and put in another order.
-    """
+    level: DataFrame
+    parsed: list[DataFrame]
+    links: list[DataFrame]
+    held_bytes: list[DataFrame]
+
+
+def contents_of(sources: DataFrame, depth_limit: int = MOST_DEPTH, fail_fast: bool = False, parsers: dict[str, Callable[[bytes], dict]] | None = None, handlers: Handlers | None = None) -> Contents:
+    """Each distinct content within ``sources`` parsed once, without the tree of files; the arguments are those of ``expand``."""
     parsers = parsers or {}
     if handlers is None:
         handlers = (*((name, (name,)) for name in parsers), *PARSERS)
     top = _keyed(sources.select("session_id", "file_name", "content"), handlers)
-    named = ["file_name", "kind", "ext", "parser", "content_key"]
-    level = staged(top.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("parent_position"), *named))
+    level = staged(top.select("session_id", F.array(F.lit(0)).alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("parent_position"), *_NAMED))
 
     contents, links, held_bytes = [], [], []
     if level.groupBy("session_id").count().where("count > 1").isEmpty():
@@ -128,17 +121,44 @@ def expand(
         if depth + 1 == depth_limit or found.where("parser is not null").isEmpty():
             break
         fresh = _fresh(inside, found, ["in_key", "k"], reduce(DataFrame.unionByName, [c.select("content_key") for c in contents]))
+    return Contents(level, contents, links, held_bytes)
+
 
+def distinct_contents(found: Contents) -> DataFrame:
+    """A row per distinct content with what it was parsed to."""
+    return reduce(DataFrame.unionByName, found.parsed).drop("held")
+
+
+def expand(
+    sources: DataFrame,
+    depth_limit: int = MOST_DEPTH,
+    images_recurse: bool = False,
+    fail_fast: bool = False,
+    keep_content: bool = False,
+    parsers: dict[str, Callable[[bytes], dict]] | None = None,
+    handlers: Handlers | None = None,
+) -> dict[str, DataFrame]:
+    """All files within ``sources (session_id, file_name, content)``: tables ``docs``, ``skipped`` and ``contents``.
+
+    ``docs`` has a row per supported file with its path of ordinals, ``seq``, ``dir``, ``parent`` and parsed
+    lists; files without a parser are in ``skipped`` and take no ``seq``.  ``contents`` has a row per distinct content with
+    what it was parsed to.  Pictures are leaves; with ``images_recurse`` each holds itself again until the depth
+    limit, as some older corpora have it.  ``content`` stays with ``keep_content``, for copies of the sources.  ``parsers`` are
+    functions from bytes to the lists of ``PARSED``, by the suffix that they take; they come before the known ones.  ``handlers``
+    replaces the list of parsers: names (of ``parsers`` or known ones) with the suffixes that each takes, the first that
+    takes a file being the one that gets it, so parsers can be left out and put in another order.
+    """
+    level, contents, links, held_bytes = found = contents_of(sources, depth_limit, fail_fast, parsers, handlers)
     levels, embeds = [level], not links[0].isEmpty()
     for depth in range(1, depth_limit):
         held = levels[-1].where("parser is not null")
         below = lambda up, k, at, own: up.select("session_id", F.concat("path", F.array(k)).alias("path"), F.lit(depth).alias("depth"), at.cast("int").alias("parent_position"), *own)  # noqa: B023, E731
         inner = []
         if embeds:  # what a level holds is parsed by then, so deeper links are not asked
-            link = reduce(DataFrame.unionByName, links[:depth]).select("in_key", "k", F.col("position").alias("at"), *[F.col(c).alias(f"c_{c}") for c in named])
-            inner.append(below(held.join(by_sorting(link), held.content_key == link.in_key), F.col("k"), F.col("at"), [F.col(f"c_{c}").alias(c) for c in named]))
+            link = reduce(DataFrame.unionByName, links[:depth]).select("in_key", "k", F.col("position").alias("at"), *[F.col(c).alias(f"c_{c}") for c in _NAMED])
+            inner.append(below(held.join(by_sorting(link), held.content_key == link.in_key), F.col("k"), F.col("at"), [F.col(f"c_{c}").alias(c) for c in _NAMED]))
         if images_recurse:
-            inner.append(below(held.where(F.col("parser") == IMAGE), F.lit(0), F.lit(0), [F.col(c) for c in named]))
+            inner.append(below(held.where(F.col("parser") == IMAGE), F.lit(0), F.lit(0), [F.col(c) for c in _NAMED]))
         if not inner:
             break
         levels.append(staged(reduce(DataFrame.unionByName, inner)))
@@ -153,14 +173,15 @@ def expand(
     up = F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))
     full = placed.withColumn("up", F.when(F.col("depth") > 0, up)).join(by_sorting(above), ["session_id", "up"], "left")
     full = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", plain_file_name(F.col("file_name"))))
+    full = full.drop("up", "parent_dir")
     every = reduce(DataFrame.unionByName, contents)
     picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("held").alias("data")))
-    docs = full.drop("up", "parent_dir").join(by_sorting(every.drop("parser")), "content_key")
+    docs = full.join(by_sorting(every.drop("parser")), "content_key")
     docs = docs.withColumn("images", F.when(F.col("parser") == IMAGE, picture.cast(every.schema["images"].dataType)).otherwise(F.col("images")))
     docs = docs.drop("held")
     if keep_content:
         docs = docs.join(by_sorting(reduce(DataFrame.unionByName, held_bytes)), "content_key")
-    return {"docs": docs, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": every.drop("held")}
+    return {"docs": docs, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": distinct_contents(found)}
 
 
 def _empty(like: DataFrame, name: str) -> Column:

@@ -568,16 +568,16 @@ def halves(data: bytes) -> dict:
     return {"embedded": [{"file_name": name, "position": k + 5, "data": b"\n".join(part)} for k, (name, part) in enumerate(parts)]}
 
 
-def _expanded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    sources = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("session_id"), F.lit("document.half").alias("file_name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
-    return expand(sources, parsers={"half": halves})
+def _halved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files that hold their halves."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("session_id"), F.lit("document.half").alias("file_name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
 
 
 @query(f"""WITH {_EXPANDED} SELECT d.doc_id, CAST(d.seq AS INTEGER) AS seq, CAST(d.depth AS INTEGER) AS depth, d.name AS file_name, d.dir, coalesce(u.dir || ', pos=' || d.pos, 'root') AS parent, d.dir || '/' || d.name AS source_copy,
   CASE WHEN len(d.ls) = 1 THEN md5(d.ls[1]) END AS line_md5 FROM d LEFT JOIN d u ON u.doc_id = d.doc_id AND u.path = d.path[1 : len(d.path) - 1] AND d.depth > 0""")
 def expanded_files(spark, sf_dir):
     """Every file within the documents: level, number, directory, parent, and the line that a leaf holds."""
-    docs = _expanded(spark, sf_dir)["docs"]
+    docs = expand(_halved(spark, sf_dir), parsers={"half": halves})["docs"]
     return docs.select(F.col("session_id").alias("doc_id"), "seq", "depth", "file_name", "dir", "parent", "source_copy", F.md5(F.get("elements", F.lit(0))["content"]).alias("line_md5"))
 
 
@@ -592,7 +592,7 @@ def source_copies(spark, sf_dir):
 @query(f"WITH {_HALVES}, c AS (SELECT md5(array_to_string(ls, chr(10))) || ':half' AS content_key, len(ls) > 1 AS holds FROM f) SELECT content_key, CAST(any_value(CASE WHEN holds THEN 2 ELSE 0 END) AS INTEGER) AS n_embedded FROM c GROUP BY content_key")
 def parsed_contents(spark, sf_dir):
     """Each distinct content once, however many documents hold it."""
-    return _expanded(spark, sf_dir)["contents"].select("content_key", F.size("embedded").alias("n_embedded"))
+    return expand_.distinct_contents(expand_.contents_of(_halved(spark, sf_dir), parsers={"half": halves})).select("content_key", F.size("embedded").alias("n_embedded"))
 
 
 # --- review ---------------------------------------------------------------------------------------------------

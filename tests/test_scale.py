@@ -193,6 +193,19 @@ def test_contents_are_stored_once(spark, monkeypatch):
     assert not [c for c in seen if "content" in c or ("embedded" in c and "body" in c)]
 
 
+def test_contents_without_the_tree(spark, monkeypatch):
+    """Distinct contents are those of the expansion, and no file is placed or numbered for them."""
+    sources = spark.createDataFrame([(f"s{k % 4}", "f.half", bytearray(b"x\ny\nx\n%d" % (k // 4))) for k in range(8)] + [("p", "a.png", bytearray(b"x"))], "session_id string, file_name string, content binary")
+    want = sorted((r.content_key, len(r.embedded)) for r in expand(sources, parsers={"half": halves})["contents"].collect())
+    seen = []
+    for module in (expand_, naming, ranking):
+        monkeypatch.setattr(module, "staged", lambda df, keep=module.staged: seen.append(df) or keep(df))
+    found = expand_.distinct_contents(expand_.contents_of(sources, parsers={"half": halves}))
+    assert sorted((r.content_key, len(r.embedded)) for r in found.collect()) == want
+    assert not [x for df in (*seen, found) for x in joins(df)[1]]
+    assert len([df for df in seen if "path" in df.columns]) == 1
+
+
 def test_no_files(spark):
     found = expand(spark.createDataFrame([], "session_id string, file_name string, content binary"))
     assert [found[k].count() for k in ("docs", "skipped", "contents")] == [0, 0, 0]
