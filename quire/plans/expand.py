@@ -174,6 +174,8 @@ def expand(
     full = placed.withColumn("up", F.when(F.col("depth") > 0, up)).join(by_sorting(above), ["session_id", "up"], "left")
     full = full.withColumn("parent", parent_label(F.col("parent_dir"), F.col("parent_position"))).withColumn("source_copy", F.concat_ws("/", "dir", plain_file_name(F.col("file_name"))))
     full = full.drop("up", "parent_dir")
+    if keep_content:  # those who keep it read the tree for the copies and again for what was parsed
+        full = staged(full)
     every = reduce(DataFrame.unionByName, contents)
     picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("held").alias("data")))
     docs = full.join(by_sorting(every.drop("parser")), "content_key")

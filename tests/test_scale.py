@@ -206,6 +206,13 @@ def test_contents_without_the_tree(spark, monkeypatch):
     assert len([df for df in seen if "path" in df.columns]) == 1
 
 
+def test_the_tree_of_copies_is_stored(spark):
+    """Copies and what is laid out read the tree's names from one table, not from the joins that made them."""
+    sources = spark.createDataFrame([("s", "f.half", bytearray(b"x\ny\nz"))], "session_id string, file_name string, content binary")
+    plan = expand(sources, parsers={"half": halves}, keep_content=True)["docs"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "LeftOuter" not in plan
+
+
 def test_no_files(spark):
     found = expand(spark.createDataFrame([], "session_id string, file_name string, content binary"))
     assert [found[k].count() for k in ("docs", "skipped", "contents")] == [0, 0, 0]
