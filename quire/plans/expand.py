@@ -143,7 +143,7 @@ def expand(
     ``docs`` has a row per supported file with its path of ordinals, ``seq``, ``dir``, ``parent`` and parsed
     lists; files without a parser are in ``skipped`` and take no ``seq``.  ``contents`` has a row per distinct content with
     what it was parsed to.  Pictures are leaves; with ``images_recurse`` each holds itself again until the depth
-    limit, as some older corpora have it.  ``content`` stays with ``keep_content``, for copies of the sources.  ``parsers`` are
+    limit, as some older corpora have it.  ``content`` stays with ``keep_content``, for copies of the sources; ``bare`` is ``docs`` without it, for readers that need no bytes.  ``parsers`` are
     functions from bytes to the lists of ``PARSED``, by the suffix that they take; they come before the known ones.  ``handlers``
     replaces the list of parsers: names (of ``parsers`` or known ones) with the suffixes that each takes, the first that
     takes a file being the one that gets it, so parsers can be left out and put in another order.
@@ -180,10 +180,10 @@ def expand(
     picture = F.array(F.struct(F.col("file_name"), F.lit(0).alias("position"), image_format(F.col("file_name"), F.col("kind")).alias("format"), F.col("held").alias("data")))
     docs = full.join(by_sorting(every.drop("parser")), "content_key")
     docs = docs.withColumn("images", F.when(F.col("parser") == IMAGE, picture.cast(every.schema["images"].dataType)).otherwise(F.col("images")))
-    docs = docs.drop("held")
+    docs = bare = docs.drop("held")
     if keep_content:
         docs = docs.join(by_sorting(reduce(DataFrame.unionByName, held_bytes)), "content_key")
-    return {"docs": docs, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": distinct_contents(found)}
+    return {"docs": docs, "bare": bare, "skipped": nodes.where("parser is null").select("session_id", "path", "file_name", "ext"), "contents": distinct_contents(found)}
 
 
 def _empty(like: DataFrame, name: str) -> Column:

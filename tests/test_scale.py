@@ -213,6 +213,18 @@ def test_the_tree_of_copies_is_stored(spark):
     assert "Window" not in plan and "LeftOuter" not in plan
 
 
+def test_the_layout_needs_no_bytes(spark, monkeypatch):
+    """What is laid out is not joined with the contents that copies need."""
+    found = expand(spark.createDataFrame([("s", "f.half", bytearray(b"x\ny"))], "session_id string, file_name string, content binary"), parsers={"half": halves}, keep_content=True)
+    seen = []
+    monkeypatch.setattr(corpus, "staged", lambda df, keep=corpus.staged: seen.append(df) or keep(df))
+    files = corpus.corpus_files(found["docs"], found["bare"])
+    assert len(seen) == 1 and len(joins(seen[0])[0]) == 1
+    want = corpus.corpus_files(found["docs"])
+    assert sorted((r.path, bytes(r.content)) for r in files.collect()) == sorted((r.path, bytes(r.content)) for r in want.collect())
+    assert len(joins(seen[1])[0]) > 1
+
+
 def test_no_files(spark):
     found = expand(spark.createDataFrame([], "session_id string, file_name string, content binary"))
     assert [found[k].count() for k in ("docs", "skipped", "contents")] == [0, 0, 0]
